@@ -1,0 +1,3 @@
+"""DuckDB statements for the queries in catalogue, by name."""
+
+SQL: dict[str, str] = {}
