@@ -24,6 +24,9 @@ from pyspark.sql import types as T
 
 from . import words as W
 
+#: Words of which Python objects are held at once where a slice of a pack is enough.
+SLICE_WORDS = 1 << 16
+
 
 @lru_cache(maxsize=4)
 def tokenizer(path: str):
@@ -93,7 +96,7 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, *, keep: tuple[str, ...]
         ids = _encode(list(table), tokenizer_path)  # each distinct word once
         return [_pack_ids([ids[table[w]] for w in ws]) for ws, _ in rows]
 
-    def finish(table, lines, known, missing):
+    def finish(table, texts, known, missing):
         at: dict[bytes, int] = {}
         parts = [_unpack_ids(p) for _, p in known]
         for ws, _ in known:
@@ -101,24 +104,40 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, *, keep: tuple[str, ...]
         if missing:
             parts.append(_unpack_ids(_pack_ids(_encode(missing, tokenizer_path))))
             at.update(zip(missing, range(len(at), len(at) + len(missing)), strict=True))
-        length = np.concatenate([np.zeros(0, np.int64), *(p[0] for p in parts)]).astype(np.int64)
-        flat = np.concatenate([np.zeros(0, np.int32), *(p[1] for p in parts)]).astype(np.int32)
-        start = np.cumsum(length) - length
-        joined = pieces(tokenizer_path)[flat].tolist()  # id-to-piece join
-        spelt = [b" ".join(joined[s : s + k]) for s, k in zip(start.tolist(), length.tolist(), strict=True)]
-        number, empty = [], bool((length == 0).any())
-        offsets, decoded = [0], []
-        for line in lines:
-            here = [at[w] for w in line]
-            number += here
-            if empty:
-                here = [i for i in here if length[i]]
-            decoded.append(b" ".join([spelt[i] for i in here]))
-            offsets.append(len(number))
-        ids, each = W.gather(flat, start, length, np.array(number, np.int64))
-        ends = np.concatenate([[0], np.cumsum(each)])[np.array(offsets)]
+        length = np.concatenate([np.zeros(0, np.int32), *(p[0] for p in parts)])
+        flat = np.concatenate([np.zeros(0, np.int32), *(p[1] for p in parts)])
+        del parts, known
+        start = np.cumsum(length, dtype=np.int64) - length
+        table_of = pieces(tokenizer_path)
+        spelt: list[bytes] = []
+        for k in range(0, len(length), SLICE_WORDS):  # id-to-piece join, once for each distinct word
+            here = length[k : k + SLICE_WORDS].tolist()
+            base = int(start[k])
+            got = table_of[flat[base : base + sum(here)]].tolist()
+            end = 0
+            for n_ids in here:
+                spelt.append(b" ".join(got[end : end + n_ids]))
+                end += n_ids
+        none = bool((length == 0).any())
+        ids, sizes, decoded, todo = [], [], [], []
+
+        def put():
+            got, each = W.gather(flat, start, length, np.concatenate([np.zeros(0, np.int32), *todo]))
+            ends = np.concatenate([[0], np.cumsum(each)])[np.cumsum([0, *map(len, todo)])]
+            ids.append(got)
+            sizes.append(np.diff(ends))
+            todo.clear()
+
+        for t in texts:
+            here = [at[w] for w in W.split(t, False)]
+            todo.append(np.array(here, np.int32))
+            decoded.append(b" ".join([spelt[i] for i in here if length[i]] if none else [spelt[i] for i in here]))
+            if sum(map(len, todo[-64:])) > SLICE_WORDS or len(todo) >= 64:
+                put()
+        put()
+        ends = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
         kept = [table.column(f"k{i}").combine_chunks() for i in range(len(keep))]
-        return pa.table([*kept, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32())), pa.array(decoded, pa.binary()).cast(pa.string())], names=[*(f"k{i}" for i in range(len(keep))), "ids", "decoded"])
+        return pa.table([*kept, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids), pa.int32())), pa.array(decoded, pa.binary()).cast(pa.string())], names=[*(f"k{i}" for i in range(len(keep))), "ids", "decoded"])
 
     schema = T.StructType([*(T.StructField(f"k{i}", docs.schema[c].dataType) for i, c in enumerate(keep)), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
     replies = W.answers(W.vocabularies(source, n, lower=False, pack_bytes=pack_bytes), answer)

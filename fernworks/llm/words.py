@@ -108,9 +108,9 @@ def texts(source: DataFrame, pack_bytes: int) -> DataFrame:
 
 
 def joined(source: DataFrame, replies: DataFrame, n: int, finish: Callable, schema: str, *, lower: bool, pack_bytes: int) -> DataFrame:
-    """Each pack with its replies: finish(table, words, payloads, missing) -> pa.Table.
+    """Each pack with its replies: finish(table, texts, known, missing) -> pa.Table.
 
-    words: the pack's distinct words, bucket after bucket; payloads: (words of the bucket, payload) for each. Should a
+    texts: of the pack, as bytes; known: (words of a bucket, payload) for each bucket. Should a
     pack have been read in another order the second time (an input that is not read alike twice), some words have no
     reply; they are in missing, and finish answers them itself. Nothing is lost by it.
     """
@@ -121,10 +121,11 @@ def joined(source: DataFrame, replies: DataFrame, n: int, finish: Callable, sche
         replied = {b: (c, p) for b, c, p in zip(right.column("bucket").to_pylist(), right.column("check").to_pylist(), right.column("payload").to_pylist(), strict=True)}
         for body in left.column("body").to_pylist():
             table = thaw(body)
-            lines = [split(t, lower) for t in table_bytes(table.column("text"))]
+            text = table_bytes(table.column("text"))
+            table = table.drop_columns("text")
             seen = set()
-            for line in lines:
-                seen.update(line)
+            for t in text:  # words are split anew where they are needed: a list of all of them is far larger
+                seen.update(split(t, lower))
             known, missing = [], []
             for b, ws in in_buckets(seen, n):
                 c, p = replied.get(b, (None, None))
@@ -132,7 +133,8 @@ def joined(source: DataFrame, replies: DataFrame, n: int, finish: Callable, sche
                     known.append((ws, p))
                 else:
                     missing.extend(ws)
-            out.append(finish(table, lines, known, missing))
+            del seen
+            out.append(finish(table, text, known, missing))
         return pa.concat_tables(out) if out else None
 
     def safe(left: pa.Table, right: pa.Table) -> pa.Table:
