@@ -1,21 +1,19 @@
-"""Every query of the engine by name: (spark, sf_dir) -> DataFrame."""
+"""Every query of the engine by name: (spark, sf_dir) -> DataFrame, and the DuckDB statement that gives the same rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from importlib import import_module
 
-QUERIES: dict = {}
+from pyspark.sql import DataFrame, SparkSession
 
+from .registry import QUERIES, SQL
 
-def query(fn):
-    """Register fn under its own name."""
-    QUERIES[fn.__name__] = fn
-    return fn
+for _name in ("q_vectors", "q_matching", "q_exposure", "q_scoring", "q_stats", "q_agreement", "q_pairwise", "q_sources"):
+    import_module(f"{__package__}.{_name}")
 
 
-def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return QUERIES["flagship_district_exposure"](spark, sf_dir)
 
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "nation")
+__all__ = ["QUERIES", "SQL", "flagship"]
