@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-NO_MATCH = "no matches with scores"
+NO_MATCH = "no matched scores"
 
 
 def softmax_weights(matches: DataFrame, temperature: float = 0.7, score: str = "rerank_score", key: str = "ad_id") -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,8 +79,6 @@ def first_json(text: str | None, valid=None) -> str | None:
 
 def json_in_prose(df: DataFrame, column: str, valid=None) -> DataFrame:
     """df with `column` reduced to the first JSON object in it (null: none). The one place that needs Python, in Arrow batches."""
-    import pandas as pd
-
     @F.pandas_udf(T.StringType())
     def pick(s: pd.Series) -> pd.Series:
         return s.map(lambda x: first_json(x, valid))
