@@ -192,3 +192,45 @@ def arms(runs: DataFrame) -> DataFrame:
     parts = {"llm": ("embedding", "reranker"), "embedding": ("llm", "reranker"), "reranker": ("llm", "embedding")}
     long = s.select("run", F.inline(F.array(*[F.struct(F.lit(arm).alias("arm"), F.concat_ws(" + ", *fixed).alias("fixed")) for arm, fixed in parts.items()])))
     return long.join(long.groupBy("arm", "fixed").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2").select("arm", "fixed"), ["arm", "fixed"])
+
+
+def shared_fraction(runs: DataFrame) -> DataFrame:
+    """(run_a, run_b, shared_fraction): mean Jaccard over the ads that either run has; 0 where one has none."""
+    sizes = runs.groupBy("run", "ad").agg(F.count(F.lit(1)).alias("size"))
+    names = runs.select("run").distinct()
+    pairs = names.select(F.col("run").alias("run_a")).join(names.select(F.col("run").alias("run_b")), F.col("run_a") < F.col("run_b"))
+    either = sizes.join(pairs, (F.col("run") == F.col("run_a")) | (F.col("run") == F.col("run_b"))).groupBy("run_a", "run_b", "ad").agg(F.sum("size").alias("total"))
+    shared = _two(runs, ["ad", "code"], []).groupBy("run_a", "run_b", "ad").agg(F.count(F.lit(1)).alias("shared"))
+    x = either.join(shared, ["run_a", "run_b", "ad"], "left").withColumn("shared", F.coalesce("shared", F.lit(0)))
+    return x.groupBy("run_a", "run_b").agg(F.avg(F.col("shared") / (F.col("total") - F.col("shared"))).alias("shared_fraction"))
+
+
+def head_to_head(first: DataFrame, second: DataFrame, ratings: DataFrame) -> DataFrame:
+    """One row: wins of each side and ties, by the best rating that a ranking has for each ad that both rank.
+
+    first, second: (ad, code); ratings: (ad, code, rating).
+    """
+    best = lambda df, name: df.join(ratings, ["ad", "code"]).groupBy("ad").agg(F.max("rating").alias(name))
+    x = best(first, "a").join(best(second, "b"), "ad")
+    return x.agg(F.count_if(F.col("a") > F.col("b")).alias("wins_a"), F.count_if(F.col("a") < F.col("b")).alias("wins_b"), F.count_if(F.col("a") == F.col("b")).alias("ties"))
+
+
+def variant_agreement(runs: DataFrame, reference: str, k: int, group: Column) -> DataFrame:
+    """(run, top1, topk, group_agreement) of each other run against the reference, over the common ads.
+
+    topk: share of ads whose k best are the same set; group: of a code.
+    """
+    order = Window.partitionBy("run", "ad").orderBy(F.desc("score"), "code")
+    t = common(runs).withColumn("rn", F.row_number().over(order)).filter(F.col("rn") <= k)
+    s = t.groupBy("run", "ad").agg(F.min_by("code", "rn").alias("top"), F.array_sort(F.collect_list("code")).alias("set")).withColumn("group", group)
+    r = s.filter(F.col("run") == reference).select("ad", F.col("top").alias("rt"), F.col("set").alias("rs"), F.col("group").alias("rg"))
+    share = lambda c: F.avg(c.cast("double"))
+    return s.filter(F.col("run") != reference).join(r, "ad").groupBy("run").agg(share(F.col("top") == F.col("rt")).alias("top1"), share(F.col("set") == F.col("rs")).alias("topk"), share(F.col("group") == F.col("rg")).alias("group_agreement"))
+
+
+def pruned_subset(pairs: DataFrame, value: str) -> tuple[float, list[str]]:
+    """How much the best subset of two thirds of the runs (rounded up) gains on all of them, and who is left out of it."""
+    subsets = best_subsets(pairs, value)
+    n = subsets[0][0]
+    kept = next(s for s in subsets if s[0] == max(2, -(-2 * n // 3)))
+    return kept[1] - subsets[0][1], sorted(set(subsets[0][2]) - set(kept[2]))

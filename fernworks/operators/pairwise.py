@@ -58,7 +58,7 @@ def adaptive_pairs(theta: DataFrame, each: int, seed: int = 0, width: float | No
 
 def swapped(pairs: DataFrame, seed: int = 0) -> DataFrame:
     """pairs with `swap`, and shown_a, shown_b: half of them are shown the other way round, by hash."""
-    swap = F.pmod(F.crc32(F.concat_ws("-", F.col("a").cast("string"), F.col("b").cast("string"), F.lit(str(seed))).cast("binary")), F.lit(2)) == 1
+    swap = F.substring(F.md5(F.concat_ws("-", F.col("a").cast("string"), F.col("b").cast("string"), F.lit(str(seed))).cast("binary")), 1, 1) >= "8"
     return pairs.withColumn("swap", swap).withColumn("shown_a", F.when(F.col("swap"), F.col("b")).otherwise(F.col("a"))).withColumn("shown_b", F.when(F.col("swap"), F.col("a")).otherwise(F.col("b")))
 
 

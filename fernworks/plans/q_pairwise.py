@@ -1 +1,96 @@
-"""Queries."""
+"""Pairwise comparisons: the smallest and largest part of an order, modulo 60, are compared; the order's key decides."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import pairwise
+from .registry import query, read
+
+PAIRS = """WITH x AS (SELECT l_orderkey AS k, min(l_partkey) % 60 AS a, max(l_partkey) % 60 AS b FROM lineitem GROUP BY l_orderkey),
+c AS (SELECT k, a, b, CASE WHEN k % 5 = 0 THEN 'tie' WHEN k % 3 = 0 OR a < b AND k % 2 = 0 THEN 'A' ELSE 'B' END AS outcome FROM x WHERE a <> b)
+"""
+
+
+def comparisons(spark, sf_dir):
+    x = read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg((F.min("l_partkey") % 60).alias("a"), (F.max("l_partkey") % 60).alias("b"))
+    a_wins = (F.col("k") % 3 == 0) | ((F.col("a") < F.col("b")) & (F.col("k") % 2 == 0))
+    return x.filter("a <> b").withColumn("outcome", F.when(F.col("k") % 5 == 0, "tie").when(a_wins, "A").otherwise("B"))
+
+
+def items(spark):
+    return spark.range(60).select(F.col("id").alias("item"))
+
+
+@query()
+def h15_bt_theta(spark, sf_dir):
+    """Iterative, so without a DuckDB statement; the tests check the gradient."""
+    return pairwise.bradley_terry(comparisons(spark, sf_dir), items(spark)).withColumn("theta", F.round("theta", 6))
+
+
+@query()
+def i17_convergence(spark, sf_dir):
+    """Refits on the first quarters of the comparisons against the fit on all: pearson and mean absolute error."""
+    c = comparisons(spark, sf_dir)
+    last = c.agg(F.max("k")).first()[0] or 0
+    final = pairwise.bradley_terry(c, items(spark))
+    rows = []
+    for q in (1, 2, 3, 4):
+        part = pairwise.bradley_terry(c.filter(F.col("k") <= last * q / 4), items(spark)).withColumnRenamed("theta", "now").join(final, "item")
+        r = part.agg(F.corr("now", "theta"), F.avg(F.abs(F.col("now") - F.col("theta")))).first()
+        rows.append((q, round(float(r[0] or 0), 6), round(float(r[1] or 0), 6)))
+    return spark.createDataFrame(rows, "round int, pearson double, mae double")
+
+
+@query(PAIRS + "SELECT least(a, b) AS a, greatest(a, b) AS b, sum(CASE WHEN outcome = 'tie' THEN 0.5 WHEN (outcome = 'A') = (a <= b) THEN 1 ELSE 0 END)::DOUBLE AS wins_a, sum(CASE WHEN outcome = 'tie' THEN 0.5 WHEN (outcome = 'A') = (a <= b) THEN 0 ELSE 1 END)::DOUBLE AS wins_b FROM c GROUP BY 1, 2")
+def h15_collapsed_pairs(spark, sf_dir):
+    return pairwise.collapsed(comparisons(spark, sf_dir))
+
+
+@query(
+    """WITH n AS (SELECT p_partkey, (p_retailprice - min(p_retailprice) OVER ()) / (max(p_retailprice) OVER () - min(p_retailprice) OVER ()) AS x FROM part)
+SELECT p_partkey, round(CASE WHEN x <= 0.1 THEN 0 ELSE (x - 0.1) / 0.9 END, 6) AS score FROM n"""
+)
+def h18_floor_normalise(spark, sf_dir):
+    out = pairwise.floor_normalised(read(spark, sf_dir, "part").select("p_partkey", "p_retailprice"), "p_retailprice", 0.1)
+    return out.select("p_partkey", F.round("score", 6).alias("score"))
+
+
+@query(
+    PAIRS + """, s AS (SELECT k, a, b, substr(md5(a::VARCHAR || '-' || b::VARCHAR || '-3'), 1, 1) >= '8' AS swap, outcome FROM c)
+SELECT k, CASE WHEN swap THEN b ELSE a END AS shown_a, CASE WHEN swap THEN a ELSE b END AS shown_b, CASE WHEN swap AND outcome = 'A' THEN 'B' WHEN swap AND outcome = 'B' THEN 'A' ELSE outcome END AS outcome FROM s"""
+)
+def h19_unswap(spark, sf_dir):
+    return pairwise.unswapped(pairwise.swapped(comparisons(spark, sf_dir), 3)).select("k", "shown_a", "shown_b", "outcome")
+
+
+@query(
+    """WITH i AS (SELECT p_partkey AS item, r.range AS rd FROM part, range(1, 4) r),
+n AS (SELECT item, rd, row_number() OVER (PARTITION BY rd ORDER BY md5(item::VARCHAR || '-' || rd::VARCHAR || '-5'), item) - 1 AS p FROM i)
+SELECT DISTINCT a, b FROM (SELECT min(item) AS a, max(item) AS b FROM n GROUP BY rd, p // 2 HAVING count(*) = 2)"""
+)
+def h16_random_pairs(spark, sf_dir):
+    return pairwise.shuffled_pairs(read(spark, sf_dir, "part").select(F.col("p_partkey").alias("item")), 3, 5)
+
+
+@query("SELECT x.p_partkey AS a, y.p_partkey AS b FROM part x JOIN part y ON x.p_partkey < y.p_partkey AND abs(x.p_retailprice - y.p_retailprice) <= 0.15 WHERE x.p_size <= 20 AND y.p_size <= 20")
+def h17_band_pairs(spark, sf_dir):
+    return pairwise.band_pairs(read(spark, sf_dir, "part").filter("p_size <= 20"), "p_retailprice", 0.15, "p_partkey")
+
+
+@query()
+def h17_adaptive_pairs(spark, sf_dir):
+    """Partners of nearly the same price in hash order; Spark's hash, so without a DuckDB statement."""
+    return pairwise.adaptive_pairs(read(spark, sf_dir, "part").filter("p_size <= 2").select(F.col("p_partkey").alias("item"), F.col("p_retailprice").alias("theta")), 3, 1)
+
+
+@query(PAIRS + "SELECT item, count(*) AS n FROM (SELECT a AS item FROM c UNION ALL SELECT b FROM c) GROUP BY item")
+def d31_appearances(spark, sf_dir):
+    c = comparisons(spark, sf_dir)
+    return c.select(F.col("a").alias("item")).union(c.select("b")).groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(PAIRS + "SELECT least(a, b) AS a, greatest(a, b) AS b, count(*) AS n, round(avg((outcome = 'tie')::INT::DOUBLE), 6) AS tie_rate FROM c GROUP BY 1, 2")
+def d32_pair_counts(spark, sf_dir):
+    c = comparisons(spark, sf_dir)
+    return c.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg((F.col("outcome") == "tie").cast("double")), 6).alias("tie_rate"))
