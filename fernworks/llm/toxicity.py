@@ -124,26 +124,42 @@ def forms(token: str) -> list[str]:
     return [token + "$", *(token[:k] for k in range(3, min(len(token) - 1, 9) + 1))]
 
 
-def toxic_forms(texts: list[list[str]], toxic: list[bool], least: int = 3, sure: float = 3.0) -> list[str]:
+def toxic_forms(texts: list[np.ndarray], words: list[str], toxic: list[bool], least: int = 3, sure: float = 3.0) -> list[str]:
     """The forms that mark toxic documents: first those beyond chance, then those that explain what is left.
 
-    Beyond chance: the log-likelihood ratio against the share of toxic documents is above the log of the number of
-    forms and `sure`, and most documents with the form are toxic.
+    texts: numbers of words. Beyond chance: the log-likelihood ratio against the share of toxic documents is above the
+    log of the number of forms and `sure`, and most documents with the form are toxic.
     """
+    seen: Counter[str] = Counter()
+    for t, bad in zip(texts, toxic, strict=True):
+        if bad:
+            seen.update({f for w in np.unique(t).tolist() for f in forms(words[w])})
+    able_forms = {f for f, n in seen.items() if n >= least}
+    tested = len(seen)
+    del seen
+    of_word: dict[int, tuple[str, ...]] = {}
+
+    def able_of(w: int) -> tuple[str, ...]:
+        if w not in of_word:
+            of_word[w] = tuple(f for f in forms(words[w]) if f in able_forms)
+        return of_word[w]
+
     clean: Counter[str] = Counter()
     where: dict[str, set[int]] = defaultdict(set)
-    contexts: dict[str, set[str]] = defaultdict(set)
-    for i, (words, bad) in enumerate(zip(texts, toxic, strict=True)):
+    contexts: dict[str, set[int]] = defaultdict(set)
+    for i, (t, bad) in enumerate(zip(texts, toxic, strict=True)):
         if not bad:
-            clean.update({f for w in set(words) for f in forms(w)})
+            clean.update({f for w in np.unique(t).tolist() for f in able_of(w)})
             continue
-        for before, w in zip(["", *words], words, strict=False):
-            for f in forms(w):
+        before = -1
+        for w in t.tolist():
+            for f in able_of(w):
                 where[f].add(i)
                 if len(contexts[f]) < 4096:
                     contexts[f].add(before)
+            before = w
     base = min(max(sum(toxic) / len(toxic), 1e-6), 1 - 1e-6)
-    limit = np.log(len(where) + len(clean) + 1) + sure
+    limit = np.log(tested + 1) + sure
     out, left = [], {i for i, bad in enumerate(toxic) if bad}
     for f in sorted(where):
         s, c = min(len(where[f]), len(contexts[f])), clean[f]
@@ -176,21 +192,22 @@ def _adam(params: list[np.ndarray], gradient, rounds: int, rate: float) -> None:
 def fit(texts: list[str], toxic: list[bool], share: float | None = None, rounds: int = 60, rate: float = 0.3, piece: int = 128) -> Model:
     """Trained on whole texts, taken in chains of at most `piece` tokens. share: of toxic documents among all labelled."""
     model = Model(np.zeros(FEATURES), np.zeros((2, 2)), np.array([-12.0, 0.0, 0.0, 0.0]))
-    words = [[w.lower() for w in TOKEN.findall(t or "")] for t in texts]
     if not any(toxic) or all(toxic):
         return model
-    taken = toxic_forms(words, toxic)
+    number: dict[str, int] = {}
+    docs = [np.array([number.setdefault(w.lower(), len(number)) for w in TOKEN.findall(t or "")], np.int32) for t in texts]
+    words = list(number)
+    taken = toxic_forms(docs, words, toxic)
     whole = {f[:-1] for f in taken if f.endswith("$")}
     begins = {f for f in taken if not f.endswith("$")}
-    number: dict[str, int] = {}
-    flat = np.array([number.setdefault(w, len(number)) for ws in words for w in ws], np.int64)
-    bad = np.array([w in whole or any(w[:k] in begins for k in range(3, min(len(w) - 1, 9) + 1)) for w in number], bool)
-    each = np.array([len(ws) for ws in words], np.int64)
+    flat = np.concatenate(docs)
+    bad = np.array([w in whole or any(w[:k] in begins for k in range(3, min(len(w) - 1, 9) + 1)) for w in words], bool)
+    each = np.array([len(t) for t in docs], np.int64)
     doc_bad = np.array(toxic, bool)
     y = (bad[flat] & np.repeat(doc_bad, each)).astype(float)
     if not y.any():
         return model
-    which = np.array([features(w) for w in number], np.int64)
+    which = np.array([features(w) for w in words], np.int32).reshape(-1, PER_TOKEN)
     lengths = np.array([min(piece, n - k) for n in each.tolist() for k in range(0, n, piece)], np.int64)
     first = np.zeros(len(flat), bool)
     first[np.cumsum(lengths) - lengths] = True
@@ -204,9 +221,9 @@ def fit(texts: list[str], toxic: list[bool], share: float | None = None, rounds:
         p = before * after / (1 + before * after)
         s, e = np.exp(model.step), np.exp(potential[inner])
         r, q = before[inner - 1], after[inner] * e
-        joint = np.stack([np.full(len(inner), s[0, 0]), s[0, 1] * q, r * s[1, 0], r * s[1, 1] * q])
-        expected = (joint / joint.sum(0)).sum(1).reshape(2, 2)
-        by_word = np.bincount(flat, y - p, minlength=len(number))
+        total = s[0, 0] + s[0, 1] * q + r * s[1, 0] + r * s[1, 1] * q
+        expected = np.array([[(s[0, 0] / total).sum(), (s[0, 1] * q / total).sum()], [(r * s[1, 0] / total).sum(), (r * s[1, 1] * q / total).sum()]])
+        by_word = np.bincount(flat, y - p, minlength=len(words))
         g = np.bincount(which.ravel(), np.repeat(by_word, PER_TOKEN), minlength=FEATURES) * scale - 1e-4 * model.weights
         return g, (seen - expected) * scale - 1e-2 * model.step
 
