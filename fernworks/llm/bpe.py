@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from . import words as W
 
 #: Words of which Python objects are held at once where a slice of a pack is enough.
-SLICE_WORDS = 1 << 16
+SLICE_WORDS, SLICE_TEXTS = 1 << 16, 64
 
 
 @lru_cache(maxsize=4)
@@ -119,25 +119,19 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, *, keep: tuple[str, ...]
                 spelt.append(b" ".join(got[end : end + n_ids]))
                 end += n_ids
         none = bool((length == 0).any())
-        ids, sizes, decoded, todo = [], [], [], []
-
-        def put():
-            got, each = W.gather(flat, start, length, np.concatenate([np.zeros(0, np.int32), *todo]))
+        ids, decoded = [], []
+        for k in range(0, len(texts), SLICE_TEXTS):  # results are made slice by slice, so that no list of all of them is held
+            todo, spoken = [], []
+            for t in texts[k : k + SLICE_TEXTS]:
+                here = [at[w] for w in W.split(t, False)]
+                todo.append(np.array(here, np.int32))
+                spoken.append(b" ".join([spelt[i] for i in here if length[i]] if none else [spelt[i] for i in here]))
+            got, each = W.gather(flat, start, length, np.concatenate(todo))
             ends = np.concatenate([[0], np.cumsum(each)])[np.cumsum([0, *map(len, todo)])]
-            ids.append(got)
-            sizes.append(np.diff(ends))
-            todo.clear()
-
-        for t in texts:
-            here = [at[w] for w in W.split(t, False)]
-            todo.append(np.array(here, np.int32))
-            decoded.append(b" ".join([spelt[i] for i in here if length[i]] if none else [spelt[i] for i in here]))
-            if sum(map(len, todo[-64:])) > SLICE_WORDS or len(todo) >= 64:
-                put()
-        put()
-        ends = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
-        kept = [table.column(f"k{i}").combine_chunks() for i in range(len(keep))]
-        return pa.table([*kept, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids), pa.int32())), pa.array(decoded, pa.binary()).cast(pa.string())], names=[*(f"k{i}" for i in range(len(keep))), "ids", "decoded"])
+            ids.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(got, pa.int32())))
+            decoded.append(pa.array(spoken, pa.string()))
+        kept = [table.column(f"k{i}") for i in range(len(keep))]
+        return pa.table([*kept, pa.chunked_array(ids, pa.list_(pa.int32())), pa.chunked_array(decoded, pa.string())], names=[*(f"k{i}" for i in range(len(keep))), "ids", "decoded"])
 
     schema = T.StructType([*(T.StructField(f"k{i}", docs.schema[c].dataType) for i, c in enumerate(keep)), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
     replies = W.answers(W.vocabularies(source, n, lower=False, pack_bytes=pack_bytes), answer)

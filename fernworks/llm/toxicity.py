@@ -191,7 +191,7 @@ def _adam(params: list[np.ndarray], gradient, rounds: int, rate: float) -> None:
 
 def fit(texts: list[str], toxic: list[bool], share: float | None = None, rounds: int = 60, rate: float = 0.3, piece: int = 128) -> Model:
     """Trained on whole texts, taken in chains of at most `piece` tokens. share: of toxic documents among all labelled."""
-    model = Model(np.zeros(FEATURES), np.zeros((2, 2)), np.array([-12.0, 0.0, 0.0, 0.0]))
+    model = Model(np.zeros(FEATURES), np.zeros((2, 2)), np.array([-np.inf, 0.0, 0.0, 0.0]))
     if not any(toxic) or all(toxic):
         return model
     number: dict[str, int] = {}

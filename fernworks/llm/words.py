@@ -139,6 +139,7 @@ def joined(source: DataFrame, replies: DataFrame, n: int, finish: Callable, sche
 
     def safe(left: pa.Table, right: pa.Table) -> pa.Table:
         got = run(left, right)
+        pa.default_memory_pool().release_unused()
         return got if got is not None else empty
 
     from pyspark.sql.pandas.types import to_arrow_schema
