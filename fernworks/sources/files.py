@@ -41,7 +41,7 @@ def digest(config: dict, leave_out: tuple[str, ...] = ()) -> str:
     return hashlib.sha256(json.dumps({k: v for k, v in config.items() if k not in leave_out}, sort_keys=True, default=str).encode()).hexdigest()
 
 
-MARKER = "_step.json"
+MARKER = "step.json"
 
 
 def _fs(spark: SparkSession, path: str):
