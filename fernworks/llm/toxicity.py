@@ -192,6 +192,7 @@ def _adam(params: list[np.ndarray], gradient, rounds: int, rate: float) -> None:
 def fit(texts: list[str], toxic: list[bool], share: float | None = None, rounds: int = 60, rate: float = 0.3, piece: int = 128) -> Model:
     """Trained on whole texts, taken in chains of at most `piece` tokens. share: of toxic documents among all labelled."""
     model = Model(np.zeros(FEATURES), np.zeros((2, 2)), np.array([-np.inf, 0.0, 0.0, 0.0]))
+    model.weights[features("")[0]] = -30.0  # until something is learnt, no token is toxic
     if not any(toxic) or all(toxic):
         return model
     number: dict[str, int] = {}
@@ -207,6 +208,7 @@ def fit(texts: list[str], toxic: list[bool], share: float | None = None, rounds:
     y = (bad[flat] & np.repeat(doc_bad, each)).astype(float)
     if not y.any():
         return model
+    model.weights[:] = 0
     which = np.array([features(w) for w in words], np.int32).reshape(-1, PER_TOKEN)
     lengths = np.array([min(piece, n - k) for n in each.tolist() for k in range(0, n, piece)], np.int64)
     first = np.zeros(len(flat), bool)

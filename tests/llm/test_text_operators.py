@@ -170,7 +170,7 @@ def test_toxicity(spark):
     flat = toxicity.fit(["a b", "c"], [False, False])
     assert {r["score"] for r in toxicity.tag(d, flat).collect()} == {0.0}
     assert toxicity.tag(d.limit(0), model).count() == 0
-    assert toxicity.fit([], []).weights.any()
+    assert not any(r["spans"] for r in toxicity.tag(d, toxicity.fit([], [])).collect())
 
 
 def test_digests(spark):
