@@ -41,29 +41,40 @@ def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) ->
     return words
 
 
+def _extend(left: np.ndarray, c: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One more codebook for each path: the path that each new one comes from, its codeword, and what it leaves.
+
+    left: (rows, paths, dimension), what the paths so far have left.
+    """
+    error = (left * left).sum(-1)[:, :, None] - 2 * (left @ c.T) + (c * c).sum(1)
+    flat = error.reshape(len(left), -1)
+    k = min(beam, flat.shape[1])
+    best = np.argpartition(flat, k - 1, axis=1)[:, :k]
+    path, word = best // len(c), best % len(c)
+    return path, word, np.take_along_axis(left, path[:, :, None], 1) - c[word]
+
+
+def _best(left: np.ndarray) -> np.ndarray:
+    return (left * left).sum(-1).argmin(1)
+
+
 def train(sample: np.ndarray, books: int = BOOKS, words: int = WORDS, beam: int = BEAM, seed: int = 11) -> np.ndarray:
     """Codebooks (books, words, dimension), each trained on what the beam search over those before it leaves."""
     rng = np.random.default_rng(seed)
-    out = np.zeros((0, words, sample.shape[1]))
+    out, left = [], sample[:, None, :]
     for _ in range(books):
-        left = sample - reconstruct(encode(sample, out, beam), out) if len(out) else sample
-        out = np.concatenate([out, _kmeans(left, words, rng)[None]])
-    return out
+        out.append(_kmeans(left[np.arange(len(left)), _best(left)], words, rng))
+        left = _extend(left, out[-1], beam)[2]
+    return np.array(out)
 
 
 def encode(x: np.ndarray, books: np.ndarray, beam: int = BEAM) -> np.ndarray:
     """Codes (rows, books): the best end of a beam search."""
-    n = len(x)
-    codes, left = np.zeros((n, 1, 0), np.uint8), x[:, None, :]
+    codes, left = np.zeros((len(x), 1, 0), np.uint8), x[:, None, :]
     for c in books:
-        error = (left * left).sum(-1)[:, :, None] - 2 * (left @ c.T) + (c * c).sum(1)
-        flat = error.reshape(n, -1)
-        k = min(beam, flat.shape[1])
-        best = np.argpartition(flat, k - 1, axis=1)[:, :k]
-        path, word = best // len(c), best % len(c)
+        path, word, left = _extend(left, c, beam)
         codes = np.concatenate([np.take_along_axis(codes, path[:, :, None], 1), word[:, :, None].astype(np.uint8)], 2)
-        left = np.take_along_axis(left, path[:, :, None], 1) - c[word]
-    return codes[np.arange(n), (left * left).sum(-1).argmin(1)]
+    return codes[np.arange(len(x)), _best(left)]
 
 
 def reconstruct(codes: np.ndarray, books: np.ndarray) -> np.ndarray:
