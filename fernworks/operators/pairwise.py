@@ -10,6 +10,10 @@ from pyspark.sql.window import Window
 from .exposure import minmax
 
 
+#: Pairs up to which a fit is solved on the driver.
+DRIVER_PAIRS = 5_000_000
+
+
 def shuffled_pairs(items: DataFrame, rounds: int, seed: int = 0, key: str = "item") -> DataFrame:
     """(a, b), a < b: in each round the items in hash order, neighbours paired; a pair counts once over all rounds.
 
@@ -116,15 +120,83 @@ def solve(a: np.ndarray, b: np.ndarray, wins_a: np.ndarray, wins_b: np.ndarray,
     return theta - theta.mean()
 
 
+def solve_spread(edges: DataFrame, n: int, penalty: float = 1e-4, rounds: int = 100) -> np.ndarray:
+    """The same strengths with the pairs left in Spark: limited-memory BFGS on the driver over vectors of the items.
+
+    edges: (ia, ib, wins_a, wins_b), kept in memory or on disk while it runs. A round sends the strengths out and adds
+    up one partial gradient of each task, by item, before they come back.
+    """
+    import pyarrow as pa
+
+    spark = edges.sparkSession
+    edges = edges.persist()
+
+    def evaluate(theta):
+        shared = spark.sparkContext.broadcast(theta)
+
+        def run(batches):
+            t, g, loss = shared.value, np.zeros(n), 0.0
+            for batch in batches:
+                a, b, wa, wb = (batch.column(c).to_numpy() for c in ("ia", "ib", "wins_a", "wins_b"))
+                d = t[a] - t[b]
+                loss += float(np.sum(wa * np.logaddexp(0, -d) + wb * np.logaddexp(0, d)))
+                r = wa - (wa + wb) / (1 + np.exp(-d))
+                g += np.bincount(b, r, n) - np.bincount(a, r, n)
+            at = np.flatnonzero(g)
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(g[at], loss))], names=["i", "x"])
+
+        parts = edges.mapInArrow(run, "i long, x double").groupBy("i").agg(F.sum("x").alias("x")).toArrow()
+        i, x = parts.column("i").to_numpy(), parts.column("x").to_numpy()
+        g = penalty * theta
+        g[i[i >= 0]] += x[i >= 0]
+        shared.unpersist()
+        return float(x[i < 0].sum()) + 0.5 * penalty * float(theta @ theta), g
+
+    theta = np.zeros(n)
+    loss, g = evaluate(theta)
+    steps: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(rounds):
+        if np.abs(g).max(initial=0) < 1e-7:
+            break
+        q, kept = g.copy(), []
+        for s, y in reversed(steps):
+            f = (s @ q) / (y @ s)
+            q -= f * y
+            kept.append(f)
+        q *= (steps[-1][0] @ steps[-1][1]) / (steps[-1][1] @ steps[-1][1]) if steps else 1 / max(1.0, np.abs(g).max())
+        for (s, y), f in zip(steps, reversed(kept), strict=True):
+            q += s * (f - (y @ q) / (y @ s))
+        size = 1.0
+        while True:
+            new = theta - size * q
+            new_loss, new_g = evaluate(new)
+            if new_loss <= loss - 1e-4 * size * (g @ q) or size < 1e-6:
+                break
+            size /= 2
+        if (new - theta) @ (new_g - g) > 1e-12:
+            steps = [*steps[-9:], (new - theta, new_g - g)]
+        if abs(loss - new_loss) <= 1e-13 * max(1.0, abs(loss)):
+            theta = new
+            break
+        theta, loss, g = new, new_loss, new_g
+    edges.unpersist()
+    return theta - theta.mean()
+
+
 def bradley_terry(comparisons: DataFrame, items: DataFrame, penalty: float = 1e-4) -> DataFrame:
     """(item, theta) for all items. comparisons: (a, b, outcome of A, B or tie); other outcomes are left out.
 
-    Comparisons are collapsed to pairs in Spark; the pairs of one fit are solved on the driver, as many as it can hold.
+    Comparisons are collapsed to pairs in Spark. Up to DRIVER_PAIRS of them are solved on the driver; more stay in
+    Spark. The items' vector is on the driver either way.
     """
     spark: SparkSession = comparisons.sparkSession
     names = [r[0] for r in items.select("item").distinct().orderBy("item").collect()]
     number = spark.createDataFrame(list(enumerate(names)), f"i int, item {items.schema['item'].dataType.simpleString()}")
-    c = collapsed(comparisons).join(number.select(F.col("i").alias("ia"), F.col("item").alias("a")), "a").join(number.select(F.col("i").alias("ib"), F.col("item").alias("b")), "b").select("ia", "ib", "wins_a", "wins_b").toPandas()
+    c = collapsed(comparisons).join(number.select(F.col("i").alias("ia"), F.col("item").alias("a")), "a").join(number.select(F.col("i").alias("ib"), F.col("item").alias("b")), "b").select("ia", "ib", "wins_a", "wins_b")
+    if len(names) and c.limit(DRIVER_PAIRS + 1).count() > DRIVER_PAIRS:
+        theta = solve_spread(c, len(names), penalty)
+        return spark.createDataFrame([(n, float(t)) for n, t in zip(names, theta, strict=True)], f"item {items.schema['item'].dataType.simpleString()}, theta double")
+    c = c.toPandas()
     theta = solve(c.ia.to_numpy(np.int64), c.ib.to_numpy(np.int64), c.wins_a.to_numpy(float), c.wins_b.to_numpy(float), len(names), penalty) if len(names) else []
     return spark.createDataFrame([(n, float(t)) for n, t in zip(names, theta, strict=True)], f"item {items.schema['item'].dataType.simpleString()}, theta double")
 

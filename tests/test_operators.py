@@ -147,6 +147,16 @@ def test_bradley_terry_gradient(spark):
     assert max(abs(g[i] - 1e-4 * (theta[i] + shift)) for i in theta) < 1e-6
 
 
+def test_bradley_terry_spread(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    c = spark.createDataFrame([(int(a), int(b), str(rng.choice(["A", "B", "tie"], p=[0.5, 0.3, 0.2]))) for a, b in rng.integers(0, 12, (300, 2))], "a int, b int, outcome string")
+    items = spark.createDataFrame([(i,) for i in range(12)], "item int")
+    near = {r[0]: r[1] for r in pairwise.bradley_terry(c, items).collect()}
+    monkeypatch.setattr(pairwise, "DRIVER_PAIRS", 0)
+    far = {r[0]: r[1] for r in pairwise.bradley_terry(c, items).collect()}
+    assert max(abs(near[i] - far[i]) for i in near) < 1e-4
+
+
 def test_bradley_terry_one_sided():
     theta = pairwise.solve(np.array([0, 1]), np.array([1, 2]), np.array([5.0, 5.0]), np.zeros(2), 3)
     assert theta[0] > theta[1] > theta[2] and np.isfinite(theta).all()
