@@ -182,15 +182,17 @@ def leave_one_out(scores: DataFrame, least: int = 50) -> DataFrame:
     return out.filter(F.col("all_n") - F.col("n") >= least).select("run_a", "run_b", "group", "delta")
 
 
-def arms(runs: DataFrame) -> DataFrame:
+def arms(runs: DataFrame, fixed: dict[str, list[str]] | None = None) -> DataFrame:
     """(arm, fixed, run): groups of at least two runs that share two of their three models and differ in the third.
 
-    runs: (run) named val__definition__llm__embedding__reranker.
+    runs: (run) named val__definition__llm__embedding__reranker. fixed: the models of each kind that may be shared; any
+    where it is not given.
     """
     s = runs.select("run", F.split("run", "__").alias("p")).filter((F.size("p") == 5) & (F.col("p")[0] == "val"))
     s = s.select("run", F.col("p")[2].alias("llm"), F.col("p")[3].alias("embedding"), F.col("p")[4].alias("reranker"))
     parts = {"llm": ("embedding", "reranker"), "embedding": ("llm", "reranker"), "reranker": ("llm", "embedding")}
-    long = s.select("run", F.inline(F.array(*[F.struct(F.lit(arm).alias("arm"), F.concat_ws(" + ", *fixed).alias("fixed")) for arm, fixed in parts.items()])))
+    able = lambda kinds: F.lit(True) if fixed is None else F.forall(F.array(*[F.col(k).isin(*fixed[k]) for k in kinds]), lambda x: x)
+    long = s.select("run", F.inline(F.array(*[F.struct(F.lit(arm).alias("arm"), F.concat_ws(" + ", *kinds).alias("fixed"), able(kinds).alias("able")) for arm, kinds in parts.items()]))).filter("able").drop("able")
     return long.join(long.groupBy("arm", "fixed").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2").select("arm", "fixed"), ["arm", "fixed"])
 
 

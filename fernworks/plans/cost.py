@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import product
+
 #: Node hours of one GPU hour: a fixed value.
 NODE_HOUR_FACTOR = 0.25
 
@@ -25,3 +27,16 @@ def job_plan(models: dict[str, list[str]]) -> list[dict[str, str | None]]:
     """Jobs that try every model of each kind once: one of each kind together, the first of a kind where it has no more."""
     n = max((len(v) for v in models.values()), default=0)
     return [{k: (v[i] if i < len(v) else v[0]) if v else None for k, v in models.items()} for i in range(n)]
+
+
+def planned_runs(fixed: dict[str, list[str]], models: dict[str, list[str]]) -> list[dict[str, str]]:
+    """Each kind of model varied over all of its models, with every combination of the fixed models of the other kinds.
+
+    A combination that several arms ask for is run once, where it first comes up.
+    """
+    out: dict[tuple[str, ...], dict[str, str]] = {}
+    for varied in models:
+        choices = [models[k] if k == varied else fixed[k] for k in models]
+        for combination in product(*choices):
+            out.setdefault(combination, dict(zip(models, combination, strict=True)))
+    return list(out.values())

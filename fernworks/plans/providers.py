@@ -53,6 +53,18 @@ def provider(config: dict, defaults: dict | None = None) -> Provider:
     return PROVIDERS[args.pop("mode")](**args)
 
 
+def prompt_options(model: dict, task_prompt: str | None = None) -> tuple[str, dict[str, str]]:
+    """The prefix of every text, and what is passed on about prompts: a task's own prompt where the model takes one,
+    else the model's named prompt, else nothing."""
+    if model.get("supports_prompt") and task_prompt:
+        options = {"prompt": task_prompt}
+    elif model.get("query_prompt_name"):
+        options = {"prompt_name": model["query_prompt_name"]}
+    else:
+        options = {}
+    return model.get("query_prefix", ""), options
+
+
 def embedded(df: DataFrame, text: str, config: dict, defaults: dict | None = None) -> DataFrame:
     """(id, embedding) of (id, text). The provider is made once in each task."""
 

@@ -10,6 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+def register(spark: SparkSession, tables: dict[str, str]) -> None:
+    """Parquet tables as views for SQL, each read where it lies."""
+    for name, path in tables.items():
+        spark.read.parquet(path).createOrReplaceTempView(name)
+
+
 def read_tsv(spark: SparkSession, path: str) -> DataFrame:
     """A tab-separated table with a header, every column as text."""
     return spark.read.csv(path, sep="\t", header=True, inferSchema=False, quote="")

@@ -130,3 +130,28 @@ def test_stream(spark, tmp_path):
     q = ingest.write(ingest.first_arrived(ingest.read_stream(spark, str(tmp_path / "in"))), str(tmp_path / "out"), str(tmp_path / "cp"))
     q.awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_planned_runs():
+    fixed, models = {"llm": ["a"], "embedding": ["x"]}, {"llm": ["a", "b"], "embedding": ["x", "y"]}
+    assert cost.planned_runs(fixed, models) == [{"llm": "a", "embedding": "x"}, {"llm": "b", "embedding": "x"}, {"llm": "a", "embedding": "y"}]
+
+
+def test_prompts():
+    assert providers.prompt_options({"supports_prompt": True, "query_prompt_name": "q", "query_prefix": "p: "}, "task") == ("p: ", {"prompt": "task"})
+    assert providers.prompt_options({"query_prompt_name": "q"}, "task") == ("", {"prompt_name": "q"}) and providers.prompt_options({}) == ("", {})
+
+
+def test_views(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "v"))
+    files.register(spark, {"three": str(tmp_path / "v")})
+    assert spark.sql("SELECT count(*) FROM three").first()[0] == 3
+
+
+def test_fixed_arms(spark):
+    from fernworks.operators import agreement
+
+    runs = spark.createDataFrame([("val__d__a__x__r",), ("val__d__b__x__r",), ("val__d__b__y__r",), ("other",)], "run string")
+    assert agreement.arms(runs).count() == 4
+    only = agreement.arms(runs, {"llm": ["a"], "embedding": ["x"], "reranker": ["r"]}).collect()
+    assert sorted((r["arm"], r["fixed"], r["run"]) for r in only) == [("llm", "x + r", "val__d__a__x__r"), ("llm", "x + r", "val__d__b__x__r")]
