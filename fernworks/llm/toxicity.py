@@ -130,18 +130,17 @@ def toxic_forms(texts: list[np.ndarray], words: list[str], toxic: list[bool], le
     texts: numbers of words. Beyond chance: the log-likelihood ratio against the share of toxic documents is above the
     log of the number of forms and `sure`, and most documents with the form are toxic.
     """
-    seen: Counter[str] = Counter()
+    seen = np.zeros(1 << 22, np.int32)  # documents by hash of form: what is below least here is below it
+    place = lambda f: zlib.crc32(f.encode()) & (len(seen) - 1)
     for t, bad in zip(texts, toxic, strict=True):
         if bad:
-            seen.update({f for w in np.unique(t).tolist() for f in forms(words[w])})
-    able_forms = {f for f, n in seen.items() if n >= least}
-    tested = len(seen)
-    del seen
+            seen[np.unique([place(f) for w in np.unique(t).tolist() for f in forms(words[w])]).astype(np.int64)] += 1
+    tested = int(np.count_nonzero(seen))
     of_word: dict[int, tuple[str, ...]] = {}
 
     def able_of(w: int) -> tuple[str, ...]:
         if w not in of_word:
-            of_word[w] = tuple(f for f in forms(words[w]) if f in able_forms)
+            of_word[w] = tuple(f for f in forms(words[w]) if seen[place(f)] >= least)
         return of_word[w]
 
     clean: Counter[str] = Counter()
@@ -205,27 +204,40 @@ def fit(texts: list[str], toxic: list[bool], share: float | None = None, rounds:
     bad = np.array([w in whole or any(w[:k] in begins for k in range(3, min(len(w) - 1, 9) + 1)) for w in words], bool)
     each = np.array([len(t) for t in docs], np.int64)
     doc_bad = np.array(toxic, bool)
-    y = (bad[flat] & np.repeat(doc_bad, each)).astype(float)
+    y = (bad[flat] & np.repeat(doc_bad, each)).astype(np.int8)
     if not y.any():
         return model
     model.weights[:] = 0
     which = np.array([features(w) for w in words], np.int32).reshape(-1, PER_TOKEN)
     lengths = np.array([min(piece, n - k) for n in each.tolist() for k in range(0, n, piece)], np.int64)
-    first = np.zeros(len(flat), bool)
-    first[np.cumsum(lengths) - lengths] = True
-    inner = np.flatnonzero(~first)
-    seen = np.bincount((2 * y[inner - 1] + y[inner]).astype(int), minlength=4).reshape(2, 2)
-    scale = 1.0 / max(1.0, y.sum())
+    ends = np.cumsum(lengths)
+    cuts = np.unique(np.append(np.searchsorted(ends, np.arange(0, len(flat), 1 << 18)), len(lengths)))
+    blocks = [(lengths[i:j], slice(int(ends[i] - lengths[i]), int(ends[j - 1]))) for i, j in zip(cuts, cuts[1:], strict=False)]  # of whole chains
+
+    def inside(n):
+        begins = np.zeros(int(n.sum()), bool)
+        begins[np.cumsum(n) - n] = True
+        return np.flatnonzero(~begins)
+
+    seen = np.zeros(4)
+    for n, part in blocks:
+        i, tag = inside(n), y[part]
+        seen += np.bincount((2 * tag[i - 1] + tag[i]).astype(int), minlength=4)
+    seen = seen.reshape(2, 2)
+    scale = 1.0 / max(1.0, float(y.sum()))
 
     def gradient():
-        potential = np.clip(model.weights[which].sum(1), -30, 30)[flat]
-        before, after = chains(lengths, potential, model.step)
-        p = before * after / (1 + before * after)
-        s, e = np.exp(model.step), np.exp(potential[inner])
-        r, q = before[inner - 1], after[inner] * e
-        total = s[0, 0] + s[0, 1] * q + r * s[1, 0] + r * s[1, 1] * q
-        expected = np.array([[(s[0, 0] / total).sum(), (s[0, 1] * q / total).sum()], [(r * s[1, 0] / total).sum(), (r * s[1, 1] * q / total).sum()]])
-        by_word = np.bincount(flat, y - p, minlength=len(words))
+        of_words = np.clip(model.weights[which].sum(1), -30, 30)
+        s = np.exp(model.step)
+        by_word, expected = np.zeros(len(words)), np.zeros((2, 2))
+        for n, part in blocks:
+            potential, i = of_words[flat[part]], inside(n)
+            before, after = chains(n, potential, model.step)
+            p = before * after / (1 + before * after)
+            r, q = before[i - 1], after[i] * np.exp(potential[i])
+            total = s[0, 0] + s[0, 1] * q + r * s[1, 0] + r * s[1, 1] * q
+            expected += [[(s[0, 0] / total).sum(), (s[0, 1] * q / total).sum()], [(r * s[1, 0] / total).sum(), (r * s[1, 1] * q / total).sum()]]
+            by_word += np.bincount(flat[part], y[part] - p, minlength=len(words))
         g = np.bincount(which.ravel(), np.repeat(by_word, PER_TOKEN), minlength=FEATURES) * scale - 1e-4 * model.weights
         return g, (seen - expected) * scale - 1e-2 * model.step
 
