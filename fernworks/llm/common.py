@@ -86,6 +86,19 @@ def packs(batches: Iterator[pa.RecordBatch], text_col: str, pack_bytes: int) ->
         yield base + n, pa.Table.from_batches(held)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker stays for other tasks, and what it has held stays with it."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not the GNU library
+        pass
+
+
 def freeze(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
     table = table.combine_chunks()

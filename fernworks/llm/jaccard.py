@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import prepare, table_bytes, text_of, written
+from .common import give_back, prepare, table_bytes, text_of, written
 from .components import components
 from .words import LOWER
 
@@ -321,6 +321,7 @@ def _group_links(members: DataFrame, threshold: float, tolerance: float) -> Data
                 out += [(tkeys[rows[i]], tkeys[rows[j]], 0, 0) for i, j in forest.edges]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.binary(), pa.binary(), pa.int64(), pa.int64()), strict=True)], names=["a", "b", "links", "texts"])
+        give_back()
 
     size = members.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
     return lambda with_text: _dealt(_chunked(with_text, "root", size, GROUP_CHUNK).select(*keys, "side", "tkey", "copies", "sig", "text"), *keys).mapInArrow(run, "a binary, b binary, links long, texts long")

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import packs, prepare, remainder
+from .common import give_back, packs, prepare, remainder
 from .words import pack_source
 
 TOKEN = re.compile(r"[^\W\d_]+")
@@ -297,6 +297,8 @@ def tag(docs: DataFrame, model: Model, *, keep: tuple[str, ...] = ("doc_id",), t
                 spans.append([{"begin": m.start(), "end": m.end(), "score": float(own[k])} for k, m in enumerate(TOKEN.finditer(t)) if k in where])
             kind = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
             yield from pa.table([*(table.column(f"k{i}") for i in range(len(keep))), pa.array(score), pa.array(spans, kind)], names=[*(f"k{i}" for i in range(len(keep))), "score", "spans"]).to_batches()
+        known.clear()
+        give_back()
 
     kind = T.StructType([*(T.StructField(f"k{i}", docs.schema[c].dataType) for i, c in enumerate(keep)), *T._parse_datatype_string("score double, spans array<struct<begin:int,end:int,score:double>>").fields])
     out = pack_source(docs, keep, text_col).mapInArrow(run, kind)

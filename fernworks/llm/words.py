@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import freeze, packs, prepare, table_bytes, text_of
+from .common import freeze, give_back, packs, prepare, table_bytes, text_of
 
 #: Bytes of text in a pack. A pack's texts, vocabulary and answers are in one Python worker's memory together.
 PACK_BYTES = 16 << 20
@@ -81,6 +81,7 @@ def vocabularies(source: DataFrame, n: int, *, lower: bool, count: Callable | No
             if rows:
                 bs, ws, cs = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array([pack] * len(bs), pa.int64()), pa.array(bs, pa.int32()), pa.array(ws, pa.binary()), pa.array(cs, pa.binary())], names=["pack", "bucket", "words", "counts"])
+        give_back()
 
     return source.mapInArrow(run, "pack long, bucket int, words binary, counts binary")
 
@@ -139,7 +140,7 @@ def joined(source: DataFrame, replies: DataFrame, n: int, finish: Callable, sche
 
     def safe(left: pa.Table, right: pa.Table) -> pa.Table:
         got = run(left, right)
-        pa.default_memory_pool().release_unused()
+        give_back()
         return got if got is not None else empty
 
     from pyspark.sql.pandas.types import to_arrow_schema
