@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -22,17 +24,33 @@ def prepare(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir, or on one machine (tests) a temporary one if it is unset."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         at = tempfile.mkdtemp(prefix="fernworks-")
+        atexit.register(shutil.rmtree, at, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
 
 
+#: Tables that this process has written, for `clean`.
+_written: list[str] = []
+
+
+def clean(spark: SparkSession) -> None:
+    """Remove the tables written so far; only when no result that was made from them is needed any more."""
+    jvm = spark.sparkContext._jvm
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a table in the shared folder: cuts lineage, survives lost executors, is computed once."""
+    """df as a table in the shared folder: cuts lineage, survives lost executors, is computed once. See clean."""
     path = f"{shared_dir(df.sparkSession)}/fernworks/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

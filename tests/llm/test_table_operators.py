@@ -291,3 +291,31 @@ def test_pipeline(spark):
     assert after.columns == before.columns and 0.8 < sum(len(r["text"].split()) for r in after.collect()) / sum(len(r["text"].split()) for r in before.collect()) < 1.5
     before, after = seen["BPE encoding and decoding"]
     assert after.count() == before.count() and c.run(spark, SMALL).count() == after.count()
+
+
+def test_pipeline_edges(spark, tmp_path):
+    """Nulls, blanks, repeated rows, clashing columns and empty tables go through every stage."""
+    import corpus_pipeline as c
+    from fernworks.llm import common
+
+    spark.createDataFrame([(1, 0)], "doc_id long, toxic int").filter("false").write.parquet(str(tmp_path / "labels.parquet"))
+    rows = [(1, "a b c d e f", "en", "s", 1), (1, "a b c d e f", "en", "s", 1), (2, None, None, None, 0), (3, "", "en", "s", 0), (None, "x y", "de", None, 3), (4, "long " * 50000, "en", "t", 9)]
+    full = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumn("score", F.lit("clash")).withColumn("row", F.lit(1)).withColumn("position", F.lit(0.5)).withColumn("k0", F.lit("k"))
+    for docs in (full, full.limit(0)):
+        for _, stage in c.STAGES[:-1]:
+            out = common.written(stage(spark, docs, str(tmp_path)), "edges")
+            assert sorted(out.columns) == sorted(docs.columns)
+            docs = out
+        last = c.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
+        assert {r["doc_id"] for r in last} <= {1, None, 4}
+    assert {r["doc_id"] for r in c.one_of_each(spark, full, "").collect()} == {1, 2, 3, 4, None} and c.one_of_each(spark, full, "").count() == 5
+    common.clean(spark)
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    from types import SimpleNamespace as N
+
+    from fernworks.llm import common
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        common.shared_dir(N(conf=N(get=lambda *_: None), sparkContext=N(getCheckpointDir=lambda: None, master="spark://x:7077")))
