@@ -13,8 +13,8 @@ from fernworks.llm.common import written
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on `labels`, does not score as toxic."""
     model = toxicity.fit(*toxicity.training_rows(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
-    scored = toxicity.tag(docs, model, keep=tuple(docs.columns))
-    return scored.filter(F.col("score") < toxicity.THRESHOLD).select(*docs.columns)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")  # columns may have any name
+    return toxicity.tag(rows, model, keep=("row",)).filter(F.col("score") < toxicity.THRESHOLD).select("row.*")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
