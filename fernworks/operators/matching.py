@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ..functions.workers import prepare
+
 
 def hash_sample(df: DataFrame, n: int, seed: int, key: str = "id") -> DataFrame:
     """n rows without replacement, the same ones at every run; -1: all; other negative numbers raise ValueError."""
@@ -79,6 +81,8 @@ def first_json(text: str | None, valid=None) -> str | None:
 
 def json_in_prose(df: DataFrame, column: str, valid=None) -> DataFrame:
     """df with `column` reduced to the first JSON object in it (null: none). The one place that needs Python, in Arrow batches."""
+    prepare(df.sparkSession)
+
     @F.pandas_udf(T.StringType())
     def pick(s: pd.Series) -> pd.Series:
         return s.map(lambda x: first_json(x, valid))

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.workers import prepare
 from .exposure import minmax
 
 
@@ -129,6 +130,7 @@ def solve_spread(edges: DataFrame, n: int, penalty: float = 1e-4, rounds: int =
     import pyarrow as pa
 
     spark = edges.sparkSession
+    prepare(spark)
     edges = edges.persist()
 
     def evaluate(theta):

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.columns import dot, norm
+from ..functions.workers import prepare
 
 #: Bytes of the right side that are sent to the executors at once; a larger one is sent in parts.
 PART_BYTES = 64 << 20
@@ -41,6 +42,7 @@ def cosine_topk(ads: DataFrame, occupations: DataFrame, k: int, part_bytes: int
     matrix of all of them is never made. The right side is sent whole if it is small, else in hashed parts of a bounded
     size whose best rows are merged.
     """
+    prepare(ads.sparkSession)
     ads = ads.filter(F.col("embedding").isNotNull())
     size = occupations.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
     n, d = size[0], size[1] or 0

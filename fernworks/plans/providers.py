@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ..functions.workers import prepare
+
 _WORD = re.compile(r"\w+")
 
 
@@ -67,6 +69,7 @@ def prompt_options(model: dict, task_prompt: str | None = None) -> tuple[str, di
 
 def embedded(df: DataFrame, text: str, config: dict, defaults: dict | None = None) -> DataFrame:
     """(id, embedding) of (id, text). The provider is made once in each task."""
+    prepare(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]):
         p = provider(config, defaults)
@@ -80,6 +83,7 @@ def embedded(df: DataFrame, text: str, config: dict, defaults: dict | None = Non
 
 def generated(df: DataFrame, prompt: str, config: dict, defaults: dict | None = None) -> DataFrame:
     """(id, data, error) of (id, prompt): a batch that fails gives its message for each of its rows."""
+    prepare(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]):
         p = provider(config, defaults)
@@ -95,6 +99,7 @@ def generated(df: DataFrame, prompt: str, config: dict, defaults: dict | None =
 
 def pair_scores(pairs: DataFrame, config: dict, defaults: dict | None = None) -> DataFrame:
     """pairs (ad_id, onet_code, query, document) with rerank_score; null where the model fails, never a made-up zero."""
+    prepare(pairs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]):
         p = provider(config, defaults)
