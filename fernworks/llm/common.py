@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import os
 import shutil
 import tempfile
 import uuid
@@ -13,15 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-
-def prepare(spark: SparkSession) -> None:
-    """Let Python workers that are started from now on import this package."""
-    env = spark.sparkContext.environment
-    if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, env.get("PYTHONPATH", "")) if x)
-
+from ..functions.workers import prepare  # noqa: F401  for the operators
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: spark.checkpoint.dir, or on one machine (tests) a temporary one if it is unset."""

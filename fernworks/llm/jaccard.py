@@ -374,3 +374,20 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 def op1_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
     """The class and the links of every document."""
     return jaccard_classes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+#: The same by comparing all pairs that share a shingle; for small tables.
+SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, text, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, text, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w),
+e AS (SELECT doc_id, text, len(s) AS n, unnest(s) AS x FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.text = b.text) AS copy, any_value(a.text) AS ta, any_value(b.text) AS tb FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING count(*) >= 0.8 * (a.n + b.n - count(*)) - 1e-9),
+l AS MATERIALIZED (SELECT a, b, copy, tb AS t FROM p UNION ALL SELECT b, a, copy, ta FROM p),
+r(id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.id),
+c AS (SELECT id, min(root) AS class_id FROM r GROUP BY id),
+k AS (SELECT a, count(*) AS n_links, count(DISTINCT t) FILTER (NOT copy) AS n_linked_texts, count(*) FILTER (copy) AS copies FROM l GROUP BY a)
+SELECT id AS doc_id, class_id, coalesce(n_links, 0) AS n_links, coalesce(n_linked_texts, 0) AS n_linked_texts, 1 + coalesce(copies, 0) AS n_copies FROM c LEFT JOIN k ON a = id
+"""

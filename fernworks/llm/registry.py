@@ -33,4 +33,4 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (jaccard.op1_ngram_jaccard, op2_bpe_encode_decode, mixing.op3_mixing, lm.op4_lm_scoring, warc.op5_warc_revisits, topk.op6_exact_topk, url_filter.op7_url_filter, op8_token_counts, ann.op9_ann, toxicity.op10_toxicity)}
 
-SQL: dict[str, str] = {"op3_mixing": mixing.SQL, "op5_warc_revisits": warc.SQL, "op6_exact_topk": topk.SQL, "op7_url_filter": url_filter.SQL}
+SQL: dict[str, str] = {"op1_ngram_jaccard": jaccard.SQL, "op3_mixing": mixing.SQL, "op5_warc_revisits": warc.SQL, "op6_exact_topk": topk.SQL, "op7_url_filter": url_filter.SQL}

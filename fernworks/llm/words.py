@@ -72,7 +72,7 @@ def vocabularies(source: DataFrame, n: int, *, lower: bool, count: Callable | No
                     seen.update(split(t, lower))
                 number = None
             else:
-                number = dict.fromkeys((), 0)
+                number = {}
                 for t, counted in zip(texts, count(table), strict=True):
                     for w in split(t, lower):
                         number[w] = number.get(w, 0) + counted
