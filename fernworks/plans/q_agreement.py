@@ -100,7 +100,7 @@ def i9_best_subsets(spark, sf_dir):
     return _rounded(spark.createDataFrame([(k, float(m), ",".join(n)) for k, m, n in rows], "size int, mean double, runs string"))
 
 
-@query(RUNS + ", n AS (SELECT run, ad, count(*) AS n FROM runs GROUP BY ALL) SELECT run, round(avg(n), 1) AS mean_candidates, median(n)::DOUBLE::INT AS median_candidates FROM (SELECT run, ad, n FROM n) GROUP BY run")
+@query(RUNS + ", n AS (SELECT run, ad, count(*) AS n FROM runs GROUP BY ALL) SELECT run, round(avg(n), 1) AS mean_candidates, floor(median(n))::INT AS median_candidates FROM (SELECT run, ad, n FROM n) GROUP BY run")
 def i10_selectivity(spark, sf_dir):
     return agreement.selectivity(runs(spark, sf_dir).filter("true"))
 
