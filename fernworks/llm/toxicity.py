@@ -143,16 +143,18 @@ def toxic_forms(texts: list[np.ndarray], words: list[str], toxic: list[bool], le
             of_word[w] = tuple(f for f in forms(words[w]) if seen[place(f)] >= least)
         return of_word[w]
 
-    clean: Counter[str] = Counter()
+    held: tuple[Counter[str], Counter[str]] = Counter(), Counter()  # clean, toxic documents with a form
+    for t, bad in zip(texts, toxic, strict=True):
+        held[bad].update({f for w in np.unique(t).tolist() for f in able_of(w)})
+    clean, marked = held
+    possible = {f for f, n in marked.items() if n >= max(least, 2 * clean[f])}
+    of_word = {w: tuple(f for f in fs if f in possible) for w, fs in of_word.items()}
     where: dict[str, set[int]] = defaultdict(set)
     contexts: dict[str, set[int]] = defaultdict(set)
     for i, (t, bad) in enumerate(zip(texts, toxic, strict=True)):
-        if not bad:
-            clean.update({f for w in np.unique(t).tolist() for f in able_of(w)})
-            continue
         before = -1
-        for w in t.tolist():
-            for f in able_of(w):
+        for w in t.tolist() if bad else ():
+            for f in of_word[w]:
                 where[f].add(i)
                 if len(contexts[f]) < 4096:
                     contexts[f].add(before)
