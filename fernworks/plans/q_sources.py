@@ -49,10 +49,10 @@ def b6_numeric_coercion(spark, sf_dir):
     return e.groupBy(number(F.col("p")).alias("k")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT o_custkey, sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END)::INT AS finished, round(avg(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END), 4) AS mean_finished FROM orders GROUP BY 1")
+@query("SELECT o_custkey, sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END)::INT AS finished, round(avg(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END), 6) AS mean_finished FROM orders GROUP BY 1")
 def d3_conditional_mean(spark, sf_dir):
     done = F.col("o_orderstatus") == "F"
-    return read(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.sum(F.when(done, 1).otherwise(0)).cast("int").alias("finished"), F.round(F.avg(F.when(done, F.col("o_totalprice"))), 4).alias("mean_finished"))
+    return read(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.sum(F.when(done, 1).otherwise(0)).cast("int").alias("finished"), F.round(F.avg(F.when(done, F.col("o_totalprice"))), 6).alias("mean_finished"))
 
 
 @query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
