@@ -17,7 +17,7 @@ def components(edges: DataFrame) -> DataFrame:
     by a partial aggregation and then joined back, so no task holds a node's neighbours. The rounds grow as the
     logarithm of the longest path; MAX_ROUNDS only guards against a fault. Repeated edges and loops have no effect.
     """
-    edges = edges.filter("a is not null and b is not null")
+    edges = written(edges.filter("a is not null and b is not null"), "edges")  # read twice, and maybe dear to make
     nodes = written(edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct(), "nodes")
     now = written(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     mark = lambda df: tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1_000_000_007)).first())
