@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,19 +63,46 @@ def loaded_months(spark: SparkSession, store: str) -> DataFrame | None:
 
 
 def load(spark: SparkSession, base: str, store: str, years: list[int] | None = None) -> int:
-    """Add the months that the store lacks, the earliest row of an id staying; the number of rows added.
+    """Add the months that the store lacks; over all of them the earliest row of each id stays. The number of new ids.
 
-    The store is partitioned by year and month; a partition is written by the job's committer, whole or not at all. An
-    id that an earlier load has keeps its stored row.
+    The store is partitioned by year and month. Where a new month has an earlier row of a stored id, the partitions
+    that hold the stored one are rewritten without it (others are not touched), then the new months are added; should it
+    stop in between, the months are still lacking and the next load adds them. Rows without a date come last; of equal
+    dates the stored row stays. What is to be written lies beside the store first, as a table can't be read while it is
+    replaced.
     """
-    ads = read_json(spark, base, years)
-    have = loaded_months(spark, store)
+    jvm, beside = spark.sparkContext._jvm, f"{store.rstrip('/')}-{uuid.uuid4().hex}"
+
+    def laid(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{beside}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{beside}/{name}")
+
+    def delete(path: str) -> None:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+    ads, have = read_json(spark, base, years), loaded_months(spark, store)
+    if have is not None:
+        ads = ads.join(have, ["year", "month"], "left_anti").select(*ADS.names)
+    ads = laid(earliest(ads.withColumn("_tie", F.xxhash64(*ADS.names)), ["id"], "date_created", "_tie").drop("_tie"), "new")
+    n, gone = ads.count(), []
     if have is not None:
-        ads = ads.join(have, ["year", "month"], "left_anti").join(spark.read.parquet(store).select("id"), "id", "left_anti").select(*ADS.names)
-    ads = earliest(ads.withColumn("_tie", F.xxhash64(*ADS.names)), ["id"], "date_created", "_tie").drop("_tie")
-    before = spark.read.parquet(store).count() if have is not None else 0
+        stored = spark.read.schema(ADS).parquet(store)
+        both = stored.select("id", F.col("date_created").alias("_old"), "year", "month").join(ads.select("id", F.col("date_created").alias("_new")), "id")
+        wins = F.coalesce(F.col("_new") < F.col("_old"), F.col("_new").isNotNull() & F.col("_old").isNull())
+        both = laid(both.withColumn("wins", wins), "both")
+        n -= both.count()
+        ads = laid(ads.join(both.filter("not wins").select("id"), "id", "left_anti").select(*ADS.names), "won")
+        losers = both.filter("wins")
+        parts = losers.select("year", "month").distinct()
+        kept = laid(stored.join(parts, ["year", "month"], "left_semi").join(losers.select("id"), "id", "left_anti").select(*ADS.names), "kept")
+        gone = [f"{store}/year={r['year']}/month={r['month']}" for r in parts.join(kept.select("year", "month"), ["year", "month"], "left_anti").collect()]
+        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(store)
+    for path in gone:
+        delete(path)
     ads.repartition("year", "month").write.mode("append").partitionBy("year", "month").parquet(store)
-    return spark.read.parquet(store).count() - before
+    delete(beside)
+    return n
 
 
 def by_id(ads: DataFrame, ids: DataFrame, columns: list[str] | None = None) -> DataFrame:

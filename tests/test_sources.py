@@ -29,6 +29,18 @@ def test_loading_keeps_the_earliest_and_skips_months(spark, tmp_path):
     assert ads.by_id(spark.read.parquet(store), spark.createDataFrame([(3,)], "id long"), ["title"]).first().asDict() == {"id": 3, "title": "old"}
 
 
+def test_an_earlier_row_replaces_the_stored_one(spark, tmp_path):
+    base, store = str(tmp_path / "raw"), str(tmp_path / "ads")
+    put(f"{base}/year=2024/month=2", "a.json", [{"id": 5, "title": "february", "date_created": "2024-02-03"}, {"id": 6, "title": "undated"}, {"id": 7, "title": "stays", "date_created": "2024-01-01"}])
+    put(f"{base}/year=2024/month=3", "a.json", [{"id": 8, "title": "march", "date_created": "2024-03-03"}])
+    assert ads.load(spark, base, store) == 4
+    put(f"{base}/year=2024/month=1", "a.json", [{"id": 5, "title": "january", "date_created": "2024-01-03"}, {"id": 6, "title": "dated", "date_created": "2024-01-09"}, {"id": 7, "title": "equal", "date_created": "2024-01-01"}, {"id": 8, "title": "sooner", "date_created": "2024-01-02"}, {"id": 9, "title": "new"}])
+    assert ads.load(spark, base, store) == 1
+    rows = spark.read.parquet(store).collect()
+    assert sorted((r["id"], r["title"], r["month"]) for r in rows) == [(5, "january", 1), (6, "dated", 1), (7, "stays", 2), (8, "sooner", 1), (9, "new", 1)]
+    assert sorted(os.listdir(tmp_path)) == ["ads", "raw"]
+
+
 def test_schema(spark):
     assert len(ads.ADS) == 33
     h = ads.harmonised(spark.createDataFrame([(1, 5, "x")], "id long, SIC1 int, salary_min string"), year=2024, month=2)
