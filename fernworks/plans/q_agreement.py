@@ -191,6 +191,12 @@ def i19_shared_fraction(spark, sf_dir):
     return _rounded(agreement.shared_fraction(runs(spark, sf_dir).filter("code % 40 = 0").select("run", "ad", "code")))
 
 
+@query()
+def i19_shared_fraction_whole(spark, sf_dir):
+    """Over every candidate of every ad; the tests check it by brute force."""
+    return _rounded(agreement.shared_fraction(runs(spark, sf_dir).select("run", "ad", "code")))
+
+
 @query(
     RUNS + """, k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY run, ad ORDER BY score DESC, code) AS rn FROM c) WHERE rn <= 3),
 g AS (SELECT run, ad, arg_min(code, rn) AS top, string_agg(code::VARCHAR, ',' ORDER BY code) AS st FROM k GROUP BY ALL)

@@ -222,3 +222,19 @@ def test_texts(spark):
 
 def test_histogram_of_one_value(spark):
     assert got(stats.histogram(spark.createDataFrame([(2.0,), (2.0,)], "x double"), "x", 5)) == [(0, 2)]
+
+
+def test_shared_fraction_of_all_candidates(spark, tmp_path):
+    from fernworks.plans import catalogue
+
+    rows = [(f, ad, part, 1000.0) for f, ad, part in [("A", 1, 3), ("A", 1, 40), ("A", 1, 7), ("N", 1, 7), ("N", 1, 40), ("N", 2, 5), ("R", 2, 5), ("R", 2, 80), ("A", 3, 40)]]
+    spark.createDataFrame(rows, "l_returnflag string, l_suppkey long, l_partkey long, l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    have = {}
+    for f, ad, part, _ in rows:
+        have.setdefault(f, {}).setdefault(ad, set()).add(part)
+    want = []
+    for a, b in (("A", "N"), ("A", "R"), ("N", "R")):
+        ads = have[a].keys() | have[b].keys()
+        x, y = have[a], have[b]
+        want.append((a, b, round(sum(len(x.get(i, set()) & y.get(i, set())) / len(x.get(i, set()) | y.get(i, set())) for i in ads) / len(ads), 6)))
+    assert got(catalogue.QUERIES["i19_shared_fraction_whole"](spark, str(tmp_path)), "run_a", "run_b", "shared_fraction") == want
