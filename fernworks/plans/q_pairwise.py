@@ -78,10 +78,16 @@ def h17_band_pairs(spark, sf_dir):
     return pairwise.band_pairs(read(spark, sf_dir, "part").filter("p_size <= 20"), "p_retailprice", 0.15, "p_partkey")
 
 
+@query()
+def h17_band_pairs_whole(spark, sf_dir):
+    """Over all parts; the tests check it by brute force."""
+    return pairwise.band_pairs(read(spark, sf_dir, "part"), "p_retailprice", 0.15, "p_partkey")
+
+
 @query()
 def h17_adaptive_pairs(spark, sf_dir):
     """Partners of nearly the same price in hash order; Spark's hash, so without a DuckDB statement."""
-    return pairwise.adaptive_pairs(read(spark, sf_dir, "part").filter("p_size <= 2").select(F.col("p_partkey").alias("item"), F.col("p_retailprice").alias("theta")), 3, 1)
+    return pairwise.adaptive_pairs(read(spark, sf_dir, "part").select(F.col("p_partkey").alias("item"), F.col("p_retailprice").alias("theta")), 3, 1)
 
 
 @query(PAIRS + "SELECT item, count(*) AS n FROM (SELECT a AS item FROM c UNION ALL SELECT b FROM c) GROUP BY item")

@@ -238,3 +238,14 @@ def test_shared_fraction_of_all_candidates(spark, tmp_path):
         x, y = have[a], have[b]
         want.append((a, b, round(sum(len(x.get(i, set()) & y.get(i, set())) / len(x.get(i, set()) | y.get(i, set())) for i in ads) / len(ads), 6)))
     assert got(catalogue.QUERIES["i19_shared_fraction_whole"](spark, str(tmp_path)), "run_a", "run_b", "shared_fraction") == want
+
+
+def test_pairs_of_all_parts(spark, tmp_path):
+    from fernworks.plans import catalogue
+
+    parts = [(i, 1 + i % 50, 900 + (i * 37 % 60) / 10) for i in range(120)]
+    spark.createDataFrame(parts, "p_partkey long, p_size int, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    near = lambda width: {(a, b) for a, _, x in parts for b, _, y in parts if a < b and abs(x - y) <= width}
+    assert got(catalogue.QUERIES["h17_band_pairs_whole"](spark, str(tmp_path)), "a", "b") == sorted(near(0.15))
+    adaptive = got(catalogue.QUERIES["h17_adaptive_pairs"](spark, str(tmp_path)), "a", "b")
+    assert set(adaptive) <= near(np.std([x for _, _, x in parts])) and min(sum(i in p for p in adaptive) for i, _, _ in parts) >= 3
