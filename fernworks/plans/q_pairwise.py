@@ -1,4 +1,4 @@
-"""Pairwise comparisons: the smallest and largest part of an order, modulo 60, are compared; the order's key decides."""
+"""Pairwise comparisons: the smallest and largest part of an order are compared; the order's key decides."""
 
 from __future__ import annotations
 
@@ -12,20 +12,32 @@ c AS (SELECT k, a, b, CASE WHEN k % 5 = 0 THEN 'tie' WHEN k % 3 = 0 OR a < b AND
 """
 
 
-def comparisons(spark, sf_dir):
-    x = read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg((F.min("l_partkey") % 60).alias("a"), (F.max("l_partkey") % 60).alias("b"))
+def _decided(x):
     a_wins = (F.col("k") % 3 == 0) | ((F.col("a") < F.col("b")) & (F.col("k") % 2 == 0))
     return x.filter("a <> b").withColumn("outcome", F.when(F.col("k") % 5 == 0, "tie").when(a_wins, "A").otherwise("B"))
 
 
-def items(spark):
-    return spark.range(60).select(F.col("id").alias("item"))
+def _ends(spark, sf_dir):
+    return read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.min("l_partkey").alias("a"), F.max("l_partkey").alias("b"))
+
+
+def comparisons(spark, sf_dir):
+    return _decided(_ends(spark, sf_dir))
+
+
+def folded(spark, sf_dir):
+    """Modulo 60, as in PAIRS."""
+    return _decided(_ends(spark, sf_dir).select("k", (F.col("a") % 60).alias("a"), (F.col("b") % 60).alias("b")))
+
+
+def items(spark, sf_dir):
+    return read(spark, sf_dir, "part").select(F.col("p_partkey").alias("item"))
 
 
 @query()
 def h15_bt_theta(spark, sf_dir):
     """Iterative, so without a DuckDB statement; the tests check the gradient."""
-    return pairwise.bradley_terry(comparisons(spark, sf_dir), items(spark)).withColumn("theta", F.round("theta", 6))
+    return pairwise.bradley_terry(comparisons(spark, sf_dir), items(spark, sf_dir)).withColumn("theta", F.round("theta", 6))
 
 
 @query()
@@ -33,10 +45,10 @@ def i17_convergence(spark, sf_dir):
     """Refits on the first quarters of the comparisons against the fit on all: pearson and mean absolute error."""
     c = comparisons(spark, sf_dir)
     last = c.agg(F.max("k")).first()[0] or 0
-    final = pairwise.bradley_terry(c, items(spark))
+    final = pairwise.bradley_terry(c, items(spark, sf_dir))
     rows = []
     for q in (1, 2, 3, 4):
-        part = pairwise.bradley_terry(c.filter(F.col("k") <= last * q / 4), items(spark)).withColumnRenamed("theta", "now").join(final, "item")
+        part = pairwise.bradley_terry(c.filter(F.col("k") <= last * q / 4), items(spark, sf_dir)).withColumnRenamed("theta", "now").join(final, "item")
         r = part.agg(F.corr("now", "theta"), F.avg(F.abs(F.col("now") - F.col("theta")))).first()
         rows.append((q, round(float(r[0] or 0), 6), round(float(r[1] or 0), 6)))
     return spark.createDataFrame(rows, "round int, pearson double, mae double")
@@ -44,6 +56,12 @@ def i17_convergence(spark, sf_dir):
 
 @query(PAIRS + "SELECT least(a, b) AS a, greatest(a, b) AS b, sum(CASE WHEN outcome = 'tie' THEN 0.5 WHEN (outcome = 'A') = (a <= b) THEN 1 ELSE 0 END)::DOUBLE AS wins_a, sum(CASE WHEN outcome = 'tie' THEN 0.5 WHEN (outcome = 'A') = (a <= b) THEN 0 ELSE 1 END)::DOUBLE AS wins_b FROM c GROUP BY 1, 2")
 def h15_collapsed_pairs(spark, sf_dir):
+    return pairwise.collapsed(folded(spark, sf_dir))
+
+
+@query()
+def h15_collapsed_pairs_whole(spark, sf_dir):
+    """By the parts' own keys, as the other queries of this module named so."""
     return pairwise.collapsed(comparisons(spark, sf_dir))
 
 
@@ -61,6 +79,11 @@ def h18_floor_normalise(spark, sf_dir):
 SELECT k, CASE WHEN swap THEN b ELSE a END AS shown_a, CASE WHEN swap THEN a ELSE b END AS shown_b, CASE WHEN swap AND outcome = 'A' THEN 'B' WHEN swap AND outcome = 'B' THEN 'A' ELSE outcome END AS outcome FROM s"""
 )
 def h19_unswap(spark, sf_dir):
+    return pairwise.unswapped(pairwise.swapped(folded(spark, sf_dir), 3)).select("k", "shown_a", "shown_b", "outcome")
+
+
+@query()
+def h19_unswap_whole(spark, sf_dir):
     return pairwise.unswapped(pairwise.swapped(comparisons(spark, sf_dir), 3)).select("k", "shown_a", "shown_b", "outcome")
 
 
@@ -92,11 +115,27 @@ def h17_adaptive_pairs(spark, sf_dir):
 
 @query(PAIRS + "SELECT item, count(*) AS n FROM (SELECT a AS item FROM c UNION ALL SELECT b FROM c) GROUP BY item")
 def d31_appearances(spark, sf_dir):
-    c = comparisons(spark, sf_dir)
+    return _appearances(folded(spark, sf_dir))
+
+
+@query()
+def d31_appearances_whole(spark, sf_dir):
+    return _appearances(comparisons(spark, sf_dir))
+
+
+def _appearances(c):
     return c.select(F.col("a").alias("item")).union(c.select("b")).groupBy("item").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(PAIRS + "SELECT least(a, b) AS a, greatest(a, b) AS b, count(*) AS n, round(avg((outcome = 'tie')::INT::DOUBLE), 6) AS tie_rate FROM c GROUP BY 1, 2")
 def d32_pair_counts(spark, sf_dir):
-    c = comparisons(spark, sf_dir)
+    return _pair_counts(folded(spark, sf_dir))
+
+
+@query()
+def d32_pair_counts_whole(spark, sf_dir):
+    return _pair_counts(comparisons(spark, sf_dir))
+
+
+def _pair_counts(c):
     return c.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg((F.col("outcome") == "tie").cast("double")), 6).alias("tie_rate"))

@@ -249,3 +249,34 @@ def test_pairs_of_all_parts(spark, tmp_path):
     assert got(catalogue.QUERIES["h17_band_pairs_whole"](spark, str(tmp_path)), "a", "b") == sorted(near(0.15))
     adaptive = got(catalogue.QUERIES["h17_adaptive_pairs"](spark, str(tmp_path)), "a", "b")
     assert set(adaptive) <= near(np.std([x for _, _, x in parts])) and min(sum(i in p for p in adaptive) for i, _, _ in parts) >= 3
+
+
+def test_parts_are_items(spark, tmp_path):
+    from collections import Counter, defaultdict
+
+    from fernworks.plans import catalogue
+
+    orders = {k: (k * 7 % 150, k * 11 % 150) for k in range(1, 400)}
+    orders |= {400: (5, 65), 401: (9, 129)}  # equal modulo 60
+    spark.createDataFrame([(k, p) for k, two in orders.items() for p in two], "l_orderkey long, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(150).withColumnRenamed("id", "p_partkey").write.parquet(f"{tmp_path}/part.parquet")
+    run = lambda name, *c: got(catalogue.QUERIES[name](spark, str(tmp_path)), *c)
+    c = [(k, min(p), max(p), "tie" if k % 5 == 0 else "A" if k % 3 == 0 or k % 2 == 0 else "B") for k, p in orders.items() if p[0] != p[1]]
+    pairs, seen, theta = defaultdict(list), Counter(), dict(run("h15_bt_theta", "item", "theta"))
+    for _, a, b, o in c:
+        pairs[a, b].append(o)
+        seen.update((a, b))
+    win = {"A": 1.0, "B": 0.0, "tie": 0.5}
+    assert run("h15_collapsed_pairs_whole", "a", "b", "wins_a") == sorted((a, b, sum(win[o] for o in v)) for (a, b), v in pairs.items())
+    assert run("d31_appearances_whole", "item", "n") == sorted(seen.items())
+    assert run("d32_pair_counts_whole", "a", "b", "n", "tie_rate") == sorted((a, b, len(v), round(v.count("tie") / len(v), 6)) for (a, b), v in pairs.items())
+    unswapped = run("h19_unswap_whole", "k", "shown_a", "shown_b")
+    assert [(k, *sorted(p)) for k, *p in unswapped] == sorted((k, a, b) for k, a, b, _ in c) and any(a > b for _, a, b in unswapped)
+    assert set(theta) == set(range(150))
+    g = dict.fromkeys(theta, 0.0)
+    for _, a, b, o in c:
+        d = win[o] - 1 / (1 + math.exp(theta[b] - theta[a]))
+        g[a] += d
+        g[b] -= d
+    shift = np.mean([g[i] / 1e-4 - theta[i] for i in theta])
+    assert max(abs(g[i] - 1e-4 * (theta[i] + shift)) for i in theta) < 1e-4
