@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -212,4 +214,34 @@ def floor_normalised(df: DataFrame, column: str, cutoff: float | None, alias: st
     return out.withColumn(alias, F.when(F.col("_hi") - F.col("_lo") < 1e-10, 0.5).otherwise(floored)).drop("_lo", "_hi", "_x")
 
 
-__all__ = ["adaptive_pairs", "band_pairs", "bradley_terry", "collapsed", "floor_normalised", "minmax", "shuffled_pairs", "solve", "swapped", "unswapped"]
+def in_rounds(items: DataFrame, judge: Callable[[DataFrame], DataFrame], each: tuple[int, ...], seed: int = 0, cutoff: float | None = 0.1) -> DataFrame:
+    """(item, theta, score) after len(each) rounds of about each[r] comparisons an item.
+
+    The first round has random pairs, the others those of nearly the same strength. judge: from pairs with shown_a and
+    shown_b to the same with `outcome` of what was shown (null where it failed); it is asked once for each round. Every
+    fit is on the comparisons of all rounds so far.
+    """
+    theta, asked, held = None, None, []
+    for r, n in enumerate(each):
+        pairs = shuffled_pairs(items, n, seed + r) if theta is None else adaptive_pairs(theta, n, seed + r)
+        said = unswapped(judge(swapped(pairs, seed + r))).select("a", "b", "outcome").persist()
+        held.append(said)
+        asked = said if asked is None else asked.unionByName(said)
+        theta = bradley_terry(asked, items)
+    for said in held:
+        said.unpersist()
+    return floor_normalised(theta, "theta", cutoff)
+
+
+def by_occupation(scores: DataFrame, tasks: DataFrame, codes: DataFrame) -> DataFrame:
+    """(onet_code, task_exposure_bt_mean, task_exposure_bt_importance_weighted) for all codes; without weights the mean.
+
+    scores: (item, score); tasks: (item, onet_code, importance); codes: (onet_code).
+    """
+    mean = F.avg("score")
+    weighted = F.try_divide(F.sum(F.col("score") * F.col("importance")), F.sum("importance"))
+    out = scores.join(tasks, "item").groupBy("onet_code").agg(mean.alias("task_exposure_bt_mean"), F.coalesce(weighted, mean).alias("task_exposure_bt_importance_weighted"))
+    return codes.join(out, "onet_code", "left")
+
+
+__all__ = ["adaptive_pairs", "band_pairs", "bradley_terry", "by_occupation", "collapsed", "floor_normalised", "in_rounds", "minmax", "shuffled_pairs", "solve", "swapped", "unswapped"]

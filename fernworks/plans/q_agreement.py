@@ -141,6 +141,19 @@ def i13_benchmark_row(spark, sf_dir):
     return _rounded(row.select(F.lit("N").alias("run"), "n", "jaccard", "pearson", "mad", (100.0 * F.col("mad") / F.col("range")).alias("mad_pct")))
 
 
+@query()
+def i13_benchmark_row_whole(spark, sf_dir):
+    """With top-1 (of the ads that both have), Ruzicka and Spearman besides; the tests check it by brute force."""
+    two = runs(spark, sf_dir).filter("run in ('A', 'N')")
+    g = grouped(spark, sf_dir).drop("group").filter("run in ('A', 'N')")
+    pair = lambda df: df.drop("run_a", "run_b")
+    both = agreement.common(two)
+    row = pair(agreement.vectors(g)).crossJoin(g.agg((F.max("value") - F.min("value")).alias("range")))
+    for other in (agreement.jaccard(two), agreement.top1(agreement.best(both), both.select("ad").distinct()), agreement.ruzicka(two), agreement.spearman(two)):
+        row = row.crossJoin(pair(other))
+    return _rounded(row.select(F.lit("N").alias("run"), "n", "jaccard", "top1", "ruzicka", "spearman", "pearson", "mad", (100.0 * F.col("mad") / F.col("range")).alias("mad_pct")))
+
+
 @query(RUNS + J + ", l AS (SELECT run_a AS run, jaccard FROM j UNION ALL SELECT run_b, jaccard FROM j) SELECT CASE WHEN run = 'A' THEN 'llm' ELSE 'reranker' END AS dimension, count(*) AS n, round(avg(jaccard), 6) AS mean, round(min(jaccard), 6) AS min, round(max(jaccard), 6) AS max FROM l GROUP BY 1")
 def i14_mean_by_dimension(spark, sf_dir):
     j = agreement.jaccard(runs(spark, sf_dir))

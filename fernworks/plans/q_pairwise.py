@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import pairwise
+from ..operators import pairwise, stats
 from .registry import query, read
 
 PAIRS = """WITH x AS (SELECT l_orderkey AS k, min(l_partkey) % 60 AS a, max(l_partkey) % 60 AS b FROM lineitem GROUP BY l_orderkey),
@@ -40,18 +40,37 @@ def h15_bt_theta(spark, sf_dir):
     return pairwise.bradley_terry(comparisons(spark, sf_dir), items(spark, sf_dir)).withColumn("theta", F.round("theta", 6))
 
 
+@query()
+def h14_task_exposure_bt(spark, sf_dir):
+    """Parts as tasks, brands as occupations, sizes as importance; the dearer part wins. The tests check it."""
+    part = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("item"), F.col("p_brand").alias("onet_code"), F.col("p_size").cast("double").alias("importance"), F.col("p_retailprice").alias("price"))
+    side = lambda s: part.select(F.col("item").alias(f"shown_{s}"), F.col("price").alias(f"price_{s}"))
+
+    def judge(pairs):
+        p = pairs.join(side("a"), "shown_a").join(side("b"), "shown_b")
+        return p.withColumn("outcome", F.when(F.col("price_a") > F.col("price_b"), "A").when(F.col("price_a") < F.col("price_b"), "B").otherwise("tie"))
+
+    scores = pairwise.in_rounds(part.select("item"), judge, (4, 3, 3), 7)
+    out = pairwise.by_occupation(scores, part, part.select("onet_code").distinct())
+    return out.select("onet_code", *[F.round(c, 6).alias(c) for c in out.columns[1:]])
+
+
 @query()
 def i17_convergence(spark, sf_dir):
-    """Refits on the first quarters of the comparisons against the fit on all: pearson and mean absolute error."""
+    """Scores of refits on the first quarters of the comparisons, against the next refit and the last one."""
     c = comparisons(spark, sf_dir)
     last = c.agg(F.max("k")).first()[0] or 0
-    final = pairwise.bradley_terry(c, items(spark, sf_dir))
-    rows = []
+    wide = items(spark, sf_dir)
     for q in (1, 2, 3, 4):
-        part = pairwise.bradley_terry(c.filter(F.col("k") <= last * q / 4), items(spark, sf_dir)).withColumnRenamed("theta", "now").join(final, "item")
-        r = part.agg(F.corr("now", "theta"), F.avg(F.abs(F.col("now") - F.col("theta")))).first()
-        rows.append((q, round(float(r[0] or 0), 6), round(float(r[1] or 0), 6)))
-    return spark.createDataFrame(rows, "round int, pearson double, mae double")
+        theta = pairwise.bradley_terry(c.filter(F.col("k") <= last * q / 4), items(spark, sf_dir))
+        wide = wide.join(pairwise.floor_normalised(theta, "theta", 0.1).select("item", F.col("score").alias(f"s{q}")), "item")
+    wide = wide.persist()
+    rows = []
+    for against, q, other in [("next", q, q + 1) for q in (1, 2, 3)] + [("last", q, 4) for q in (1, 2, 3)]:
+        r = wide.agg(F.corr(f"s{q}", f"s{other}"), F.avg(F.abs(F.col(f"s{q}") - F.col(f"s{other}")))).first()
+        rows.append((against, q, *(round(float(x or 0), 6) for x in (stats.spearman(wide, f"s{q}", f"s{other}").first()[0], *r))))
+    wide.unpersist()
+    return spark.createDataFrame(rows, "against string, round int, spearman double, pearson double, mae double")
 
 
 @query(PAIRS + "SELECT least(a, b) AS a, greatest(a, b) AS b, sum(CASE WHEN outcome = 'tie' THEN 0.5 WHEN (outcome = 'A') = (a <= b) THEN 1 ELSE 0 END)::DOUBLE AS wins_a, sum(CASE WHEN outcome = 'tie' THEN 0.5 WHEN (outcome = 'A') = (a <= b) THEN 0 ELSE 1 END)::DOUBLE AS wins_b FROM c GROUP BY 1, 2")

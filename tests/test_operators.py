@@ -280,3 +280,63 @@ def test_parts_are_items(spark, tmp_path):
         g[b] -= d
     shift = np.mean([g[i] / 1e-4 - theta[i] for i in theta])
     assert max(abs(g[i] - 1e-4 * (theta[i] + shift)) for i in theta) < 1e-4
+
+
+def test_rounds(spark):
+    n, shown = 40, []
+    items = spark.range(n).withColumnRenamed("id", "item")
+
+    def judge(pairs):  # the larger number wins; what is shown first must not matter
+        shown.append(pairs.filter("swap").count())
+        return pairs.withColumn("outcome", F.when(F.col("shown_a") > F.col("shown_b"), "A").otherwise("B"))
+
+    out = {r["item"]: (r["theta"], r["score"]) for r in pairwise.in_rounds(items, judge, (4, 3, 3), 1).collect()}
+    assert len(shown) == 3 and min(shown) > 0 and len(out) == n
+    assert stats.spearman(spark.createDataFrame([(i, out[i][0]) for i in range(n)], "i int, t double"), "i", "t").first()[0] > 0.95
+    lo, hi = min(t for t, _ in out.values()), max(t for t, _ in out.values())
+    want = {i: max(0.0, ((t - lo) / (hi - lo) - 0.1) / 0.9) for i, (t, _) in out.items()}
+    assert max(abs(want[i] - out[i][1]) for i in out) < 1e-9
+
+
+def test_by_occupation(spark):
+    s = spark.createDataFrame([(1, 0.2), (2, 0.8), (3, 0.5), (4, 0.7)], "item int, score double")
+    t = spark.createDataFrame([(1, "a", 1.0), (2, "a", 3.0), (3, "b", 0.0), (4, "b", 0.0)], "item int, onet_code string, importance double")
+    out = pairwise.by_occupation(s, t, spark.createDataFrame([("a",), ("b",), ("c",)], "onet_code string"))
+    assert [tuple(None if x is None else x if isinstance(x, str) else round(x, 9) for x in r) for r in got(out)] == [("a", 0.5, 0.65), ("b", 0.6, 0.6), ("c", None, None)]
+
+
+def test_convergence_columns(spark):
+    from helpers import SMALL
+
+    from fernworks.plans import catalogue
+
+    out = catalogue.QUERIES["i17_convergence"](spark, SMALL)
+    assert got(out, "against", "round") == [(a, q) for a in ("last", "next") for q in (1, 2, 3)]
+    rows = {(r["against"], r["round"]): r for r in out.collect()}
+    assert all(-1 <= r["spearman"] <= 1 and 0 <= r["mae"] <= 1 for r in rows.values())
+    assert rows["last", 3][2:] == rows["next", 3][2:]
+
+
+def test_benchmark_row(spark, tmp_path):
+    from fernworks.plans import catalogue
+
+    rows = [(f, ad, 10 * ad + k, 100000 * (0.35 + 0.01 * ((ad * 3 + k * (7 if f == "A" else 4)) % 11))) for f in "ANR" for ad in (1, 2, 3) for k in range(4) if (f, ad, k) != ("N", 2, 0) and (f, ad) != ("R", 3)]
+    spark.createDataFrame(rows, "l_returnflag string, l_suppkey long, l_partkey long, l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(i, i) for i in (1, 2, 3)], "s_suppkey long, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    row = catalogue.QUERIES["i13_benchmark_row_whole"](spark, str(tmp_path)).collect()
+    have = {}
+    for f, ad, part, x in rows:
+        have.setdefault(f, {}).setdefault(ad, {})[part] = x / 100000 - 0.3
+    jac, top, ruz, rho = [], [], [], []
+    for ad in (1, 2, 3):
+        a, b = have["A"][ad], have["N"][ad]
+        both = sorted(a.keys() & b.keys())
+        jac.append(len(both) / len(a.keys() | b.keys()))
+        best = lambda d: min(d, key=lambda c: (-d[c], c))
+        top.append(float(best(a) == best(b)))
+        i = sum(min(a.get(c, 0) / sum(a.values()), b.get(c, 0) / sum(b.values())) for c in a.keys() | b.keys())
+        ruz.append(i / (2 - i))
+        place = lambda d: np.argsort(np.argsort([d[c] for c in both]))
+        rho.append(np.corrcoef(place(a), place(b))[0, 1])
+    assert len(row) == 1 and row[0]["n"] == 3
+    assert [row[0][c] for c in ("jaccard", "top1", "ruzicka", "spearman")] == pytest.approx([np.mean(x) for x in (jac, top, ruz, rho)], abs=2e-6)
