@@ -12,7 +12,8 @@ nothing explains enough. A form counts once for each different word before it, s
 not count as evidence. Tokens of a taken form are toxic in toxic documents; all others are clean.
 
 The classifier is fitted on a bounded sample of labelled rows: at most SAMPLE[1] toxic and SAMPLE[0] clean documents
-with the smallest hashes of their ids, and at most SAMPLE_BYTES of text. All documents are scored.
+with the smallest hashes of their ids, and at most SAMPLE_BYTES of text, the longest texts being left out first. All
+documents are scored.
 
 Defined cases. Null or empty text, or one without letters: score 0, no spans. Null id: remainder of the empty text;
 scored as any other, never learnt from. Ids that are repeated: each row is scored; a label given twice is toxic if one
@@ -265,7 +266,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
     few = [able.filter(F.col("toxic") == k).orderBy("order", id_col).limit(SAMPLE[k]) for k in (0, 1)]
     few = few[0].unionByName(few[1])  # at most sum(SAMPLE) rows: a proven bound
     texts = docs.select(F.col(id_col), F.coalesce(F.col("text"), F.lit("")).alias("text")).join(F.broadcast(few), id_col).groupBy(id_col).agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"), F.min("order").alias("order"))
-    size = F.sum(F.octet_length("text")).over(Window.orderBy("order", id_col))  # over the sample alone
+    bytes_ = F.octet_length("text")
+    size = F.sum(bytes_.cast("long")).over(Window.orderBy(bytes_, "order", id_col))  # over the sample alone; only the longest are left out
     rows = texts.withColumn("size", size).filter(F.col("size") <= SAMPLE_BYTES).orderBy("order", id_col).select("text", "toxic").toArrow()
     return rows.column("text").to_pylist(), [x == 1 for x in rows.column("toxic").to_pylist()], share
 

@@ -183,3 +183,15 @@ def test_digests(spark):
     ids = t.encode(text, add_special_tokens=False).ids
     assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
     assert r["decoded_sha256"] == hashlib.sha256(t.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_one_long_text_leaves_the_sample(spark, monkeypatch):
+    ids = [r["i"] for r in spark.range(40).select(F.col("id").alias("i")).orderBy(F.xxhash64("i")).collect()]
+    able = [i for i in ids if zlib.crc32(str(i).encode()) % 4 != 2]
+    long = able[0]  # the first in the sample's order
+    d = spark.createDataFrame([(i, "x " * 4000 if i == long else f"text {i}") for i in ids], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, toxic int")
+    whole = toxicity.training_rows(d, labels)
+    assert len(whole[0]) == len(able)
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 4000)
+    assert toxicity.training_rows(d, labels)[:2] == ([f"text {i}" for i in able[1:]], [i % 2 == 1 for i in able[1:]])
