@@ -1,19 +1,22 @@
 """Approximate nearest neighbours by additive quantisation.
 
-A vector is approximated by a sum of codewords, one from each of several codebooks that are as long as the vector. The
-codebooks are trained one after another on the residuals of a bounded sample (SAMPLE rows with the smallest hashes of
-their ids). Every vector is encoded by a beam search over the codebooks, and its code is stored with the squared norm
-of the approximation. A query's products with all codewords make a lookup table, so that an approximate distance is the
-norm less twice a sum of table entries. Rows that come under the query's threshold are reranked at once by the exact
-distance on the original vectors, in double precision, where they lie; each task returns its nearest ones only.
-
-The threshold is the approximate distance that about RERANK rows of the whole index stay under, estimated on the
-sample's codes; besides, the best rows of every chunk by approximate distance are always reranked, so a query has as
-many results as there are candidates, k at most.
+A vector, less the sample's mean, is approximated by a sum of codewords, one from each of several codebooks that are
+as long as the vector. The codebooks are trained one after another on the residuals of a bounded sample (SAMPLE rows
+with the smallest hashes of their ids). Every vector is encoded by a beam search over the codebooks, and its code is
+stored with the squared norm of the approximation. A query's products with all codewords make a lookup table, so an
+approximate distance is the norm less twice a sum of table entries.
+
+Which rows are reranked does not depend on how they are dealt out: those whose approximate distance is at most the
+query's limit, the approximate distance of the row at the same place among the sample's codes. The place is that of
+RERANK among all rows, and never under k, so at least k rows are within the limit: the sample's rows are rows of the
+index. About RERANK rows are reranked where the index is up to SAMPLE / k * RERANK rows large, and k / SAMPLE of all
+beyond. Reranking is by the exact distance on the original vectors, in double precision. The same way is taken at
+every size.
 
 Defined cases. Rows that can't take part: see vectors.valid; such a query has no result. Ties in distance: the smaller
 id. Repeated ids: a query counts once; a row with the query's id is never its result; other repeated rows are results
-of their own. Fewer candidates than k: all of them. Empty table: no rows. Other columns are left out.
+of their own. Fewer candidates than k: all of them. Empty table: no rows. Other columns are left out. Components of any
+finite size: for codes they are cut at 1e100, so that approximate distances stay finite; exact ones are not cut.
 """
 
 from __future__ import annotations
@@ -24,10 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import prepare, written
-from .vectors import searched, valid
+from .vectors import by_shard, dealt, merged, once, sample, valid
 
 BOOKS, WORDS, BEAM = 32, 64, 4
-SAMPLE, RERANK, CHUNK = 8192, 800, 1024
+SAMPLE, RERANK = 8192, 100
 
 
 def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) -> np.ndarray:
@@ -89,91 +92,111 @@ def _matrix(column, d: int) -> np.ndarray:
     return a.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, d)
 
 
-def build(vectors: DataFrame, d: int) -> tuple[DataFrame, np.ndarray, np.ndarray]:
-    """The index (id, vector, code, norm) of every row, the codebooks, and the sample's vectors. vectors: (id, vector)."""
+def _inside(x: np.ndarray) -> np.ndarray:
+    return np.clip(x, -1e100, 1e100)
+
+
+def approximate(lookup: np.ndarray, codes: np.ndarray, norms: np.ndarray) -> np.ndarray:
+    """Squared distances, but for the query's own norm, of (queries, books, words) tables to (rows, books) codes."""
+    dots = np.zeros((len(lookup), len(codes)))
+    for m in range(lookup.shape[1]):
+        dots += np.take(lookup[:, m], codes[:, m], axis=1)
+    return norms - 2 * dots
+
+
+def exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Euclidean distances of rows; where squares overflow or vanish, in units of the largest difference."""
+    e = np.abs(q - x)
+    with np.errstate(over="ignore"):
+        out = np.sqrt((e * e).sum(1))
+    odd = ~(np.isfinite(out) & (out > 1e-150)) & (e.max(1, initial=0) > 0)
+    if odd.any():
+        unit = e[odd].max(1)
+        with np.errstate(invalid="ignore"):
+            out[odd] = np.where(np.isfinite(unit), unit * np.sqrt(((e[odd] / unit[:, None]) ** 2).sum(1)), np.inf)
+    return out
+
+
+def build(vectors: DataFrame, d: int) -> tuple[DataFrame, np.ndarray, np.ndarray, np.ndarray]:
+    """The index (id, vector, code, norm) of every row, the sample's mean, the codebooks and the sample's vectors less the mean.
+
+    vectors: (id, vector).
+    """
     prepare(vectors.sparkSession)
-    sample = vectors.withColumn("order", F.xxhash64("id")).orderBy("order", "id", "vector").limit(SAMPLE).select("vector").toArrow()
-    x = _matrix(sample.column("vector"), d)
-    books = train(x)
-    shared = vectors.sparkSession.sparkContext.broadcast(books)
+    x = _inside(_matrix(sample(vectors.select("id", "vector"), SAMPLE).column("vector"), d))
+    middle = x.mean(0)
+    books = train(x - middle)
+    shared = vectors.sparkSession.sparkContext.broadcast((middle, books))
 
     def run(batches):
+        middle, books = shared.value
         for batch in batches:
             for k in range(0, batch.num_rows, 2048):
                 part = batch.slice(k, 2048)
-                codes = encode(_matrix(part.column("vector"), d), shared.value)
-                approximate = reconstruct(codes, shared.value)
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("vector"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array((approximate * approximate).sum(1))], names=["id", "vector", "code", "norm"])
+                codes = encode(_inside(_matrix(part.column("vector"), d)) - middle, books)
+                norm = (reconstruct(codes, books) ** 2).sum(1)
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("vector"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norm)], names=["id", "vector", "code", "norm"])
+
+    kind = f"id long, vector {vectors.schema['vector'].dataType.simpleString()}, code binary, norm double"
+    return written(vectors.mapInArrow(run, kind), "index"), middle, books, x - middle
 
-    return written(vectors.mapInArrow(run, "id long, vector array<float>, code binary, norm double"), "index"), books, x
 
+def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", rerank: int = RERANK, reranked=None) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k nearest found of each query, by Euclidean distance; queries: rows alike.
 
-def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest found of each query, by Euclidean distance; queries: rows alike."""
+    reranked: an accumulator, to which the number of exact distances is added.
+    """
     rows, d = valid(vectors, id_col, vector_col)
     asked, _ = valid(queries, id_col, vector_col)
     if not d:
-        return searched(asked.limit(0), lambda _: None, k)
-    index, books, sample = build(rows, d)
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    index, middle, books, x = build(rows, d)
     n = index.count()
-    codes = encode(sample, books)
+    codes = encode(x, books)
     norms = (reconstruct(codes, books) ** 2).sum(1)
+    place = min(len(codes), max(k + 1, -(-rerank * len(codes) // n))) - 1  # one more than k: the query's own row may be in the sample
+    shared = index.sparkSession.sparkContext.broadcast((middle, books, codes, norms))
+
+    def lookup(column) -> np.ndarray:
+        return np.einsum("qd,mwd->qmw", _inside(_matrix(column, d)) - shared.value[0], shared.value[1])
 
-    def search(block: pa.Table):
-        if not block.num_rows:
-            return None
-        ids, q = block.column("id").to_numpy(), _matrix(block.column("vector"), d)
-        table = np.einsum("qd,mwd->qmw", q, books).astype(np.float32)
-
-        def approximate(lookup, code, norm):
-            dots = np.zeros((len(lookup), len(code)), np.float32)
-            for m in range(lookup.shape[1]):
-                dots += np.take(lookup[:, m], code[:, m], axis=1)
-            return norm.astype(np.float32) - 2 * dots
-
-        place = int(np.ceil(RERANK * len(codes) / n))
-        if place >= len(codes):
-            limit = np.full(len(ids), np.inf, np.float32)
-        else:
-            limit = np.concatenate([np.partition(approximate(table[i : i + 256], codes, norms), place, axis=1)[:, place] for i in range(0, len(ids), 256)])
-        shared = index.sparkSession.sparkContext.broadcast((ids, q, table, limit))
-
-        def run(batches):
-            ids, q, lookup, limit = shared.value
-            best_d, best_i = np.full((len(ids), k), np.inf), np.full((len(ids), k), np.iinfo(np.int64).max)
-            for batch in batches:
-                for s in range(0, batch.num_rows, CHUNK):
-                    part = batch.slice(s, CHUNK)
-                    own = part.column("id").to_numpy()
-                    x = _matrix(part.column("vector"), d)
-                    code = np.frombuffer(b"".join(part.column("code").to_pylist()), np.uint8).reshape(len(own), -1)
-                    near = approximate(lookup, code, part.column("norm").to_numpy())
-                    near[ids[:, None] == own[None, :]] = np.inf
-                    chosen = near <= limit[:, None]
-                    if near.shape[1] > k:
-                        np.put_along_axis(chosen, np.argpartition(near, k, axis=1)[:, :k], True, 1)
-                    else:
-                        chosen[:] = True
-                    chosen &= np.isfinite(near)
-                    a, b = np.nonzero(chosen)
-                    if not len(a):
-                        continue
-                    exact = np.empty(len(a))
-                    for t in range(0, len(a), 1 << 15):
-                        e = q[a[t : t + (1 << 15)]] - x[b[t : t + (1 << 15)]]
-                        exact[t : t + (1 << 15)] = np.sqrt((e * e).sum(1))
-                    # merge with the nearest so far, query by query, in (distance, id) order
-                    alls = np.concatenate([np.repeat(np.arange(len(ids)), k), a]), np.concatenate([best_d.ravel(), exact]), np.concatenate([best_i.ravel(), own[b]])
-                    order = np.lexsort((alls[2], alls[1], alls[0]))
-                    first = np.searchsorted(alls[0][order], np.arange(len(ids)))
-                    take = order[first[:, None] + np.arange(k)]
-                    best_d, best_i = alls[1][take], alls[2][take]
-            a, b = np.nonzero(np.isfinite(best_d))
-            yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(best_i[a, b]), pa.array(best_d[a, b])], names=["query_id", "vec_id", "score"])
-
-        return index.mapInArrow(run, "query_id long, vec_id long, score double")
-
-    return searched(asked, search, k)
+    def limits(batches):
+        _, _, codes, norms = shared.value
+        for batch in batches:
+            for s in range(0, batch.num_rows, 256):
+                part = batch.slice(s, 256)
+                limit = np.partition(approximate(lookup(part.column("vector")), codes, norms), place, axis=1)[:, place]
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("vector"), pa.nulls(part.num_rows, pa.binary()), pa.array(limit)], names=["id", "vector", "code", "norm"])
+
+    def search(batches):
+        last = None
+        for table, part in by_shard(batches):
+            if table is not last:
+                last, own, x = table, table.column("id").to_numpy(), _matrix(table.column("vector"), d)
+                code = np.frombuffer(b"".join(table.column("code").to_pylist()), np.uint8).reshape(len(own), -1)
+                norm = table.column("norm").to_numpy()
+            ids, limit = part.column("id").to_numpy(), part.column("norm").to_numpy()
+            q, tables = _matrix(part.column("vector"), d), lookup(part.column("vector"))
+            found: list[tuple[np.ndarray, ...]] = []
+            for s in range(0, len(own), 4096):  # as many at once as stay in the processor's cache
+                near = approximate(tables, code[s : s + 4096], norm[s : s + 4096])
+                a, b = np.nonzero((near <= limit[:, None]) & (ids[:, None] != own[None, s : s + 4096]))
+                b = b + s
+                found += [(a[t : t + 32768], b[t : t + 32768], exact(q[a[t : t + 32768]], x[b[t : t + 32768]])) for t in range(0, len(a), 32768)]
+            if not found:
+                continue
+            a, b, score = (np.concatenate(f) for f in zip(*found, strict=True))
+            if reranked is not None:
+                reranked.add(len(a))
+            order = np.lexsort((own[b], score, a))
+            a, b, score = a[order], b[order], score[order]
+            first = np.searchsorted(a, a)  # only the k best of a query in a shard go on
+            best = np.arange(len(a)) - first < k
+            yield pa.RecordBatch.from_arrays([pa.array(ids[a[best]]), pa.array(own[b[best]]), pa.array(score[best])], names=["query_id", "vec_id", "score"])
+
+    asked = once(asked).mapInArrow(limits, index.schema)
+    row_bytes = 16 * d + books.shape[0] + 64
+    return merged(dealt(index, asked, n, row_bytes).mapInArrow(search, "query_id long, vec_id long, score double"), k)
 
 
 def op9_ann(spark, sf_dir: str) -> DataFrame:

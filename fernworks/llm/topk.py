@@ -3,8 +3,11 @@
 A code of 64 bits is cut into segments of eight. If two codes differ in fewer than segments * (r + 1) bits, some
 segment differs in at most r bits. So each task indexes its codes by the value of each segment, and for a query looks
 up all values within radius 0, then 1, and so on; what it finds is verified by the whole distance. It stops once the
-k-th verified distance is at most segments * (r + 1) - 1: nothing that was not found can be nearer or as near. A task's
-later blocks begin with the k-th distance of those before. Equal codes are one entry with its rows.
+k-th verified distance is at most segments * (r + 1) - 1: nothing that was not found can be nearer or as near. The k-th
+distance in a bounded sample of the rows (SAMPLE) is never less than the true one, so a task also stops, and returns
+nothing farther, once that distance is covered. Equal codes are one entry with its rows.
+
+Queries and rows meet in shards of the rows (see vectors.dealt); of a shard a query gets its k best at most.
 
 Defined cases. Rows that can't take part: see vectors.valid; such a query has no result. Ties: the smaller id. Repeated
 ids: a query counts once; a row with the query's id is never its result; other repeated rows are results of their own.
@@ -18,10 +21,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare
-from .vectors import searched, valid
+from .common import prepare, written
+from .vectors import by_shard, dealt, merged, once, sample, valid
 
-BITS, SEGMENTS, BLOCK_ROWS = 64, 8, 1 << 16
+BITS, SEGMENTS, SAMPLE = 64, 8, 8192
 WIDTH = BITS // SEGMENTS
 MASKS = [np.flatnonzero(np.bitwise_count(np.arange(1 << WIDTH)) == r) for r in range(WIDTH + 1)]
 
@@ -40,8 +43,8 @@ class Index:
             self.by.append(np.argsort(v, kind="stable"))
             self.start.append(np.concatenate([[0], np.cumsum(np.bincount(v, minlength=1 << WIDTH))]))
 
-    def search(self, own: int, code: np.uint64, k: int, best: list[tuple[int, int]]) -> list[tuple[int, int]]:
-        """The k smallest (distance, id) of best and this block, without rows of the id `own`."""
+    def search(self, own: int, code: np.uint64, k: int, bound: int = BITS) -> list[tuple[int, int]]:
+        """The k smallest (distance, id) of this block within bound, without rows of the id `own`."""
         seen = np.zeros(len(self.codes), bool)
         at = int(np.searchsorted(self.owners, own))
         need = k + (int(self.owned[at]) if at < len(self.owners) and self.owners[at] == own else 0)
@@ -60,12 +63,13 @@ class Index:
                 new = np.concatenate(new)
                 new = np.unique(new[~seen[new]])
                 seen[new] = True
-                found.append(new)
-                distance.append(np.bitwise_count(self.codes[new] ^ code).astype(np.int64))
+                d = np.bitwise_count(self.codes[new] ^ code).astype(np.int64)
+                found.append(new[d <= bound])
+                distance.append(d[d <= bound])
             covered = SEGMENTS * (r + 1) - 1
+            if covered >= bound:
+                break
             near = np.concatenate(distance)
-            if len(best) >= k and best[k - 1][0] <= covered:
-                break  # the rows before are near enough, and all as near as they have been found
             if int(self.rows[np.concatenate(found)[near <= covered]].sum()) >= need:
                 break
         found, near = np.concatenate(found), np.concatenate(distance)
@@ -73,7 +77,7 @@ class Index:
         found, near = found[order], near[order]
         total = np.cumsum(self.rows[found])
         last = int(near[min(np.searchsorted(total, need), len(near) - 1)]) if len(near) else -1
-        out = list(best)
+        out: list[tuple[int, int]] = []
         for c, d in zip(found[near <= last].tolist(), near[near <= last].tolist(), strict=True):
             ids = self.ids[self.first[c] : self.first[c] + self.rows[c]]
             ids = ids[ids != own][:k]  # sorted: of equal codes no others can be among the k
@@ -82,16 +86,17 @@ class Index:
 
 
 def codes_of(vectors: DataFrame) -> DataFrame:
-    """(id, code) from (id, vector): the signs of the first 64 components, the first one lowest; a missing one is 0."""
+    """(id, code) from (id, vector) of one dimension: the signs of the first 64 components, the first one lowest; a missing one is 0."""
 
     def run(batches):
         for batch in batches:
-            out = []
-            for v in batch.column("vector").to_pylist():
-                bits = np.zeros(BITS, bool)
-                bits[: min(BITS, len(v))] = np.array(v[:BITS]) > 0
-                out.append(np.packbits(bits, bitorder="little").view(np.int64)[0])
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(out, pa.int64())], names=["id", "code"])
+            n = batch.num_rows
+            if not n:
+                continue
+            signs = batch.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(n, -1)[:, :BITS] > 0
+            bits = np.zeros((n, BITS), bool)
+            bits[:, : signs.shape[1]] = signs
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.packbits(bits, axis=1, bitorder="little").view(np.int64).ravel())], names=["id", "code"])
 
     prepare(vectors.sparkSession)
     return vectors.mapInArrow(run, "id long, code long")
@@ -100,35 +105,32 @@ def codes_of(vectors: DataFrame) -> DataFrame:
 def top_k(codes: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """(query_id, rank, vec_id, score) with score the Hamming distance; codes and queries: (id, code long)."""
     prepare(codes.sparkSession)
+    codes = written(codes.select("id", "code"), "codes")
+    n = codes.count()
+    some = sample(codes, SAMPLE)
+    shared = codes.sparkSession.sparkContext.broadcast((some.column("id").to_numpy(), some.column("code").to_numpy().view(np.uint64)))
 
-    def search(block: pa.Table):
-        if not block.num_rows:
-            return None
-        asked = list(zip(block.column("id").to_pylist(), block.column("code").to_numpy().view(np.uint64), strict=True))
-        shared = codes.sparkSession.sparkContext.broadcast(asked)
-
-        def blocks(batches):
-            held, n = [], 0
-            for batch in batches:
-                held.append(batch)
-                n += batch.num_rows
-                if n >= BLOCK_ROWS:
-                    yield pa.Table.from_batches(held)
-                    held, n = [], 0
-            if n:
-                yield pa.Table.from_batches(held)
-
-        def run(batches):
-            best: list[list[tuple[int, int]]] = [[] for _ in shared.value]
-            for table in blocks(batches):
-                index = Index(table.column("id").to_numpy(), table.column("code").to_numpy().view(np.uint64))
-                best = [index.search(i, c, k, b) for (i, c), b in zip(shared.value, best, strict=True)]
-            rows = [(q, i, d) for (q, _), b in zip(shared.value, best, strict=True) for d, i in b]
-            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in ((0, pa.int64()), (1, pa.int64()), (2, pa.float64()))], names=["query_id", "vec_id", "score"])
+    def bounds(batches):
+        ids, known = shared.value
+        for batch in batches:
+            out = []
+            for i, c in zip(batch.column("id").to_pylist(), batch.column("code").to_numpy().view(np.uint64), strict=True):
+                d = np.bitwise_count(known[ids != i] ^ c)
+                out.append(int(np.partition(d, k - 1)[k - 1]) if len(d) >= k else BITS)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("code"), pa.array(out, pa.int32())], names=["id", "code", "bound"])
 
-        return codes.mapInArrow(run, "query_id long, vec_id long, score double")
+    def run(batches):
+        last = None
+        for table, part in by_shard(batches):
+            if table is not last:
+                last, index = table, Index(table.column("id").to_numpy(), table.column("code").to_numpy().view(np.uint64))
+            asked = zip(part.column("id").to_pylist(), part.column("code").to_numpy().view(np.uint64), part.column("bound").to_pylist(), strict=True)
+            rows = [(q, i, d) for q, c, b in asked for d, i in index.search(q, c, k, b)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in ((0, pa.int64()), (1, pa.int64()), (2, pa.float64()))], names=["query_id", "vec_id", "score"])
 
-    return searched(queries, search, k)
+    asked = once(queries.select("id", "code")).mapInArrow(bounds, "id long, code long, bound int")
+    both = dealt(codes.withColumn("bound", F.lit(None).cast("int")), asked, n, 512)  # 512: with the index of a code
+    return merged(both.mapInArrow(run, "query_id long, vec_id long, score double"), k)
 
 
 def op6_exact_topk(spark, sf_dir: str) -> DataFrame:

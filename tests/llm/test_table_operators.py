@@ -227,20 +227,53 @@ def odd_vectors(spark, n=700, d=64, seed=0):
     return x, spark.createDataFrame(rows + bad, "vec_id long, embedding array<float>").withColumn("score", F.lit("clash"))
 
 
-def test_ann(spark):
-    x, t = odd_vectors(spark)
+def brute_nearest(x, q, k=10):
+    dist = np.sqrt(((x.astype(float) - x[q].astype(float)) ** 2).sum(1))
+    dist[q] = np.inf
+    return np.lexsort((np.arange(len(x)), dist))[:k], dist
+
+
+@pytest.mark.parametrize("n", [700, 6000])
+def test_ann(spark, monkeypatch, n):
+    """Recall, exact scores, and how many rows have been compared exactly."""
+    x, t = odd_vectors(spark, n)
+    monkeypatch.setattr(vectors, "SHARD_BYTES", 1 << 20)
+    counted = spark.sparkContext.accumulator(0)
     out = {}
-    for r in ann.nearest(t, t.filter("vec_id % 100 = 0")).collect():
+    for r in ann.nearest(t, t.filter("vec_id % 100 = 0"), reranked=counted).collect():
         out.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
-    assert sorted(out) == list(range(0, 700, 100))
+    assert sorted(out) == list(range(0, n, 100))
     hit = 0
     for q, found in out.items():
-        dist = np.sqrt(((x.astype(float) - x[q].astype(float)) ** 2).sum(1))
-        dist[q] = np.inf
-        want = np.lexsort((np.arange(700), dist))[:10]
+        want, dist = brute_nearest(x, q)
         assert [f[0] for f in sorted(found)] == list(range(1, 11)) and all(abs(dist[i] - s) < 1e-9 for _, i, s in found)
         hit += len(set(want) & {i for _, i, _ in found})
-    assert hit / 70 >= 0.9
+    assert hit / (n / 10) >= 0.9
+    assert 0 < counted.value <= len(out) * (ann.RERANK + 250)  # 220 rows are nearly alike
+    if n >= 5000:
+        assert counted.value < 0.05 * len(out) * n
+
+
+def test_ann_beyond_the_sample(spark, monkeypatch):
+    """The codebooks and limits of a small sample serve an index that is many times as large."""
+    monkeypatch.setattr(ann, "SAMPLE", 600)
+    x, t = odd_vectors(spark, 6000, 16)
+    out = {}
+    for r in ann.nearest(t, t.filter("vec_id % 100 = 0")).collect():
+        out.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert all(len(v) == 10 for v in out.values()) and len(out) == 60
+    assert sum(len(out[q] & set(brute_nearest(x, q)[0].tolist())) for q in out) / 600 >= 0.9
+
+
+def test_ann_of_odd_sizes(spark):
+    """Large, small and far-off components; doubles keep their precision."""
+    rows = [(i, [1e300 * (i + 1), 1.0]) for i in range(4)] + [(10 + i, [1e8 + i * 1e-3, 5.0]) for i in range(5)] + [(20, [1e-200, 0.0]), (21, [2e-200, 0.0])]
+    t = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = {}
+    for r in ann.nearest(t, t, k=10).collect():
+        out.setdefault(r["query_id"], {})[r["vec_id"]] = r["score"]
+    assert all(len(v) == 10 for v in out.values())
+    assert out[0][1] == pytest.approx(1e300) and out[10][12] == pytest.approx(2e-3, rel=1e-4) and out[20][21] == pytest.approx(1e-200)
 
 
 def test_small_searches(spark):
@@ -254,7 +287,8 @@ def test_small_searches(spark):
 
 @pytest.mark.parametrize("rows", [1 << 16, 50])
 def test_exact_top_k(spark, monkeypatch, rows):
-    monkeypatch.setattr(topk, "BLOCK_ROWS", rows)
+    monkeypatch.setattr(vectors, "SHARD_BYTES", rows * 512)
+    monkeypatch.setattr(topk, "SAMPLE", rows)
     rng = np.random.default_rng(4)
     codes = rng.integers(0, 2**63, 600, dtype=np.uint64)
     codes[100:300] = codes[100]
