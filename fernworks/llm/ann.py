@@ -30,7 +30,7 @@ from .common import prepare, written
 from .vectors import by_shard, dealt, merged, once, sample, valid
 
 BOOKS, WORDS, BEAM = 32, 64, 4
-SAMPLE, RERANK = 8192, 100
+SAMPLE, RERANK = 8192, 200
 
 
 def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) -> np.ndarray:
@@ -38,8 +38,7 @@ def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) ->
     for _ in range(rounds):
         near = ((words * words).sum(1) - 2 * (x @ words.T)).argmin(1)
         n = np.bincount(near, minlength=k)
-        sums = np.zeros_like(words)
-        np.add.at(sums, near, x)
+        sums = (near == np.arange(k)[:, None]).astype(x.dtype) @ x
         words = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], x[rng.choice(len(x), k)])
     return words
 

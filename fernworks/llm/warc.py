@@ -34,6 +34,8 @@ PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "la
 #: Query parameters that name a visit and not a page: fixed values.
 TRACKING = r"^(utm_[^=]*|ref|gclid|fbclid)(=|$)"
 TIME_BUCKETS = 256
+#: Modulus of the made crawl's times: fixed value.
+PRIME = 2_147_483_647
 
 
 def canonical_url(url: Column) -> Column:
@@ -121,16 +123,21 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 
 def crawl_log(pages: DataFrame) -> DataFrame:
-    """Two visits to every page: a full one at the time of its id, and a later one answered "not modified".
+    """Two visits to every page, a full one and one answered "not modified", at times spread over one long crawl.
 
-    The second visit has the page's own entity tag, so it agrees only where no later page took the same URL.
+    Times are made from the page's id, so that the visits to a URL are in any order: a revisit may come before any full
+    answer, between two, or after all. By the id, a revisit has the page's own entity tag, its own last-modified, none,
+    or a stale tag beside the right last-modified (the tag decides).
     """
-    tag = F.concat(F.lit('"'), F.md5(F.coalesce("html", F.lit("")).cast("binary")), F.lit('"'))
-    size = F.octet_length(F.coalesce("html", F.lit(""))).cast("string")
-    first = F.create_map(F.lit("content-type"), F.lit("text/html"), F.lit("content-length"), size, F.lit("etag"), tag, F.lit("date"), F.col("page_id").cast("string"))
-    again = F.create_map(F.lit("content-length"), F.lit("0"), F.lit("etag"), tag, F.lit("date"), (F.col("page_id") + 1_000_000_000_000).cast("string"), F.lit("cache-control"), F.lit("max-age=60"))
-    response = pages.select(F.col("page_id").alias("id"), "url", F.col("page_id").alias("time"), F.lit("response").alias("kind"), first.alias("headers"))
-    revisit = pages.select(F.col("page_id").alias("id"), "url", (F.col("page_id") + 1_000_000_000_000).alias("time"), F.lit("revisit").alias("kind"), again.alias("headers"))
+    digest = F.md5(F.coalesce("html", F.lit("")).cast("binary"))
+    tag, size = F.concat(F.lit('"'), digest, F.lit('"')), F.octet_length(F.coalesce("html", F.lit(""))).cast("string")
+    changed, kind = F.substring(digest, 1, 8), F.col("page_id") % 4
+    at = lambda factor: (F.col("page_id") * factor) % PRIME
+    first = F.create_map(F.lit("content-type"), F.lit("text/html"), F.lit("content-length"), size, F.lit("etag"), tag, F.lit("last-modified"), changed, F.lit("date"), at(1103515245).cast("string"))
+    again = {"content-length": F.lit("0"), "date": at(1812433253).cast("string"), "cache-control": F.lit("max-age=60"), "etag": F.when(kind == 0, tag).when(kind == 3, F.lit('"stale"')), "last-modified": F.when(kind.isin(1, 3), changed)}
+    again = F.map_filter(F.create_map(*[x for k, v in again.items() for x in (F.lit(k), v)]), lambda _, v: v.isNotNull())
+    response = pages.select(F.col("page_id").alias("id"), "url", at(1103515245).alias("time"), F.lit("response").alias("kind"), first.alias("headers"))
+    revisit = pages.select(F.col("page_id").alias("id"), "url", at(1812433253).alias("time"), F.lit("revisit").alias("kind"), again.alias("headers"))
     return response.unionByName(revisit)
 
 
@@ -151,14 +158,15 @@ b AS (SELECT *,
     array_to_string(list_sort(list_filter(string_split(CASE WHEN contains(rest, '?') THEN substr(rest, strpos(rest, '?') + 1) ELSE '' END, '&'),
       lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|gclid|fbclid)(=|$)'))), '&') AS q
   FROM a),
-c AS (SELECT page_id, html, host || path || CASE WHEN q = '' THEN '' ELSE '?' || q END AS canonical,
-    '"' || md5(coalesce(html, '')) || '"' AS tag, strlen(coalesce(html, ''))::VARCHAR AS size FROM b),
-f AS (SELECT v.page_id, v.canonical, v.tag, r.page_id AS rid, r.tag AS rtag, r.size AS rsize
-  FROM c v LEFT JOIN (SELECT canonical, max(page_id) AS page_id, arg_max(tag, page_id) AS tag, arg_max(size, page_id) AS size FROM c GROUP BY canonical) r
-    ON r.canonical = v.canonical)
-SELECT page_id, canonical, rid AS response_page_id,
-  CASE WHEN rid IS NULL THEN 'missing' WHEN tag = rtag THEN 'resolved' ELSE 'mismatch' END AS status,
-  CASE WHEN tag = rtag THEN concat_ws(chr(10), 'cache-control: max-age=60', 'content-length: ' || rsize, 'content-type: text/html',
-    'date: ' || (page_id + 1000000000000)::VARCHAR, 'etag: ' || tag) END AS headers
+c AS (SELECT page_id, host || path || CASE WHEN q = '' THEN '' ELSE '?' || q END AS canonical, page_id % 4 AS kind,
+    '"' || md5(coalesce(html, '')) || '"' AS tag, md5(coalesce(html, ''))[1:8] AS changed, strlen(coalesce(html, ''))::VARCHAR AS size,
+    (page_id * 1103515245) % 2147483647 AS taken, (page_id * 1812433253) % 2147483647 AS again FROM b),
+v AS (SELECT *, CASE kind WHEN 0 THEN tag WHEN 3 THEN '"stale"' END AS my_tag, CASE WHEN kind IN (1, 3) THEN changed END AS my_changed FROM c),
+f AS (SELECT v.page_id, v.canonical, v.my_tag, v.my_changed, v.again, r.page_id AS rid, r.tag, r.changed, r.size,
+    CASE WHEN r.canonical IS NULL THEN 'missing' WHEN CASE WHEN my_tag IS NOT NULL THEN my_tag = r.tag WHEN my_changed IS NOT NULL THEN my_changed = r.changed ELSE true END THEN 'resolved' ELSE 'mismatch' END AS status
+  FROM v ASOF LEFT JOIN (SELECT * FROM c WHERE taken IS NOT NULL) r ON v.canonical = r.canonical AND v.again > r.taken)
+SELECT page_id, canonical, rid AS response_page_id, status,
+  CASE WHEN status = 'resolved' THEN concat_ws(chr(10), 'cache-control: max-age=60', 'content-length: ' || size, 'content-type: text/html',
+    'date: ' || again, 'etag: ' || coalesce(my_tag, tag), 'last-modified: ' || coalesce(my_changed, changed)) END AS headers
 FROM f
 """
