@@ -142,10 +142,10 @@ def crawl_log(pages: DataFrame) -> DataFrame:
 
 
 def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the second visit to every page resolves to, with its merged headers as lines."""
+    """What the "not modified" visit to every page resolves to (response -1: none), with its merged headers as lines."""
     out = resolve_revisits(crawl_log(spark.read.parquet(f"{sf_dir}/pages.parquet")))
     lines = F.array_join(F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))), "\n")
-    return out.select(F.col("id").alias("page_id"), "canonical", F.col("response_id").alias("response_page_id"), "status", lines.alias("headers"))
+    return out.select(F.col("id").alias("page_id"), "canonical", F.coalesce("response_id", F.lit(-1).cast("long")).alias("response_page_id"), "status", lines.alias("headers"))
 
 
 SQL = r"""
@@ -165,7 +165,7 @@ v AS (SELECT *, CASE kind WHEN 0 THEN tag WHEN 3 THEN '"stale"' END AS my_tag, C
 f AS (SELECT v.page_id, v.canonical, v.my_tag, v.my_changed, v.again, r.page_id AS rid, r.tag, r.changed, r.size,
     CASE WHEN r.canonical IS NULL THEN 'missing' WHEN CASE WHEN my_tag IS NOT NULL THEN my_tag = r.tag WHEN my_changed IS NOT NULL THEN my_changed = r.changed ELSE true END THEN 'resolved' ELSE 'mismatch' END AS status
   FROM v ASOF LEFT JOIN (SELECT * FROM c WHERE taken IS NOT NULL) r ON v.canonical = r.canonical AND v.again > r.taken)
-SELECT page_id, canonical, rid AS response_page_id, status,
+SELECT page_id, canonical, coalesce(rid, -1) AS response_page_id, status,
   CASE WHEN status = 'resolved' THEN concat_ws(chr(10), 'cache-control: max-age=60', 'content-length: ' || size, 'content-type: text/html',
     'date: ' || again, 'etag: ' || coalesce(my_tag, tag), 'last-modified: ' || coalesce(my_changed, changed)) END AS headers
 FROM f
