@@ -51,6 +51,38 @@ def stable(df: DataFrame) -> DataFrame:
     return written(df, "stable") if "Exchange" in df._jdf.queryExecution().executedPlan().toString() else df
 
 
+def in_written_order(rows: DataFrame, *columns: str) -> tuple[DataFrame, int, int]:
+    """columns of rows with `position`, from 0 in the order in which they were written; how many rows and files there are.
+
+    Spark reads a folder's files in any order, but a file's name has the number of the task that wrote it, and its rows
+    stand as they were written. Rows that are not read from Parquet files are written first. Sent to all tasks is one
+    row for each file.
+    """
+    from pyspark.errors import AnalysisException
+    from pyspark.sql.window import Window
+
+    name, number = F.col("_metadata.file_name"), F.col("_metadata.row_index")
+    try:
+        rows.select(name, number)
+    except AnalysisException:
+        rows = written(rows.select(*columns), "ordered")
+    files = rows.select(name.alias("file"), number.alias("n")).groupBy("file").agg((F.max("n") + 1).alias("n"))
+    part = lambda pattern: F.coalesce(F.regexp_extract("file", pattern, 1).try_cast("long"), F.lit(-1))
+    before = Window.orderBy(part(r"part-(\d+)"), part(r"-c(\d+)"), "file").rowsBetween(Window.unboundedPreceding, -1)
+    files = written(files.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0))), "files")
+    total = files.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    rows = rows.select(*columns, name.alias("_file"), number.alias("_number")).join(F.broadcast(files.select(F.col("file").alias("_file"), F.col("start").alias("_start"))), "_file")
+    return rows.select(*columns, (F.col("_start") + F.col("_number")).alias("position")), total[0], total[1]
+
+
+def sorted_by_position(rows: DataFrame, n: int, partitions: int) -> DataFrame:
+    """rows range-sorted by `position`, which runs from 0 to n - 1, in that many partitions; they are not looked at twice."""
+    partitions = max(1, partitions)
+    width = max(1, -(-n // partitions))
+    at = F.floor(F.col("position") / width).cast("int")
+    return rows.repartitionById(partitions, at).sortWithinPartitions("position")
+
+
 def text_of(docs: DataFrame, text_col: str = "text") -> Column:
     return F.coalesce(docs[text_col].cast("string"), F.lit(""))
 
