@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fernworks.llm import bpe, jaccard, mixing, toxicity
-from fernworks.llm.common import written
+from fernworks.llm.common import in_written_order, sorted_by_position, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,9 +28,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, with the digest of what they decode to."""
-    out = bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"), keep=("doc_id", "lang", "source"))
-    return out.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    """Token ids of every document, with the digest of what they decode to and its place in the training order, in that order."""
+    placed, n, files = in_written_order(docs, "doc_id", "lang", "source", "text")
+    keep = ("position", "doc_id", "lang", "source")
+    out = bpe.encode_decode(placed, public_tokenizers.path("word_bpe_49k.json"), keep=keep)
+    out = out.select(*keep, F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    return sorted_by_position(out, n, files)
 
 
 STAGES = [("toxicity", drop_toxic), ("n-gram Jaccard join", one_of_each), ("mixing sources to target weights", mix), ("BPE encoding and decoding", encode)]
