@@ -26,6 +26,8 @@ from . import words as W
 
 #: Words of which Python objects are held at once where a slice of a pack is enough.
 SLICE_WORDS, SLICE_TEXTS = 1 << 16, 64
+#: Distinct words of a bucket whose ids are held; a bucket with more begins anew, and its words may be encoded again.
+HELD_WORDS = 1 << 20
 
 
 @lru_cache(maxsize=4)
@@ -86,24 +88,26 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, *, keep: tuple[str, ...]
     if not splits_at_spaces(tokenizer_path):
         raise ValueError(f"{tokenizer_path}: its ids depend on what stands between words")
     keep = list(keep)
-    source, n = W.pack_source(docs, keep, text_col), W.bucket_count(docs)
+    source = W.pack_source(docs, keep, text_col)
+    n = W.bucket_count(source.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0)
 
-    def answer(rows):
-        table: dict[bytes, int] = {}
-        for ws, _ in rows:
-            for w in ws:
-                table.setdefault(w, len(table))
-        ids = _encode(list(table), tokenizer_path)  # each distinct word once
-        return [_pack_ids([ids[table[w]] for w in ws]) for ws, _ in rows]
+    def begin():
+        held: dict[bytes, list[int]] = {}
 
-    def finish(table, texts, known, missing):
+        def answer(ws, _, __):
+            if len(held) > HELD_WORDS:
+                held.clear()
+            new = [w for w in ws if w not in held]
+            held.update(zip(new, _encode(new, tokenizer_path), strict=True))  # each distinct word once
+            return _pack_ids([held[w] for w in ws])
+
+        return answer
+
+    def finish(table, texts, known):
         at: dict[bytes, int] = {}
         parts = [_unpack_ids(p) for _, p in known]
         for ws, _ in known:
             at.update(zip(ws, range(len(at), len(at) + len(ws)), strict=True))
-        if missing:
-            parts.append(_unpack_ids(_pack_ids(_encode(missing, tokenizer_path))))
-            at.update(zip(missing, range(len(at), len(at) + len(missing)), strict=True))
         length = np.concatenate([np.zeros(0, np.int32), *(p[0] for p in parts)])
         flat = np.concatenate([np.zeros(0, np.int32), *(p[1] for p in parts)])
         del parts, known
@@ -134,8 +138,9 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, *, keep: tuple[str, ...]
         return pa.table([*kept, pa.chunked_array(ids, pa.list_(pa.int32())), pa.chunked_array(decoded, pa.string())], names=[*(f"k{i}" for i in range(len(keep))), "ids", "decoded"])
 
     schema = T.StructType([*(T.StructField(f"k{i}", docs.schema[c].dataType) for i, c in enumerate(keep)), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
-    replies = W.answers(W.vocabularies(source, n, lower=False, pack_bytes=pack_bytes), answer)
-    out = W.joined(source, replies, n, finish, schema, lower=False, pack_bytes=pack_bytes)
+    packed = W.texts(source, pack_bytes).repartition("pack")  # one exchange, read for the words and for the join
+    replies = W.answers(W.vocabularies(packed, n, lower=False), begin)
+    out = W.joined(packed, replies, n, finish, schema, lower=False)
     return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "ids", "decoded")
 
 

@@ -1,10 +1,14 @@
 """The distinct-word table: each distinct word of the corpus meets its data once, and goes back by position.
 
 Documents are taken in packs of a bounded size. A pack names each of its distinct words once, in word buckets
-(bucket = hash of the word). All packs' words of a bucket meet in one group, where each distinct word is looked at
-once; the answer goes back to the pack, which holds the texts, and is joined to the words there by position. So what
-is shuffled is each pack's vocabulary and a compressed copy of the texts, never a row for each token, and a very
-common word has one entry for each pack, not for each use.
+(bucket = hash of the word). All packs' words of a bucket stream through one task, bucket after bucket, where each
+distinct word is looked at once; the answer goes back to the pack, which holds the texts, and is joined to the words
+there by position. So what is shuffled is each pack's vocabulary and a compressed copy of the texts, never a row for
+each token, and a very common word has one entry for each pack, not for each use. A task holds the distinct words of
+one bucket at most, and the number of buckets grows with the texts.
+
+Packs are made once: in a table, or in an exchange that both readers share. So both see the same packs, however the
+input is cut.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import freeze, give_back, packs, prepare, table_bytes, text_of
+from .common import freeze, give_back, packs, prepare, table_bytes, text_of, thaw
 
 #: Bytes of text in a pack. A pack's texts, vocabulary and answers are in one Python worker's memory together.
 PACK_BYTES = 16 << 20
@@ -45,9 +49,9 @@ def in_buckets(words, n: int) -> Iterator[tuple[int, list[bytes]]]:
         yield int(b[order[start]]), [ordered[k] for k in order[start:stop]]
 
 
-def bucket_count(docs: DataFrame) -> int:
-    """Word buckets: in step with the shuffle partitions that the session is set to for its data."""
-    return 4 * max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+def bucket_count(text_bytes: int, pack_bytes: int = PACK_BYTES) -> int:
+    """Word buckets for so many bytes of text: distinct words grow more slowly than texts."""
+    return max(64, round((text_bytes / pack_bytes) ** 0.75))
 
 
 def pack_source(docs: DataFrame, keep: list[str], text_col: str) -> DataFrame:
@@ -55,67 +59,110 @@ def pack_source(docs: DataFrame, keep: list[str], text_col: str) -> DataFrame:
     return docs.select(*[docs[c].alias(f"k{i}") for i, c in enumerate(keep)], text_of(docs, text_col).alias("text"))
 
 
-def vocabularies(source: DataFrame, n: int, *, lower: bool, count: Callable | None = None, pack_bytes: int) -> DataFrame:
+def texts(source: DataFrame, pack_bytes: int) -> DataFrame:
+    """(pack, body): the packs, compressed."""
+    prepare(source.sparkSession)
+
+    def run(batches):
+        for pack, table in packs(batches, "text", pack_bytes):
+            yield pa.RecordBatch.from_arrays([pa.array([pack], pa.int64()), pa.array([freeze(table)], pa.binary())], names=["pack", "body"])
+
+    return source.mapInArrow(run, "pack long, body binary")
+
+
+def vocabularies(packed: DataFrame, n: int, *, lower: bool, count: Callable | None = None) -> DataFrame:
     """(pack, bucket, words, counts): each pack's distinct words by bucket, one to a line.
 
-    count: None, or from a pack's table to the rows (booleans) whose words are counted; counts then has an int32
-    for each word.
+    packed: see texts. count: None, or from a pack's table to the rows (booleans) whose words are counted; counts then
+    has an int64 for each word.
     """
-    prepare(source.sparkSession)
+    prepare(packed.sparkSession)
 
     def run(batches):
-        for pack, table in packs(batches, "text", pack_bytes):
-            texts = table_bytes(table.column("text"))
-            if count is None:
-                seen = set()
-                for t in texts:
-                    seen.update(split(t, lower))
-                number = None
-            else:
-                number = {}
-                for t, counted in zip(texts, count(table), strict=True):
-                    for w in split(t, lower):
-                        number[w] = number.get(w, 0) + counted
-                seen = number
-            rows = [(b, b"\n".join(ws), b"" if number is None else np.array([number[w] for w in ws], np.int32).tobytes()) for b, ws in in_buckets(seen, n)]
-            if rows:
-                bs, ws, cs = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array([pack] * len(bs), pa.int64()), pa.array(bs, pa.int32()), pa.array(ws, pa.binary()), pa.array(cs, pa.binary())], names=["pack", "bucket", "words", "counts"])
+        for batch in batches:
+            for pack, body in zip(batch.column("pack").to_pylist(), batch.column("body"), strict=True):
+                table = thaw(body.as_buffer())
+                text = table_bytes(table.column("text"))
+                if count is None:
+                    seen = set()
+                    for t in text:
+                        seen.update(split(t, lower))
+                    number = None
+                else:
+                    number = {}
+                    for t, counted in zip(text, count(table), strict=True):
+                        for w in split(t, lower):
+                            number[w] = number.get(w, 0) + counted
+                    seen = number
+                del text, table
+                rows = [(b, b"\n".join(ws), b"" if number is None else np.array([number[w] for w in ws], np.int64).tobytes()) for b, ws in in_buckets(seen, n)]
+                del seen, number
+                if rows:
+                    bs, ws, cs = zip(*rows, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array([pack] * len(bs), pa.int64()), pa.array(bs, pa.int32()), pa.array(ws, pa.binary()), pa.array(cs, pa.binary())], names=["pack", "bucket", "words", "counts"])
         give_back()
 
-    return source.mapInArrow(run, "pack long, bucket int, words binary, counts binary")
+    return packed.mapInArrow(run, "pack long, bucket int, words binary, counts binary")
 
 
-def answers(words: DataFrame, answer: Callable) -> DataFrame:
-    """(pack, bucket, check, payload): for each bucket, answer(list of (words, counts)) gives a payload for each."""
+def in_turn(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt by the first key, each task's in the order of all of them."""
+    return df.repartition(keys[0]).sortWithinPartitions(*keys)
 
-    def run(table: pa.Table) -> pa.Table:
-        rows = [(w.split(b"\n"), np.frombuffer(c, np.int32)) for w, c in zip(table.column("words").to_pylist(), table.column("counts").to_pylist(), strict=True)]
-        check = [zlib.crc32(w) for w in table.column("words").to_pylist()]
-        return pa.table({"pack": table.column("pack"), "bucket": table.column("bucket"), "check": pa.array(check, pa.int64()), "payload": pa.array(answer(rows), pa.binary())})
 
-    return words.groupBy("bucket").applyInArrow(run, "pack long, bucket int, check long, payload binary")
+def totals(vocabulary: DataFrame, most: int = 1 << 16) -> DataFrame:
+    """(pack, bucket, words, counts) with pack -1: each counted word of the corpus once, with its count."""
 
+    def run(batches):
+        bucket, number = None, {}
+
+        def out():
+            ws = sorted(number)
+            for k in range(0, len(ws), most):
+                part = ws[k : k + most]
+                yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int64()), pa.array([bucket], pa.int32()), pa.array([b"\n".join(part)], pa.binary()), pa.array([np.array([number[w] for w in part], np.int64).tobytes()], pa.binary())], names=["pack", "bucket", "words", "counts"])
+            number.clear()
+
+        for batch in batches:
+            for b, ws, cs in zip(*(batch.column(c).to_pylist() for c in ("bucket", "words", "counts")), strict=True):
+                if b != bucket:
+                    yield from out()
+                    bucket = b
+                for w, c in zip(ws.split(b"\n"), np.frombuffer(cs, np.int64).tolist(), strict=True):
+                    if c:
+                        number[w] = number.get(w, 0) + c
+        yield from out()
+        give_back()
 
-def texts(source: DataFrame, pack_bytes: int) -> DataFrame:
-    """(pack, body): the packs themselves, compressed."""
-    prepare(source.sparkSession)
+    return in_turn(vocabulary, "bucket").mapInArrow(run, "pack long, bucket int, words binary, counts binary")
+
+
+def answers(words: DataFrame, begin: Callable) -> DataFrame:
+    """(pack, bucket, check, payload): begin() makes a bucket's answer(words, counts), which gives each line's payload.
+
+    Lines of pack -1 come first in their bucket and have no payload: answer only learns from them.
+    """
 
     def run(batches):
-        for pack, table in packs(batches, "text", pack_bytes):
-            yield pa.RecordBatch.from_arrays([pa.array([pack], pa.int64()), pa.array([freeze(table)], pa.binary())], names=["pack", "body"])
+        bucket, answer = None, None
+        for batch in batches:
+            for p, b, ws, cs in zip(*(batch.column(c).to_pylist() for c in ("pack", "bucket", "words", "counts")), strict=True):
+                if b != bucket:
+                    bucket, answer = b, begin()
+                payload = answer(ws.split(b"\n"), np.frombuffer(cs, np.int64), p < 0)
+                if p >= 0:
+                    yield pa.RecordBatch.from_arrays([pa.array([p], pa.int64()), pa.array([b], pa.int32()), pa.array([zlib.crc32(ws)], pa.int64()), pa.array([payload], pa.binary())], names=["pack", "bucket", "check", "payload"])
+        give_back()
 
-    return source.mapInArrow(run, "pack long, body binary")
+    return in_turn(words, "bucket", "pack").mapInArrow(run, "pack long, bucket int, check long, payload binary")
 
 
-def joined(source: DataFrame, replies: DataFrame, n: int, finish: Callable, schema: str, *, lower: bool, pack_bytes: int) -> DataFrame:
-    """Each pack with its replies: finish(table, texts, known, missing) -> pa.Table.
+def joined(packed: DataFrame, replies: DataFrame, n: int, finish: Callable, schema: str, *, lower: bool) -> DataFrame:
+    """Each pack with its replies: finish(table, texts, known) -> pa.Table.
 
-    texts: of the pack, as bytes; known: (words of a bucket, payload) for each bucket. Should a
-    pack have been read in another order the second time (an input that is not read alike twice), some words have no
-    reply; they are in missing, and finish answers them itself. Nothing is lost by it.
+    texts: of the pack, as bytes; known: (words of a bucket, payload) for each bucket. A reply to other words than
+    the pack's is an error: packs are made once.
     """
-    from .common import thaw
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
@@ -127,15 +174,14 @@ def joined(source: DataFrame, replies: DataFrame, n: int, finish: Callable, sche
             seen = set()
             for t in text:  # words are split anew where they are needed: a list of all of them is far larger
                 seen.update(split(t, lower))
-            known, missing = [], []
+            known = []
             for b, ws in in_buckets(seen, n):
-                c, p = replied.get(b, (None, None))
-                if c == zlib.crc32(b"\n".join(ws)):
-                    known.append((ws, p))
-                else:
-                    missing.extend(ws)
+                c, p = replied[b]
+                if c != zlib.crc32(b"\n".join(ws)):
+                    raise RuntimeError("a pack's words and their replies differ")
+                known.append((ws, p))
             del seen
-            out.append(finish(table, text, known, missing))
+            out.append(finish(table, text, known))
         return pa.concat_tables(out) if out else None
 
     def safe(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -148,7 +194,7 @@ def joined(source: DataFrame, replies: DataFrame, n: int, finish: Callable, sche
 
     kind = _parse_datatype_string(schema) if isinstance(schema, str) else schema
     empty = to_arrow_schema(kind).empty_table()
-    return texts(source, pack_bytes).groupBy("pack").cogroup(replies.groupBy("pack")).applyInArrow(safe, kind)
+    return packed.groupBy("pack").cogroup(replies.groupBy("pack")).applyInArrow(safe, kind)
 
 
 def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -45,19 +45,20 @@ def test_bpe_repeated_and_null_ids(spark):
     assert bpe.encode_decode(d.filter("doc_id = 1"), WORD, keep=("text",)).first()["text"] == "c"
 
 
-def test_bpe_answers_missing_words(spark):
-    """A pack that was read in another order the second time still gives whole results."""
-    d = table(spark, ["one two", "three"], False)
-    source = words.pack_source(d, ["doc_id"], "text")
-    replies = words.answers(words.vocabularies(source.filter("text = 'three'"), 64, lower=False, pack_bytes=1 << 20), lambda rows: [b"" for _ in rows])
+def test_packs_are_made_once(spark):
+    """Words and texts are read from one and the same exchange."""
+    out = bpe.encode_decode(table(spark), WORD)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReusedExchange") >= 1
 
-    def finish(table, texts, known, missing):
-        import pyarrow as pa
 
-        return pa.table({"k0": table.column("k0"), "n": pa.array([len(missing)] * table.num_rows, pa.int32())})
-
-    out = words.joined(source.coalesce(1), replies, 64, finish, "k0 long, n int", lower=False, pack_bytes=1 << 20).collect()
-    assert {r["n"] for r in out} <= {2, 3} and len(out) == 2
+def test_a_bucket_with_more_words_than_are_held(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "HELD_WORDS", 2)
+    t = Tokenizer.from_file(WORD)
+    texts = [" ".join(f"w{i * j}" for j in range(60)) for i in range(20)]
+    rows = bpe.encode_decode(table(spark, texts, False).repartition(4), WORD, pack_bytes=500).collect()
+    assert sorted((r["doc_id"], r["ids"]) for r in rows) == [(i, t.encode(x, add_special_tokens=False).ids) for i, x in enumerate(texts)]
 
 
 def test_bpe_refuses_other_tokenizers(spark):
@@ -118,14 +119,76 @@ def test_lm(spark):
     assert {(r["n_known"], r["train_tokens"]) for r in none.collect()} == {(0, 0)}
 
 
-def test_lm_is_normalised():
-    rng = np.random.default_rng(0)
-    counts = rng.poisson(0.4, (36, 6)).astype(float)
-    p = np.exp(lm.train(counts, dimensions=4, epochs=30))
-    assert np.allclose(p.sum(1), 1)
-    base = np.log(counts.sum(0) / counts.sum())
-    assert (counts * np.log(p)).sum() > (counts * base).sum()
-    assert np.allclose(np.exp(lm.train(np.zeros((36, 6)))).sum(1), 1)
+def test_lm_score_by_brute_force(spark):
+    """Every token's probability written out: class, symbol in its class, word in its symbol; and all outcomes add up to 1."""
+    rng = np.random.default_rng(5)
+    pool = ["".join(rng.choice(list("abcd"), 3)) for _ in range(60)]
+    texts = [" ".join(rng.choice(pool, 25, p=np.arange(60, 0, -1) / 1830)) for _ in range(120)] + ["never seen " + pool[0], None]
+    d = table(spark, texts).repartition(3)
+    tagged, w, m = lm.fitted(d)
+    rows = {r["doc_id"]: r for r in lm.score(d).collect()}
+    new = (w.once + 1) / (w.once + 2 * w.twice + 2) if w.once else 1.0
+    known = {i: [x.decode() for x in (t or "").lower().encode().split()] for i, t in enumerate(texts)}
+    from collections import Counter
+
+    c = Counter(x for i, t in known.items() if zlib.crc32(str(i).encode()) % 7 != 2 for x in t)
+
+    def symbol(word):
+        if word is None:
+            return lm.END
+        if c[word] <= 1:
+            return lm.RARE
+        return w.number.get(word.encode(), lm.TAILS + lm.suffix_class(word.encode(), w.classes))
+
+    def share(word):
+        s = symbol(word)
+        if s == lm.RARE:
+            return new if not c[word] else (1 - new) / w.once
+        return c[word] / w.mass[s - lm.TAILS] if lm.TAILS <= s < lm.TAILS + w.classes else 1.0
+
+    def distribution(before):
+        h = sum(m.context[b].astype(float) * m.weight[k] for k, b in enumerate(before))
+        klass = np.exp(m.klass[:, :-1].astype(float) @ h + m.klass[:, -1])
+        symbols = np.exp(m.symbol[:, :-1].astype(float) @ h + m.symbol[:, -1])
+        return (klass / klass.sum())[w.klass] * symbols / np.bincount(w.klass, symbols)[w.klass]
+
+    for i in (0, 1, 57, 120, 121):
+        tokens, want = [*known[i], None], 0.0
+        for k, word in enumerate(tokens):
+            before = [symbol(tokens[k - j - 1]) if k > j else lm.END for j in range(lm.CONTEXT)]
+            p = distribution(before)
+            assert p.sum() == pytest.approx(1)
+            want += math.log10(p[symbol(word)] * share(word))
+        assert rows[i]["score"] == pytest.approx(want, rel=1e-3)
+    assert w.once == 0 or new + (1 - new) == pytest.approx(1)
+    assert all(w.mass[k] == sum(n for x, n in c.items() if symbol(x) == lm.TAILS + k) for k in range(w.classes))
+
+
+def test_lm_learns_from_context(spark):
+    """Words that follow one another are likelier than by their frequency, also in held-out texts."""
+    rng = np.random.default_rng(2)
+    texts = []
+    for _ in range(300):
+        side = rng.integers(2)
+        texts.append(" ".join(rng.choice([f"{'xy'[side]}{k}" for k in range(20)], 30)))
+    d = table(spark, texts, False)
+    held = lm.score(d).filter("held_out").agg(F.sum("score"), F.sum("n_tokens")).first()
+    flat = lm.score(d, rounds=0).filter("held_out").agg(F.sum("score")).first()
+    assert held[0] - flat[0] > 0.15 * held[1]  # at most log10(2) a token
+
+
+def test_lm_edges(spark, monkeypatch):
+    """Null and repeated ids, one long text, clashing columns; another cut of the input gives the same counts."""
+    rows = [(None, "a b"), (None, "a b"), (3, "a b c"), (3, "b a"), (4, "w x y z " * 60000), (5, None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").withColumn("out", F.lit(1)).withColumn("pack", F.lit("p")).withColumn("symbols", F.lit(0)).withColumn("id", F.lit(9))
+    first = sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in lm.score(d.repartition(3)).collect())
+    assert [x[:2] for x in first] == [("3", 3), ("3", 4), ("4", 240001), ("5", 1), ("None", 3), ("None", 3)]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000000")
+    try:
+        again = sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in lm.score(d.coalesce(1), pack_bytes=20).collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [x[:4] for x in again] == [x[:4] for x in first] and [x[4] for x in again] == pytest.approx([x[4] for x in first])
 
 
 def test_chains_are_exact():
