@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,9 +47,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def stable(df: DataFrame) -> DataFrame:
-    """df, which is read alike at every reading: written to a table if rows are dealt out anew in making it."""
-    return written(df, "stable") if "Exchange" in df._jdf.queryExecution().executedPlan().toString() else df
+#: Spark's own Bloom filters below a shuffle, for joins of a large table with a selected smaller one, whatever their
+#: sizes. A filter has 8 MB at most; beyond what it can tell apart it only lets more rows through.
+_SCREENS = {"spark.sql.optimizer.runtime.bloomFilter.enabled": "true", "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0", "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1TB"}
+
+
+@contextmanager
+def screened(spark: SparkSession):
+    """Joins that run in this block screen the larger side by a Bloom filter of the smaller one's keys."""
+    before = {k: spark.conf.get(k) for k in _SCREENS}
+    for k, v in _SCREENS.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def in_written_order(rows: DataFrame, *columns: str) -> tuple[DataFrame, int, int]:

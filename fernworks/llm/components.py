@@ -8,13 +8,26 @@ from pyspark.sql import functions as F
 from .common import written
 
 MAX_ROUNDS = 100
+#: Neighbours from which a node is a hub; there are at most (twice the edges) / HUB of them.
+HUB = 512
+
+
+def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """edges (a, b) with m from least (a, m, n), n being how many edges a has."""
+    least = written(least, "least")
+    hubs = written(least.filter(F.col("n") > HUB).select("a", F.col("m").alias("hub_m")), "hubs")  # its size is known: Spark sends it to the edges where it is small
+    rows = edges.join(hubs, "a", "left")
+    far = rows.filter("hub_m is not null").select("a", "b", F.col("hub_m").alias("m"))
+    near = rows.filter("hub_m is null").select("a", "b").join(least.filter(F.col("n") <= HUB).select("a", "m"), "a")
+    return far.unionByName(near.select("a", "b", "m"))
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of edges (a, b); root is the smallest node of its component.
 
-    Nodes are of any type that can be ordered. A node with very many neighbours is first reduced to its smallest one
-    by a partial aggregation and then joined back, so no task holds a node's neighbours. The rounds grow as the
+    Nodes are of any type that can be ordered. A node's smallest neighbour is found by a partial aggregation and joined
+    back to its edges; the edges of hubs take it from a small table of their own, and are not brought together by the
+    hub for it, so no task has all edges of a node with very many neighbours. The rounds grow as the
     logarithm of the longest path; MAX_ROUNDS only guards against a fault. Repeated edges and loops have no effect.
     """
     edges = written(edges.filter("a is not null and b is not null"), "edges")  # read twice, and maybe dear to make
@@ -26,11 +39,11 @@ def components(edges: DataFrame) -> DataFrame:
         if before[0] == 0:
             break
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
+        least = both.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")).select("a", F.least("a", "m").alias("m"), "n")
+        large = _with_least(both, least).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
         large = written(large, "large")  # all point down: a > b
-        small = large.groupBy("a").agg(F.min("b").alias("m"))
-        moved = large.join(small, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+        moved = _with_least(large, small).filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = written(moved.union(small.select("a", F.col("m").alias("b"))).distinct(), "edges")
         after = mark(now)
         if after == before:

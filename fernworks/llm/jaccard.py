@@ -13,8 +13,9 @@ words is one shingle). Two texts are linked if the Jaccard similarity of their s
 4. The components of the verified links are the classes.
 
 A large bucket or group is cut into chunks by hash, and pairs of chunks are compared in different tasks; a chunk's rows
-go to each. That work grows with the square of a group of *different* texts that all may be linked, as the number of
-links does; copies have no part in it.
+go to each. A chunk of a group is bounded by rows and by bytes of text. That work grows with the square of a group of
+*different* texts that all may be linked, as the number of links does; copies have no part in it. In a long chain of
+texts, where few are links, the square is one of short comparisons of MinHash values only.
 
 Chances of a miss at similarity 0.8 exactly: no common band (1 - 0.8**3)**16 = 1e-5, and pruned wrongly at most the
 tolerance in each of eight steps, in both of two passes. A text that a band has missed is still compared with all
@@ -23,7 +24,7 @@ others if any similar text has brought it into the group.
 Defined cases. Null text, or one without words: no shingles, no links, a class of its own. Repeated rows: copies of
 each other. Null ids: allowed; the class id is the smallest id that is not null. Ties: none, 0.8 itself links. Empty
 table: no rows. Other columns are left out by `jaccard_classes` and kept by `one_of_each`. A text of any length is
-taken whole.
+taken whole; long near copies are compared few at a time.
 """
 
 from __future__ import annotations
@@ -37,14 +38,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import give_back, prepare, table_bytes, text_of, written
+from .common import give_back, prepare, screened, table_bytes, text_of, written
 from .components import components
 from .words import LOWER
 
 WORDS, THRESHOLD, TOLERANCE = 5, 0.8, 1e-6
 VALUES, STEP, BANDS, ROWS = 64, 8, 16, 3
-#: Texts in a chunk of a bucket, and in a chunk of a group.
-BUCKET_CHUNK, GROUP_CHUNK = 4096, 512
+#: Texts in a chunk of a bucket, texts in a chunk of a group, and bytes of text in one.
+BUCKET_CHUNK, GROUP_CHUNK, GROUP_BYTES = 4096, 512, 16 << 20
 
 _MIX1, _MIX2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -183,15 +184,16 @@ def _fixed(column: pa.ChunkedArray, kind, width: int) -> np.ndarray:
 
 
 def _sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(k0, tkey, n, sig, bands) for each row: id, digest of the text, number of shingles, values, band keys."""
+    """(k0, tkey, n, bytes, sig, bands) for each row: id, digest of the text, number of shingles, length, values, band keys."""
     text = text_of(docs, text_col)
     source = docs.select(F.col(id_col).alias("k0"), F.unhex(F.md5(text.cast("binary"))).alias("tkey"), text.alias("text"))
     band = np.arange(BANDS, dtype=np.uint64)
 
     def run(batches):
         for batch in batches:
-            n, sigs, bands = [], [], []
+            n, size, sigs, bands = [], [], [], []
             for t in table_bytes(batch.column("text")):
+                size.append(len(t))
                 sh = shingles(t)
                 v = minhash(sh)
                 n.append(len(sh))
@@ -201,15 +203,15 @@ def _sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     h = _mix(h * _STEP + v[r * BANDS : (r + 1) * BANDS])
                 bands.append(h.astype(np.int64))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * BANDS, pa.int32()), pa.array(np.concatenate(bands) if bands else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("k0"), batch.column("tkey"), pa.array(n, pa.int32()), pa.array(sigs, pa.binary()), lists], names=["k0", "tkey", "n", "sig", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column("k0"), batch.column("tkey"), pa.array(n, pa.int32()), pa.array(size, pa.int64()), pa.array(sigs, pa.binary()), lists], names=["k0", "tkey", "n", "bytes", "sig", "bands"])
 
-    kind = T.StructType([T.StructField("k0", docs.schema[id_col].dataType), *T._parse_datatype_string("tkey binary, n int, sig binary, bands array<long>").fields])
+    kind = T.StructType([T.StructField("k0", docs.schema[id_col].dataType), *T._parse_datatype_string("tkey binary, n int, bytes long, sig binary, bands array<long>").fields])
     return source.mapInArrow(run, kind)
 
 
-def _chunked(rows: DataFrame, key: str, size: DataFrame, chunk: int) -> DataFrame:
-    """rows with side, lo, hi: each row in every pair of chunks of its key that has its own chunk."""
-    large = size.filter(F.col("size") > chunk).select(key, F.ceil(F.col("size") / chunk).cast("int").alias("chunks"))
+def _chunked(rows: DataFrame, key: str, chunks: DataFrame) -> DataFrame:
+    """rows with side, lo, hi: each row in every pair of chunks of its key that has its own chunk. chunks: (key, chunks)."""
+    large = chunks.filter("chunks > 1").select(key, F.col("chunks").cast("int").alias("chunks"))
     large = written(large, "large")  # its size is then known: where it is small, as ever but in very large groups, rows stay where they are
     out = rows.join(large, key, "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
     out = out.withColumn("side", F.pmod(F.xxhash64("tkey"), F.col("chunks")).cast("int"))
@@ -224,7 +226,7 @@ def _dealt(df: DataFrame, *keys: str) -> DataFrame:
 def _bucket_edges(classes: DataFrame, threshold: float, tolerance: float) -> DataFrame:
     """(a, b): spanning forests of what is left of each bucket."""
     rows = classes.select("tkey", F.explode("bands").alias("band"), "sig")
-    size = rows.groupBy("band").agg(F.count(F.lit(1)).alias("size"))
+    chunks = rows.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BUCKET_CHUNK).alias("chunks"))
     keys = ["band", "lo", "hi"]
 
     def run(batches):
@@ -254,32 +256,38 @@ def _bucket_edges(classes: DataFrame, threshold: float, tolerance: float) -> Dat
                 edges += [(s + i, s + j) for i, j in forest.edges]
             yield pa.RecordBatch.from_arrays([pa.array([tkey[i] for i, _ in edges], pa.binary()), pa.array([tkey[j] for _, j in edges], pa.binary())], names=["a", "b"])
 
-    dealt = _dealt(_chunked(rows, "band", size, BUCKET_CHUNK).select(*keys, "tkey", "sig"), *keys)
+    dealt = _dealt(_chunked(rows, "band", chunks).select(*keys, "tkey", "sig"), *keys)
     return dealt.mapInArrow(run, "a binary, b binary").filter("a != b").distinct()
 
 
-def verified(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
-    """Which of the pairs (i, j), sorted by i, have a Jaccard similarity of at least threshold: exactly."""
-    ids, flat = np.unique(np.concatenate(sets), return_inverse=True)
-    size = np.array([len(s) for s in sets])
-    begin = np.cumsum(size) - size
-    ok = np.zeros(len(i), bool)
-    mark = np.zeros(len(ids), np.int32)
-    cuts = np.flatnonzero(np.diff(i, prepend=-1)) if len(i) else []
-    for k, a in enumerate(cuts):
-        z = cuts[k + 1] if k + 1 < len(cuts) else len(i)
-        own = flat[begin[i[a]] : begin[i[a]] + size[i[a]]]
-        mark[own] = 1
-        for c in range(a, z, 256):
-            js = j[c : min(z, c + 256)]
-            n = size[js]
-            ends = np.cumsum(n)
-            at = np.arange(ends[-1]) + np.repeat(begin[js] - (ends - n), n)
-            common = np.add.reduceat(mark[flat[at]], ends - n)
-            union = size[i[a]] + n - common
-            ok[c : c + len(js)] = common >= threshold * union - 1e-9
-        mark[own] = 0
-    return ok
+class Sets:
+    """Sets of shingles, renumbered once so that a set's members can be marked in an array."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.size = np.array([len(s) for s in sets], np.int64)
+        self.begin = np.cumsum(self.size) - self.size
+        ids, self.flat = np.unique(np.concatenate(sets), return_inverse=True)
+        self.mark = np.zeros(len(ids), bool)
+
+    def verified(self, i: np.ndarray, j: np.ndarray, threshold: float, at_once: int = 1 << 20) -> np.ndarray:
+        """Which of the pairs (i, j), sorted by i, have a Jaccard similarity of at least threshold: exactly."""
+        ok = np.zeros(len(i), bool)
+        cuts = np.append(np.flatnonzero(np.diff(i, prepend=-1)), len(i))
+        for a, z in zip(cuts[:-1], cuts[1:], strict=True):
+            one = self.size[i[a]]
+            own = self.flat[self.begin[i[a]] : self.begin[i[a]] + one]
+            self.mark[own] = True
+            c = a
+            while c < z:  # as many others as have about at_once shingles together
+                ends = np.cumsum(self.size[j[c:z]])
+                e = c + max(1, int(np.searchsorted(ends, at_once, side="right")))
+                n, ends = self.size[j[c:e]], ends[: e - c]
+                at = np.arange(ends[-1]) + np.repeat(self.begin[j[c:e]] - (ends - n), n)
+                common = np.add.reduceat(self.mark[self.flat[at]].astype(np.int64), ends - n)
+                ok[c:e] = common >= threshold * (one + n - common) - 1e-9
+                c = e
+            self.mark[own] = False
+        return ok
 
 
 def _group_links(members: DataFrame, threshold: float, tolerance: float) -> DataFrame:
@@ -302,14 +310,18 @@ def _group_links(members: DataFrame, threshold: float, tolerance: float) -> Data
                 if len(rows) < 2:
                     continue
                 sig = every[rows]
-                sets = [shingles(texts[int(x)].as_buffer().to_pybytes()) for x in rows]
+                sets = None
                 side = None if los[s] == his[s] else sides[rows]
                 links, near = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
                 forest = Forest(len(rows))
                 for i, j in tiles(len(rows), side):
                     alive = survivors(sig, i, j, threshold, tolerance)
                     i, j = i[alive], j[alive]
-                    ok = verified(sets, i, j, threshold)
+                    if not len(i):
+                        continue
+                    if sets is None:
+                        sets = Sets([shingles(texts[int(x)].as_buffer().to_pybytes()) for x in rows])
+                    ok = sets.verified(i, j, threshold)
                     i, j = i[ok], j[ok]
                     np.add.at(links, i, copies[rows[j]])
                     np.add.at(links, j, copies[rows[i]])
@@ -323,25 +335,27 @@ def _group_links(members: DataFrame, threshold: float, tolerance: float) -> Data
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.binary(), pa.binary(), pa.int64(), pa.int64()), strict=True)], names=["a", "b", "links", "texts"])
         give_back()
 
-    size = members.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    return lambda with_text: _dealt(_chunked(with_text, "root", size, GROUP_CHUNK).select(*keys, "side", "tkey", "copies", "sig", "text"), *keys).mapInArrow(run, "a binary, b binary, links long, texts long")
+    chunks = members.groupBy("root").agg(F.greatest(F.ceil(F.count(F.lit(1)) / GROUP_CHUNK), F.ceil(F.sum("bytes") / GROUP_BYTES)).alias("chunks"))
+    return lambda with_text: _dealt(_chunked(with_text, "root", chunks).select(*keys, "side", "tkey", "copies", "sig", "text"), *keys).mapInArrow(run, "a binary, b binary, links long, texts long")
 
 
 def _classified(docs: DataFrame, id_col: str, text_col: str, threshold: float, tolerance: float) -> tuple[DataFrame, DataFrame]:
     """Rows (k0, tkey, n), and texts (tkey, n, copies, first, class_id, links)."""
     prepare(docs.sparkSession)
     rows = written(_sketches(docs, id_col, text_col), "sketches")
-    classes = rows.filter("n > 0").groupBy("tkey").agg(F.count(F.lit(1)).alias("copies"), F.min("k0").alias("first"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
+    classes = rows.filter("n > 0").groupBy("tkey").agg(F.count(F.lit(1)).alias("copies"), F.min("k0").alias("first"), F.first("bytes").alias("bytes"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
     classes = written(classes, "classes")
     near = components(_bucket_edges(classes, threshold, tolerance))
     members = written(near.withColumnRenamed("node", "tkey").join(classes.drop("bands"), "tkey"), "members")
     text = text_of(docs, text_col)
     source = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(text.cast("binary"))).alias("key"), text.alias("text"))
-    with_text = source.join(members, (source["key"] == members["tkey"]) & source["id"].eqNullSafe(members["first"])).select("root", "tkey", "copies", "sig", "text")
-    links = written(_group_links(members, threshold, tolerance)(with_text), "links")
+    member = members.filter("copies > 0")  # all are; a filter lets Spark screen the texts by members before it moves them
+    with_text = source.join(member, (source["key"] == member["tkey"]) & source["id"].eqNullSafe(member["first"])).select("root", "tkey", "copies", "sig", "text")
+    with screened(docs.sparkSession):
+        links = written(_group_links(members, threshold, tolerance)(with_text), "links")
     final = components(links.filter("b is not null").select("a", "b"))
     counts = links.filter("b is null").groupBy("a").agg(F.sum("links").alias("links"), F.sum("texts").alias("texts"))
-    texts = classes.drop("sig", "bands").join(final.withColumnRenamed("node", "tkey"), "tkey", "left").withColumn("root", F.coalesce("root", "tkey"))
+    texts = classes.drop("sig", "bands", "bytes").join(final.withColumnRenamed("node", "tkey"), "tkey", "left").withColumn("root", F.coalesce("root", "tkey"))
     texts = texts.join(counts.withColumnRenamed("a", "tkey"), "tkey", "left").fillna(0, ["links", "texts"])
     least = texts.groupBy("root").agg(F.min("first").alias("class_id"))
     return rows.select("k0", "tkey", "n"), texts.join(least, "root")

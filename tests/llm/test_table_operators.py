@@ -70,7 +70,24 @@ def test_jaccard_edges(spark):
 
 def test_exact_threshold():
     a, b = np.arange(9, dtype=np.uint64), np.arange(1, 10, dtype=np.uint64)  # 8 of 10
-    assert jaccard.verified([a, b, a[:7]], np.array([0, 0]), np.array([1, 2]), 0.8).tolist() == [True, False]
+    sets = jaccard.Sets([a, b, a[:7]])
+    for at_once in (1, 1 << 20):
+        assert sets.verified(np.array([0, 0]), np.array([1, 2]), 0.8, at_once).tolist() == [True, False]
+
+
+def test_long_near_copies(spark, monkeypatch):
+    """Long texts that are nearly alike are cut into chunks by their bytes, and none is cut short."""
+    monkeypatch.setattr(jaccard, "GROUP_BYTES", 200_000)
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(15_000)]
+    rows = []
+    for i in range(9):
+        t = list(base)
+        t[-1] = f"end{i}"  # only the last word differs
+        rows.append((i, " ".join(t)))
+    rows.append((9, " ".join(base[:9_000])))
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(tuple(r) for r in jaccard.jaccard_classes(d).collect()) == [(i, 0, 8, 8, 1) for i in range(9)] + [(9, 9, 0, 0, 1)]
 
 
 def test_pruning_keeps_links():
@@ -109,6 +126,13 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a int, b int")).count() == 0
 
 
+def test_components_of_hubs(spark, monkeypatch):
+    monkeypatch.setattr(components, "HUB", 3)
+    edges = [(0, x) for x in range(1, 30)] + [(99, x) for x in range(20, 60)] + [(200, 201), (201, 202), (202, 203)]
+    got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(edges, "a int, b int")).collect()}
+    assert got == {**{x: 0 for x in [*range(60), 99]}, 200: 200, 201: 200, 202: 200, 203: 200}
+
+
 def filled(sizes, weights, most=3):
     """Targets by repeated resharing."""
     total, fixed = sum(sizes), {}
