@@ -127,9 +127,9 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, *, keep: tuple[str, ...]
         for k in range(0, len(texts), SLICE_TEXTS):  # results are made slice by slice, so that no list of all of them is held
             todo, spoken = [], []
             for t in texts[k : k + SLICE_TEXTS]:
-                here = [at[w] for w in W.split(t, False)]
-                todo.append(np.array(here, np.int32))
-                spoken.append(b" ".join([spelt[i] for i in here if length[i]] if none else [spelt[i] for i in here]))
+                here = W.positions(t, False, at)
+                todo.append(here)
+                spoken.append(b" ".join(map(spelt.__getitem__, (here[length[here] > 0] if none else here).tolist())))
             got, each = W.gather(flat, start, length, np.concatenate(todo))
             ends = np.concatenate([[0], np.cumsum(each)])[np.cumsum([0, *map(len, todo)])]
             ids.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(got, pa.int32())))

@@ -14,6 +14,7 @@ input is cut.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -34,13 +35,27 @@ def split(text: bytes, lower: bool) -> list[bytes]:
     return (text.translate(LOWER) if lower else text).split()
 
 
+def distinct(texts: list[bytes], lower: bool) -> dict[bytes, None]:
+    """The words of texts, in the order in which they first come up."""
+    out: dict[bytes, None] = {}
+    for t in texts:
+        out.update(dict.fromkeys(split(t, lower)))
+    return out
+
+
+def positions(text: bytes, lower: bool, at: dict[bytes, int]) -> np.ndarray:
+    """The number of each word of a text."""
+    ws = split(text, lower)
+    return np.fromiter(map(at.__getitem__, ws), np.int32, len(ws))
+
+
 def buckets_of(words: list[bytes], n: int) -> np.ndarray:
     return np.fromiter((zlib.crc32(w) for w in words), np.int64, len(words)) % n
 
 
 def in_buckets(words, n: int) -> Iterator[tuple[int, list[bytes]]]:
-    """Distinct words by bucket, each sorted: the order is the same wherever it is made again."""
-    ordered = sorted(words)
+    """Distinct words by bucket, in the order given: that in which they first come up in their pack."""
+    ordered = list(words)
     b = buckets_of(ordered, n)
     order = np.argsort(b, kind="stable")
     cuts = np.flatnonzero(np.diff(b[order], prepend=-1))
@@ -84,19 +99,19 @@ def vocabularies(packed: DataFrame, n: int, *, lower: bool, count: Callable | No
                 table = thaw(body.as_buffer())
                 text = table_bytes(table.column("text"))
                 if count is None:
-                    seen = set()
-                    for t in text:
-                        seen.update(split(t, lower))
-                    number = None
+                    number = distinct(text, lower)
                 else:
-                    number = {}
+                    number, left_out = Counter(), Counter()
                     for t, counted in zip(text, count(table), strict=True):
-                        for w in split(t, lower):
-                            number[w] = number.get(w, 0) + counted
-                    seen = number
+                        ws = split(t, lower)
+                        number.update(ws)
+                        if not counted:
+                            left_out.update(ws)
+                    for w, k in left_out.items():
+                        number[w] -= k
                 del text, table
-                rows = [(b, b"\n".join(ws), b"" if number is None else np.array([number[w] for w in ws], np.int64).tobytes()) for b, ws in in_buckets(seen, n)]
-                del seen, number
+                rows = [(b, b"\n".join(ws), b"" if count is None else np.fromiter(map(number.__getitem__, ws), np.int64, len(ws)).tobytes()) for b, ws in in_buckets(number, n)]
+                del number
                 if rows:
                     bs, ws, cs = zip(*rows, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array([pack] * len(bs), pa.int64()), pa.array(bs, pa.int32()), pa.array(ws, pa.binary()), pa.array(cs, pa.binary())], names=["pack", "bucket", "words", "counts"])
@@ -171,9 +186,7 @@ def joined(packed: DataFrame, replies: DataFrame, n: int, finish: Callable, sche
             table = thaw(body)
             text = table_bytes(table.column("text"))
             table = table.drop_columns("text")
-            seen = set()
-            for t in text:  # words are split anew where they are needed: a list of all of them is far larger
-                seen.update(split(t, lower))
+            seen = distinct(text, lower)  # words are split anew where they are needed: a list of all of them is far larger
             known = []
             for b, ws in in_buckets(seen, n):
                 c, p = replied[b]
