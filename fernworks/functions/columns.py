@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -36,3 +36,22 @@ def norm(a: Column, floor: float = 1e-10) -> Column:
 def weighted_mean(x: Column, w: Column) -> Column:
     """sum(x w) / sum(w) in a group; the plain mean where the weights sum to zero."""
     return F.coalesce(F.try_divide(F.sum(x * w), F.sum(w)), F.avg(x))
+
+
+def yes_probability(log_yes: Column, log_no: Column) -> Column:
+    """yes / (yes + no) from two log-probabilities."""
+    return 1.0 / (1.0 + F.exp(log_no - log_yes))
+
+
+def expected_rating(logs: Column) -> Column:
+    """The sum of i * p(i) over ratings from 1, p being the exponentials of an array of log-probabilities scaled to sum to one."""
+    add = lambda a, x: a + x
+    p = F.transform(logs, lambda x: F.exp(x - F.array_max(logs)))
+    return F.aggregate(F.transform(p, lambda x, i: x * (i + 1)), F.lit(0.0), add) / F.aggregate(p, F.lit(0.0), add)
+
+
+def joined(left: DataFrame, right: DataFrame, on: str, suffixes: tuple[str, str], how: str = "inner") -> DataFrame:
+    """left and right joined on `on`; columns that both have get a suffix each."""
+    both = set(left.columns) & set(right.columns) - {on}
+    named = lambda df, suffix: df.select(*[F.col(c).alias(c + suffix) if c in both else F.col(c) for c in df.columns])
+    return named(left, suffixes[0]).join(named(right, suffixes[1]), on, how)

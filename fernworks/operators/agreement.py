@@ -6,6 +6,7 @@ by (ad, code); unions come from sizes and sums, so no outer join is needed.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -217,6 +218,13 @@ def head_to_head(first: DataFrame, second: DataFrame, ratings: DataFrame) -> Dat
     return x.agg(F.count_if(F.col("a") > F.col("b")).alias("wins_a"), F.count_if(F.col("a") < F.col("b")).alias("wins_b"), F.count_if(F.col("a") == F.col("b")).alias("ties"))
 
 
+def rating_distribution(rankings: dict[str, DataFrame], ratings: DataFrame) -> DataFrame:
+    """(ranking, rating, n, share): how often each rating comes up in each ranking (ad, code), and its share there."""
+    long = reduce(DataFrame.unionByName, [r.select(F.lit(name).alias("ranking"), "ad", "code") for name, r in rankings.items()])
+    n = long.join(ratings, ["ad", "code"]).groupBy("ranking", "rating").agg(F.count(F.lit(1)).alias("n"))
+    return n.join(n.groupBy("ranking").agg(F.sum("n").alias("all")), "ranking").select("ranking", "rating", "n", (F.col("n") / F.col("all")).alias("share"))
+
+
 def variant_agreement(runs: DataFrame, reference: str, k: int, group: Column) -> DataFrame:
     """(run, top1, topk, group_agreement) of each other run against the reference, over the common ads.
 

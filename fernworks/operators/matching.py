@@ -40,6 +40,26 @@ def validated(responses: DataFrame, sizes: DataFrame) -> DataFrame:
     return r.select("ad_id", "keep", error.alias("error"))
 
 
+def rated_tasks(answers: DataFrame) -> DataFrame:
+    """(id, exposure, confidence, error) of (id, data): a task's exposure of 0, 1 or 2 with a confidence from 0 to 1; error null where so."""
+    r = answers.withColumn("r", F.from_json("data", "occupation string, task string, reasoning string, exposure int, confidence_0to1 double"))
+    e, c = F.col("r.exposure"), F.col("r.confidence_0to1")
+    lacks = F.exists(F.array("r.occupation", "r.task", "r.reasoning", e.cast("string"), c.cast("string")), lambda x: x.isNull())
+    error = (
+        F.when(F.col("r").isNull() | lacks, "ValidationError: a field is missing or of another type").when(~e.isin(0, 1, 2), F.concat(F.lit("exposure must be 0, 1, or 2, got "), e.cast("string")))
+        .when((c < 0) | (c > 1) | F.isnan(c), F.concat(F.lit("confidence must be in [0, 1], got "), c.cast("string")))
+    )
+    return r.select("id", F.when(error.isNull(), e).alias("exposure"), F.when(error.isNull(), c).alias("confidence"), error.alias("error"))
+
+
+def pair_answers(answers: DataFrame) -> DataFrame:
+    """(id, outcome, error) of (id, data): which of a pair is more exposed, A, B or tie; error null where so."""
+    said = F.from_json("data", "more_exposed string")["more_exposed"]
+    r = answers.withColumn("said", said)
+    good = F.col("said").isin("A", "B", "tie")
+    return r.select("id", F.when(good, F.col("said")).alias("outcome"), F.when(~F.coalesce(good, F.lit(False)), "ValidationError: more_exposed must be A, B or tie").alias("error"))
+
+
 def split_by_response(candidates: DataFrame, responses: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Kept candidates, ranked anew from 0 in their old order, and dropped ones with their original_rank.
 
@@ -63,19 +83,17 @@ def error_class(error: Column) -> Column:
 
 
 def first_json(text: str | None, valid=None) -> str | None:
-    """The first JSON object inside prose: the earliest opening brace, and for it the latest closing one, that parses."""
-    text = text or ""
-    ends = [i for i, c in enumerate(text) if c == "}"]
-    for start in (i for i, c in enumerate(text) if c == "{"):
-        for end in reversed(ends):
-            if end < start:
-                break
-            try:
-                found = json.loads(text[start : end + 1])
-                if isinstance(found, dict) and (valid is None or valid(found)):
-                    return text[start : end + 1]
-            except ValueError:
-                continue
+    """The first JSON object inside prose: from the earliest opening brace at which one begins; each is parsed once."""
+    text, decoder = text or "", json.JSONDecoder()
+    start = text.find("{")
+    while start >= 0:
+        try:
+            found, end = decoder.raw_decode(text, start)
+            if valid is None or valid(found):
+                return text[start:end]
+        except (ValueError, RecursionError):
+            pass
+        start = text.find("{", start + 1)
     return None
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .registry import QUERIES, SQL
 
-for _name in ("q_vectors", "q_matching", "q_exposure", "q_scoring", "q_stats", "q_agreement", "q_pairwise", "q_sources"):
+for _name in ("q_vectors", "q_matching", "q_exposure", "q_scoring", "q_stats", "q_agreement", "q_pairwise", "q_sources", "q_files"):
     import_module(f"{__package__}.{_name}")
 
 

@@ -7,6 +7,7 @@ import hashlib
 import json
 import re
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import Protocol
 
 import numpy as np
@@ -49,10 +50,26 @@ class Standin:
 PROVIDERS: dict[str, Callable[..., Provider]] = {"standin": Standin}
 
 
+@contextmanager
+def registered(mode: str, make: Callable[..., Provider]):
+    """A provider under a name, for what is planned in this block."""
+    PROVIDERS[mode] = make
+    try:
+        yield
+    finally:
+        del PROVIDERS[mode]
+
+
 def provider(config: dict, defaults: dict | None = None) -> Provider:
     """The provider of a model's configuration: `mode` names its class, all else are its arguments; defaults are filled in."""
+    return maker(config, defaults)()
+
+
+def maker(config: dict, defaults: dict | None = None) -> Callable[[], Provider]:
+    """What makes the provider of a configuration in a task; the class goes with it, so workers need no registry."""
     args = {**(defaults or {}), **config}
-    return PROVIDERS[args.pop("mode")](**args)
+    make = PROVIDERS[args.pop("mode")]
+    return lambda: make(**args)
 
 
 def prompt_options(model: dict, task_prompt: str | None = None) -> tuple[str, dict[str, str]]:
@@ -70,9 +87,10 @@ def prompt_options(model: dict, task_prompt: str | None = None) -> tuple[str, di
 def embedded(df: DataFrame, text: str, config: dict, defaults: dict | None = None) -> DataFrame:
     """(id, embedding) of (id, text). The provider is made once in each task."""
     prepare(df.sparkSession)
+    make = maker(config, defaults)
 
     def run(batches: Iterator[pa.RecordBatch]):
-        p = provider(config, defaults)
+        p = make()
         for b in batches:
             v = p.embed(b.column("text").to_pylist()).astype(np.float32)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(v) + 1) * v.shape[1], pa.int32()), pa.array(v.ravel()))
@@ -84,9 +102,10 @@ def embedded(df: DataFrame, text: str, config: dict, defaults: dict | None = Non
 def generated(df: DataFrame, prompt: str, config: dict, defaults: dict | None = None) -> DataFrame:
     """(id, data, error) of (id, prompt): a batch that fails gives its message for each of its rows."""
     prepare(df.sparkSession)
+    make = maker(config, defaults)
 
     def run(batches: Iterator[pa.RecordBatch]):
-        p = provider(config, defaults)
+        p = make()
         for b in batches:
             try:
                 data, error = p.generate(b.column("prompt").to_pylist()), [None] * b.num_rows
@@ -98,29 +117,19 @@ def generated(df: DataFrame, prompt: str, config: dict, defaults: dict | None =
 
 
 def pair_scores(pairs: DataFrame, config: dict, defaults: dict | None = None) -> DataFrame:
-    """pairs (ad_id, onet_code, query, document) with rerank_score; null where the model fails, never a made-up zero."""
+    """pairs (ad_id, onet_code, query, document) with rerank_score and error; where the model fails the score is null,
+    never a made-up zero, and error is its message."""
     prepare(pairs.sparkSession)
+    make = maker(config, defaults)
 
     def run(batches: Iterator[pa.RecordBatch]):
-        p = provider(config, defaults)
+        p = make()
         for b in batches:
             try:
-                s = p.rerank(b.column("query").to_pylist(), b.column("document").to_pylist())
-            except Exception:  # noqa: BLE001
-                s = [None] * b.num_rows
-            yield pa.RecordBatch.from_arrays([b.column("ad_id"), b.column("onet_code"), pa.array(s, pa.float64())], names=["ad_id", "onet_code", "rerank_score"])
+                s, error = p.rerank(b.column("query").to_pylist(), b.column("document").to_pylist()), [None] * b.num_rows
+            except Exception as e:  # noqa: BLE001  whatever a model raises is a result
+                s, error = [None] * b.num_rows, [f"{type(e).__name__}: {e}"] * b.num_rows
+            yield pa.RecordBatch.from_arrays([b.column("ad_id"), b.column("onet_code"), pa.array(s, pa.float64()), pa.array(error, pa.string())], names=["ad_id", "onet_code", "rerank_score", "error"])
 
     kind = lambda c: pairs.schema[c].dataType.simpleString()
-    return pairs.select("ad_id", "onet_code", "query", "document").mapInArrow(run, f"ad_id {kind('ad_id')}, onet_code {kind('onet_code')}, rerank_score double")
-
-
-def yes_probability(log_yes: float, log_no: float) -> float:
-    """yes / (yes + no) from two log-probabilities."""
-    return float(1 / (1 + np.exp(log_no - log_yes)))
-
-
-def expected_rating(log_probabilities: dict[int, float]) -> float:
-    """The sum of i * p(i) over ratings, the probabilities scaled to sum to one."""
-    top = max(log_probabilities.values())
-    p = {i: np.exp(v - top) for i, v in log_probabilities.items()}
-    return float(sum(i * x for i, x in p.items()) / sum(p.values()))
+    return pairs.select("ad_id", "onet_code", "query", "document").mapInArrow(run, f"ad_id {kind('ad_id')}, onet_code {kind('onet_code')}, rerank_score double, error string")

@@ -111,5 +111,15 @@ def by_id(ads: DataFrame, ids: DataFrame, columns: list[str] | None = None) -> D
     return out.select("id", *[c for c in columns if c != "id"]) if columns else out
 
 
+def as_lines(ads: DataFrame, width: int = 80) -> DataFrame:
+    """(id, shown): each row as lines of "column: value", values cut at width; null values are left out."""
+
+    def line(c: str):
+        v = F.col(c).cast("string")
+        return F.concat(F.lit(f"{c}: "), F.when(F.length(v) > width, F.concat(F.substring(v, 1, width), F.lit("..."))).otherwise(v))
+
+    return ads.select("id", F.concat_ws("\n", *[line(c) for c in ads.columns if c != "id"]).alias("shown"))
+
+
 def show(ads: DataFrame, n: int = 3, width: int = 80) -> None:
     ads.show(n, truncate=width, vertical=True)

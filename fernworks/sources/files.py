@@ -2,14 +2,30 @@
 
 from __future__ import annotations
 
+import atexit
 import hashlib
 import json
-from pathlib import Path
+import shutil
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder's name below the one that all executors share (spark.checkpoint.dir; in tests a temporary one)."""
+    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not at:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        at = tempfile.mkdtemp(prefix="fernworks-")
+        atexit.register(shutil.rmtree, at, ignore_errors=True)
+        spark.conf.set("spark.checkpoint.dir", at)
+    return f"{at.rstrip('/')}/fernworks-files/{uuid.uuid4().hex}"
+
+
 def register(spark: SparkSession, tables: dict[str, str]) -> None:
     """Parquet tables as views for SQL, each read where it lies."""
     for name, path in tables.items():
@@ -37,6 +53,12 @@ def read_map(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(sorted(json.loads(text).items()), "key string, value string")
 
 
+def write_map(df: DataFrame, path: str, key: str = "key", value: str = "value") -> None:
+    """A small table of texts as one JSON object with sorted keys."""
+    rows = {r[0]: r[1] for r in df.select(F.col(key).cast("string"), F.col(value).cast("string")).collect()}
+    _put(df.sparkSession, path, json.dumps(rows, sort_keys=True, ensure_ascii=False))
+
+
 def boundary_attributes(spark: SparkSession, path: str) -> DataFrame:
     """The properties of a GeoJSON file's features; geometry is left out."""
     return spark.read.option("multiLine", True).json(path).selectExpr("explode(features) as f").select("f.properties.*")
@@ -61,18 +83,22 @@ def read_marker(spark: SparkSession, folder: str) -> dict | None:
     return json.loads("".join(r[0] for r in spark.read.text(f"{folder}/{MARKER}", wholetext=True).collect())) if fs.exists(p) else None
 
 
-def write_marker(spark: SparkSession, folder: str, values: dict) -> None:
-    """The marker is written last, so that a folder without one is incomplete."""
-    fs, p = _fs(spark, f"{folder}/{MARKER}")
+def _put(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
     out = fs.create(p, True)
-    out.write(bytearray(json.dumps(values, sort_keys=True, default=str).encode()))
+    out.write(bytearray(text.encode()))
     out.close()
 
 
+def write_marker(spark: SparkSession, folder: str, values: dict) -> None:
+    """The marker is written last, so that a folder without one is incomplete."""
+    _put(spark, f"{folder}/{MARKER}", json.dumps(values, sort_keys=True, default=str))
+
+
 def readable(spark: SparkSession, path: str) -> bool:
     """Whether every file of a Parquet table can be read."""
     try:
-        spark.read.parquet(path).foreach(lambda _: None)
+        spark.read.parquet(path).write.format("noop").mode("overwrite").save()
         return True
     except Exception:  # noqa: BLE001  any failure to read is the answer
         return False
@@ -99,11 +125,12 @@ def clean(spark: SparkSession, root: str, steps: list[str], dry_run: bool = True
     return bad
 
 
-def discover_runs(root: str, needed: tuple[str, ...]) -> list[dict[str, str]]:
-    """Runs below root named val__definition__llm__embedding__reranker that have all the files needed."""
+def discover_runs(spark: SparkSession, root: str, needed: tuple[str, ...]) -> list[dict[str, str]]:
+    """Runs below root, on any file system, named val__definition__llm__embedding__reranker that have all the files needed."""
+    fs, p = _fs(spark, root)
     out = []
-    for p in sorted(Path(root).glob("val__*")):
-        parts = p.name.split("__")
-        if len(parts) == 5 and all((p / n).exists() for n in needed):
-            out.append({"run": p.name, "definition": parts[1], "llm": parts[2], "embedding": parts[3], "reranker": parts[4]})
+    for name in sorted(x.getPath().getName() for x in fs.listStatus(p)):
+        parts = name.split("__")
+        if len(parts) == 5 and parts[0] == "val" and all(fs.exists(_fs(spark, f"{root}/{name}/{n}")[1]) for n in needed):
+            out.append({"run": name, "definition": parts[1], "llm": parts[2], "embedding": parts[3], "reranker": parts[4]})
     return out

@@ -20,6 +20,13 @@ class ResultStore:
         self.schema = f"id {id_type}, {payload}, error string"
 
     def _attempts(self) -> DataFrame:
+        """What has been added; where `remove` has stopped half way, what was there before it."""
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.path.rstrip("/"))
+        before = jvm.org.apache.hadoop.fs.Path(self.path.rstrip("/") + "-before")
+        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(path) and fs.exists(before):
+            fs.rename(before, path)
         try:
             return self.spark.read.schema(self.schema + ", attempt long").parquet(self.path)
         except AnalysisException:
@@ -47,13 +54,20 @@ class ResultStore:
         return r[0], r[1]
 
     def remove(self, ids: DataFrame) -> None:
-        """Rewrite the store without ids."""
+        """Rewrite the store without ids. The new files take the place of the folder by renames; should it stop in
+        between, the store as it was is beside it under the name that ends in -before."""
         kept = self._attempts().join(ids.select("id"), "id", "left_anti")
-        other = f"{self.path}-{uuid.uuid4().hex}"
+        path = self.path.rstrip("/")
+        other, before = f"{path}-{uuid.uuid4().hex}", f"{path}-before"
         kept.write.parquet(other)
-        self.spark.read.parquet(other).write.mode("overwrite").parquet(self.path)
-        fs = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(other)
-        fs.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(fs, True)
+        jvm = self.spark.sparkContext._jvm
+        at = lambda x: jvm.org.apache.hadoop.fs.Path(x)
+        fs = at(path).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        fs.delete(at(before), True)
+        if fs.exists(at(path)):
+            fs.rename(at(path), at(before))
+        fs.rename(at(other), at(path))
+        fs.delete(at(before), True)
 
     def clear(self) -> None:
         self._attempts().filter("false").write.mode("overwrite").parquet(self.path)

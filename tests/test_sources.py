@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from fernworks.functions import columns
 from fernworks.plans import cost, providers, stages
 from fernworks.sources import ads, files, results
 from fernworks.streaming import ingest
@@ -109,7 +110,8 @@ def test_chain_runs_once(spark, tmp_path):
 def test_provider_failures_are_rows(spark, monkeypatch):
     p = providers.Standin(8)
     assert (p.embed(["a b", ""]).sum(1) == [2, 0]).all() and p.rerank(["a b"], ["b c"]) == [1 / 3] and p.rerank([""], [""]) == [0.0]
-    assert providers.yes_probability(0.0, 0.0) == 0.5 and providers.expected_rating({1: 0.0, 7: 0.0}) == 4.0
+    both = spark.createDataFrame([(0.0, [0.0] * 7)], "x double, r array<double>").select(columns.yes_probability(F.col("x"), F.col("x")), columns.expected_rating(F.col("r"))).first()
+    assert tuple(both) == (0.5, 4.0)
     out = providers.generated(spark.createDataFrame([(1, "1. a\n2. b")], "id long, prompt string"), "prompt", {"mode": "standin"})
     assert out.first().asDict() == {"id": 1, "data": '{"keep": [1]}', "error": None}
 
@@ -124,7 +126,7 @@ def test_runs_and_files(spark, tmp_path):
     for n in ("val__d__l__e__r", "val__d__l__e", "val__d__l2__e__r"):
         os.makedirs(tmp_path / n)
     (tmp_path / "val__d__l__e__r" / "x").touch()
-    assert [r["llm"] for r in files.discover_runs(str(tmp_path), ("x",))] == ["l"]
+    assert [r["llm"] for r in files.discover_runs(spark, str(tmp_path), ("x",))] == ["l"]
     (tmp_path / "t.txt").write_text('a\tb\n1\tsay "x"\n')
     assert files.read_tsv(spark, str(tmp_path / "t.txt")).first().asDict() == {"a": "1", "b": 'say "x"'}
     (tmp_path / "m.json").write_text('{"b": "2", "a": "1"}')
