@@ -11,10 +11,13 @@ from pyspark.sql.window import Window
 
 from ..functions.workers import prepare
 from .exposure import minmax
+from .stats import in_cells, running
 
 
-#: Pairs up to which a fit is solved on the driver.
+#: Pairs up to which a fit is solved on the driver, which holds 32 bytes of each.
 DRIVER_PAIRS = 5_000_000
+#: Largest part of the gradient, in wins, that is left at a solution, whichever way it was found.
+GRADIENT = 1e-6
 
 
 def shuffled_pairs(items: DataFrame, rounds: int, seed: int = 0, key: str = "item") -> DataFrame:
@@ -43,23 +46,31 @@ def band_pairs(items: DataFrame, value: str, width: float, key: str = "item") ->
 
 
 def adaptive_pairs(theta: DataFrame, each: int, seed: int = 0, width: float | None = None) -> DataFrame:
-    """(a, b), a < b: for each item about `each` partners of nearly its strength, in hash order; random ones besides.
+    """(a, b), a < b: for each item `each` partners of nearly its strength, at random; random ones besides where there are too few.
 
-    theta: (item, theta). width: one (population) standard deviation unless given. The counters that would stop an
-    item once others have chosen it can't be kept in parallel; an item has at least `each` partners where there are so
-    many, and may have more.
+    theta: (item, theta). width: one (population) standard deviation unless given. The items within the width of one are
+    an interval of the order by (theta, item); of its other m items, those at (h + j * (m div each)) mod m are taken, j
+    under `each`, h being a hash of the item and seed. So no pairs are made but those that are returned. The counters that
+    would stop an item once others have chosen it can't be kept in parallel: an item may have more than `each`.
     """
     if width is None:
         width = theta.agg(F.stddev_pop("theta")).first()[0] or 0.0
     if width < 1e-6:
         return shuffled_pairs(theta, each, seed)
-    near = band_pairs(theta, "theta", width)
-    both = near.union(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    h = F.xxhash64("a", "b", F.lit(seed))
-    chosen = both.withColumn("rn", F.row_number().over(Window.partitionBy("a").orderBy(h, "b"))).filter(F.col("rn") <= each)
-    few = theta.select("item").join(chosen.groupBy("a").agg(F.count(F.lit(1)).alias("n")), F.col("item") == F.col("a"), "left").filter(F.coalesce("n", F.lit(0)) < each).select("item")
+    t = theta.select("item", F.col("theta").cast("double").alias("theta"))
+    ends = lambda v, kind: t.select("item", v.alias("v"), F.lit(kind).alias("kind"), F.lit(0 if kind != 1 else 1).alias("one"))
+    points = ends(F.col("theta") - width, 0).unionByName(ends(F.col("theta"), 1)).unionByName(ends(F.col("theta") + width, 2))
+    placed = running(in_cells(points, "v"), "one", ["v", "kind", "item"], "place")  # items before the point: at its lower end, at itself, up to its upper end
+    of = placed.groupBy("item").pivot("kind", [0, 1, 2]).agg(F.first("place")).select("item", F.col("0").alias("low"), F.col("1").alias("own"), F.col("2").alias("high"))
+    m = F.col("high") - F.col("low") - 1
+    h = F.conv(F.substring(F.md5(F.concat_ws("-", F.col("item").cast("string"), F.lit(str(seed))).cast("binary")), 1, 12), 16, 10).cast("long")
+    asked = of.withColumn("m", m).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(each - 1)))).filter("j < m")
+    at = F.col("low") + F.pmod(h + F.col("j") * F.greatest(F.expr(f"m div {each}"), F.lit(1)), F.col("m"))
+    asked = asked.withColumn("at", F.when(at >= F.col("own"), at + 1).otherwise(at))
+    chosen = asked.select(F.col("item").alias("a"), "at").join(of.select(F.col("item").alias("b"), F.col("own").alias("at")), "at").select("a", "b")
+    few = of.filter(m < each).select("item")
     more = shuffled_pairs(theta, 2 * each, seed + 1)
-    fallback = more.join(few, (F.col("item") == F.col("a")) | (F.col("item") == F.col("b")), "left_semi") if few.limit(1).count() else more.limit(0)
+    fallback = more.join(few.select(F.col("item").alias("a")), "a", "left_semi").select("a", "b").union(more.join(few.select(F.col("item").alias("b")), "b", "left_semi").select("a", "b"))
     return chosen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(fallback).distinct()
 
 
@@ -100,7 +111,7 @@ def solve(a: np.ndarray, b: np.ndarray, wins_a: np.ndarray, wins_b: np.ndarray,
     for _ in range(200):
         p = 1 / (1 + np.exp(-(theta[a] - theta[b])))
         g = -spread(wins_a - total * p) + penalty * theta
-        if np.abs(g).max(initial=0) < 1e-9:
+        if np.abs(g).max(initial=0) < GRADIENT / 1000:
             break
         w = total * p * (1 - p)
         diagonal = np.bincount(a, w, n) + np.bincount(b, w, n) + penalty
@@ -120,12 +131,21 @@ def solve(a: np.ndarray, b: np.ndarray, wins_a: np.ndarray, wins_b: np.ndarray,
         while size > 1e-8 and loss(theta + size * x) > now + 1e-4 * size * (g @ x):
             size /= 2
         theta = theta + size * x
+    p = 1 / (1 + np.exp(-(theta[a] - theta[b])))
+    _settled(-spread(wins_a - total * p) + penalty * theta)
     return theta - theta.mean()
 
 
-def solve_spread(edges: DataFrame, n: int, penalty: float = 1e-4, rounds: int = 100) -> np.ndarray:
+def _settled(gradient: np.ndarray) -> None:
+    if np.abs(gradient).max(initial=0) > GRADIENT:
+        raise RuntimeError(f"the fit has not settled: {np.abs(gradient).max():.1e} wins are left in the gradient")
+
+
+def solve_spread(edges: DataFrame, n: int, penalty: float = 1e-4, rounds: int = 2000) -> np.ndarray:
     """The same strengths with the pairs left in Spark: limited-memory BFGS on the driver over vectors of the items.
 
+    The optimum is the only one, and the gradient must vanish at what is returned (GRADIENT); else RuntimeError.
+
     edges: (ia, ib, wins_a, wins_b), kept in memory or on disk while it runs. A round sends the strengths out and adds
     up one partial gradient of each task, by item, before they come back.
     """
@@ -160,7 +180,7 @@ def solve_spread(edges: DataFrame, n: int, penalty: float = 1e-4, rounds: int =
     loss, g = evaluate(theta)
     steps: list[tuple[np.ndarray, np.ndarray]] = []
     for _ in range(rounds):
-        if np.abs(g).max(initial=0) < 1e-7:
+        if np.abs(g).max(initial=0) < GRADIENT / 10:
             break
         q, kept = g.copy(), []
         for s, y in reversed(steps):
@@ -174,16 +194,14 @@ def solve_spread(edges: DataFrame, n: int, penalty: float = 1e-4, rounds: int =
         while True:
             new = theta - size * q
             new_loss, new_g = evaluate(new)
-            if new_loss <= loss - 1e-4 * size * (g @ q) or size < 1e-6:
+            if new_loss <= loss - 1e-4 * size * (g @ q) + 1e-12 * abs(loss) or size < 1e-6:
                 break
             size /= 2
         if (new - theta) @ (new_g - g) > 1e-12:
             steps = [*steps[-9:], (new - theta, new_g - g)]
-        if abs(loss - new_loss) <= 1e-13 * max(1.0, abs(loss)):
-            theta = new
-            break
         theta, loss, g = new, new_loss, new_g
     edges.unpersist()
+    _settled(g)
     return theta - theta.mean()
 
 

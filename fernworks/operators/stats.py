@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.workers import prepare
+
 
 def average_rank(value: Column | str, *keys: str, descending: bool = False) -> Column:
     """Rank from 1 among the rows of keys, equal values sharing the mean of their places.
@@ -19,11 +23,29 @@ def average_rank(value: Column | str, *keys: str, descending: bool = False) -> C
     return F.rank().over(order) + (F.count(F.lit(1)).over(Window.partitionBy(*keys, v)) - 1) / 2.0
 
 
+def in_cells(df: DataFrame, value: str, alias: str = "_cell", cells: int = 256) -> DataFrame:
+    """df with the number of the cell that its value is in; cells follow the order of values and are about equally full
+    (their bounds are quantiles), and equal values share one. Null is in a cell before all others."""
+    from pyspark.ml.feature import Bucketizer
+
+    bounds = df.agg(F.percentile_approx(F.col(value).cast("double"), [k / cells for k in range(1, cells)], 10_000)).first()[0] or []
+    splits = [-float("inf"), *sorted({b for b in bounds if b == b and abs(b) != float("inf")} or {0.0}), float("inf")]
+    out = Bucketizer(splits=splits, inputCol="_in", outputCol="_out", handleInvalid="keep").transform(df.withColumn("_in", F.col(value).cast("double")))
+    return out.withColumn(alias, F.when(F.col("_in").isNull(), -1).otherwise(F.col("_out").cast("int"))).drop("_in", "_out")
+
+
+def running(df: DataFrame, count: str, order: list[Column | str], alias: str, cell: str = "_cell", inclusive: bool = False) -> DataFrame:
+    """df with the sum of count over all rows before each in (cell, order), or up to it. One row of each cell meets in one task."""
+    before = Window.orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
+    start = df.groupBy(cell).agg(F.sum(count).alias("_s")).withColumn("_start", F.coalesce(F.sum("_s").over(before), F.lit(0))).drop("_s")
+    inside = Window.partitionBy(cell).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    return df.join(F.broadcast(start), cell).withColumn(alias, F.col("_start") + F.coalesce(F.sum(count).over(inside), F.lit(0))).drop("_start")
+
+
 def ranks(df: DataFrame, value: str, alias: str) -> DataFrame:
-    """df with the average rank of value over the whole table; only its distinct values meet in one task."""
-    n = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = n.select(F.col(value).alias("_v"), (before + (F.col("_n") + 1) / 2.0).alias(alias))
+    """df with the average rank of value over the whole table; its distinct values are ranked cell by cell."""
+    n = in_cells(df.groupBy(value).agg(F.count(F.lit(1)).alias("_n")), value)
+    placed = running(n, "_n", [value], "_before").select(F.col(value).alias("_v"), (F.col("_before") + (F.col("_n") + 1) / 2.0).alias(alias))
     return df.join(placed, df[value].eqNullSafe(placed["_v"])).drop("_v")
 
 
@@ -51,14 +73,28 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
 def kde(df: DataFrame, column: str, points: int = 200) -> DataFrame:
     """(point, x, density): Gaussian kernel density on an even grid, with Scott's bandwidth.
 
-    Each row is spread over the grid inside its task, and sums per point are all that is shuffled.
+    A task adds up its rows' kernels at all points, block by block; its sums are all that is shuffled. Values that are
+    all equal, or none, have no density and give no rows.
     """
-    s = df.agg(F.min(column).alias("lo"), F.max(column).alias("hi"), F.stddev_samp(column).alias("sd"), F.count(column).alias("n"))
-    s = s.withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
-    x = df.filter(F.col(column).isNotNull()).select(F.col(column).alias("v")).crossJoin(s)
-    grid = x.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1)))).withColumn("x", F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("point") / (points - 1))
-    z = (F.col("x") - F.col("v")) / F.col("h")
-    return grid.groupBy("point").agg(F.first("x").alias("x"), (F.sum(F.exp(-0.5 * z * z)) / (F.first("n") * F.first("h") * 2.5066282746310002)).alias("density"))
+    prepare(df.sparkSession)
+    lo, hi, sd, n = df.agg(F.min(column).cast("double"), F.max(column).cast("double"), F.stddev_samp(column), F.count(column)).first()
+    h = (sd or 0.0) * max(n, 1) ** -0.2
+    kind = "point int, x double, density double"
+    if not h:
+        return df.sparkSession.createDataFrame([], kind)
+    grid = lo + (hi - lo) * np.arange(points) / (points - 1)
+
+    def run(batches):
+        total = np.zeros(points)
+        for batch in batches:
+            v = batch.column("v").to_numpy(zero_copy_only=False)
+            for k in range(0, len(v), 4096):
+                z = (grid[:, None] - v[None, k : k + 4096]) / h
+                total += np.exp(-0.5 * z * z).sum(1)
+        yield pa.RecordBatch.from_arrays([pa.array(range(points), pa.int32()), pa.array(grid), pa.array(total / (n * h * 2.5066282746310002))], names=["point", "x", "density"])
+
+    sums = df.filter(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v")).mapInArrow(run, kind)
+    return sums.groupBy("point").agg(F.first("x").alias("x"), F.sum("density").alias("density"))
 
 
 def summary(df: DataFrame, column: str) -> DataFrame:

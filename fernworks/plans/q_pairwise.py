@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import pairwise, stats
 from .registry import query, read
 
-PAIRS = """WITH x AS (SELECT l_orderkey AS k, min(l_partkey) % 60 AS a, max(l_partkey) % 60 AS b FROM lineitem GROUP BY l_orderkey),
+PAIRS = """WITH x AS (SELECT l_orderkey AS k, min(l_partkey) AS a, max(l_partkey) AS b FROM lineitem GROUP BY l_orderkey),
 c AS (SELECT k, a, b, CASE WHEN k % 5 = 0 THEN 'tie' WHEN k % 3 = 0 OR a < b AND k % 2 = 0 THEN 'A' ELSE 'B' END AS outcome FROM x WHERE a <> b)
 """
 
@@ -17,17 +17,9 @@ def _decided(x):
     return x.filter("a <> b").withColumn("outcome", F.when(F.col("k") % 5 == 0, "tie").when(a_wins, "A").otherwise("B"))
 
 
-def _ends(spark, sf_dir):
-    return read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.min("l_partkey").alias("a"), F.max("l_partkey").alias("b"))
-
-
 def comparisons(spark, sf_dir):
-    return _decided(_ends(spark, sf_dir))
-
-
-def folded(spark, sf_dir):
-    """Modulo 60, as in PAIRS."""
-    return _decided(_ends(spark, sf_dir).select("k", (F.col("a") % 60).alias("a"), (F.col("b") % 60).alias("b")))
+    ends = read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.min("l_partkey").alias("a"), F.max("l_partkey").alias("b"))
+    return _decided(ends)
 
 
 def items(spark, sf_dir):
@@ -75,12 +67,6 @@ def i17_convergence(spark, sf_dir):
 
 @query(PAIRS + "SELECT least(a, b) AS a, greatest(a, b) AS b, sum(CASE WHEN outcome = 'tie' THEN 0.5 WHEN (outcome = 'A') = (a <= b) THEN 1 ELSE 0 END)::DOUBLE AS wins_a, sum(CASE WHEN outcome = 'tie' THEN 0.5 WHEN (outcome = 'A') = (a <= b) THEN 0 ELSE 1 END)::DOUBLE AS wins_b FROM c GROUP BY 1, 2")
 def h15_collapsed_pairs(spark, sf_dir):
-    return pairwise.collapsed(folded(spark, sf_dir))
-
-
-@query()
-def h15_collapsed_pairs_whole(spark, sf_dir):
-    """By the parts' own keys, as the other queries of this module named so."""
     return pairwise.collapsed(comparisons(spark, sf_dir))
 
 
@@ -98,11 +84,6 @@ def h18_floor_normalise(spark, sf_dir):
 SELECT k, CASE WHEN swap THEN b ELSE a END AS shown_a, CASE WHEN swap THEN a ELSE b END AS shown_b, CASE WHEN swap AND outcome = 'A' THEN 'B' WHEN swap AND outcome = 'B' THEN 'A' ELSE outcome END AS outcome FROM s"""
 )
 def h19_unswap(spark, sf_dir):
-    return pairwise.unswapped(pairwise.swapped(folded(spark, sf_dir), 3)).select("k", "shown_a", "shown_b", "outcome")
-
-
-@query()
-def h19_unswap_whole(spark, sf_dir):
     return pairwise.unswapped(pairwise.swapped(comparisons(spark, sf_dir), 3)).select("k", "shown_a", "shown_b", "outcome")
 
 
@@ -115,30 +96,27 @@ def h16_random_pairs(spark, sf_dir):
     return pairwise.shuffled_pairs(read(spark, sf_dir, "part").select(F.col("p_partkey").alias("item")), 3, 5)
 
 
-@query("SELECT x.p_partkey AS a, y.p_partkey AS b FROM part x JOIN part y ON x.p_partkey < y.p_partkey AND abs(x.p_retailprice - y.p_retailprice) <= 0.15 WHERE x.p_size <= 20 AND y.p_size <= 20")
+@query("SELECT x.p_partkey AS a, y.p_partkey AS b FROM part x JOIN part y ON x.p_partkey < y.p_partkey AND abs(x.p_retailprice - y.p_retailprice) <= 0.15")
 def h17_band_pairs(spark, sf_dir):
-    return pairwise.band_pairs(read(spark, sf_dir, "part").filter("p_size <= 20"), "p_retailprice", 0.15, "p_partkey")
-
-
-@query()
-def h17_band_pairs_whole(spark, sf_dir):
-    """Over all parts; the tests check it by brute force."""
     return pairwise.band_pairs(read(spark, sf_dir, "part"), "p_retailprice", 0.15, "p_partkey")
 
 
-@query()
+@query(
+    """WITH t AS (SELECT p_partkey AS item, p_retailprice AS v, (SELECT stddev_pop(p_retailprice) FROM part) AS w FROM part),
+u AS (SELECT item, v - w AS v, 0 AS kind, 0 AS one FROM t UNION ALL SELECT item, v, 1, 1 FROM t UNION ALL SELECT item, v + w, 2, 0 FROM t),
+p AS (SELECT item, kind, coalesce(sum(one) OVER (ORDER BY v, kind, item ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS place FROM u),
+o AS (SELECT item, max(place) FILTER (kind = 0) AS low, max(place) FILTER (kind = 1) AS own, max(place) FILTER (kind = 2) AS high FROM p GROUP BY item),
+q AS (SELECT *, high - low - 1 AS m, ('0x' || substr(md5(item || '-1'), 1, 12))::BIGINT AS h FROM o),
+c AS (SELECT item, own, low + (h + j * greatest(m // 3, 1)) % m AS place FROM q, (SELECT unnest([0, 1, 2]) AS j) WHERE j < m)
+SELECT DISTINCT least(c.item, o.item) AS a, greatest(c.item, o.item) AS b FROM c JOIN o ON o.own = CASE WHEN c.place >= c.own THEN c.place + 1 ELSE c.place END"""
+)
 def h17_adaptive_pairs(spark, sf_dir):
-    """Partners of nearly the same price in hash order; Spark's hash, so without a DuckDB statement."""
+    """Every part has enough others within the width, so none is paired besides."""
     return pairwise.adaptive_pairs(read(spark, sf_dir, "part").select(F.col("p_partkey").alias("item"), F.col("p_retailprice").alias("theta")), 3, 1)
 
 
 @query(PAIRS + "SELECT item, count(*) AS n FROM (SELECT a AS item FROM c UNION ALL SELECT b FROM c) GROUP BY item")
 def d31_appearances(spark, sf_dir):
-    return _appearances(folded(spark, sf_dir))
-
-
-@query()
-def d31_appearances_whole(spark, sf_dir):
     return _appearances(comparisons(spark, sf_dir))
 
 
@@ -148,11 +126,6 @@ def _appearances(c):
 
 @query(PAIRS + "SELECT least(a, b) AS a, greatest(a, b) AS b, count(*) AS n, round(avg((outcome = 'tie')::INT::DOUBLE), 6) AS tie_rate FROM c GROUP BY 1, 2")
 def d32_pair_counts(spark, sf_dir):
-    return _pair_counts(folded(spark, sf_dir))
-
-
-@query()
-def d32_pair_counts_whole(spark, sf_dir):
     return _pair_counts(comparisons(spark, sf_dir))
 
 

@@ -55,9 +55,10 @@ def d3_conditional_mean(spark, sf_dir):
     return read(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.sum(F.when(done, 1).otherwise(0)).cast("int").alias("finished"), F.round(F.avg(F.when(done, F.col("o_totalprice"))), 6).alias("mean_finished"))
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')")
 def f4_difference(spark, sf_dir):
-    ordered = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    """Customers without an urgent order."""
+    ordered = read(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
     return read(spark, sf_dir, "customer").select("c_custkey").join(ordered, "c_custkey", "left_anti")
 
 

@@ -44,7 +44,10 @@ def h5_cosine_topk(spark, sf_dir):
 
 @query(TOPK)
 def c15_cosine_topk_columns(spark, sf_dir):
-    return _rounded(vectors.cosine_topk_sql(*sides(spark, sf_dir), 5))
+    """The nearest pairs' cosines by dot and norm of columns."""
+    ads, occupations = sides(spark, sf_dir)
+    best = vectors.cosine_topk(ads, occupations, 5).drop("cosine_score")
+    return _rounded(vectors.pair_cosines(best, ads, occupations).withColumnRenamed("cosine", "cosine_score"))
 
 
 @query(
@@ -57,6 +60,21 @@ def h24_hierarchical_topk(spark, sf_dir):
     return _rounded(vectors.hierarchical_topk(*sides(spark, sf_dir), 3, 5))
 
 
+@query(
+    BASE + CENTROIDS + """,
+f AS (SELECT ad_id, onet_code, o.label, row_number() OVER (PARTITION BY ad_id ORDER BY list_cosine_similarity(a.e, o.e) DESC, onet_code) AS rn FROM a CROSS JOIN o),
+n AS (SELECT ad_id, c.label, row_number() OVER (PARTITION BY ad_id ORDER BY list_cosine_similarity(a.e, c.m) DESC, c.label) AS place FROM a CROSS JOIN c),
+z AS (SELECT label, count(*) AS size FROM o GROUP BY label), g AS (SELECT unnest([1, 2, 3]) AS groups),
+cv AS (SELECT groups, avg((place <= groups)::INT::DOUBLE) AS coverage, avg((place <= groups)::INT::DOUBLE) FILTER (rn = 1) AS agreement FROM g, (SELECT f.ad_id, rn, place FROM f JOIN n USING (ad_id, label) WHERE rn <= 5) GROUP BY groups),
+rd AS (SELECT groups, 1 - avg(size) / (SELECT count(*) FROM o) AS reduction FROM (SELECT groups, ad_id, sum(size) AS size FROM g, n JOIN z USING (label) WHERE place <= groups GROUP BY groups, ad_id) GROUP BY groups)
+SELECT groups, round(coverage, 6) AS coverage, round(reduction, 6) AS reduction, round(agreement, 6) AS top1_agreement FROM cv JOIN rd USING (groups)"""
+)
+def h24_hierarchical_report(spark, sf_dir):
+    """What looking into 1, 2 or 3 groups finds, saves and keeps."""
+    out = vectors.hierarchical_report(*sides(spark, sf_dir), [1, 2, 3], 5)
+    return out.select("groups", *[F.round(c, 6).alias(c) for c in ("coverage", "reduction", "top1_agreement")])
+
+
 @query(
     BASE + CENTROIDS + """,
 s AS (SELECT ad_id, onet_code, list_cosine_similarity(
