@@ -18,15 +18,20 @@ from .stats import average_rank
 
 def common(runs: DataFrame) -> DataFrame:
     """The rows of ads that all runs have."""
-    n = runs.select("run").distinct().count()
-    ads = runs.groupBy("ad").agg(F.count_distinct("run").alias("n")).filter(F.col("n") == n).select("ad")
+    n = runs.agg(F.count_distinct("run").alias("n"))
+    ads = runs.groupBy("ad").agg(F.count_distinct("run").alias("n")).join(F.broadcast(n), "n", "left_semi").select("ad")
     return runs.join(ads, "ad", "left_semi")
 
 
 def _two(df: DataFrame, on: list[str], columns: list[str]) -> DataFrame:
-    """Every pair of runs joined on `on`, with columns as <name>_a and <name>_b."""
-    side = lambda s: df.select(*on, F.col("run").alias(f"run_{s}"), *[F.col(c).alias(f"{c}_{s}") for c in columns])
-    return side("a").join(side("b"), on).filter("run_a < run_b")
+    """Every pair of runs that meets in `on`, with columns as <name>_a and <name>_b.
+
+    One aggregation by `on` and no self-join: a list has as many entries as there are runs at most.
+    """
+    g = df.groupBy(*on).agg(F.array_sort(F.collect_list(F.struct("run", *columns))).alias("_r"))
+    row = lambda x, y: F.struct(x["run"].alias("run_a"), y["run"].alias("run_b"), *[v[c].alias(f"{c}_{s}") for s, v in (("a", x), ("b", y)) for c in columns])
+    later = lambda x: F.filter("_r", lambda y: y["run"] > x["run"])
+    return g.select(*on, F.inline(F.flatten(F.transform("_r", lambda x: F.transform(later(x), lambda y: row(x, y))))))
 
 
 def overlaps(runs: DataFrame) -> DataFrame:
