@@ -24,6 +24,9 @@ from .words import pack_source
 #: Bytes that a batch for the encoder holds at most, but for one longer piece, and characters from which a text is cut.
 BATCH_BYTES, LONG = 1 << 20, 1 << 16
 
+#: Texts in which a cut at any safe point must change nothing, for a tokenizer to be taken.
+_PROBES = ("a b  c\n\nd", "it's  x\ty\r\n z", "12 345, <|endoftext|> é ü\n", "A .B !C\t\t(d)  ", "naïve  数学 и 👩‍👧 end")
+
 _SAFE = re.compile(r"(?<=\S)(?=[ \n\t\r])")
 
 
@@ -40,24 +43,36 @@ def cut(text: str, long: int = LONG) -> list[str]:
     return out
 
 
+def cuts_are_safe(path: str) -> bool:
+    """Whether the tokenizer gives the same ids for a text and for its pieces, cut at every safe point of the probes."""
+    ids = lambda s: tokenizer(path).encode(s, add_special_tokens=False).ids
+    return all(ids(p) == [i for x in cut(p, 1) for i in ids(x)] for p in _PROBES)
+
+
 def token_counts(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = BATCH_BYTES, long: int = LONG) -> DataFrame:
-    """id_col, n_bytes (UTF-8) and n_tokens for each document. See the module for the defined cases."""
+    """id_col, n_bytes (UTF-8) and n_tokens for each document. See the module for the defined cases.
+
+    Raises ValueError for a tokenizer whose tokens cross the points at which long texts are cut.
+    """
+    if not cuts_are_safe(tokenizer_path):
+        raise ValueError(f"{tokenizer_path}: its ids change where long texts are cut")
     prepare(docs.sparkSession)
 
     def run(batches):
         encode = tokenizer(tokenizer_path).encode_batch_fast
         for _, table in packs(batches, "text", batch_bytes):
             texts = table.column("text").to_pylist()
-            piece, of = [], []
-            for i, t in enumerate(texts):
-                for p in cut(t, long) if len(t) > long else (t,):
-                    piece.append(p)
-                    of.append(i)
+            piece, of, weight = [], [], []
+            for i, (t, size) in enumerate(zip(texts, pa.compute.binary_length(table.column("text")).to_pylist(), strict=True)):
+                pieces = cut(t, long) if len(t) > long else [t]
+                piece += pieces
+                of += [i] * len(pieces)
+                weight += [size] if len(pieces) == 1 else [len(p.encode()) for p in pieces]
             total, start = np.zeros(len(texts), np.int64), 0
             while start < len(piece):  # one long text has many pieces
                 stop, size = start, 0
-                while stop < len(piece) and (stop == start or size + len(piece[stop]) <= batch_bytes):
-                    size += len(piece[stop])
+                while stop < len(piece) and (stop == start or size + weight[stop] <= batch_bytes):
+                    size += weight[stop]
                     stop += 1
                 got = encode(piece[start:stop], add_special_tokens=False)
                 np.add.at(total, np.array(of[start:stop]), np.fromiter(map(len, got), np.int64, stop - start))

@@ -87,11 +87,27 @@ def chains(lengths: np.ndarray, potential: np.ndarray, step: np.ndarray) -> tupl
         return before, after
     at = begin[: active[0]]
     before[at] = e[at]
-    for k in range(1, len(active)):
+    alone = int(n[1]) if len(n) > 1 else 1  # from here on only the longest chain goes on: plain numbers are faster
+    alone = max(alone, 1)
+    for k in range(1, min(alone, len(active))):
         at = begin[: active[k]] + k
         r = before[at - 1]
         before[at] = e[at] * (t[0, 1] + r * t[1, 1]) / (t[0, 0] + r * t[1, 0])
-    for k in range(len(active) - 1, 0, -1):
+    if len(active) > alone:
+        tail = e[begin[0] + alone : begin[0] + n[0]].tolist()
+        (a, b), (c, d) = t.tolist()
+        r, found = float(before[begin[0] + alone - 1]), []
+        for x in tail:
+            r = x * (b + r * d) / (a + r * c)
+            found.append(r)
+        before[begin[0] + alone : begin[0] + n[0]] = found
+        r, found = 1.0, []
+        for x in reversed(tail):
+            r = x * r
+            r = (c + d * r) / (a + b * r)
+            found.append(r)
+        after[begin[0] + alone - 1 : begin[0] + n[0] - 1] = found[::-1]
+    for k in range(min(alone, len(active)) - 1, 0, -1):
         at = begin[: active[k]] + k
         r = e[at] * after[at]
         after[at - 1] = (t[1, 0] + t[1, 1] * r) / (t[0, 0] + t[0, 1] * r)

@@ -98,6 +98,13 @@ def test_token_counts(spark, long):
     assert token_counts.token_counts(table(spark).limit(0), BYTE).count() == 0
 
 
+def test_token_counts_of_odd_rows(spark):
+    rows = [(None, "a b"), (None, "a b"), (1, "c"), (1, None)]
+    out = token_counts.token_counts(spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_bytes", F.lit("clash")), BYTE).collect()
+    assert sorted((r["doc_id"] or 0, r["n_bytes"], r["n_tokens"]) for r in out) == [(0, 3, 2), (0, 3, 2), (1, 0, 0), (1, 1, 1)]
+    assert token_counts.cuts_are_safe(BYTE)
+
+
 def test_lm(spark):
     texts = [None, "", "The cat sat on the mat", "the dog sat on the log", "THE cat saw the dog"] * 8 + ["unseen words here the"] * 2
     d = table(spark, texts)
@@ -210,6 +217,27 @@ def test_chains_are_exact():
         at += n
 
 
+def test_a_long_chain_is_like_others():
+    """A chain that goes on alone has the marginals that it has beside others."""
+    rng = np.random.default_rng(7)
+    step, potential = rng.normal(size=(2, 2)), rng.normal(size=900)
+    long = toxicity.marginals(np.array([900]), potential, step)
+    assert np.allclose(long, toxicity.marginals(np.array([900, 900]), np.tile(potential, 2), step)[:900])
+    assert np.allclose(long, toxicity.marginals(np.array([3, 900, 0]), np.concatenate([potential[:3], potential]), step)[3:])
+
+
+def test_toxicity_of_odd_rows(spark):
+    """Repeated and null ids, and a long text whose only toxic word is its last one."""
+    rng = np.random.default_rng(6)
+    some = lambda: list(rng.choice([f"word{chr(97 + i)}{chr(97 + j)}" for i in range(12) for j in range(12)], 20))
+    texts = [" ".join([*some(), *(["scumbag", *some()] if i % 4 == 0 else [])]) for i in range(240)]
+    model = toxicity.fit(texts, [i % 4 == 0 for i in range(240)])
+    rows = [(1, "you scumbag there"), (1, "you scumbag there"), (None, "fine words"), (1, "fine"), (2, "quiet words " * 100_000 + "scumbag")]
+    out = toxicity.tag(spark.createDataFrame(rows, "doc_id long, text string").withColumn("k0", F.lit("clash")), model).collect()
+    assert sorted((r["doc_id"] or 0, r["score"] >= 0.3, len(r["spans"])) for r in out) == [(0, False, 0), (1, False, 0), (1, True, 1), (1, True, 1), (2, True, 1)]
+    assert max(r["spans"][0]["begin"] for r in out if r["doc_id"] == 2) == 1_200_000
+
+
 def test_toxicity(spark):
     rng = np.random.default_rng(3)
     pool = ["w" + "".join(rng.choice(list("abcdefgh"), 5)) for _ in range(300)]
