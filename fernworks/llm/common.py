@@ -31,12 +31,27 @@ def shared_dir(spark: SparkSession) -> str:
 _written: list[str] = []
 
 
-def clean(spark: SparkSession) -> None:
-    """Remove the tables written so far; only when no result that was made from them is needed any more."""
+def clean(spark: SparkSession, since: int = 0, kept: set[str] | None = None) -> None:
+    """Remove the tables written so far (since so many had been, but for those kept); only when no result that was made
+    from them is needed any more."""
     jvm = spark.sparkContext._jvm
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+    for name in [w for w in _written[since:] if w not in (kept or ())]:
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _written.remove(name)
+
+
+@contextmanager
+def passing(spark: SparkSession):
+    """Tables written in this block are removed at its end, but for those given to the function that the block gets."""
+    since, kept = len(_written), set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.add(df._written_at)
+        return df
+
+    yield keep
+    clean(spark, since, kept)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -44,7 +59,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/fernworks/{name}-{uuid.uuid4().hex}"
     _written.append(path)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
 
 
 #: Spark's own Bloom filters below a shuffle, for joins of a large table with a selected smaller one, whatever their

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import passing, written
 
 MAX_ROUNDS = 100
 #: Neighbours from which a node is a hub; there are at most (twice the edges) / HUB of them.
@@ -22,6 +22,17 @@ def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
     return far.unionByName(near.select("a", "b", "m"))
 
 
+def _round(now: DataFrame) -> DataFrame:
+    """One large star and one small star."""
+    both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")).select("a", F.least("a", "m").alias("m"), "n")
+    large = _with_least(both, least).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
+    large = written(large, "large")  # all point down: a > b
+    small = large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+    moved = _with_least(large, small).filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return written(moved.union(small.select("a", F.col("m").alias("b"))).distinct(), "edges")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of edges (a, b); root is the smallest node of its component.
 
@@ -38,13 +49,8 @@ def components(edges: DataFrame) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         if before[0] == 0:
             break
-        both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")).select("a", F.least("a", "m").alias("m"), "n")
-        large = _with_least(both, least).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
-        large = written(large, "large")  # all point down: a > b
-        small = large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
-        moved = _with_least(large, small).filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = written(moved.union(small.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        with passing(now.sparkSession) as keep:
+            now = keep(_round(now))
         after = mark(now)
         if after == before:
             break

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import give_back, prepare, screened, table_bytes, text_of, written
+from .common import give_back, passing, prepare, screened, table_bytes, text_of, written
 from .components import components
 from .words import LOWER
 
@@ -345,15 +345,18 @@ def _classified(docs: DataFrame, id_col: str, text_col: str, threshold: float, t
     rows = written(_sketches(docs, id_col, text_col), "sketches")
     classes = rows.filter("n > 0").groupBy("tkey").agg(F.count(F.lit(1)).alias("copies"), F.min("k0").alias("first"), F.first("bytes").alias("bytes"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
     classes = written(classes, "classes")
-    near = components(_bucket_edges(classes, threshold, tolerance))
-    members = written(near.withColumnRenamed("node", "tkey").join(classes.drop("bands"), "tkey"), "members")
+    spark = docs.sparkSession
+    with passing(spark) as keep:
+        near = components(_bucket_edges(classes, threshold, tolerance))
+        members = keep(written(near.withColumnRenamed("node", "tkey").join(classes.drop("bands"), "tkey"), "members"))
     text = text_of(docs, text_col)
     source = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(text.cast("binary"))).alias("key"), text.alias("text"))
     member = members.filter("copies > 0")  # all are; a filter lets Spark screen the texts by members before it moves them
     with_text = source.join(member, (source["key"] == member["tkey"]) & source["id"].eqNullSafe(member["first"])).select("root", "tkey", "copies", "sig", "text")
-    with screened(docs.sparkSession):
-        links = written(_group_links(members, threshold, tolerance)(with_text), "links")
-    final = components(links.filter("b is not null").select("a", "b"))
+    with screened(spark), passing(spark) as keep:
+        links = keep(written(_group_links(members, threshold, tolerance)(with_text), "links"))
+    with passing(spark) as keep:
+        final = keep(written(components(links.filter("b is not null").select("a", "b")), "roots"))
     counts = links.filter("b is null").groupBy("a").agg(F.sum("links").alias("links"), F.sum("texts").alias("texts"))
     texts = classes.drop("sig", "bands", "bytes").join(final.withColumnRenamed("node", "tkey"), "tkey", "left").withColumn("root", F.coalesce("root", "tkey"))
     texts = texts.join(counts.withColumnRenamed("a", "tkey"), "tkey", "left").fillna(0, ["links", "texts"])
