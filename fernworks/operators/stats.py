@@ -23,12 +23,12 @@ def average_rank(value: Column | str, *keys: str, descending: bool = False) -> C
     return F.rank().over(order) + (F.count(F.lit(1)).over(Window.partitionBy(*keys, v)) - 1) / 2.0
 
 
-def in_cells(df: DataFrame, value: str, alias: str = "_cell", cells: int = 256) -> DataFrame:
+def in_cells(df: DataFrame, value: str, alias: str = "_cell", cells: int = 256, of: DataFrame | None = None) -> DataFrame:
     """df with the number of the cell that its value is in; cells follow the order of values and are about equally full
-    (their bounds are quantiles), and equal values share one. Null is in a cell before all others."""
+    (their bounds are quantiles of df, or of another table), and equal values share one. Null is in a cell before all others."""
     from pyspark.ml.feature import Bucketizer
 
-    bounds = df.agg(F.percentile_approx(F.col(value).cast("double"), [k / cells for k in range(1, cells)], 10_000)).first()[0] or []
+    bounds = (df if of is None else of).agg(F.percentile_approx(F.col(value).cast("double"), [k / cells for k in range(1, cells)], 10_000)).first()[0] or []
     splits = [-float("inf"), *sorted({b for b in bounds if b == b and abs(b) != float("inf")} or {0.0}), float("inf")]
     out = Bucketizer(splits=splits, inputCol="_in", outputCol="_out", handleInvalid="keep").transform(df.withColumn("_in", F.col(value).cast("double")))
     return out.withColumn(alias, F.when(F.col("_in").isNull(), -1).otherwise(F.col("_out").cast("int"))).drop("_in", "_out")
@@ -44,7 +44,7 @@ def running(df: DataFrame, count: str, order: list[Column | str], alias: str, ce
 
 def ranks(df: DataFrame, value: str, alias: str) -> DataFrame:
     """df with the average rank of value over the whole table; its distinct values are ranked cell by cell."""
-    n = in_cells(df.groupBy(value).agg(F.count(F.lit(1)).alias("_n")), value)
+    n = in_cells(df.groupBy(value).agg(F.count(F.lit(1)).alias("_n")), value, of=df)
     placed = running(n, "_n", [value], "_before").select(F.col(value).alias("_v"), (F.col("_before") + (F.col("_n") + 1) / 2.0).alias(alias))
     return df.join(placed, df[value].eqNullSafe(placed["_v"])).drop("_v")
 
