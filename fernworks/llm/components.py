@@ -14,7 +14,6 @@ HUB = 512
 
 def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
     """edges (a, b) with m from least (a, m, n), n being how many edges a has."""
-    least = written(least, "least")
     hubs = written(least.filter(F.col("n") > HUB).select("a", F.col("m").alias("hub_m")), "hubs")  # its size is known: Spark sends it to the edges where it is small
     rows = edges.join(hubs, "a", "left")
     far = rows.filter("hub_m is not null").select("a", "b", F.col("hub_m").alias("m"))
