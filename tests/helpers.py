@@ -21,7 +21,7 @@ def database(sf_dir: str = SMALL):
 
 def rows(df: pd.DataFrame) -> list[str]:
     def plain(x):
-        if x is None or x is pd.NaT or (isinstance(x, float) and x != x):
+        if x is None or x is pd.NaT or x is pd.NA or (isinstance(x, float) and x != x):
             return None
         if hasattr(x, "dtype"):
             return float(x) if x.dtype.kind == "f" else int(x) if x.dtype.kind in "iu" else x
@@ -33,5 +33,8 @@ def rows(df: pd.DataFrame) -> list[str]:
 
 def same(spark_df, con, sql: str) -> None:
     mine, theirs = spark_df.toPandas(), con.execute(sql).df()
+    for name, kind in spark_df.dtypes:  # pandas has no null among plain integers
+        if kind in ("int", "bigint") and mine[name].dtype.kind == "f":
+            mine[name] = mine[name].astype("Int64")
     assert sorted(mine.columns) == sorted(theirs.columns)
     assert rows(mine) == rows(theirs)
