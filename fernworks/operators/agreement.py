@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .stats import average_rank
+from .stats import average_rank, median_by, quantiles
 
 
 def common(runs: DataFrame) -> DataFrame:
@@ -111,7 +111,8 @@ def top1(tops: DataFrame, ads: DataFrame) -> DataFrame:
 
 def matrix_summary(pairs: DataFrame, value: str) -> DataFrame:
     """One row over the upper triangle: mean, median, min, max, population std."""
-    return pairs.agg(F.avg(value).alias("mean"), F.percentile(value, 0.5).alias("median"), F.min(value).alias("min"), F.max(value).alias("max"), F.stddev_pop(value).alias("std"))
+    median = F.lit(quantiles(pairs, value, [0.5])[0]).cast("double")
+    return pairs.agg(F.avg(value).alias("mean"), F.max(median).alias("median"), F.min(value).alias("min"), F.max(value).alias("max"), F.stddev_pop(value).alias("std"))
 
 
 def full_matrix(pairs: DataFrame, value: str) -> DataFrame:
@@ -141,7 +142,8 @@ def best_subsets(pairs: DataFrame, value: str, most: int = 15) -> list[tuple[int
 def selectivity(runs: DataFrame) -> DataFrame:
     """(run, mean_candidates, median_candidates): candidates for each ad, to one place and as a whole number."""
     n = runs.groupBy("run", "ad").agg(F.count(F.lit(1)).alias("n"))
-    return n.groupBy("run").agg(F.round(F.avg("n"), 1).alias("mean_candidates"), F.percentile("n", 0.5).cast("int").alias("median_candidates"))
+    medians = median_by(n, "run", "n").select("run", F.col("median").cast("int").alias("median_candidates"))
+    return n.groupBy("run").agg(F.round(F.avg("n"), 1).alias("mean_candidates")).join(medians, "run")
 
 
 def majority(runs: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .stats import quantiles
+
 NO_MATCH = "no matched scores"
 
 
@@ -62,7 +64,7 @@ def vulnerability(df: DataFrame, exposure: str, presence: str) -> DataFrame:
 
 def quadrants(df: DataFrame, exposure: str, presence: str) -> DataFrame:
     """df with quadrant, cut at both medians. (Naming the rows' quadrants is an addition of ours.)"""
-    cut = df.agg(F.percentile(exposure, 0.5).alias("_e"), F.percentile(presence, 0.5).alias("_p"))
-    high, near = F.col(exposure) >= F.col("_e"), F.col(presence) >= F.col("_p")
+    (e,), (p,) = quantiles(df, exposure, [0.5]), quantiles(df, presence, [0.5])
+    high, near = F.col(exposure) >= F.lit(e).cast("double"), F.col(presence) >= F.lit(p).cast("double")
     name = F.when(high & near, "augmented").when(high, "vulnerable").when(near, "resilient").otherwise("unchanged")
-    return df.crossJoin(cut).withColumn("quadrant", name).drop("_e", "_p")
+    return df.withColumn("quadrant", name)

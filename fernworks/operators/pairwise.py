@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.workers import prepare
+from ..sources.files import kept
 from .exposure import minmax
 from .stats import in_cells, running
 
@@ -45,13 +46,43 @@ def band_pairs(items: DataFrame, value: str, width: float, key: str = "item") ->
     return left.join(right, "cell").filter((F.col("a") < F.col("b")) & (F.abs(F.col("x") - F.col("y")) <= width)).select("a", "b")
 
 
-def adaptive_pairs(theta: DataFrame, each: int, seed: int = 0, width: float | None = None) -> DataFrame:
-    """(a, b), a < b: for each item `each` partners of nearly its strength, at random; random ones besides where there are too few.
+#: Rounds of a matching between two written tables.
+MATCHING_ROUNDS = 3
+
+
+def matched(edges: DataFrame, capacity: int, seed: int = 0) -> DataFrame:
+    """(a, b) of the edges that are taken when they come up in the order of a hash and both ends have room: an item is in
+    at most `capacity` of them, and an edge that is not taken has an end without room.
+
+    edges: (a, b), a < b, each once. An edge that is among the first `capacity` at both of its ends is taken whatever
+    becomes of the others, so many are taken in one round and the result is that of taking one after another. A round is
+    a window by item and a sum by edge; what remains is written every MATCHING_ROUNDS rounds, of which there are about
+    as many as the logarithm of the edges.
+    """
+    order = F.substring(F.md5(F.concat_ws("-", F.col("a").cast("string"), F.col("b").cast("string"), F.lit(str(seed))).cast("binary")), 1, 12)
+    left = kept(edges.select("a", "b", order.alias("order"), F.lit(False).alias("taken")))
+    item = Window.partitionBy("item")
+    while True:
+        for _ in range(MATCHING_ROUNDS):
+            ends = left.withColumn("item", F.explode(F.array("a", "b")))
+            ends = ends.withColumn("place", F.row_number().over(item.orderBy(F.desc("taken"), "order", "a", "b"))).withColumn("full", F.count_if("taken").over(item) >= capacity)
+            met = ends.groupBy("a", "b", "order", "taken").agg(F.max("place").alias("place"), F.bool_or("full").alias("full"))
+            left = met.filter(F.col("taken") | ~F.col("full")).select("a", "b", "order", (F.col("place") <= capacity).alias("taken"))
+        left = kept(left)
+        if not left.filter(~F.col("taken")).limit(1).count():
+            return left.select("a", "b")
+
+
+def adaptive_pairs(theta: DataFrame, each: int, seed: int = 0, width: float | None = None, spare: int = 4) -> DataFrame:
+    """(a, b), a < b: pairs of items of nearly equal strength, at random, an item being in `each` of them at most; random
+    ones besides for items with too few others near them.
 
     theta: (item, theta). width: one (population) standard deviation unless given. The items within the width of one are
-    an interval of the order by (theta, item); of its other m items, those at (h + j * (m div each)) mod m are taken, j
-    under `each`, h being a hash of the item and seed. So no pairs are made but those that are returned. The counters that
-    would stop an item once others have chosen it can't be kept in parallel: an item may have more than `each`.
+    an interval of the order by (theta, item); of its other m items, those at (h + j * (m div c)) mod m are candidates,
+    j under c = each * spare, h being a hash of the item and seed. Candidates are matched with a counter on both sides
+    (see matched), so an item stops being asked about once others have chosen it; it can end with fewer only if all its
+    candidates have no room left. Only items with under `each` others within the width get partners whatever their
+    counters say.
     """
     if width is None:
         width = theta.agg(F.stddev_pop("theta")).first()[0] or 0.0
@@ -61,17 +92,20 @@ def adaptive_pairs(theta: DataFrame, each: int, seed: int = 0, width: float | No
     ends = lambda v, kind: t.select("item", v.alias("v"), F.lit(kind).alias("kind"), F.lit(0 if kind != 1 else 1).alias("one"))
     points = ends(F.col("theta") - width, 0).unionByName(ends(F.col("theta"), 1)).unionByName(ends(F.col("theta") + width, 2))
     placed = running(in_cells(points, "v"), "one", ["v", "kind", "item"], "place")  # items before the point: at its lower end, at itself, up to its upper end
-    of = placed.groupBy("item").pivot("kind", [0, 1, 2]).agg(F.first("place")).select("item", F.col("0").alias("low"), F.col("1").alias("own"), F.col("2").alias("high"))
-    m = F.col("high") - F.col("low") - 1
+    of = kept(placed.groupBy("item").pivot("kind", [0, 1, 2]).agg(F.first("place")).select("item", F.col("0").alias("low"), F.col("1").alias("own"), F.col("2").alias("high")))
+    m, tries = F.col("high") - F.col("low") - 1, each * spare
     h = F.conv(F.substring(F.md5(F.concat_ws("-", F.col("item").cast("string"), F.lit(str(seed))).cast("binary")), 1, 12), 16, 10).cast("long")
-    asked = of.withColumn("m", m).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(each - 1)))).filter("j < m")
-    at = F.col("low") + F.pmod(h + F.col("j") * F.greatest(F.expr(f"m div {each}"), F.lit(1)), F.col("m"))
+    asked = of.withColumn("m", m).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(tries - 1)))).filter("j < m")
+    at = F.col("low") + F.pmod(h + F.col("j") * F.greatest(F.expr(f"m div {tries}"), F.lit(1)), F.col("m"))
     asked = asked.withColumn("at", F.when(at >= F.col("own"), at + 1).otherwise(at))
-    chosen = asked.select(F.col("item").alias("a"), "at").join(of.select(F.col("item").alias("b"), F.col("own").alias("at")), "at").select("a", "b")
+    near = asked.select(F.col("item").alias("a"), "at").join(of.select(F.col("item").alias("b"), F.col("own").alias("at")), "at")
+    chosen = matched(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), each, seed)
     few = of.filter(m < each).select("item")
+    if not few.limit(1).count():
+        return chosen
     more = shuffled_pairs(theta, 2 * each, seed + 1)
     fallback = more.join(few.select(F.col("item").alias("a")), "a", "left_semi").select("a", "b").union(more.join(few.select(F.col("item").alias("b")), "b", "left_semi").select("a", "b"))
-    return chosen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(fallback).distinct()
+    return chosen.union(fallback).distinct()
 
 
 def swapped(pairs: DataFrame, seed: int = 0) -> DataFrame:
@@ -236,18 +270,15 @@ def in_rounds(items: DataFrame, judge: Callable[[DataFrame], DataFrame], each: t
     """(item, theta, score) after len(each) rounds of about each[r] comparisons an item.
 
     The first round has random pairs, the others those of nearly the same strength. judge: from pairs with shown_a and
-    shown_b to the same with `outcome` of what was shown (null where it failed); it is asked once for each round. Every
-    fit is on the comparisons of all rounds so far.
+    shown_b to the same with `outcome` of what was shown (null where it failed); it is asked once for each round, as its
+    answers are written before they are used. Every fit is on the comparisons of all rounds so far.
     """
-    theta, asked, held = None, None, []
+    theta, asked = None, None
     for r, n in enumerate(each):
         pairs = shuffled_pairs(items, n, seed + r) if theta is None else adaptive_pairs(theta, n, seed + r)
-        said = unswapped(judge(swapped(pairs, seed + r))).select("a", "b", "outcome").persist()
-        held.append(said)
+        said = kept(unswapped(judge(swapped(pairs, seed + r))).select("a", "b", "outcome"))
         asked = said if asked is None else asked.unionByName(said)
         theta = bradley_terry(asked, items)
-    for said in held:
-        said.unpersist()
     return floor_normalised(theta, "theta", cutoff)
 
 
@@ -262,4 +293,4 @@ def by_occupation(scores: DataFrame, tasks: DataFrame, codes: DataFrame) -> Data
     return codes.join(out, "onet_code", "left")
 
 
-__all__ = ["adaptive_pairs", "band_pairs", "bradley_terry", "by_occupation", "collapsed", "floor_normalised", "in_rounds", "minmax", "shuffled_pairs", "solve", "swapped", "unswapped"]
+__all__ = ["adaptive_pairs", "band_pairs", "bradley_terry", "by_occupation", "collapsed", "floor_normalised", "in_rounds", "matched", "minmax", "shuffled_pairs", "solve", "swapped", "unswapped"]

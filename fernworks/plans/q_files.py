@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns
 from ..operators import agreement, matching
-from ..sources import ads, files, results
+from ..sources import ads, files, results, workbook
 from . import cost, providers, stages
 from .registry import query, read
 
@@ -216,6 +216,33 @@ def k11_resume_and_retry(spark, sf_dir):
     return spark.createDataFrame([(r["n_total"], r["n_success"], r["n_failed"], len(waves))], "n_total long, n_success long, n_failed long, waves int")
 
 
+@query("SELECT o_orderkey AS id, o_orderstatus AS data, CASE WHEN o_orderkey % 7 = 0 THEN 2 ELSE 1 END AS tries FROM orders")
+def k11_batches_kept(spark, sf_dir):
+    """Batches of a quarter of the orders, two at a time. The job of one of them fails, so a second call does what is
+    left; the calls for every seventh order have errors at first. tries: how often an id has been answered for, so no
+    batch that has ended is worked on again."""
+    folder = files.scratch(spark)
+    store = results.ResultStore(spark, f"{folder}/store")
+    o = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("data"))
+    ids, (n, last) = o.select("id"), o.agg(F.count(F.lit(1)), F.max("id")).first()
+
+    def work(batch, breaks=False):
+        before = store.failed().withColumn("before", F.lit(True))
+        rows = o.join(batch, "id", "left_semi").join(before, "id", "left")
+        bad = (F.col("id") % 7 == 0) & F.col("before").isNull()
+        broken = F.when(F.col("id") == last, F.raise_error(F.lit("the call broke off")).cast("string")) if breaks else F.lit(None).cast("string")
+        return rows.select("id", F.when(~bad, F.col("data")).alias("data"), F.coalesce(broken, F.when(bad, F.lit("no answer"))).alias("error"))
+
+    how = {"scratch": folder, "batch_size": max(1, n // 4), "concurrent": 2}
+    try:
+        results.run_batched(ids, store, lambda batch: work(batch, breaks=True), **how)
+    except RuntimeError:
+        pass
+    results.run_batched(ids, store, work, retries=2, **how)
+    tries = store.attempts().groupBy("id").agg(F.count(F.lit(1)).cast("int").alias("tries"))
+    return store.rows().select("id", "data").join(tries, "id")
+
+
 @query("SELECT p_partkey AS id, upper(p_name) AS data FROM part")
 def k3_work_by_batches(spark, sf_dir):
     """The plug-in is a function over Arrow-fed pandas frames."""
@@ -278,6 +305,45 @@ def c21_boundaries_with_scores(spark, sf_dir):
     return b.join(c, "code", "left").select("name", "region", "score")
 
 
+@query(
+    """WITH RECURSIVE r AS (SELECT vec_id AS v, k, 1000 * CASE WHEN k < n THEN k WHEN k = n THEN n - 1 ELSE 0 END AS x,
+  CASE WHEN k < n THEN floor(10000 * e[k + 1]::DOUBLE)::BIGINT WHEN k < n + 2 THEN -100000 ELSE floor(10000 * e[1]::DOUBLE)::BIGINT END AS y, n + 2 AS last
+  FROM (SELECT vec_id, embedding AS e, len(embedding) AS n, unnest(range(0, len(embedding) + 3)) AS k FROM embeddings)),
+kept AS (SELECT v, 0::BIGINT AS i, max(last) AS j, NULL::BIGINT AS put FROM r GROUP BY v
+  UNION ALL (WITH f AS (SELECT s.v, s.i, s.j, max({'d': CASE
+      WHEN a.x = b.x AND a.y = b.y OR (p.x - a.x) * (b.x - a.x) + (p.y - a.y) * (b.y - a.y) <= 0 THEN ((p.x - a.x) * (p.x - a.x) + (p.y - a.y) * (p.y - a.y))::DOUBLE
+      WHEN (p.x - a.x) * (b.x - a.x) + (p.y - a.y) * (b.y - a.y) >= (b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y) THEN ((p.x - b.x) * (p.x - b.x) + (p.y - b.y) * (p.y - b.y))::DOUBLE
+      ELSE pow(((p.x - a.x) * (b.y - a.y) - (p.y - a.y) * (b.x - a.x))::DOUBLE, 2) / ((b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y))::DOUBLE END, 'k': -p.k}) AS m
+    FROM kept s JOIN r a ON a.v = s.v AND a.k = s.i JOIN r b ON b.v = s.v AND b.k = s.j JOIN r p ON p.v = s.v AND p.k > s.i AND p.k < s.j GROUP BY ALL)
+  SELECT v, CASE WHEN h = 0 THEN i ELSE -m.k END, CASE WHEN h = 0 THEN -m.k ELSE j END, -m.k FROM f, (SELECT unnest([0, 1]) AS h) WHERE m.d > 300 * 300)),
+points AS (SELECT DISTINCT v, put AS k FROM kept WHERE put IS NOT NULL UNION SELECT v, 0 FROM r UNION SELECT v, last FROM r)
+SELECT v AS vec_id, count(*)::INT AS n, string_agg(x || ' ' || y, ',' ORDER BY k) AS ring FROM points JOIN r USING (v, k) GROUP BY v"""
+)
+def a35_simplified_boundaries(spark, sf_dir):
+    """A polygon for each vector, its components as heights over a base line, written as GeoJSON and read simplified."""
+    path = files.scratch(spark)
+    e, n = F.col("embedding"), F.size("embedding")
+    point = lambda x, y: F.array(x.cast("double"), y.cast("double"))
+    height = lambda x: F.floor(x.cast("double") * 10000)
+    base = F.lit(-100000)
+    ring = F.concat(F.transform(e, lambda x, k: point(k * 1000, height(x))), F.array(point((n - 1) * 1000, base), point(F.lit(0), base), point(F.lit(0), height(e[0]))))
+    feature = F.struct(F.lit("Feature").alias("type"), F.struct("vec_id").alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
+    read(spark, sf_dir, "embeddings").select(F.to_json(feature)).write.text(path)
+    b = files.boundaries(spark, path, tolerance=300, lines=True)
+    points = F.from_json("geometry.coordinates", "array<array<array<double>>>")[0]
+    return b.select("vec_id", F.size(points).alias("n"), F.array_join(F.transform(points, lambda p: F.concat_ws(" ", p[0].cast("long"), p[1].cast("long"))), ",").alias("ring"))
+
+
+@query("SELECT c_custkey AS key, c_name AS name, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_acctbal END AS balance, c_custkey % 2 = 0 AS even, TIMESTAMP '2020-01-31 06:30:00' + to_days((c_custkey % 1000)::INT) AS since FROM customer")
+def a14_workbooks(spark, sf_dir):
+    """Customers as workbooks of 500 rows, and read again: whole numbers, numbers, truth values, dates, text, empty cells."""
+    folder, k = files.scratch(spark), F.col("c_custkey")
+    since = F.timestamp_add("DAY", (k % 1000).cast("int"), F.lit("2020-01-31 06:30:00").cast("timestamp"))
+    c = read(spark, sf_dir, "customer").select(k.alias("key"), F.col("c_name").alias("name"), F.when(k % 3 != 0, F.col("c_acctbal")).alias("balance"), (k % 2 == 0).alias("even"), since.alias("since"))
+    workbook.write_workbooks(c, folder, "Customers", 500)
+    return workbook.read_workbook(spark, folder, "Customers").withColumn("since", F.col("since").cast("timestamp_ntz"))
+
+
 @query("SELECT count(*) AS n, count(DISTINCT o_orderkey) AS n_ids, min(o_orderkey) AS first, max(o_orderkey) AS last FROM orders")
 def a37_ids(spark, sf_dir):
     return read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("n_ids"), F.min("id").alias("first"), F.max("id").alias("last"))

@@ -16,8 +16,8 @@ def _rounded(df, places=6):
 
 @query("SELECT round(quantile_cont(o_totalprice, 0.02), 4) AS q02, round(median(o_totalprice), 4) AS q50, round(quantile_cont(o_totalprice, 0.25), 4) AS q25, round(quantile_cont(o_totalprice, 0.98), 4) AS q98 FROM orders")
 def d19_quantiles(spark, sf_dir):
-    q = lambda p: F.percentile("o_totalprice", p)
-    return _rounded(read(spark, sf_dir, "orders").agg(q(0.02).alias("q02"), q(0.5).alias("q50"), q(0.25).alias("q25"), q(0.98).alias("q98")), 4)
+    q = stats.quantiles(read(spark, sf_dir, "orders"), "o_totalprice", [0.02, 0.5, 0.25, 0.98])
+    return _rounded(spark.createDataFrame([tuple(q)], "q02 double, q50 double, q25 double, q98 double"), 4)
 
 
 @query(

@@ -26,6 +26,33 @@ def scratch(spark: SparkSession) -> str:
     return f"{at.rstrip('/')}/fernworks-files/{uuid.uuid4().hex}"
 
 
+#: Tables that `kept` has written.
+_kept: list[str] = []
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """df as a table in the shared folder: computed once, and there again when an executor is lost. See forget."""
+    path = scratch(df.sparkSession)
+    if not _kept:
+        atexit.register(_forget_at_exit)
+    _kept.append(path)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def forget(spark: SparkSession) -> None:
+    """Remove the tables that `kept` has written so far, when no result that reads them is needed any more."""
+    while _kept:
+        fs, p = _fs(spark, _kept.pop())
+        fs.delete(p, True)
+
+
+def _forget_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        forget(spark)
+
+
 def register(spark: SparkSession, tables: dict[str, str]) -> None:
     """Parquet tables as views for SQL, each read where it lies."""
     for name, path in tables.items():
@@ -59,8 +86,36 @@ def write_map(df: DataFrame, path: str, key: str = "key", value: str = "value")
     _put(df.sparkSession, path, json.dumps(rows, sort_keys=True, ensure_ascii=False))
 
 
+def boundaries(spark: SparkSession, path: str, tolerance: float = 0.0, lines: bool = False) -> DataFrame:
+    """The properties of GeoJSON features, with their geometry as `geometry` (struct of type and coordinates, a JSON text).
+
+    lines: a feature on each line, which Spark splits; else whole files with a collection of features each. tolerance:
+    polygons are simplified by it (see functions.geometry.simplify). A feature without geometry has null there; a
+    property named geometry is hidden by it.
+    """
+    from ..functions.geometry import simplify
+    from ..functions.workers import prepare
+
+    reader = spark.read if lines else spark.read.option("multiLine", True)
+    found = reader.json(path)
+    one = T.StructType.fromJson(found.schema.jsonValue()) if lines else found.schema["features"].dataType.elementType
+    if "properties" not in one.names or not isinstance(one["properties"].dataType, T.StructType):
+        raise ValueError(f"{path}: no feature has properties")
+    feature = T.StructType([one["properties"], T.StructField("geometry", T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())]))])
+    if lines:
+        f = spark.read.schema(feature).json(path)
+    else:
+        f = reader.schema(T.StructType([T.StructField("features", T.ArrayType(feature))])).json(path).select(F.inline("features"))
+    names = [n for n in one["properties"].dataType.names if n != "geometry"]
+    if tolerance > 0:
+        prepare(spark)
+        made = simplify(F.col("geometry.type"), F.col("geometry.coordinates"), tolerance)
+        f = f.withColumn("geometry", F.when(F.col("geometry").isNotNull(), F.struct(F.col("geometry.type").alias("type"), made.alias("coordinates"))))
+    return f.select(*[F.col("properties").getField(n).alias(n) for n in names], "geometry")
+
+
 def boundary_attributes(spark: SparkSession, path: str) -> DataFrame:
-    """The properties of a GeoJSON file's features; geometry is left out."""
+    """The properties of a GeoJSON file's features, without their geometry."""
     return spark.read.option("multiLine", True).json(path).selectExpr("explode(features) as f").select("f.properties.*")
 
 

@@ -6,9 +6,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from fernworks.functions import columns
+from fernworks.functions import columns, geometry
 from fernworks.plans import cost, providers, stages
-from fernworks.sources import ads, files, results
+from fernworks.sources import ads, files, results, workbook
 from fernworks.streaming import ingest
 
 
@@ -169,3 +169,221 @@ def test_fixed_arms(spark):
     assert agreement.arms(runs).count() == 4
     only = agreement.arms(runs, {"llm": ["a"], "embedding": ["x"], "reranker": ["r"]}).collect()
     assert sorted((r["arm"], r["fixed"], r["run"]) for r in only) == [("llm", "x + r", "val__d__a__x__r"), ("llm", "x + r", "val__d__b__x__r")]
+
+
+def _failing(bad):
+    return lambda batch: batch.select("id", F.when(~bad, "ok").alias("data"), F.when(bad, "no").alias("error"))
+
+
+def test_batches_are_kept_as_they_end(spark, tmp_path):
+    """The worker of one batch dies: the others' results stay, and a second call does the rest."""
+    s = results.ResultStore(spark, str(tmp_path / "r"))
+    ids = spark.range(40).union(spark.range(5)).union(spark.createDataFrame([(None,)], "id long"))
+    dies = tmp_path / "dies"
+    dies.write_text("")
+
+    def called(frames):
+        for f in frames:
+            if dies.exists() and (f.id == 17).any():
+                os._exit(1)
+            yield f.assign(data="ok", error=None)
+
+    how = {"scratch": str(tmp_path / "b"), "batch_size": 10}
+    work = lambda batch: batch.mapInPandas(called, "id long, data string, error string")
+    with pytest.raises(RuntimeError, match="what has ended is kept"):
+        results.run_batched(ids, s, work, concurrent=2, **how)
+    kept = {r[0] for r in s.done().collect()}
+    assert 17 not in kept and len(kept) < 40
+    dies.unlink()
+    assert results.run_batched(ids, s, work, concurrent=3, **how)["n_success"] == 40
+    assert s.attempts().count() == 40  # nothing was worked on twice
+    assert results.run_batched(ids, s, work, **how)["batches"] == 0
+    assert results.run_batched(ids, s, work, resume=False, **how)["batches"] == 4
+
+
+def test_batches_run_at_the_same_time(spark, tmp_path):
+    """Two batches that each wait for the other end only if both are under way."""
+    s = results.ResultStore(spark, str(tmp_path / "r"))
+    here = str(tmp_path)
+
+    def called(frames):
+        import time
+
+        for f in frames:
+            if len(f):
+                open(f"{here}/began-{f.id.min()}", "w").close()
+                until = time.time() + 60
+                while len([x for x in os.listdir(here) if x.startswith("began")]) < 2:
+                    assert time.time() < until
+                    time.sleep(0.05)
+            yield f.assign(data="ok", error=None)
+
+    r = results.run_batched(spark.range(16), s, lambda b: b.coalesce(1).mapInPandas(called, "id long, data string, error string"), scratch=f"{here}/b", batch_size=8, concurrent=2, pool="calls")
+    assert r["batches"] == 2 and r["n_success"] == 16
+
+
+def test_batches_try_again_and_keep_faults_as_rows(spark, tmp_path):
+    how = {"scratch": str(tmp_path / "b"), "batch_size": 4}
+    s = results.ResultStore(spark, str(tmp_path / "r"))
+    seen = []
+
+    def work(batch):
+        seen.append(sorted(r[0] for r in batch.collect()))
+        return _failing((F.col("id") % 5 == 0) & F.lit(len(seen) <= 3))(batch)
+
+    r = results.run_batched(spark.range(1, 13), s, work, retries=2, **how)
+    assert (r["n_total"], r["n_success"], r["n_failed"]) == (12, 12, 0) and sorted(x for b in seen[3:] for x in b) == [5, 10]
+    with pytest.raises(RuntimeError, match="have failed"):
+        results.run_batched(spark.range(20, 22), s, _failing(F.lit(True)), **how)
+    t = results.ResultStore(spark, str(tmp_path / "t"))
+
+    def breaks(batch):
+        if batch.filter("id = 7").count():
+            raise ValueError("broke off")
+        return _failing(F.lit(False))(batch)
+
+    r = results.run_batched(spark.range(16), t, breaks, faults="rows", must_succeed=False, concurrent=2, **how)
+    assert 0 < r["n_failed"] < 16 and 7 in r["first_failed"] and {x["error"] for x in t.rows().filter("error is not null").collect()} == {"broke off"}
+    assert results.run_batched(spark.range(16), t, _failing(F.lit(False)), **how)["n_success"] == 16
+    assert results.run_batched(spark.range(0), t, breaks, **how)["n_total"] == 0
+    for bad in ({"faults": "x"}, {"concurrent": 0}):
+        with pytest.raises(ValueError):
+            results.run_batched(spark.range(3), t, breaks, **how | bad)
+
+
+def test_attempts_do_not_follow_a_clock(spark, tmp_path, monkeypatch):
+    s = results.ResultStore(spark, str(tmp_path / "r"))
+    for n in range(3):
+        monkeypatch.setattr("time.time_ns", lambda n=n: -n)
+        s.add(spark.createDataFrame([(1, f"v{n}", None)], "id long, data string, error string"))
+    assert s.rows().first()["data"] == "v2" and s.next_attempt() == 4
+
+
+def test_kept_tables(spark):
+    a = files.kept(spark.range(3).withColumn("x", F.rand()))
+    assert a.collect() == a.collect()
+    files.forget(spark)
+    with pytest.raises(Exception, match="PATH|FILE|exist"):
+        a.count()
+
+
+def _workbook(sheets, shared=(), formats=(), since_1904=False):
+    """A workbook of given sheets' XML rows, with shared strings and the number formats of its styles."""
+    import io
+    import zipfile
+
+    m, o = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"', "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook {m} xmlns:r="{o}"><workbookPr date1904="{int(since_1904)}"/><sheets>' + "".join(f'<sheet name="{n}" sheetId="{i}" r:id="r{i}"/>' for i, n in enumerate(sheets)) + "</sheets></workbook>")
+        z.writestr("xl/_rels/workbook.xml.rels", "<Relationships>" + "".join(f'<Relationship Id="r{i}" Target="/xl/s{i}.xml"/>' for i in range(len(sheets))) + "</Relationships>")
+        z.writestr("xl/sharedStrings.xml", f"<sst {m}>" + "".join(shared) + "</sst>")
+        z.writestr("xl/styles.xml", f"<styleSheet {m}><numFmts>" + "".join(f'<numFmt numFmtId="{170 + i}" formatCode="{c}"/>' for i, c in enumerate(formats)) + "</numFmts><cellXfs><xf/><xf numFmtId=\"14\"/>" + "".join(f'<xf numFmtId="{170 + i}"/>' for i in range(len(formats))) + "</cellXfs></styleSheet>")
+        for i, rows in enumerate(sheets.values()):
+            z.writestr(f"xl/s{i}.xml", f"<worksheet {m}><sheetData>{rows}</sheetData></worksheet>")
+    return out.getvalue()
+
+
+def test_cells_of_a_workbook(spark, tmp_path):
+    rows = (
+        '<row r="2"><c r="B2" t="s"><v>0</v></c><c r="C2" t="inlineStr"><is><t>when</t></is></c><c r="D2" t="s"><v>0</v></c><c r="E2" t="str"><v>f</v></c></row><row r="3"/>'
+        '<row r="5"><c r="A5"><v>1</v></c><c r="B5" t="s"><v>1</v></c><c r="C5" s="1"><v>43861.25</v></c><c r="D5" t="b"><v>1</v></c><c r="E5"><v>2.5</v></c><c r="AB5"><v>9</v></c></row>'
+        '<row><c><v>-3</v></c><c r="C6" s="2"><v>1</v></c><c r="D6" t="e"><v>#N/A</v></c><c r="E6"><v>1E3</v></c></row>'
+    )
+    shared = ["<si><r><t>na</t></r><r><t>me</t></r><rPh><t>no</t></rPh></si>", "<si><t>a_x000A_b &amp; c</t></si>"]
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "a.xlsx").write_bytes(_workbook({"first": "", "Appendix D": rows}, shared, ["yyyy\\-mm"]))
+    out = workbook.read_workbook(spark, str(tmp_path / "w"), "Appendix D")
+    assert [(f.name, f.dataType.simpleString()) for f in out.schema] == [("Unnamed: 0", "bigint"), ("name", "string"), ("when", "timestamp"), ("name.1", "boolean"), ("f", "double")]
+    got = sorted((tuple(r) for r in out.withColumn("when", F.col("when").cast("string")).collect()), reverse=True)
+    assert got == [(1, "a\nb & c", "2020-01-31 06:00:00", True, 2.5), (-3, None, "1900-01-01 00:00:00", None, 1000.0)]
+    assert workbook.read_workbook(spark, str(tmp_path / "w")).columns == []  # an empty sheet
+    with pytest.raises(Exception, match="no sheet 'other'"):
+        workbook.read_workbook(spark, str(tmp_path / "w"), "other")
+    (tmp_path / "w" / "b.xlsx").write_bytes(_workbook({"Appendix D": '<row r="1"><c r="A1" t="inlineStr"><is><t>x</t></is></c></row>'}))
+    with pytest.raises(ValueError, match="differ"):
+        workbook.read_workbook(spark, str(tmp_path / "w"), "Appendix D")
+    assert list(workbook.rows_of(_workbook({"s": '<row r="1"><c r="A1" s="1"><v>0</v></c></row>'}, since_1904=True))) == [(1, ["1904-01-01 00:00:00"], "d")]
+    assert [workbook._shows_dates(c) for c in ("0.00", "[Red]0", '"day" 0', "h:mm", "[h]:mm", "General")] == [False, False, False, True, True, False]
+
+
+def test_workbooks_there_and_back(spark, tmp_path):
+    rows = [(1, "a <b> & \"c\" _x0041_ \x01 é\n", 0.1, True, None), (None, "", -1e-300, None, None), (2**40, None, None, False, None)]
+    d = spark.createDataFrame(rows, "k long, `t x` string, v double, b boolean, none string").coalesce(1)
+    assert workbook.write_workbooks(d, str(tmp_path / "w"), "S & S", 2) == 2
+    out = workbook.read_workbook(spark, str(tmp_path / "w"), "S & S")
+    assert out.columns == d.columns
+    key = lambda r: (r[0] is None, r[0] or 0)
+    assert sorted((tuple(r) for r in out.collect()), key=key) == sorted(rows, key=key)
+    assert workbook.write_workbooks(d.limit(0), str(tmp_path / "none")) == 0
+    with pytest.raises(ValueError):
+        workbook.write_workbooks(d, str(tmp_path / "x"), rows_each=1 << 21)
+
+
+def _plain_kept(points, tolerance):
+    """Which points stay, by recursion."""
+    import math
+
+    def away(p, a, b):
+        size = (b[0] - a[0]) ** 2 + (b[1] - a[1]) ** 2
+        along = (p[0] - a[0]) * (b[0] - a[0]) + (p[1] - a[1]) * (b[1] - a[1])
+        t = 0 if not size else min(1, max(0, along / size))
+        return math.dist(p, (a[0] + t * (b[0] - a[0]), a[1] + t * (b[1] - a[1])))
+
+    def go(i, j):
+        if j - i < 2:
+            return []
+        k = max(range(i + 1, j), key=lambda k: (round(away(points[k], points[i], points[j]), 9), -k))
+        return [*go(i, k), k, *go(k, j)] if away(points[k], points[i], points[j]) > tolerance + 1e-9 else []
+
+    return [0, *go(0, len(points) - 1), len(points) - 1]
+
+
+def test_simplified_lines():
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    for n in (2, 3, 10, 60):
+        for tolerance in (0.5, 2.0, 7.0):
+            line = np.cumsum(rng.normal(size=(n, 2)), axis=0)
+            ring = np.vstack([line, line[:1]])
+            for points in (line, ring):
+                assert np.flatnonzero(geometry.kept_points(points, tolerance)).tolist() == _plain_kept(points.tolist(), tolerance)
+
+
+def test_simplified_rings_stay_rings():
+    import numpy as np
+
+    angle = np.linspace(0, 2 * np.pi, 401)
+    circle = np.column_stack([np.cos(angle), np.sin(angle)]) * 100
+    circle[-1] = circle[0]
+    few = geometry.simple_ring(circle, 1.0)
+    assert 4 < len(few) < 60 and (few[0] == few[-1]).all()
+    assert len(geometry.simple_ring(circle, 1000.0)) == 4  # never under four
+    inner = circle * 0.995  # with the same tolerance the rings would cross
+    assert not geometry.crosses([circle, inner])
+    both = geometry.simple_polygon([circle, inner[:, :] * [1, 1]], 3.0)
+    assert not geometry.crosses(both) and all((r[0] == r[-1]).all() for r in both)
+    assert geometry.crosses([np.array([[0, 0], [2, 2], [2, 0], [0, 2], [0, 0.0]])])
+    square = np.array([[0, 0], [2, 0], [2, 2], [0, 2], [0, 0.0]])
+    assert not geometry.crosses([square]) and geometry.crosses([square, square + 1]) and not geometry.crosses([square, square / 2 + 0.5])
+    assert geometry.simple_polygon([square], 0)[0] is square
+
+
+def test_boundaries(spark, tmp_path):
+    n = 50
+    ring = [[float(i), (i % 2) * 0.01] for i in range(n)] + [[n - 1.0, 40.0], [0.0, 40.0], [0.0, 0.0]]
+    shapes = [{"type": "Polygon", "coordinates": [ring]}, {"type": "MultiPolygon", "coordinates": [[ring], [[[0, 50], [9, 50], [9, 59], [0, 50]]]]}, {"type": "Point", "coordinates": [1, 2]}, None, {"type": "Polygon", "coordinates": []}]
+    features = [{"type": "Feature", "properties": {"code": i, "name": f"n{i}"}, "geometry": g} for i, g in enumerate(shapes)]
+    (tmp_path / "g.json").write_text(json.dumps({"type": "FeatureCollection", "features": features}, indent=1))
+    (tmp_path / "g.jsonl").write_text("\n".join(map(json.dumps, features)))
+    for name, lines in (("g.json", False), ("g.jsonl", True)):
+        same = {r["code"]: r for r in files.boundaries(spark, str(tmp_path / name), lines=lines).collect()}
+        assert [json.loads(same[i]["geometry"]["coordinates"]) if shapes[i] else same[i]["geometry"] for i in range(5)] == [g and g["coordinates"] for g in shapes]
+        less = {r["code"]: r["geometry"] for r in files.boundaries(spark, str(tmp_path / name), 0.1, lines=lines).collect()}
+        corners = [[0, 0], [49, 0.01], [49, 40], [0, 40], [0, 0]]
+        assert json.loads(less[0]["coordinates"]) == [corners] and json.loads(less[1]["coordinates"])[0] == [corners]
+        assert less[2]["coordinates"] == "[1,2]" and less[3] is None and json.loads(less[4]["coordinates"]) == []
+    (tmp_path / "bad.json").write_text('{"features": [{"x": 1}]}')
+    with pytest.raises(ValueError):
+        files.boundaries(spark, str(tmp_path / "bad.json"))
