@@ -51,9 +51,11 @@ def ranks(df: DataFrame, value: str, alias: str, weight: str | None = None) -> D
     so those are sent to all tasks; all others are joined by value, where none has many rows.
     """
     counts = df.groupBy(F.col(value).alias("_v")).agg(F.sum(F.col(weight) if weight else F.lit(1)).alias("_n"), F.count(F.lit(1)).alias("_rows"))
-    counts = kept(counts)
+    counts = counts.persist()
     placed = kept(running(in_cells(counts, "_v"), "_n", ["_v"], "_before").select("_v", "_rows", (F.col("_before") + (F.col("_n") + 1) / 2.0).alias(alias)))
-    common = placed.crossJoin(counts.agg(F.sum("_rows").alias("_all"))).filter(F.col("_rows") * 256 > F.col("_all")).select("_v", alias)
+    counts.unpersist()
+    all_rows = placed.agg(F.sum("_rows")).first()[0] or 0
+    common = placed.filter(F.col("_rows") * 256 > all_rows).select("_v", alias)
     same = F.col(value).eqNullSafe(F.col("_v"))
     out = df.join(F.broadcast(common), same, "left").withColumn("_common", F.col(alias).isNotNull()).drop("_v")
     rest = out.filter(~F.col("_common")).drop(alias).join(placed.drop("_rows"), same).select(*df.columns, alias)
