@@ -46,6 +46,10 @@ def band_pairs(items: DataFrame, value: str, width: float, key: str = "item") ->
     return left.join(right, "cell").filter((F.col("a") < F.col("b")) & (F.abs(F.col("x") - F.col("y")) <= width)).select("a", "b")
 
 
+def _priority(seed: int):
+    return F.substring(F.md5(F.concat_ws("-", F.col("a").cast("string"), F.col("b").cast("string"), F.lit(str(seed))).cast("binary")), 1, 12)
+
+
 #: Rounds of a matching between two written tables.
 MATCHING_ROUNDS = 3
 
@@ -59,8 +63,7 @@ def matched(edges: DataFrame, capacity: int, seed: int = 0) -> DataFrame:
     a window by item and a sum by edge; what remains is written every MATCHING_ROUNDS rounds, of which there are about
     as many as the logarithm of the edges.
     """
-    order = F.substring(F.md5(F.concat_ws("-", F.col("a").cast("string"), F.col("b").cast("string"), F.lit(str(seed))).cast("binary")), 1, 12)
-    left = kept(edges.select("a", "b", order.alias("order"), F.lit(False).alias("taken")))
+    left = kept(edges.select("a", "b", _priority(seed).alias("order"), F.lit(False).alias("taken")))
     item = Window.partitionBy("item")
     while True:
         for _ in range(MATCHING_ROUNDS):
@@ -74,15 +77,15 @@ def matched(edges: DataFrame, capacity: int, seed: int = 0) -> DataFrame:
 
 
 def adaptive_pairs(theta: DataFrame, each: int, seed: int = 0, width: float | None = None, spare: int = 4) -> DataFrame:
-    """(a, b), a < b: pairs of items of nearly equal strength, at random, an item being in `each` of them at most; random
-    ones besides for items with too few others near them.
+    """(a, b), a < b: pairs of items of nearly equal strength, at random, each item in `each` of them; random ones besides
+    for items with too few others near them.
 
     theta: (item, theta). width: one (population) standard deviation unless given. The items within the width of one are
     an interval of the order by (theta, item); of its other m items, those at (h + j * (m div c)) mod m are candidates,
     j under c = each * spare, h being a hash of the item and seed. Candidates are matched with a counter on both sides
-    (see matched), so an item stops being asked about once others have chosen it; it can end with fewer only if all its
-    candidates have no room left. Only items with under `each` others within the width get partners whatever their
-    counters say.
+    (see matched), so an item stops being asked about once others have chosen it. An item whose candidates all have no
+    room left, while it still lacks some, gets the first of them nevertheless; so do items with under `each` others
+    within the width get partners whatever their counters say. Only such partners are in more pairs than `each`.
     """
     if width is None:
         width = theta.agg(F.stddev_pop("theta")).first()[0] or 0.0
@@ -98,8 +101,13 @@ def adaptive_pairs(theta: DataFrame, each: int, seed: int = 0, width: float | No
     asked = of.withColumn("m", m).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(tries - 1)))).filter("j < m")
     at = F.col("low") + F.pmod(h + F.col("j") * F.greatest(F.expr(f"m div {tries}"), F.lit(1)), F.col("m"))
     asked = asked.withColumn("at", F.when(at >= F.col("own"), at + 1).otherwise(at))
-    near = asked.select(F.col("item").alias("a"), "at").join(of.select(F.col("item").alias("b"), F.col("own").alias("at")), "at")
-    chosen = matched(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), each, seed)
+    near = asked.select(F.col("item").alias("x"), "at").join(of.select(F.col("item").alias("y"), F.col("own").alias("at")), "at")
+    near = near.select("x", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    chosen = matched(near.select("a", "b").distinct(), each, seed)
+    counts = chosen.select(F.explode(F.array("a", "b")).alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("n"))
+    lack = of.filter(m >= each).select(F.col("item").alias("x")).join(counts, "x", "left").select("x", (each - F.coalesce("n", F.lit(0))).alias("lack")).filter("lack > 0")
+    first = F.row_number().over(Window.partitionBy("x").orderBy(_priority(seed), "a", "b"))
+    chosen = chosen.union(near.join(lack, "x").join(chosen, ["a", "b"], "left_anti").withColumn("place", first).filter("place <= lack").select("a", "b")).distinct()
     few = of.filter(m < each).select("item")
     if not few.limit(1).count():
         return chosen

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -13,7 +11,7 @@ from pyspark.sql.window import Window
 from ..functions.columns import dot, norm
 from ..functions.workers import prepare
 
-#: Bytes of the right side that are sent to the executors at once; a larger one is sent in parts.
+#: Bytes of the right side, as numbers of 8 bytes, that a task holds: a right side up to that goes to all tasks.
 PART_BYTES = 64 << 20
 
 
@@ -43,48 +41,108 @@ def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.nonzero(scores >= least[:, None])
 
 
+def _pieces(piece: pa.RecordBatch | pa.Table, d: int, k: int, codes: pa.Array, right, score):
+    """The best of the right side for some ads, block by block."""
+    for s in range(0, piece.num_rows, 1024):
+        some = piece.slice(s, 1024)
+        scores = score(_dense(some.column("embedding"), d), right)
+        rows, columns = _best(scores, k)
+        yield pa.RecordBatch.from_arrays([some.column("ad_id").take(pa.array(rows)), codes.take(pa.array(columns)), pa.array(scores[rows, columns])], names=["ad_id", "onet_code", "cosine_score"])
+
+
+def _kind(ads: DataFrame, right: DataFrame) -> str:
+    return f"ad_id {ads.schema['ad_id'].dataType.simpleString()}, onet_code {right.schema['onet_code'].dataType.simpleString()}, cosine_score double"
+
+
+def _small_topk(ads: DataFrame, right: DataFrame, k: int, d: int, prepared, score) -> DataFrame:
+    """The best rows of a right side that is known to be small: it goes to all tasks, and the ads stay where they are."""
+    table = right.orderBy("onet_code").toArrow()
+    codes = table.column("onet_code").combine_chunks()
+    if not len(codes):
+        return ads.sparkSession.createDataFrame([], _kind(ads, right))
+    shared = ads.sparkSession.sparkContext.broadcast(prepared(table, _dense(table.column("embedding"), d)))
+
+    def run(batches):
+        for batch in batches:
+            yield from _pieces(batch, d, k, codes, shared.value, score)
+
+    return ads.select("ad_id", "embedding").mapInArrow(run, _kind(ads, right))
+
+
+def _tiled_topk(ads: DataFrame, right: DataFrame, sizes: DataFrame, k: int, d: int, prepared, score) -> DataFrame:
+    """The best rows of the right side for each ad inside its group, cell by cell.
+
+    ads: (group, ad_id, embedding); right: (group, onet_code, embedding, ...); sizes: (group, parts, slices), how many
+    parts the right rows and how many slices the ads of a group are cut into. A cell is one part and one slice: its
+    right rows come first and are held as a matrix, the ads stream past it. So a task holds one part, both sides are read
+    once, an ad is moved once for each part of its group, and a right row once for each slice.
+    """
+    extra = [c for c in right.columns if c not in ("group", "onet_code")]
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    left = ads.join(sizes, "group").withColumn("slice", F.pmod(F.xxhash64("ad_id"), F.col("slices"))).withColumn("part", every(F.col("parts")))
+    other = right.join(sizes, "group").withColumn("part", F.pmod(F.xxhash64("onet_code"), F.col("parts"))).withColumn("slice", every(F.col("slices")))
+    cell = F.concat_ws("|", F.col("group").cast("string"), "part", "slice").alias("cell")
+    both = other.select(cell, F.lit(False).alias("ad"), "onet_code", *extra).unionByName(left.select(cell, F.lit(True).alias("ad"), "ad_id", "embedding"), allowMissingColumns=True)
+
+    def run(batches):
+        cell, held, ready = None, [], None
+        for batch in batches:
+            cells, is_ad = batch.column("cell").to_pylist(), batch.column("ad").to_pylist()
+            start = 0
+            while start < batch.num_rows:
+                stop = start
+                while stop < batch.num_rows and (cells[stop], is_ad[stop]) == (cells[start], is_ad[start]):
+                    stop += 1
+                piece = batch.slice(start, stop - start)
+                if cells[start] != cell:
+                    cell, held, ready = cells[start], [], None
+                if not is_ad[start]:
+                    held.append(piece)
+                elif held:
+                    if ready is None:
+                        table = pa.Table.from_batches(held).combine_chunks().sort_by("onet_code")
+                        ready = table.column("onet_code").combine_chunks(), prepared(table, _dense(table.column("embedding"), d))
+                    yield from _pieces(piece, d, k, *ready, score)
+                start = stop
+
+    return both.repartition("cell").sortWithinPartitions("cell", "ad").mapInArrow(run, _kind(ads, right))
+
+
+def _cut(n, rows: int):
+    """How many pieces of about so many rows."""
+    return F.greatest(F.lit(1).cast("long"), F.ceil(n / max(1, rows)))
+
+
 def _topk(ads: DataFrame, right: DataFrame, k: int, part_bytes: int, prepared, score) -> DataFrame:
     """The k best of right (onet_code, embedding and what else is in it) for each ad: score(ads' matrix, prepared(right's table, matrix)).
 
-    Scores are products of numpy blocks; the matrix of all of them is never made. The right side is sent whole if it is
-    small, else in hashed parts of a bounded size whose best rows are merged.
+    Scores are products of numpy blocks; the matrix of all of them is never made. A right side of at most part_bytes goes
+    to all tasks; a larger one is dealt, with the ads, to the cells of a grid by one exchange.
     """
     prepare(ads.sparkSession)
     ads = ads.filter(F.col("embedding").isNotNull())
-    size = right.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
-    n, d = size[0], size[1] or 0
-    parts = max(1, -(-(n * d * 8) // part_bytes))
-    dealt = right.withColumn("part", F.pmod(F.xxhash64("onet_code"), F.lit(parts)))
-    kind = f"ad_id {ads.schema['ad_id'].dataType.simpleString()}, onet_code {right.schema['onet_code'].dataType.simpleString()}, cosine_score double"
-
-    def of_part(p: int) -> DataFrame:
-        table = dealt.filter(F.col("part") == p).drop("part").orderBy("onet_code").toArrow()
-        codes = table.column("onet_code").combine_chunks()
-        shared = ads.sparkSession.sparkContext.broadcast(prepared(table, _dense(table.column("embedding"), d)) if len(codes) else None)
-
-        def run(batches):
-            b = shared.value
-            for batch in batches:
-                if b is None:
-                    continue
-                for s in range(0, batch.num_rows, 1024):
-                    piece = batch.slice(s, 1024)
-                    scores = score(_dense(piece.column("embedding"), d), b)
-                    rows, columns = _best(scores, k)
-                    yield pa.RecordBatch.from_arrays([piece.column("ad_id").take(pa.array(rows)), codes.take(pa.array(columns)), pa.array(scores[rows, columns])], names=["ad_id", "onet_code", "cosine_score"])
-
-        return ads.select("ad_id", "embedding").mapInArrow(run, kind)
-
-    found = reduce(DataFrame.unionByName, [of_part(p) for p in range(parts)])
+    n, d = right.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
+    rows = max(1, part_bytes // max(1, 8 * (d or 0)))
+    if n <= rows:
+        found = _small_topk(ads, right, k, d or 0, prepared, score)
+    else:
+        spark, parts = ads.sparkSession, -(-n // rows)
+        slices = max(-(-ads.count() // (8 * rows)), -(-spark.sparkContext.defaultParallelism // parts))
+        sizes = spark.createDataFrame([(0, parts, slices)], "group int, parts long, slices long")
+        found = _tiled_topk(ads.select(F.lit(0).alias("group"), "ad_id", "embedding"), right.withColumn("group", F.lit(0)), sizes, k, d, prepared, score)
     return top(found, "ad_id", k).select("ad_id", "rank", "onet_code", "cosine_score")
 
 
+def _cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return _unit(a) @ b.T
+
+
 def cosine_topk(ads: DataFrame, occupations: DataFrame, k: int, part_bytes: int = PART_BYTES) -> DataFrame:
     """(ad_id, rank, onet_code, cosine_score): the k occupations nearest to each ad; fewer occupations than k: all.
 
     ads: (ad_id, embedding); occupations: (onet_code, embedding).
     """
-    return _topk(ads, occupations.select("onet_code", "embedding"), k, part_bytes, lambda _, x: _unit(x), lambda a, b: _unit(a) @ b.T)
+    return _topk(ads, occupations.select("onet_code", "embedding"), k, part_bytes, lambda _, x: _unit(x), _cosine)
 
 
 def pair_cosines(pairs: DataFrame, ads: DataFrame, occupations: DataFrame) -> DataFrame:
@@ -102,14 +160,21 @@ def centroids(vectors: DataFrame, group: str, embedding: str = "embedding") -> D
     return mean.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "x"))), lambda e: e["x"]).alias("centroid"))
 
 
-def hierarchical_topk(ads: DataFrame, occupations: DataFrame, groups: int, k: int, group: str = "major_group") -> DataFrame:
-    """Nearest group centroids first, then the nearest occupations inside these groups: (ad_id, rank, onet_code, cosine_score)."""
+def hierarchical_topk(ads: DataFrame, occupations: DataFrame, groups: int, k: int, group: str = "major_group", part_bytes: int = PART_BYTES) -> DataFrame:
+    """Nearest group centroids first, then the nearest occupations inside these groups: (ad_id, rank, onet_code, cosine_score).
+
+    An ad goes to each of its groups once, and is multiplied there with the group's matrix, part by part; no row holds
+    an ad and an occupation with their vectors, and a group of any size is cut on both sides.
+    """
+    ads = ads.filter(F.col("embedding").isNotNull()).select("ad_id", "embedding")
     middle = centroids(occupations, group).select(F.col(group).alias("onet_code"), F.col("centroid").alias("embedding"))
-    chosen = cosine_topk(ads, middle, groups).select("ad_id", F.col("onet_code").alias(group))
-    left = ads.select("ad_id", F.col("embedding").alias("a"), norm(F.col("embedding")).alias("na"))
-    right = occupations.select("onet_code", group, F.col("embedding").alias("b"), norm(F.col("embedding")).alias("nb"))
-    scored = chosen.join(right, group).join(left, "ad_id").select("ad_id", "onet_code", (dot(F.col("a"), F.col("b")) / (F.col("na") * F.col("nb"))).alias("cosine_score"))
-    return top(scored, "ad_id", k).select("ad_id", "rank", "onet_code", "cosine_score")
+    chosen = cosine_topk(ads, middle, groups, part_bytes).select("ad_id", F.col("onet_code").alias("group"))
+    right = occupations.select(F.col(group).alias("group"), "onet_code", "embedding")
+    d = right.agg(F.max(F.size("embedding"))).first()[0] or 0
+    rows = max(1, part_bytes // max(1, 8 * d))
+    sizes = right.groupBy("group").agg(_cut(F.count(F.lit(1)), rows).alias("parts")).join(chosen.groupBy("group").agg(_cut(F.count(F.lit(1)), 8 * rows).alias("slices")), "group")
+    found = _tiled_topk(ads.join(chosen, "ad_id").select("group", "ad_id", "embedding"), right, sizes, k, d, lambda _, x: _unit(x), _cosine)
+    return top(found, "ad_id", k).select("ad_id", "rank", "onet_code", "cosine_score")
 
 
 def residual_topk(ads: DataFrame, occupations: DataFrame, k: int, group: str = "major_group", part_bytes: int = PART_BYTES) -> DataFrame:

@@ -160,7 +160,7 @@ def a26_vectors(spark, sf_dir):
 def a27_map_file(spark, sf_dir):
     path = files.scratch(spark)
     files.write_map(read(spark, sf_dir, "nation"), path, "n_nationkey", "n_name")
-    table = files.read_map(spark, path)
+    table = files.read_map(spark, path, lines=True)
     c = read(spark, sf_dir, "customer").withColumn("key", F.col("c_nationkey").cast("string"))
     return c.join(table, "key", "left").select("c_custkey", F.col("value").alias("nation"))
 

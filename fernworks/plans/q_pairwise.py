@@ -108,7 +108,8 @@ p AS (SELECT item, kind, coalesce(sum(one) OVER (ORDER BY v, kind, item ROWS BET
 o AS (SELECT item, max(place) FILTER (kind = 0) AS low, max(place) FILTER (kind = 1) AS own, max(place) FILTER (kind = 2) AS high FROM p GROUP BY item),
 q AS (SELECT *, high - low - 1 AS m, ('0x' || substr(md5(item || '-1'), 1, 12))::BIGINT AS h FROM o),
 c AS (SELECT item, own, low + (h + j * greatest(m // 12, 1)) % m AS place FROM q, range(12) r(j) WHERE j < m),
-e AS (SELECT DISTINCT least(c.item, o.item) AS a, greatest(c.item, o.item) AS b FROM c JOIN o ON o.own = CASE WHEN c.place >= c.own THEN c.place + 1 ELSE c.place END),
+f AS (SELECT DISTINCT c.item AS x, least(c.item, o.item) AS a, greatest(c.item, o.item) AS b FROM c JOIN o ON o.own = CASE WHEN c.place >= c.own THEN c.place + 1 ELSE c.place END),
+e AS (SELECT DISTINCT a, b FROM f),
 -- the room that is left at both ends goes along; an edge with a full end is dropped
 rounds AS (SELECT a, b, substr(md5(a || '-' || b || '-1'), 1, 12) AS h, 3::BIGINT AS room_a, 3::BIGINT AS room_b, false AS taken FROM e
   UNION ALL (
@@ -117,11 +118,14 @@ rounds AS (SELECT a, b, substr(md5(a || '-' || b || '-1'), 1, 12) AS h, 3::BIGIN
   k AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY h, a, b) <= room AS first FROM n),
   g AS (SELECT a, b, bool_and(first) AS got FROM k GROUP BY a, b),
   s AS (SELECT item, any_value(room) - count(*) FILTER (got) AS room FROM k JOIN g USING (a, b) GROUP BY item)
-  SELECT l.a, l.b, l.h, x.room, y.room, g.got FROM l JOIN g USING (a, b) JOIN s x ON x.item = l.a JOIN s y ON y.item = l.b WHERE g.got OR x.room > 0 AND y.room > 0))
-SELECT a, b FROM rounds WHERE taken"""
+  SELECT l.a, l.b, l.h, x.room, y.room, g.got FROM l JOIN g USING (a, b) JOIN s x ON x.item = l.a JOIN s y ON y.item = l.b WHERE g.got OR x.room > 0 AND y.room > 0)),
+got AS (SELECT a, b FROM rounds WHERE taken),
+lack AS (SELECT item AS x, 3 - count(a) AS lack FROM o LEFT JOIN got ON item = a OR item = b GROUP BY item HAVING count(a) < 3),
+more AS (SELECT a, b, lack, row_number() OVER (PARTITION BY x ORDER BY substr(md5(a || '-' || b || '-1'), 1, 12), a, b) AS place FROM f JOIN lack USING (x) WHERE (a, b) NOT IN (SELECT (a, b) FROM got))
+SELECT a, b FROM got UNION SELECT a, b FROM more WHERE place <= lack"""
 )
 def h17_adaptive_pairs(spark, sf_dir):
-    """Three comparisons of a part at most; every part has enough others within the width, so none is paired besides."""
+    """Three comparisons of a part; every part has enough others within the width, so none is paired besides."""
     return pairwise.adaptive_pairs(read(spark, sf_dir, "part").select(F.col("p_partkey").alias("item"), F.col("p_retailprice").alias("theta")), 3, 1)
 
 

@@ -34,10 +34,13 @@ def d8_set(spark, sf_dir):
 @query(
     """WITH t AS (SELECT l_orderkey, p_name, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity DESC, l_linenumber, l_partkey) AS rn
   FROM (SELECT l_orderkey, l_linenumber, l_partkey, max(l_quantity) AS l_quantity FROM lineitem GROUP BY ALL) JOIN part ON p_partkey = l_partkey)
-SELECT o_orderkey AS onet_code, o_orderpriority AS title, string_agg(p_name, '; ' ORDER BY rn) AS tasks
-FROM orders JOIN t ON l_orderkey = o_orderkey WHERE rn <= 4 AND o_orderpriority <> '5-LOW' GROUP BY ALL"""
+SELECT o_orderkey AS onet_code, o_orderpriority AS title, string_agg(p_name, '; ' ORDER BY rn) AS tasks, coalesce(any_value(titles), '') AS titles
+FROM orders JOIN t ON t.l_orderkey = o_orderkey LEFT JOIN (SELECT l_orderkey, string_agg('Supplier ' || l_suppkey, '; ' ORDER BY 'Supplier ' || l_suppkey) AS titles FROM
+  (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem WHERE l_returnflag = 'R') GROUP BY 1) a ON a.l_orderkey = o_orderkey
+WHERE rn <= 4 AND o_orderpriority <> '5-LOW' GROUP BY ALL"""
 )
 def h2_targets(spark, sf_dir):
+    """Orders as occupations, their parts as tasks; the suppliers of what was returned are titles, so many have none."""
     li = read(spark, sf_dir, "lineitem")
     key = F.struct("l_linenumber", "l_partkey")
     one = li.groupBy("l_orderkey", "l_linenumber", "l_partkey").agg(F.max("l_quantity").alias("q")).withColumn("task_id", key)
@@ -45,9 +48,9 @@ def h2_targets(spark, sf_dir):
     part = read(spark, sf_dir, "part")
     tasks = one.join(part, F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_orderkey").alias("onet_code"), "task_id", F.col("p_name").alias("task"))
     ratings = one.select(F.col("l_orderkey").alias("onet_code"), "task_id", F.lit("IM").alias("scale"), F.col("q").cast("string").alias("value"))
-    titles = occupations.filter("false").select("onet_code", F.col("title").alias("alternate_title"))
+    titles = li.filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("onet_code"), F.concat(F.lit("Supplier "), F.col("l_suppkey")).alias("alternate_title")).distinct()
     out = scoring.targets(occupations, tasks, ratings, titles, top_n=4, leave_out=("5-LOW",))
-    return out.select("onet_code", "title", F.array_join("top_tasks", "; ").alias("tasks"))
+    return out.select("onet_code", "title", F.array_join("top_tasks", "; ").alias("tasks"), F.array_join("alternate_titles", "; ").alias("titles"))
 
 
 TASKS = "SELECT l_orderkey AS code, (l_linenumber % 3) AS x, CASE WHEN l_orderkey % 11 = 0 THEN 0 ELSE l_quantity END AS w, l_discount AS c FROM lineitem"

@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 from pyspark.sql.window import Window
 
+from .files import _fs, read_marker, write_marker
+
 # The columns of an advertisement, with their types.
 ADS = T.StructType(
     [
@@ -62,29 +64,64 @@ def loaded_months(spark: SparkSession, store: str) -> DataFrame | None:
         return None
 
 
-def load(spark: SparkSession, base: str, store: str, years: list[int] | None = None) -> int:
+#: Rows of a file of the store, about: a month with more is several files, each written by a task of its own.
+FILE_ROWS = 1_000_000
+
+
+def spread(ads: DataFrame, file_rows: int = FILE_ROWS) -> DataFrame:
+    """ads dealt so that a month's rows go to as many tasks as it has file_rows, whatever its share of all rows."""
+    many = ads.groupBy("year", "month").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / file_rows)).alias("_files"))
+    same = ads["year"].eqNullSafe(many["year"]) & ads["month"].eqNullSafe(many["month"])
+    n = many.agg(F.sum("_files")).first()[0] or 1
+    dealt = ads.join(many, same).select(ads["*"], F.pmod(F.xxhash64("id"), F.col("_files")).alias("_file"))
+    return dealt.repartition(int(n), "year", "month", "_file").drop("_file")
+
+
+def finish(spark: SparkSession, store: str) -> bool:
+    """Finish a load that has stopped while it changed the store; whether there was one. What it was about to write lies
+    beside the store, and every step that is done again puts the same rows in the same place."""
+    intent = read_marker(spark, f"{store.rstrip('/')}-intent")
+    if intent is None:
+        return False
+    laid = lambda name: spark.read.schema(ADS).parquet(f"{intent['beside']}/{name}")
+    into = lambda df: df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(store)
+    if intent["kept"]:
+        into(spread(laid("kept"), intent["file_rows"]))
+    for path in intent["gone"]:
+        _delete(spark, path)
+    into(spread(laid("won"), intent["file_rows"]))  # months that the store has not had
+    _delete(spark, f"{store.rstrip('/')}-intent")
+    _delete(spark, intent["beside"])
+    return True
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def load(spark: SparkSession, base: str, store: str, years: list[int] | None = None, file_rows: int = FILE_ROWS) -> int:
     """Add the months that the store lacks; over all of them the earliest row of each id stays. The number of new ids.
 
-    The store is partitioned by year and month. Where a new month has an earlier row of a stored id, the partitions
-    that hold the stored one are rewritten without it (others are not touched), then the new months are added; should it
-    stop in between, the months are still lacking and the next load adds them. Rows without a date come last; of equal
-    dates the stored row stays. What is to be written lies beside the store first, as a table can't be read while it is
-    replaced.
+    The store is partitioned by year and month, a month in files of about file_rows rows. Where a new month has an
+    earlier row of a stored id, the partitions that hold the stored one are rewritten without it (others are not
+    touched), then the new months are added. Rows without a date come last; of equal dates the stored row stays.
+
+    All that is to be written lies beside the store first, then a marker (the store's name and -intent) says so: a load
+    that stops before it has changed nothing, and one that stops after it is finished by the next load, or by `finish`.
     """
-    jvm, beside = spark.sparkContext._jvm, f"{store.rstrip('/')}-{uuid.uuid4().hex}"
+    finish(spark, store)
+    beside = f"{store.rstrip('/')}-{uuid.uuid4().hex}"
 
     def laid(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{beside}/{name}")
         return spark.read.schema(df.schema).parquet(f"{beside}/{name}")
 
-    def delete(path: str) -> None:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
     ads, have = read_json(spark, base, years), loaded_months(spark, store)
     if have is not None:
         ads = ads.join(have, ["year", "month"], "left_anti").select(*ADS.names)
-    ads = laid(earliest(ads.withColumn("_tie", F.xxhash64(*ADS.names)), ["id"], "date_created", "_tie").drop("_tie"), "new")
+    new = earliest(ads.withColumn("_tie", F.xxhash64(*ADS.names)), ["id"], "date_created", "_tie").drop("_tie")
+    ads = laid(new, "won" if have is None else "new")
     n, gone = ads.count(), []
     if have is not None:
         stored = spark.read.schema(ADS).parquet(store)
@@ -92,16 +129,13 @@ def load(spark: SparkSession, base: str, store: str, years: list[int] | None = N
         wins = F.coalesce(F.col("_new") < F.col("_old"), F.col("_new").isNotNull() & F.col("_old").isNull())
         both = laid(both.withColumn("wins", wins), "both")
         n -= both.count()
-        ads = laid(ads.join(both.filter("not wins").select("id"), "id", "left_anti").select(*ADS.names), "won")
+        laid(ads.join(both.filter("not wins").select("id"), "id", "left_anti").select(*ADS.names), "won")
         losers = both.filter("wins")
         parts = losers.select("year", "month").distinct()
         kept = laid(stored.join(parts, ["year", "month"], "left_semi").join(losers.select("id"), "id", "left_anti").select(*ADS.names), "kept")
         gone = [f"{store}/year={r['year']}/month={r['month']}" for r in parts.join(kept.select("year", "month"), ["year", "month"], "left_anti").collect()]
-        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(store)
-    for path in gone:
-        delete(path)
-    ads.repartition("year", "month").write.mode("append").partitionBy("year", "month").parquet(store)
-    delete(beside)
+    write_marker(spark, f"{store.rstrip('/')}-intent", {"beside": beside, "gone": gone, "kept": have is not None, "file_rows": file_rows})
+    finish(spark, store)
     return n
 
 

@@ -70,20 +70,21 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """A small table as one CSV file with a header."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """A table as CSV files with a header, one for each of its partitions."""
+    df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def read_map(spark: SparkSession, path: str) -> DataFrame:
-    """(key, value) of a JSON object of texts."""
-    text = "\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect())
-    return spark.createDataFrame(sorted(json.loads(text).items()), "key string, value string")
+def read_map(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """(key, value) of a map of texts: of files of one JSON object each, or (lines) of what write_map has made."""
+    if lines:
+        return spark.read.schema("key string, value string").json(path)
+    return spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "map<string,string>")))
 
 
 def write_map(df: DataFrame, path: str, key: str = "key", value: str = "value") -> None:
-    """A small table of texts as one JSON object with sorted keys."""
-    rows = {r[0]: r[1] for r in df.select(F.col(key).cast("string"), F.col(value).cast("string")).collect()}
-    _put(df.sparkSession, path, json.dumps(rows, sort_keys=True, ensure_ascii=False))
+    """A table of texts as JSON lines {"key": ..., "value": ...}, sorted by key; a null value is written as null."""
+    rows = df.select(F.col(key).cast("string").alias("key"), F.col(value).cast("string").alias("value")).orderBy("key")
+    rows.select(F.to_json(F.struct("key", "value"), {"ignoreNullFields": "false"})).write.mode("overwrite").text(path)
 
 
 def boundaries(spark: SparkSession, path: str, tolerance: float = 0.0, lines: bool = False) -> DataFrame:

@@ -346,3 +346,162 @@ def test_benchmark_row(spark, tmp_path):
         rho.append(np.corrcoef(place(a), place(b))[0, 1])
     assert len(row) == 1 and row[0]["n"] == 3
     assert [row[0][c] for c in ("jaccard", "top1", "ruzicka", "spearman")] == pytest.approx([np.mean(x) for x in (jac, top, ruz, rho)], abs=2e-6)
+
+
+@pytest.mark.parametrize("parts", [1, 20])
+def test_a_right_side_in_parts(spark, parts):
+    """Twenty parts of the right side give what one gives, and the ads are read once."""
+    rng = np.random.default_rng(3)
+    a, o = rng.normal(size=(60, 5)), rng.normal(size=(100, 5))
+    o[7] = o[8]  # a tie
+    left = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(a)], "ad_id long, embedding array<double>").repartition(3)
+    right = spark.createDataFrame([(i, x.tolist(), i % 4) for i, x in enumerate(o)], "onet_code long, embedding array<double>, major_group int")
+    out = vectors.cosine_topk(left, right, 4, part_bytes=100 * 5 * 8 // parts)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    scores = unit(a) @ unit(o).T
+    want = [(i, r, c) for i, s in enumerate(scores) for r, c in enumerate(sorted(range(100), key=lambda c: (-round(s[c], 12), c))[:4])]
+    assert got(out, "ad_id", "rank", "onet_code") == want
+    if parts > 1:
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    residual = lambda **k: [(i, r, c, round(s, 9)) for i, r, c, s in got(vectors.residual_topk(left, right, 4, **k))]
+    assert residual(part_bytes=100 * 5 * 8 // parts) == residual()
+
+
+@pytest.mark.parametrize("part_bytes", [1 << 20, 200])
+def test_inside_groups(spark, part_bytes):
+    """Groups of any size, one with most of all occupations, cut on both sides; no row holds two vectors."""
+    rng = np.random.default_rng(4)
+    a, o = rng.normal(size=(50, 4)), rng.normal(size=(90, 4))
+    group = ["x|1" if i % 10 else "y" if i % 20 else "z" for i in range(90)]
+    left = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(a)] + [(99, None)], "ad_id long, embedding array<double>")
+    right = spark.createDataFrame([(i, x.tolist(), group[i]) for i, x in enumerate(o)] + [(999, [1.0, 0.0, 0.0, 0.0], None)], "onet_code long, embedding array<double>, major_group string")
+    cos = lambda x, y: float(x @ y / np.linalg.norm(x) / np.linalg.norm(y))
+    middle = {g: np.mean([x for x, h in zip(o, group, strict=True) if h == g], axis=0) for g in set(group)}
+    want = []
+    for i, x in enumerate(a):
+        near = sorted(middle, key=lambda g: -cos(x, middle[g]))[:2]
+        best = sorted((c for c in range(90) if group[c] in near), key=lambda c: -cos(x, o[c]))[:6]
+        want += [(i, r, c) for r, c in enumerate(best)]
+    out = vectors.hierarchical_topk(left, right.filter("major_group is not null"), 2, 6, part_bytes=part_bytes)
+    assert got(out, "ad_id", "rank", "onet_code") == sorted(want)
+
+
+def _odd_values(rng):
+    return [
+        [3.0], [1.0, 2.0], [5.0] * 9, [0.0, -0.0, 0.0], [float("inf")] * 3 + [-float("inf"), 1.0, 2.0], [float("nan"), 1.0, 7.0, float("nan")], [1e308, -1e308, 5e307, 0.0, 1.0],
+        [*rng.normal(size=500)], [*rng.exponential(size=300) ** 9, 1e300, -1e300], [7.0] * 900 + [*rng.normal(size=100)], [float(x) for x in rng.integers(0, 5, 400)], [1.0 + k * 2.0**-52 for k in range(50)],
+    ]
+
+
+@pytest.mark.parametrize("few", [10_000, 3])
+def test_order_statistics(spark, monkeypatch, few):
+    """The values at all places are those of a sorted list, whatever the values are."""
+    monkeypatch.setattr(stats, "FEW", few)
+    monkeypatch.setattr(stats, "CELLS", 4096 if few > 3 else 8)
+    for values in _odd_values(np.random.default_rng(0)):
+        d = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double").coalesce(2)
+        n = len(values)
+        places = sorted({0, 1 % n, n // 3, n // 2, n - 1})
+        found = stats.order_statistics(d, "v", places)
+        want = sorted((float(v) for v in values), key=lambda v: (v != v, v))
+        assert [found[k] for k in places] == pytest.approx([want[k] for k in places], rel=0, abs=0, nan_ok=True)
+        with pytest.raises(ValueError):
+            stats.order_statistics(d, "v", [n])
+
+
+def test_quantiles(spark):
+    d = spark.createDataFrame([(float(v),) for v in (4, 1, 3, 2)] + [(None,)], "v double")
+    assert stats.quantiles(d, "v", [0, 0.5, 0.25, 1]) == [1, 2.5, 1.75, 4]
+    assert stats.quantiles(d.filter("v is null"), "v", [0.5]) == [None]
+    runs = spark.createDataFrame([(r, n) for r, ns in (("a", [1, 2, 9]), ("b", [4, 4, 1, 2]), ("c", [5])) for n in ns], "run string, n long")
+    assert got(stats.median_by(runs, "run", "n")) == [("a", 2.0), ("b", 3.0), ("c", 5.0)]
+
+
+def test_no_exact_percentile_in_a_plan(spark):
+    """No aggregation holds a column: percentiles are made by counts."""
+    from helpers import SMALL
+
+    from fernworks.plans import catalogue
+
+    for name in ("d19_quantiles", "d20_summary", "h22_quadrants", "i8_matrix_summary", "i10_selectivity", "d25_matrix_summary"):
+        if name in catalogue.QUERIES:
+            assert "percentile(" not in catalogue.QUERIES[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_ranks_where_one_value_has_most_rows(spark):
+    """Average ranks are right, and the common value's rows aren't joined by value: no task has more than its share."""
+    rng = np.random.default_rng(1)
+    values = [None] * 5 + [3.0] * 9000 + [float(x) for x in rng.normal(size=600)] + [float(x) for x in rng.integers(0, 4, 395)]
+    rng.shuffle(values)
+    d = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i long, v double").repartition(8)
+    out = stats.ranks(d, "v", "r")
+    order = sorted(range(len(values)), key=lambda i: (values[i] is not None, values[i] or 0))
+    place = {}
+    for k, i in enumerate(order, 1):
+        place.setdefault(values[i], []).append(k)
+    assert got(out, "i", "r") == [(i, float(np.mean(place[v]))) for i, v in enumerate(values)]
+    from pyspark.sql.functions import spark_partition_id
+
+    tasks = [r["count"] for r in out.filter("v = 3.0").groupBy(spark_partition_id()).count().collect()]
+    assert len(tasks) >= 8 and max(tasks) < 2000
+
+
+def test_spearman_with_ties_and_weights(spark):
+    import pandas as pd
+
+    rng = np.random.default_rng(2)
+    a = rng.integers(0, 4, 300).astype(float)
+    b = np.where(rng.random(300) < 0.8, 1.0, a + rng.normal(size=300))
+    d = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b, strict=True)] + [(None, 1.0), (2.0, None)], "a double, b double")
+    assert stats.spearman(d, "a", "b").first()[0] == pytest.approx(pd.Series(a).rank().corr(pd.Series(b).rank()))
+    assert stats.spearman(d.withColumn("b", F.lit(1.0)), "a", "b").first()[0] is None
+    assert stats.spearman(d.limit(0), "a", "b").first()[0] is None
+
+
+@pytest.mark.parametrize("capacity", [1, 3])
+def test_matching_is_greedy(spark, capacity):
+    """Rounds of edges that are first at both ends give what taking one after another gives, hubs included."""
+    import hashlib
+
+    rng = np.random.default_rng(5)
+    edges = {tuple(sorted(map(int, rng.choice(60, 2, replace=False)))) for _ in range(400)} | {(0, k) for k in range(1, 60)}
+    order = sorted((hashlib.md5(f"{a}-{b}-9".encode()).hexdigest()[:12], a, b) for a, b in edges)
+    used, want = dict.fromkeys(range(60), 0), []
+    for _, a, b in order:
+        if used[a] < capacity and used[b] < capacity:
+            want.append((a, b))
+            used[a] += 1
+            used[b] += 1
+    assert got(pairwise.matched(spark.createDataFrame(list(edges), "a long, b long"), capacity, 9)) == sorted(want)
+    assert pairwise.matched(spark.createDataFrame([], "a long, b long"), capacity).count() == 0
+
+
+def test_counters_on_both_sides(spark):
+    """An item is asked for as often as wanted; more often only as a partner of one that would have had too few."""
+    from collections import Counter
+
+    rng = np.random.default_rng(6)
+    theta = [(i, float(x)) for i, x in enumerate(rng.normal(size=400))]
+    n = Counter(x for p in got(pairwise.adaptive_pairs(spark.createDataFrame(theta, "item long, theta double"), 3)) for x in p)
+    assert min(n.values()) == 3 and max(n.values()) <= 5 and sum(k > 3 for k in n.values()) < 0.1 * 400
+    far = spark.createDataFrame([*theta, (1000, 50.0), (1001, -70.0)], "item long, theta double")
+    n = Counter(x for p in got(pairwise.adaptive_pairs(far, 3, width=0.5)) for x in p)
+    assert n[1000] >= 3 and n[1001] >= 3  # far from all others: partners at random
+
+
+def test_answers_are_asked_for_once(spark):
+    """A judge that answers otherwise each time is asked once for each round, though the fit reads its answers often."""
+    asked = spark.sparkContext.accumulator(0)
+    items = spark.range(24).select(F.col("id").alias("item"))
+
+    def judge(pairs):
+        def said(frames):
+            for f in frames:
+                asked.add(len(f))
+                yield f.assign(outcome=np.where(np.random.random(len(f)) < 0.5, "A", "B"))
+
+        return pairs.mapInPandas(said, "a long, b long, swap boolean, shown_a long, shown_b long, outcome string")
+
+    out = pairwise.in_rounds(items, judge, (2, 2), seed=1)
+    before = asked.value
+    assert out.count() == 24 and out.collect() and asked.value == before <= 24 * 4

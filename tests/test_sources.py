@@ -130,11 +130,15 @@ def test_runs_and_files(spark, tmp_path):
     (tmp_path / "t.txt").write_text('a\tb\n1\tsay "x"\n')
     assert files.read_tsv(spark, str(tmp_path / "t.txt")).first().asDict() == {"a": "1", "b": 'say "x"'}
     (tmp_path / "m.json").write_text('{"b": "2", "a": "1"}')
-    assert [tuple(r) for r in files.read_map(spark, str(tmp_path / "m.json")).collect()] == [("a", "1"), ("b", "2")]
+    assert sorted(tuple(r) for r in files.read_map(spark, str(tmp_path / "m.json")).collect()) == [("a", "1"), ("b", "2")]
+    entries = [("k\n", 'a "b"'), ("ü", ""), ("x", None)]
+    files.write_map(spark.createDataFrame(entries, "key string, value string"), str(tmp_path / "m"))
+    assert sorted(tuple(r) for r in files.read_map(spark, str(tmp_path / "m"), lines=True).collect()) == sorted(entries)
     (tmp_path / "g.json").write_text(json.dumps({"features": [{"properties": {"LAD22CD": "E09"}, "geometry": None}]}))
     assert files.boundary_attributes(spark, str(tmp_path / "g.json")).first()["LAD22CD"] == "E09"
-    files.write_csv(spark.range(2), str(tmp_path / "c"))
-    assert files.read_csv(spark, str(tmp_path / "c"), "id long").count() == 2
+    files.write_csv(spark.range(8).repartition(3), str(tmp_path / "c"))
+    assert sorted(r[0] for r in files.read_csv(spark, str(tmp_path / "c"), "id long").collect()) == list(range(8))
+    assert len([x for x in os.listdir(tmp_path / "c") if x.endswith(".csv")]) == 3
     spark.range(3).write.parquet(str(tmp_path / "p"))
     assert files.readable(spark, str(tmp_path / "p")) and not files.readable(spark, str(tmp_path / "none"))
 
@@ -387,3 +391,49 @@ def test_boundaries(spark, tmp_path):
     (tmp_path / "bad.json").write_text('{"features": [{"x": 1}]}')
     with pytest.raises(ValueError):
         files.boundaries(spark, str(tmp_path / "bad.json"))
+
+
+def _ads_of(spark, store):
+    return sorted((r["id"], r["title"], r["year"], r["month"]) for r in spark.read.parquet(store).collect())
+
+
+@pytest.mark.parametrize("at", ["marker", "first write", "second write", "clean up"])
+def test_a_load_that_stops_is_finished_by_the_next(spark, tmp_path, monkeypatch, at):
+    """Whatever step it stops at, the next load leaves what one load without a stop would have."""
+    base, store = str(tmp_path / "raw"), str(tmp_path / "ads")
+    put(f"{base}/year=2024/month=2", "a.json", [{"id": 5, "title": "february", "date_created": "2024-02-03"}, {"id": 7, "title": "stays", "date_created": "2024-01-01"}])
+    put(f"{base}/year=2024/month=3", "a.json", [{"id": 8, "title": "march", "date_created": "2024-03-03"}])
+    ads.load(spark, base, store)
+    put(f"{base}/year=2024/month=1", "a.json", [{"id": 5, "title": "january", "date_created": "2024-01-03"}, {"id": 7, "title": "equal", "date_created": "2024-01-01"}, {"id": 8, "title": "sooner", "date_created": "2024-01-02"}, {"id": 9, "title": "new"}])
+    calls = []
+
+    def stops(name, number):
+        real = getattr(ads, name)
+
+        def stopping(*a, **k):
+            calls.append(name)
+            if calls.count(name) == number:
+                raise KeyboardInterrupt
+            return real(*a, **k)
+
+        monkeypatch.setattr(ads, name, stopping)
+
+    stops(*{"marker": ("write_marker", 1), "first write": ("spread", 1), "second write": ("spread", 2), "clean up": ("_delete", 2)}[at])
+    before = _ads_of(spark, store)
+    with pytest.raises(KeyboardInterrupt):
+        ads.load(spark, base, store)
+    monkeypatch.undo()
+    if at in ("marker", "first write"):
+        assert _ads_of(spark, store) == before
+    ads.load(spark, base, store)
+    assert _ads_of(spark, store) == [(5, "january", 2024, 1), (7, "stays", 2024, 2), (8, "sooner", 2024, 1), (9, "new", 2024, 1)]
+    assert not ads.finish(spark, store) and ads.load(spark, base, store) == 0
+
+
+def test_a_month_of_most_rows_is_many_files(spark, tmp_path):
+    rows = [(i, 2024, 1 if i % 10 else 2) for i in range(2000)]
+    a = ads.harmonised(spark.createDataFrame(rows, "id long, year int, month int"))
+    out = str(tmp_path / "out")
+    ads.spread(a, file_rows=300).write.partitionBy("year", "month").parquet(out)
+    files_of = {m: [x for x in os.listdir(f"{out}/year=2024/month={m}") if x.endswith(".parquet")] for m in (1, 2)}
+    assert 4 <= len(files_of[1]) <= 7 and len(files_of[2]) == 1 and spark.read.parquet(out).count() == 2000
