@@ -76,6 +76,22 @@ def matched(edges: DataFrame, capacity: int, seed: int = 0) -> DataFrame:
             return left.select("a", "b")
 
 
+def band_partners(items: DataFrame, value: str, width: float, k: int, key: str = "item") -> DataFrame:
+    """(a, b, apart): the k items nearest to each by value, of those within width of it; of equally near ones the smaller.
+
+    Items are numbered in the order of (value, item), and joined with those up to k places before and after, of which
+    they can only be; where more than k have the same value as an item, its k are among those next to it in that order.
+    So 2k rows of an item are made, however many others the width holds.
+    """
+    t = items.select(F.col(key).alias("a"), F.col(value).cast("double").alias("x")).filter("x is not null and not isnan(x)").withColumn("_one", F.lit(1))
+    of = kept(running(in_cells(t, "x"), "_one", ["x", "a"], "place").select("a", "x", "place"))
+    steps = F.array(*[F.lit(j) for j in range(-k, k + 1) if j])
+    near = of.withColumn("_step", F.explode(steps)).withColumn("at", F.col("place") + F.col("_step")).join(of.select(F.col("a").alias("b"), F.col("x").alias("y"), F.col("place").alias("at")), "at")
+    near = near.withColumn("apart", F.abs(F.col("x") - F.col("y"))).filter(F.col("apart") <= width)
+    place = F.row_number().over(Window.partitionBy("a").orderBy("apart", "b"))
+    return near.withColumn("rn", place).filter(F.col("rn") <= k).select("a", "b", "apart")
+
+
 def adaptive_pairs(theta: DataFrame, each: int, seed: int = 0, width: float | None = None, spare: int = 4) -> DataFrame:
     """(a, b), a < b: pairs of items of nearly equal strength, at random, each item in `each` of them; random ones besides
     for items with too few others near them.
@@ -265,6 +281,19 @@ def bradley_terry(comparisons: DataFrame, items: DataFrame, penalty: float = 1e-
     return spark.createDataFrame([(n, float(t)) for n, t in zip(names, theta, strict=True)], f"item {items.schema['item'].dataType.simpleString()}, theta double")
 
 
+def expected_wins(comparisons: DataFrame, strengths: DataFrame, penalty: float = 1e-4) -> DataFrame:
+    """(item, wins, expected) for all items of strengths (item, theta): the wins there are, and those that the strengths
+    lead one to expect. Where the penalised likelihood is largest, the two are the same for each item."""
+    c = collapsed(comparisons)
+    both = c.select(F.col("a").alias("item"), F.col("b").alias("other"), F.col("wins_a").alias("w"), "wins_a", "wins_b")
+    both = both.unionByName(c.select(F.col("b").alias("item"), F.col("a").alias("other"), F.col("wins_b").alias("w"), "wins_a", "wins_b"))
+    both = both.join(strengths.select("item", "theta"), "item").join(strengths.select(F.col("item").alias("other"), F.col("theta").alias("theirs")), "other")
+    e = (F.col("wins_a") + F.col("wins_b")) / (1 + F.exp(F.col("theirs") - F.col("theta")))
+    sums = both.groupBy("item").agg(F.sum("w").alias("wins"), F.sum(e).alias("expected"))
+    nothing = lambda c: F.coalesce(c, F.lit(0.0))
+    return strengths.join(sums, "item", "left").select("item", nothing(F.col("wins")).alias("wins"), (nothing(F.col("expected")) + penalty * F.col("theta")).alias("expected"))
+
+
 def floor_normalised(df: DataFrame, column: str, cutoff: float | None, alias: str = "score") -> DataFrame:
     """df with column scaled to [0, 1]; at most the cutoff is 0 and the rest is scaled anew; a flat column is 0.5."""
     x = F.col("_x")
@@ -301,4 +330,4 @@ def by_occupation(scores: DataFrame, tasks: DataFrame, codes: DataFrame) -> Data
     return codes.join(out, "onet_code", "left")
 
 
-__all__ = ["adaptive_pairs", "band_pairs", "bradley_terry", "by_occupation", "collapsed", "floor_normalised", "in_rounds", "matched", "minmax", "shuffled_pairs", "solve", "swapped", "unswapped"]
+__all__ = ["adaptive_pairs", "band_pairs", "band_partners", "bradley_terry", "by_occupation", "collapsed", "expected_wins", "floor_normalised", "in_rounds", "matched", "minmax", "shuffled_pairs", "solve", "swapped", "unswapped"]

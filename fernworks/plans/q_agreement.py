@@ -102,7 +102,7 @@ def i9_best_subsets(spark, sf_dir):
 
 @query(RUNS + ", n AS (SELECT run, ad, count(*) AS n FROM runs GROUP BY ALL) SELECT run, round(avg(n), 1) AS mean_candidates, floor(median(n))::INT AS median_candidates FROM (SELECT run, ad, n FROM n) GROUP BY run")
 def i10_selectivity(spark, sf_dir):
-    return agreement.selectivity(runs(spark, sf_dir).filter("true"))
+    return agreement.selectivity(runs(spark, sf_dir))
 
 
 GROUPED = RUNS + """, v AS (SELECT run, ad, s_nationkey % 5 AS g, avg(score) AS v FROM runs JOIN supplier ON s_suppkey = ad GROUP BY ALL),
@@ -230,14 +230,3 @@ def d26_majority_f1(spark, sf_dir):
 @query(RUNS + "SELECT ad, count(*) AS n FROM c GROUP BY ad")
 def f3_common_ads(spark, sf_dir):
     return agreement.common(runs(spark, sf_dir)).groupBy("ad").agg(F.count(F.lit(1)).alias("n"))
-
-
-@query(
-    """WITH f(l, e, r) AS (VALUES ('a', 'x', 'm')), l AS (SELECT unnest(['a', 'b', 'c']) AS l), e AS (SELECT unnest(['x', 'y']) AS e), r AS (SELECT unnest(['m', 'n']) AS r)
-SELECT l.l AS llm, f.e AS embedding, f.r AS reranker FROM l, f UNION SELECT f.l, e.e, f.r FROM e, f UNION SELECT f.l, f.e, r.r FROM r, f"""
-)
-def f8_planned_runs(spark, sf_dir):
-    from .cost import planned_runs
-
-    plan = planned_runs({"llm": ["a"], "embedding": ["x"], "reranker": ["m"]}, {"llm": ["a", "b", "c"], "embedding": ["x", "y"], "reranker": ["m", "n"]})
-    return spark.createDataFrame([(p["llm"], p["embedding"], p["reranker"]) for p in plan], "llm string, embedding string, reranker string")

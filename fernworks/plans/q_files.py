@@ -5,7 +5,10 @@ Each query writes to a new folder of the shared one and gives back what it reads
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns
@@ -121,9 +124,12 @@ def a18_views(spark, sf_dir):
     return spark.sql("SELECT n_name, count(*) AS n FROM fw_customer JOIN fw_nation ON n_nationkey = c_nationkey LEFT SEMI JOIN fw_asked ON segment = c_mktsegment GROUP BY n_name")
 
 
-@query("SELECT column_name FROM (DESCRIBE SELECT * FROM lineitem)")
+@query(r"UNPIVOT (SELECT count(COLUMNS('(.*)')) AS '\1' FROM lineitem) ON COLUMNS(*) INTO NAME column_name VALUE n")
 def a21_columns_of_a_table(spark, sf_dir):
-    return spark.createDataFrame([(f.name,) for f in read(spark, sf_dir, "lineitem").schema.fields], "column_name string")
+    """The columns that a table turns out to have, and how many values are in each."""
+    li = read(spark, sf_dir, "lineitem")
+    counts = li.agg(*[F.count(c).alias(c) for c in li.columns])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n")) for c in li.columns])))
 
 
 @query("SELECT o_orderpriority AS g, count(*) AS n, 1 AS runs FROM orders GROUP BY 1")
@@ -136,16 +142,21 @@ def a22_step_is_kept(spark, sf_dir):
     return out.withColumn("runs", F.lit(len(runner.ran)))
 
 
-@query("SELECT 'counted' AS step, 2 AS runs UNION ALL SELECT 'doubled', 2 UNION ALL SELECT 'apart', 1")
+@query(
+    """SELECT 'counted' AS step, 2 AS runs, o_orderpriority AS g, 2 * count(*) AS value FROM orders GROUP BY ALL
+UNION ALL SELECT 'doubled', 2, o_orderpriority, 4 * count(*) FROM orders GROUP BY ALL UNION ALL SELECT 'apart', 1, o_orderpriority, max(o_orderkey) FROM orders GROUP BY ALL"""
+)
 def k2_steps_run_again(spark, sf_dir):
-    """A changed configuration makes a step and all after it run again, and no other."""
+    """A changed configuration makes a step and all after it run again, and no other; what is read is of the last run."""
     runner = stages.Runner(spark, files.scratch(spark), "r")
-    n = {"orders": read(spark, sf_dir, "nation")}
+    inputs = {"orders": read(spark, sf_dir, "orders").withColumnRenamed("o_orderpriority", "g")}
+    by_group = lambda i, value: i["orders"].groupBy("g").agg(value.alias("value"))
     for k in (1, 1, 2):
-        runner.step("apart", lambda s, i, c: i["orders"].limit(1), n)
-        runner.step("counted", lambda s, i, c: i["orders"].groupBy().count(), n, config={"k": k})
-        runner.step("doubled", lambda s, i, c: i["counted"].select(F.col("count") * 2), after=("counted",))
-    return spark.createDataFrame([(x, runner.ran.count(x)) for x in ("counted", "doubled", "apart")], "step string, runs int")
+        runner.step("apart", lambda s, i, c: by_group(i, F.max("o_orderkey")), inputs)
+        runner.step("counted", lambda s, i, c: by_group(i, F.count(F.lit(1)) * c["k"]), inputs, config={"k": k})
+        runner.step("doubled", lambda s, i, c: i["counted"].withColumn("value", F.col("value") * 2), after=("counted",))
+    out = [runner.read(x).select(F.lit(x).alias("step"), F.lit(runner.ran.count(x)).alias("runs"), "g", "value") for x in ("counted", "doubled", "apart")]
+    return out[0].unionByName(out[1]).unionByName(out[2])
 
 
 @query("SELECT vec_id, len(embedding)::INT AS d, embedding[1]::DOUBLE AS first, embedding[len(embedding)]::DOUBLE AS last FROM embeddings")
@@ -257,14 +268,19 @@ def k3_work_by_batches(spark, sf_dir):
     return store.rows().select("id", "data")
 
 
-@query("SELECT * FROM (VALUES ('val__d__a__x__m', 'd', 'a', 'x', 'm'), ('val__d__b__x__n', 'd', 'b', 'x', 'n')) AS t(run, definition, llm, embedding, reranker)")
+@query("SELECT 'val__d__m' || n_regionkey || '__x__y' AS run, 'd' AS definition, 'm' || n_regionkey AS llm, 'x' AS embedding, 'y' AS reranker, count(*) AS n FROM nation WHERE n_regionkey % 2 = 0 GROUP BY ALL")
 def a29_runs_found(spark, sf_dir):
-    """Folders with all the files needed and a name in five parts."""
-    root = files.scratch(spark)
-    for name, made in (("val__d__a__x__m", ("a", "b")), ("val__d__b__x__n", ("a", "b")), ("val__d__b__x__o", ("a",)), ("val__d__b", ("a", "b")), ("other__d__a__x__m", ("a", "b"))):
-        for m in made:
-            read(spark, sf_dir, "region").write.parquet(f"{root}/{name}/{m}")
-    return spark.createDataFrame(files.discover_runs(spark, root, ("a", "b")), "run string, definition string, llm string, embedding string, reranker string")
+    """Folders with all the tables needed and a name in five parts, and how many rows their first table has: a run for each
+    region, of which the odd ones have only one of two tables."""
+    root, nation = files.scratch(spark), read(spark, sf_dir, "nation")
+    regions = [r[0] for r in nation.select("n_regionkey").distinct().orderBy("n_regionkey").collect()]
+    for k in regions:
+        for name, made in ((f"val__d__m{k}__x__y", ("a", "b") if k % 2 == 0 else ("a",)), (f"val__d__m{k}", ("a", "b")), (f"other__d__m{k}__x__y", ("a", "b"))):
+            for m in made:
+                nation.filter(F.col("n_regionkey") == k).write.parquet(f"{root}/{name}/{m}")
+    found = files.discover_runs(spark, root, ("a", "b"))
+    rows = [spark.read.parquet(f"{root}/{r['run']}/a").agg(F.count(F.lit(1)).alias("n")).select(*[F.lit(v).alias(k) for k, v in r.items()], "n") for r in found]
+    return reduce(DataFrame.unionByName, rows)
 
 
 @query("SELECT n_regionkey, count(*) AS n FROM nation GROUP BY 1")
@@ -274,21 +290,24 @@ def a30_output_of_a_run(spark, sf_dir):
     return stages.Runner(spark, root, "r").read("nations")
 
 
-@query("SELECT * FROM (VALUES ('broken', 'INCOMPLETE', true), ('unmarked', 'INCOMPLETE', true), ('absent', 'MISSING', false)) AS t(step, state, removed)")
+@query("SELECT step, state, removed, CASE WHEN step = 'whole' THEN (SELECT count(*) FROM supplier) END AS n FROM (VALUES ('whole', 'COMPLETE', false), ('broken', 'INCOMPLETE', true), ('unmarked', 'INCOMPLETE', true), ('absent', 'MISSING', false)) AS t(step, state, removed)")
 def a31_integrity(spark, sf_dir):
-    """Unreadable files, a marker that lacks and a folder that lacks; what is not complete is removed."""
-    root = files.scratch(spark)
+    """Unreadable files, a marker that lacks and a folder that lacks; what is not complete is removed, and what is complete
+    has its rows still (n)."""
+    root, supplier = files.scratch(spark), read(spark, sf_dir, "supplier")
     runner = stages.Runner(spark, root, "r")
     for name in ("whole", "broken"):
-        runner.step(name, lambda s, i, c: i["region"], {"region": read(spark, sf_dir, "region")})
+        runner.step(name, lambda s, i, c: i["supplier"], {"supplier": supplier})
     files._put(spark, f"{root}/r/broken/data/part-99999.parquet", "not parquet")
-    read(spark, sf_dir, "region").write.parquet(f"{root}/r/unmarked/data")
+    supplier.write.parquet(f"{root}/r/unmarked/data")
     names = ["whole", "broken", "unmarked", "absent"]
     found = files.incomplete(spark, f"{root}/r", names, check_files=True)
     files.clean(spark, f"{root}/r", names, dry_run=True, check_files=True)
     assert files.incomplete(spark, f"{root}/r", names, check_files=True) == found  # a dry run removes nothing
     gone = files.clean(spark, f"{root}/r", names, dry_run=False, check_files=True)
-    return spark.createDataFrame([(k, v, k in gone) for k, v in found.items()], "step string, state string, removed boolean")
+    states = spark.createDataFrame([(k, found.get(k, "COMPLETE"), k in gone) for k in names], "step string, state string, removed boolean")
+    left = runner.read("whole").agg(F.count(F.lit(1)).alias("n")).select(F.lit("whole").alias("step"), "n")
+    return states.join(left, "step", "left")
 
 
 @query("SELECT n_name AS name, n_regionkey::BIGINT AS region, round(avg(c_acctbal), 4) AS score FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey AND c_mktsegment = 'BUILDING' GROUP BY n_nationkey, n_name, n_regionkey")
@@ -363,16 +382,48 @@ def b18_suffixes(spark, sf_dir):
     return columns.joined(o, c, "k", ("_order", "_customer")).drop("k")
 
 
-@query("SELECT * FROM (VALUES ('a', 'x', 'm'), ('b', 'y', 'm'), ('c', 'x', 'm')) AS t(llm, embedding, reranker)")
+MODELS = """WITH m AS (SELECT DISTINCT l_returnflag AS l, l_linestatus AS e, l_linenumber::VARCHAR AS r FROM lineitem),
+l AS (SELECT DISTINCT l FROM m), e AS (SELECT DISTINCT e FROM m), r AS (SELECT DISTINCT r FROM m), f AS (SELECT min(l) AS l, min(e) AS e, min(r) AS r FROM m)
+"""
+
+
+def models(spark, sf_dir):
+    """The models of each kind that the table names, in order."""
+    li = read(spark, sf_dir, "lineitem").agg(F.array_sort(F.collect_set("l_returnflag")).alias("llm"), F.array_sort(F.collect_set("l_linestatus")).alias("embedding"), F.array_sort(F.collect_set(F.col("l_linenumber").cast("string"))).alias("reranker"))
+    return li.first().asDict()
+
+
+@query(
+    MODELS + """, n AS (SELECT unnest(range(1, greatest((SELECT count(*) FROM l), (SELECT count(*) FROM e), (SELECT count(*) FROM r)) + 1)) AS i)
+SELECT coalesce(a.l, f.l) AS llm, coalesce(b.e, f.e) AS embedding, coalesce(c.r, f.r) AS reranker FROM n CROSS JOIN f LEFT JOIN (SELECT l, row_number() OVER (ORDER BY l) AS i FROM l) a USING (i)
+LEFT JOIN (SELECT e, row_number() OVER (ORDER BY e) AS i FROM e) b USING (i) LEFT JOIN (SELECT r, row_number() OVER (ORDER BY r) AS i FROM r) c USING (i)"""
+)
 def f10_job_plan(spark, sf_dir):
-    plan = cost.job_plan({"llm": ["a", "b", "c"], "embedding": ["x", "y"], "reranker": ["m"]})
+    plan = cost.job_plan(models(spark, sf_dir))
+    return spark.createDataFrame([(p["llm"], p["embedding"], p["reranker"]) for p in plan], "llm string, embedding string, reranker string")
+
+
+@query(MODELS + "SELECT l.l AS llm, f.e AS embedding, f.r AS reranker FROM l, f UNION SELECT f.l, e.e, f.r FROM e, f UNION SELECT f.l, f.e, r.r FROM r, f")
+def f8_planned_runs(spark, sf_dir):
+    """Each kind of model varied over those that the table names, with the first of the other kinds."""
+    found = models(spark, sf_dir)
+    plan = cost.planned_runs({k: v[:1] for k, v in found.items()}, found)
     return spark.createDataFrame([(p["llm"], p["embedding"], p["reranker"]) for p in plan], "llm string, embedding string, reranker string")
 
 
-@query("SELECT * FROM (VALUES ('', 'k', '7'), ('', 'batch', '1'), ('embed', 'model', 'y'), ('embed', 'size', '9')) AS t(step, name, value)")
+@query(
+    """SELECT '' AS step, r_name AS name, (r_regionkey + CASE WHEN r_regionkey % 2 = 1 THEN 100 ELSE 0 END)::VARCHAR AS value FROM region
+UNION ALL SELECT 'step' || n_regionkey, n_name, (n_nationkey + CASE WHEN n_nationkey % 3 = 0 THEN 100 ELSE 0 END)::VARCHAR FROM nation"""
+)
 def k10_resolved_values(spark, sf_dir):
-    """Defaults, overridden by the run; a table is a step's own."""
-    common, own = stages.resolve({"defaults": {"k": 5, "batch": 1, "embed": {"model": "x", "size": 9}}, "runs": {"r": {"k": 7, "embed": {"model": "y"}}}}, "r")
+    """Defaults, overridden by the run; a table is a step's own. Regions are values of all steps, nations of one; the run
+    has others for every second region and every third nation."""
+    regions = [(r["r_name"], r["r_regionkey"]) for r in read(spark, sf_dir, "region").collect()]
+    nations = [(f"step{r['n_regionkey']}", r["n_name"], r["n_nationkey"]) for r in read(spark, sf_dir, "nation").collect()]
+    steps = {s for s, _, _ in nations}
+    defaults = {**dict(regions), **{s: {n: k for t, n, k in nations if t == s} for s in steps}}
+    run = {**{n: k + 100 for n, k in regions if k % 2}, **{s: {n: k + 100 for t, n, k in nations if t == s and k % 3 == 0} for s in steps}}
+    common, own = stages.resolve({"defaults": defaults, "runs": {"r": run}}, "r")
     rows = [("", k, str(v)) for k, v in common.items()] + [(s, k, str(v)) for s, d in own.items() for k, v in d.items()]
     return spark.createDataFrame(rows, "step string, name string, value string")
 

@@ -32,18 +32,63 @@ def h15_bt_theta(spark, sf_dir):
     return pairwise.bradley_terry(comparisons(spark, sf_dir), items(spark, sf_dir)).withColumn("theta", F.round("theta", 6))
 
 
+WINS = "SELECT a AS item, k, CASE WHEN outcome = 'tie' THEN 0.5 WHEN outcome = 'A' THEN 1 ELSE 0 END AS w FROM c UNION ALL SELECT b, k, CASE WHEN outcome = 'tie' THEN 0.5 WHEN outcome = 'A' THEN 0 ELSE 1 END FROM c"
+
+
+@query(PAIRS + f", w AS ({WINS}) SELECT p_partkey AS item, round(coalesce(sum(w), 0)::DOUBLE, 4) AS wins FROM part LEFT JOIN w ON item = p_partkey GROUP BY 1")
+def h15_expected_wins(spark, sf_dir):
+    """The wins that the fitted strengths lead one to expect: at the optimum, and nowhere else, they are the wins there are."""
+    c = comparisons(spark, sf_dir)
+    fitted = pairwise.expected_wins(c, pairwise.bradley_terry(c, items(spark, sf_dir)))
+    return fitted.select("item", (F.round("expected", 4) + 0.0).alias("wins"))
+
+
+@query(PAIRS + f""", w AS ({WINS}), q AS (SELECT unnest([1, 2, 3, 4]) AS round), l AS (SELECT max(k) AS last FROM c)
+SELECT round, p_partkey AS item, round(coalesce(sum(w) FILTER (k <= last * round / 4), 0)::DOUBLE, 4) AS wins FROM part CROSS JOIN q CROSS JOIN l LEFT JOIN w ON item = p_partkey GROUP BY ALL""")
+def i17_expected_wins(spark, sf_dir):
+    """As h15_expected_wins, for each of the refits whose convergence is looked at."""
+    c = comparisons(spark, sf_dir)
+    last = c.agg(F.max("k")).first()[0] or 0
+    out = None
+    for q in (1, 2, 3, 4):
+        some = c.filter(F.col("k") <= last * q / 4)
+        e = pairwise.expected_wins(some, pairwise.bradley_terry(some, items(spark, sf_dir))).select(F.lit(q).alias("round"), "item", (F.round("expected", 4) + 0.0).alias("wins"))
+        out = e if out is None else out.unionByName(e)
+    return out
+
+
+@query(
+    """WITH i AS (SELECT p_partkey AS item, p_retailprice AS price, r, s FROM part, (SELECT unnest([1, 2]) AS r), (SELECT unnest([7, 8, 9]) AS s)),
+n AS (SELECT item, r, s, row_number() OVER (PARTITION BY r, s ORDER BY md5(item || '-' || r || '-' || s), item) - 1 AS p FROM i),
+t AS (SELECT DISTINCT s, a, b FROM (SELECT s, min(item) AS a, max(item) AS b FROM n GROUP BY s, r, p // 2 HAVING count(*) = 2))
+SELECT a, b, sum(CASE WHEN x.p_retailprice > y.p_retailprice THEN 1 WHEN x.p_retailprice < y.p_retailprice THEN 0 ELSE 0.5 END)::DOUBLE AS wins_a,
+sum(CASE WHEN x.p_retailprice > y.p_retailprice THEN 0 WHEN x.p_retailprice < y.p_retailprice THEN 1 ELSE 0.5 END)::DOUBLE AS wins_b
+FROM t JOIN part x ON x.p_partkey = a JOIN part y ON y.p_partkey = b GROUP BY a, b"""
+)
+def f7_comparisons_of_rounds(spark, sf_dir):
+    """Three rounds of random pairs, half of each shown the other way round, and their answers put together."""
+    part = read(spark, sf_dir, "part")
+    asked = None
+    for seed in (7, 8, 9):
+        pairs = pairwise.swapped(pairwise.shuffled_pairs(part.select(F.col("p_partkey").alias("item")), 2, seed), seed)
+        said = pairwise.unswapped(_by_price(part, pairs)).select("a", "b", "outcome")
+        asked = said if asked is None else asked.unionByName(said)
+    return pairwise.collapsed(asked)
+
+
+def _by_price(part, pairs):
+    side = lambda s: part.select(F.col("p_partkey").alias(f"shown_{s}"), F.col("p_retailprice").alias(f"price_{s}"))
+    p = pairs.join(side("a"), "shown_a").join(side("b"), "shown_b")
+    return p.withColumn("outcome", F.when(F.col("price_a") > F.col("price_b"), "A").when(F.col("price_a") < F.col("price_b"), "B").otherwise("tie"))
+
+
 @query()
 def h14_task_exposure_bt(spark, sf_dir):
     """Parts as tasks, brands as occupations, sizes as importance; the dearer part wins. The tests check it."""
-    part = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("item"), F.col("p_brand").alias("onet_code"), F.col("p_size").cast("double").alias("importance"), F.col("p_retailprice").alias("price"))
-    side = lambda s: part.select(F.col("item").alias(f"shown_{s}"), F.col("price").alias(f"price_{s}"))
-
-    def judge(pairs):
-        p = pairs.join(side("a"), "shown_a").join(side("b"), "shown_b")
-        return p.withColumn("outcome", F.when(F.col("price_a") > F.col("price_b"), "A").when(F.col("price_a") < F.col("price_b"), "B").otherwise("tie"))
-
-    scores = pairwise.in_rounds(part.select("item"), judge, (4, 3, 3), 7)
-    out = pairwise.by_occupation(scores, part, part.select("onet_code").distinct())
+    part = read(spark, sf_dir, "part")
+    tasks = part.select(F.col("p_partkey").alias("item"), F.col("p_brand").alias("onet_code"), F.col("p_size").cast("double").alias("importance"))
+    scores = pairwise.in_rounds(tasks.select("item"), lambda pairs: _by_price(part, pairs), (4, 3, 3), 7)
+    out = pairwise.by_occupation(scores, tasks, tasks.select("onet_code").distinct())
     return out.select("onet_code", *[F.round(c, 6).alias(c) for c in out.columns[1:]])
 
 
@@ -101,6 +146,16 @@ def h17_band_pairs(spark, sf_dir):
     return pairwise.band_pairs(read(spark, sf_dir, "part"), "p_retailprice", 0.15, "p_partkey")
 
 
+@query(
+    """WITH o AS (SELECT p_partkey AS a, p_retailprice AS x, row_number() OVER (ORDER BY p_retailprice, p_partkey) AS p FROM part),
+n AS (SELECT u.a, v.a AS b, abs(u.x - v.x) AS apart FROM o u JOIN o v ON v.p BETWEEN u.p - 4 AND u.p + 4 AND v.p <> u.p WHERE abs(u.x - v.x) <= 0.15)
+SELECT a, b, round(apart, 6) AS apart FROM n QUALIFY row_number() OVER (PARTITION BY a ORDER BY apart, b) <= 4"""
+)
+def c19_band_partners(spark, sf_dir):
+    """The four parts nearest in price to each, within a width: a range join whose result doesn't grow with the square."""
+    return pairwise.band_partners(read(spark, sf_dir, "part"), "p_retailprice", 0.15, 4, "p_partkey").withColumn("apart", F.round("apart", 6))
+
+
 @query(
     """WITH RECURSIVE t AS (SELECT p_partkey AS item, p_retailprice AS v, (SELECT stddev_pop(p_retailprice) FROM part) AS w FROM part),
 u AS (SELECT item, v - w AS v, 0 AS kind, 0 AS one FROM t UNION ALL SELECT item, v, 1, 1 FROM t UNION ALL SELECT item, v + w, 2, 0 FROM t),
