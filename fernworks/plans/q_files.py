@@ -290,7 +290,7 @@ def a30_output_of_a_run(spark, sf_dir):
     return stages.Runner(spark, root, "r").read("nations")
 
 
-@query("SELECT step, state, removed, CASE WHEN step = 'whole' THEN (SELECT count(*) FROM supplier) END AS n FROM (VALUES ('whole', 'COMPLETE', false), ('broken', 'INCOMPLETE', true), ('unmarked', 'INCOMPLETE', true), ('absent', 'MISSING', false)) AS t(step, state, removed)")
+@query("SELECT step, state, removed, CASE WHEN step = 'whole' THEN (SELECT count(*) FROM supplier) ELSE 0 END AS n FROM (VALUES ('whole', 'COMPLETE', false), ('broken', 'INCOMPLETE', true), ('unmarked', 'INCOMPLETE', true), ('absent', 'MISSING', false)) AS t(step, state, removed)")
 def a31_integrity(spark, sf_dir):
     """Unreadable files, a marker that lacks and a folder that lacks; what is not complete is removed, and what is complete
     has its rows still (n)."""
@@ -307,7 +307,7 @@ def a31_integrity(spark, sf_dir):
     gone = files.clean(spark, f"{root}/r", names, dry_run=False, check_files=True)
     states = spark.createDataFrame([(k, found.get(k, "COMPLETE"), k in gone) for k in names], "step string, state string, removed boolean")
     left = runner.read("whole").agg(F.count(F.lit(1)).alias("n")).select(F.lit("whole").alias("step"), "n")
-    return states.join(left, "step", "left")
+    return states.join(left, "step", "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
 @query("SELECT n_name AS name, n_regionkey::BIGINT AS region, round(avg(c_acctbal), 4) AS score FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey AND c_mktsegment = 'BUILDING' GROUP BY n_nationkey, n_name, n_regionkey")
