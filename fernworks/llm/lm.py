@@ -1,10 +1,10 @@
 """Language-model scoring: a log-bilinear model of words, trained by noise-contrastive estimation in numpy.
 
-Words are split at ASCII white space, A-Z lower-cased. Every word that training has seen at least sqrt(tokens) / 8
-times is a symbol of its own: the model's vocabulary grows with the corpus. Frequent words in the order of their
-spelling from the end are cut into classes of one size (about as many as the square root of the symbols); each class
-has one symbol more for the rarer words of one hash of the last two bytes, and two classes hold one symbol each, the
-end of a text and the words seen once or never.
+Words are split at ASCII white space, A-Z lower-cased. The VOCABULARY most frequent words that training has seen twice
+or more are symbols of their own, whatever the size of the corpus, which bounds the model that is sent to all tasks. In
+the order of their spelling from the end they are cut into classes of one size (about as many as the square root of the
+symbols); each class has one symbol more for the rarer words of one hash of the last two bytes, and two classes hold one
+symbol each, the end of a text and the words seen once or never. Symbols are numbered class by class.
 
 P(word | words before) = P(class | h) * P(symbol | class, h) * P(word | symbol). h, the prediction, is the sum of the
 vectors of the CONTEXT symbols before, each weighted by its position. Its products with the vectors of all classes, and
@@ -12,11 +12,11 @@ with those of all symbols of the class, in batches of tokens, give the first two
 for frequent words, the share by count for a rarer word among its class's rarer ones, and for the last class what
 Good-Turing leaves to words seen once, all unseen words together being one outcome, as in the base score.
 
-Training is by sampled noise: NOISE classes for each batch, drawn evenly along the cumulated frequencies, and IN_NOISE
-symbols of the right class for each token. A round takes a share of all positions of all training texts (at least a
-sixteenth, and POSITIONS of them where there are so many): each task learns from its own texts, then every vector is
-averaged over the tasks that touched it. What reaches the driver and the tasks is the model, which grows as the square
-root of the corpus does; counts, classes and shares come from all training texts, words meet their counts through the
+Training is by sampled noise: for each batch NOISE classes, drawn evenly along the cumulated frequencies, and for each
+class of the batch IN_NOISE of its symbols. It is one pass over all positions of all training texts, at every size, in
+ROUNDS parts: each task learns from its own texts, in batches that grow as it goes on, and after a part every vector is
+averaged over the tasks that touched it. A batch is a run of tokens, so that a vector is looked up once for all the
+positions that see it. Counts, classes and shares come from all training texts, words meet their counts through the
 distinct-word table, and packs are written once and read twice.
 
 Defined cases. Null text: as empty; empty text: the end alone is its token. Null id: remainder of the empty text.
@@ -40,7 +40,9 @@ from . import words as W
 from .common import give_back, passing, prepare, remainder, text_of, written
 
 D, CONTEXT, NOISE, IN_NOISE = 16, 5, 64, 4
-ROUNDS, RATE, BATCH, POSITIONS = 2, 0.1, 2048, 1 << 21
+ROUNDS, RATE, VOCABULARY = 2, 0.08, 1 << 15
+#: Tokens of a task's first batches, and of its largest ones; a batch is a quarter of the tokens before it.
+FIRST, LAST = 512, 1 << 12
 #: Tokens held at once in learning and in scoring, tokens whose scores of all classes are, and rows of a matrix that
 #: are averaged together.
 HELD, BLOCK, ROWS = 1 << 17, 1 << 12, 1024
@@ -49,28 +51,40 @@ END, RARE, TAILS = 0, 1, 2
 
 @dataclass
 class Words:
-    """The symbols: END, RARE, one for the rarer words of each class, then the frequent words."""
+    """The symbols in the order of their classes: END, RARE, then of each class the one for its rarer words and the
+    frequent words."""
 
     classes: int
-    number: dict[bytes, int]  # of frequent words
-    counts: np.ndarray  # of symbols, in training
+    frequent: list[bytes]  # words in the order of their spelling from the end
+    frequent_counts: list[int]
     mass: np.ndarray  # tokens of the rarer words of each class
     tokens: int
     types: int
     once: int
     twice: int
     end: int
+    number: dict[bytes, int] = field(init=False)  # symbols of frequent words
+    tail: np.ndarray = field(init=False)  # symbols for the rarer words of each class
+    counts: np.ndarray = field(init=False)  # of symbols, in training
     klass: np.ndarray = field(init=False)
-    members: np.ndarray = field(init=False)  # symbols by class
-    start: np.ndarray = field(init=False)
+    start: np.ndarray = field(init=False)  # first symbol of each class
+    shares: np.ndarray = field(init=False)  # counts, but those of nothing a little, and of rarer words that there are none of hardly anything
 
     def __post_init__(self):
-        words = list(self.number)
-        own = np.empty(len(words), np.int32)
-        own[sorted(range(len(words)), key=lambda i: words[i][::-1])] = TAILS + np.arange(len(words)) * self.classes // max(1, len(words))
-        self.klass = np.concatenate([np.arange(TAILS + self.classes, dtype=np.int32), own])
-        self.members = np.argsort(self.klass, kind="stable").astype(np.int32)
-        self.start = np.concatenate([[0], np.cumsum(np.bincount(self.klass, minlength=TAILS + self.classes))])
+        n = len(self.frequent)
+        own = np.arange(n) * self.classes // max(1, n)
+        symbol = TAILS + own + 1 + np.arange(n)
+        self.number = dict(zip(self.frequent, symbol.tolist(), strict=True))
+        self.tail = TAILS + np.arange(self.classes) + np.searchsorted(own, np.arange(self.classes))
+        self.klass = np.zeros(TAILS + self.classes + n, np.int32)
+        self.klass[RARE] = 1
+        self.klass[self.tail], self.klass[symbol] = TAILS + np.arange(self.classes), TAILS + own
+        self.counts = np.zeros(len(self.klass))
+        self.counts[[END, RARE]] = self.end, self.once
+        self.counts[self.tail], self.counts[symbol] = self.mass, self.frequent_counts
+        self.shares = np.maximum(self.counts, 0.5)
+        self.shares[self.tail[self.mass == 0]] = 1e-6
+        self.start = np.searchsorted(self.klass, np.arange(TAILS + self.classes + 1))
 
 
 def suffix_class(w: bytes, classes: int) -> int:
@@ -78,13 +92,9 @@ def suffix_class(w: bytes, classes: int) -> int:
     return zlib.crc32(w[-2:]) % classes
 
 
-def contexts(symbols: np.ndarray, since: np.ndarray) -> np.ndarray:
-    """(CONTEXT, tokens): the symbols before each token, nearest first; since: tokens of its text before it. END stands for none."""
-    out = np.full((CONTEXT, len(symbols)), END, np.int32)
-    for k in range(CONTEXT):
-        at = np.flatnonzero(since > k)
-        out[k, at] = symbols[at - k - 1]
-    return out
+def _by_symbol(symbols: np.ndarray, n: int) -> np.ndarray:
+    """The order of symbols under n (fast where two bytes hold them)."""
+    return np.argsort(symbols.astype(np.uint16) if n <= 1 << 16 else symbols, kind="stable")
 
 
 class Model:
@@ -93,7 +103,7 @@ class Model:
     NAMES = ("context", "weight", "klass", "symbol")
 
     def __init__(self, words: Words, seed: int = 7):
-        counts, of_class = np.maximum(words.counts, 0.5), None
+        counts = words.shares
         of_class = np.bincount(words.klass, counts)
         self.context = np.random.default_rng(seed).normal(0, 0.1, (len(counts), D)).astype(np.float32)
         self.weight = np.ones((CONTEXT, D), np.float32)
@@ -102,49 +112,46 @@ class Model:
         self.klass[:, D] = np.log(of_class / of_class.sum())
         self.symbol[:, D] = np.log(counts / of_class[words.klass])
 
-    def predicted(self, before: np.ndarray, weighted: list[np.ndarray] | None = None) -> np.ndarray:
-        """weighted: context by each weight, where there are more tokens than symbols."""
-        h = np.zeros((before.shape[1], D), np.float32)
+    def predicted(self, symbols: np.ndarray, since: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """(h, with a last column of 1; the symbols' vectors; for each distance the tokens whose text does not reach so
+        far, for which END stands). since: tokens of a token's text before it."""
+        n, vectors = len(symbols), self.context[symbols]
+        out = np.zeros((n, D + 1), vectors.dtype)
+        out[:, D] = 1
+        h, outside = out[:, :D], [np.flatnonzero(since <= k) for k in range(CONTEXT)]
         for k in range(CONTEXT):
-            h += self.context[before[k]] * self.weight[k] if weighted is None else weighted[k][before[k]]
-        return h
+            h[k + 1 :] += vectors[: max(0, n - k - 1)] * self.weight[k]
+            other = outside[k][outside[k] > k]
+            h[other] -= vectors[other - k - 1] * self.weight[k]  # of another text
+            h[outside[k]] += self.context[END] * self.weight[k]
+        return out, vectors, outside
 
-    def log_probabilities(self, words: Words, before: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-        """log10 P(symbol | symbols before), normalised over all symbols."""
-        c = words.klass[symbols]
-        h = self.predicted(before, [self.context * w for w in self.weight])
+    def log_probabilities(self, words: Words, symbols: np.ndarray, since: np.ndarray) -> np.ndarray:
+        """log10 P(symbol | symbols before) of whole texts' tokens, normalised over all symbols."""
+        h, c = self.predicted(symbols, since)[0], words.klass[symbols]
 
         def picked(h, vectors, which):
-            scores = h @ np.ascontiguousarray(vectors[:, :D].T)
-            scores += vectors[:, D]
+            scores = h @ vectors.T
             top = scores.max()
             if top > 60:  # single precision ends at 88
                 scores -= scores.max(1, keepdims=True)
             got = scores[np.arange(len(scores)), which]
             np.exp(scores, out=scores)
-            return got - np.log(scores @ np.ones(len(vectors), np.float32))
+            return got - np.log(scores @ np.ones(len(vectors), scores.dtype))
 
         out = np.empty(len(symbols))
         for k in range(0, len(out), BLOCK):
             out[k : k + BLOCK] = picked(h[k : k + BLOCK], self.klass, c[k : k + BLOCK])
-        order = np.argsort(c, kind="stable")
+        order = _by_symbol(symbols, len(words.klass))
         cuts = np.append(np.flatnonzero(np.diff(c[order], prepend=-1)), len(order))
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             rows = order[a:b]
-            own = words.members[words.start[c[rows[0]]] : words.start[c[rows[0]] + 1]]
-            if len(own) > 1:
-                out[rows] += picked(h[rows], self.symbol[own], np.searchsorted(own, symbols[rows]))
+            first, stop = words.start[c[rows[0]]], words.start[c[rows[0]] + 1]
+            if stop - first > 1:
+                out[rows] += picked(h[rows], self.symbol[first:stop], symbols[rows] - first)
         return out / np.log(10)
 
 
-def _sums(index: np.ndarray, grad: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct indices, and the sum of grad's rows for each."""
-    order = np.argsort(index)
-    i = index[order]
-    first = np.flatnonzero(np.diff(i, prepend=-1))
-    return i[first], np.add.reduceat(grad[order], first, axis=0)
-
-
 class Learner:
     """Noise-contrastive estimation with AdaGrad steps, from one task's tokens."""
 
@@ -152,13 +159,13 @@ class Learner:
         self.model, self.words, self.rng, self.rate = model, words, rng, np.float32(rate)
         self.squares = {n: np.full(getattr(model, n).shape, 0.01, np.float32) for n in Model.NAMES}
         self.touched = {n: np.zeros(len(getattr(model, n)), bool) for n in Model.NAMES}
-        counts = np.maximum(words.counts, 0.5)
+        counts = words.shares
         of_class = np.bincount(words.klass, counts)
         self.class_ends = np.cumsum(of_class)
         self.log_class = (np.log(of_class / of_class.sum()) + np.log(NOISE)).astype(np.float32)
         self.log_symbol = (np.log(counts / of_class[words.klass]) + np.log(IN_NOISE)).astype(np.float32)
-        self.ends = np.concatenate([[0], np.cumsum(counts[words.members])])
-        self.several = np.diff(words.start)[words.klass] > 1
+        self.ends = np.concatenate([[0], np.cumsum(counts)])
+        self.several = np.diff(words.start) > 1
 
     def _step(self, name: str, index: np.ndarray, grad: np.ndarray) -> None:
         squares = self.squares[name][index] + grad * grad
@@ -166,45 +173,93 @@ class Learner:
         getattr(self.model, name)[index] += self.rate * grad / np.sqrt(squares)
         self.touched[name][index] = True
 
-    def batch(self, before: np.ndarray, symbols: np.ndarray) -> None:
-        m, w, n = self.model, self.words, len(symbols)
-        c, h = w.klass[symbols], np.ones((n, D + 1), np.float32)
-        h[:, :D] = m.predicted(before)
+    def noise(self, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Classes for a whole batch, and symbols of each of these classes; evenly along the cumulated counts."""
         drawn = np.searchsorted(self.class_ends, (self.rng.random() + np.arange(NOISE)) * (self.class_ends[-1] / NOISE), side="right")
-        drawn = np.minimum(drawn, len(self.class_ends) - 1)
+        first, stop = self.words.start[classes][:, None], self.words.start[classes + 1][:, None]
+        low, high = self.ends[first], self.ends[stop]
+        inside = np.searchsorted(self.ends, low + (high - low) * ((self.rng.random((len(classes), 1)) + np.arange(IN_NOISE)) / IN_NOISE), side="right") - 1
+        return np.minimum(drawn, len(self.class_ends) - 1), np.clip(inside, first, stop - 1)
+
+    def gradients(self, symbols: np.ndarray, since: np.ndarray, lead: int, noise=None) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+        """For each matrix the rows that a run of tokens touches, and the gradient of its log-likelihood against noise
+        there. The first `lead` tokens are context alone. noise: as `noise` gives it, else drawn."""
+        m, w, size = self.model, self.words, len(self.words.klass)
+        h, vectors, outside = m.predicted(symbols, since)
+        order = lead + _by_symbol(symbols[lead:], size)
+        s, h = symbols[order], h[order]
+        c, kind = w.klass[s], h.dtype
+        s_first, c_first = np.flatnonzero(np.diff(s, prepend=-1)), np.flatnonzero(np.diff(c, prepend=-1))
+        of_s, of_c = s[s_first], c[c_first]
+        drawn, inside = self.noise(of_c) if noise is None else noise
+
+        def wrong(scores, log_noise):
+            """-1 / (1 + exp(log_noise - scores)), in place."""
+            np.subtract(log_noise, scores, out=scores)
+            np.exp(scores, out=scores)
+            scores += 1
+            return np.divide(-1, scores, out=scores)
+
+        # the class: each token's own against those drawn for all
         own, other = m.klass[c], m.klass[drawn]
-        right = 1 / (1 + np.exp((h * own).sum(1) - self.log_class[c]))
-        wrong = -1 / (1 + np.exp(self.log_class[drawn] - h @ other.T))
-        back = right[:, None] * own + wrong @ other
-        of_class = _sums(np.concatenate([c, drawn]), np.concatenate([right[:, None] * h, wrong.T @ h]))
-        at = np.flatnonzero(self.several[symbols])
-        if len(at):
-            low, high = self.ends[w.start[c[at]]], self.ends[w.start[c[at] + 1]]
-            u = low[:, None] + (high - low)[:, None] * self.rng.random((len(at), IN_NOISE))
-            both = np.empty((len(at), IN_NOISE + 1), np.int32)
-            both[:, 0] = symbols[at]
-            place = np.searchsorted(self.ends, u.ravel(), side="right").reshape(u.shape) - 1
-            both[:, 1:] = w.members[np.clip(place, w.start[c[at]][:, None], w.start[c[at] + 1][:, None] - 1)]
-            q, hh = m.symbol[both], h[at]
-            g = -1 / (1 + np.exp(self.log_symbol[both] - np.matmul(q, hh[:, :, None])[:, :, 0]))
-            g[:, 0] += 1
-            back[at] += np.matmul(g[:, None, :], q)[:, 0]
-            of_symbol = _sums(both.ravel(), (g[:, :, None] * hh[:, None, :]).reshape(-1, D + 1))
-            self._step("symbol", *of_symbol)
-        self._step("klass", *of_class)
-        back = np.ascontiguousarray(back[:, :D])
-        weight, vectors = np.empty((CONTEXT, D), np.float32), np.empty((CONTEXT, n, D), np.float32)
+        right = (1 / (1 + np.exp(np.einsum("ij,ij->i", h, own) - self.log_class[c]))).astype(kind)
+        y = wrong(h @ other.T, self.log_class[drawn])
+        back = y @ other + right[:, None] * own
+        klass = np.zeros(m.klass.shape, kind)
+        klass[of_c] = np.add.reduceat(right[:, None] * h, c_first, axis=0)
+        np.add.at(klass, drawn, y.T @ h)
+        # the symbol: each token's own against those drawn for its class
+        many, own = self.several[c], m.symbol[s]
+        right = (many / (1 + np.exp(np.einsum("ij,ij->i", h, own) - self.log_symbol[s]))).astype(kind)
+        back += right[:, None] * own
+        symbol = np.zeros(m.symbol.shape, kind)
+        symbol[of_s] = np.add.reduceat(right[:, None] * h, s_first, axis=0)
+        cuts, other = np.append(c_first, len(s)).tolist(), m.symbol[inside]
+        runs = [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        y = np.empty((len(s), IN_NOISE), kind)
+        for run, o in zip(runs, other, strict=True):
+            np.matmul(h[run], o.T, out=y[run])
+        y = wrong(y, np.repeat(self.log_symbol[inside], np.diff(cuts), axis=0)) * many[:, None]
+        of_noise = np.empty((len(runs), IN_NOISE, D + 1), kind)
+        for i, (run, o) in enumerate(zip(runs, other, strict=True)):
+            back[run] += y[run] @ o
+            np.matmul(y[run].T, h[run], out=of_noise[i])
+        np.add.at(symbol, inside.ravel(), of_noise.reshape(-1, D + 1))
+        # the context: what comes back to a token from the positions after it
+        to = np.zeros((len(symbols), D), kind)
+        to[order] = back[:, :D]
+        context, weight, of_end = np.zeros((len(symbols), D), kind), np.empty((CONTEXT, D), kind), np.zeros(D, kind)
         for k in range(CONTEXT):
-            weight[k] = (back * m.context[before[k]]).sum(0)
-            vectors[k] = back * m.weight[k]
-        self._step("context", *_sums(before.ravel(), vectors.reshape(-1, D)))
-        self._step("weight", np.arange(CONTEXT), weight)
-
-    def learn(self, symbols: np.ndarray, since: np.ndarray, share: float) -> None:
-        before = contexts(symbols, since)
-        at = self.rng.permutation(np.flatnonzero(self.rng.random(len(symbols)) < share))
-        for k in range(0, len(at), BATCH):
-            self.batch(before[:, at[k : k + BATCH]], symbols[at[k : k + BATCH]])
+            alone = to[outside[k]].sum(0)
+            inner = to.copy()
+            inner[outside[k]] = 0
+            n = max(0, len(symbols) - k - 1)
+            context[:n] += inner[k + 1 :] * m.weight[k]
+            weight[k] = np.einsum("ij,ij->j", inner[k + 1 :], vectors[:n]) + alone * m.context[END]
+            of_end += alone * m.weight[k]
+        order = _by_symbol(symbols, size)
+        first = np.flatnonzero(np.diff(symbols[order], prepend=-1))
+        seen, sums = symbols[order][first], np.add.reduceat(context[order], first, axis=0)
+        if seen[0] != END:
+            seen, sums = np.append(seen, END), np.vstack([sums, of_end])
+        else:
+            sums[0] += of_end
+        of_c, of_s = np.union1d(of_c, drawn), np.union1d(of_s, inside)
+        return {"klass": (of_c, klass[of_c]), "symbol": (of_s, symbol[of_s]), "context": (seen, sums), "weight": (np.arange(CONTEXT), weight)}
+
+    def batch(self, symbols: np.ndarray, since: np.ndarray, lead: int) -> None:
+        for name, (index, grad) in self.gradients(symbols, since, lead).items():
+            self._step(name, index, grad)
+
+
+def batches_of(n: int, before: int):
+    """(from, to, lead) of the batches of a run of n tokens, `before` tokens having come before: their sizes depend on
+    nothing else. lead: the tokens before `from` that are its context."""
+    at = 0
+    while at < n:
+        to = min(n, at + min(LAST, max(FIRST, (before + at) // 4)))
+        yield at, to, min(at, CONTEXT)
+        at = to
 
 
 def _held(texts: list[bytes]):
@@ -219,7 +274,7 @@ def _held(texts: list[bytes]):
             held, size = [], 0
 
 
-def _words(totals: DataFrame, end: int) -> Words:
+def _words(totals: DataFrame, end: int, vocabulary: int = VOCABULARY) -> Words:
     """The symbols, and sums over all training words, from the distinct-word table."""
 
     def each(batches):
@@ -228,14 +283,19 @@ def _words(totals: DataFrame, end: int) -> Words:
                 yield ws, np.frombuffer(cs, np.int64)
 
     def sums(batches):
-        total = np.zeros(4, np.int64)
+        total, sizes = np.zeros(4, np.int64), np.zeros(64, np.int64)
         for _, c in each(batches):
             total += [c.sum(), len(c), (c == 1).sum(), (c == 2).sum()]
-        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in total], names=["tokens", "types", "once", "twice"])
+            sizes += np.bincount(np.frexp(c.astype(float))[1], minlength=64)
+        total = np.concatenate([total, sizes])
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array(total)], names=["i", "n"])
 
-    row = totals.mapInArrow(sums, "tokens long, types long, once long, twice long").groupBy().sum().first()
-    tokens, types, once, twice = (x or 0 for x in row)
-    least = max(2.0, (tokens + end) ** 0.5 / 8)
+    total = np.zeros(4 + 64, np.int64)
+    for r in totals.mapInArrow(sums, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).collect():
+        total[r["i"]] = r["n"]
+    tokens, types, once, twice = total[:4].tolist()
+    at_least = np.cumsum(total[4:][::-1])[::-1]  # words with a count of 2 ** (k - 1) or more
+    least = max([2, *(1 << (k - 1) for k in range(2, 64) if at_least[k] >= vocabulary)])
 
     def frequent(batches):
         for ws, c in each(batches):
@@ -244,24 +304,24 @@ def _words(totals: DataFrame, end: int) -> Words:
                 ws = ws.split(b"\n")
                 yield pa.RecordBatch.from_arrays([pa.array([ws[i] for i in at], pa.binary()), pa.array(c[at])], names=["word", "n"])
 
-    found = totals.mapInArrow(frequent, "word binary, n long").toArrow()  # at most 8 * sqrt(tokens) words
-    found = sorted(zip(found.column("word").to_pylist(), found.column("n").to_pylist(), strict=True), key=lambda x: (-x[1], x[0]))
+    found = totals.mapInArrow(frequent, "word binary, n long").orderBy(F.desc("n"), "word").limit(vocabulary).toArrow()
+    found = list(zip(found.column("word").to_pylist(), found.column("n").to_pylist(), strict=True))
+    last_word, last_n = found[-1] if found else (b"", 1)
     classes = 16 + round(len(found) ** 0.5)
 
     def tails(batches):
         mass = np.zeros(classes, np.int64)
         for ws, c in each(batches):
-            at = np.flatnonzero((c > 1) & (c < least))
             ws = ws.split(b"\n")
+            at = [i for i in np.flatnonzero((c > 1) & (c <= last_n)).tolist() if c[i] < last_n or ws[i] > last_word]
             mass += np.bincount(np.fromiter((suffix_class(ws[i], classes) for i in at), np.int64, len(at)), c[at], classes).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(range(classes), pa.int32()), pa.array(mass)], names=["class", "n"])
 
     mass = np.zeros(classes, np.int64)
     for r in totals.mapInArrow(tails, "class int, n long").groupBy("class").agg(F.sum("n").alias("n")).collect():
         mass[r["class"]] = r["n"]
-    counts = np.concatenate([[end, once], mass, np.array([n for _, n in found], np.int64)]).astype(np.float64)
-    number = {w: TAILS + classes + i for i, (w, _) in enumerate(found)}
-    return Words(classes, number, counts, mass, tokens + end, types + (end > 0), once, twice, end)
+    found.sort(key=lambda x: x[0][::-1])
+    return Words(classes, [w for w, _ in found], [n for _, n in found], mass, tokens + end, types + (end > 0), once, twice, end)
 
 
 def _tagged(packed: DataFrame, vocabulary: DataFrame, totals: DataFrame, n: int, words: Words, id_type) -> DataFrame:
@@ -288,11 +348,14 @@ def _tagged(packed: DataFrame, vocabulary: DataFrame, totals: DataFrame, n: int,
             c.append(np.frombuffer(payload, np.int64))
         c = np.concatenate(c)
         new = (words.once + 1) / (words.once + 2 * words.twice + 2) if words.once else 1.0
-        symbol = np.fromiter((words.number.get(w) or TAILS + suffix_class(w, words.classes) for w in at), np.int32, len(at))
+        symbol = np.fromiter((words.number.get(w, -1) for w in at), np.int32, len(at))
+        ordered = list(at)
+        tail = np.flatnonzero((symbol < 0) & (c > 1))
+        of = np.fromiter((suffix_class(ordered[i], words.classes) for i in tail), np.int64, len(tail))
+        symbol[tail] = words.tail[of]
         symbol[c <= 1] = RARE
         share = np.zeros(len(c))
-        tail = (symbol >= TAILS) & (symbol < TAILS + words.classes)
-        share[tail] = np.log10(c[tail] / words.mass[symbol[tail] - TAILS])
+        share[tail] = np.log10(c[tail] / words.mass[of])
         if words.once:
             share[c == 1] = np.log10((1 - new) / words.once)
         share[c == 0] = np.log10(new)
@@ -313,10 +376,10 @@ def _tagged(packed: DataFrame, vocabulary: DataFrame, totals: DataFrame, n: int,
 
 
 def train(tagged: DataFrame, words: Words, rounds: int = ROUNDS) -> Model:
-    """The model, learnt from the rows of tagged that are not held out."""
+    """The model, learnt in one pass from all positions of the rows of tagged that are not held out. Each of the rounds
+    takes every so-many-th batch."""
     spark = tagged.sparkSession
     model = Model(words)
-    share = min(1.0, max(1 / 16, POSITIONS / max(1, words.tokens)))
     rows = tagged.filter("not k1").select("symbols")
     for r in range(rounds if words.tokens else 0):
         shared = spark.sparkContext.broadcast((model, words))
@@ -326,12 +389,16 @@ def train(tagged: DataFrame, words: Words, rounds: int = ROUNDS) -> Model:
 
             from pyspark import TaskContext
 
-            learner = None
+            learner, before, number = None, 0, 0
             for batch in batches:
                 for symbols, since, _ in _held(batch.column("symbols").to_pylist()):
                     if learner is None:
                         learner = Learner(copy.deepcopy(shared.value[0]), shared.value[1], RATE / (r + 1), np.random.default_rng([r, TaskContext.get().partitionId()]))
-                    learner.learn(symbols, since, share)
+                    for at, to, lead in batches_of(len(symbols), before):
+                        if number % rounds == r:
+                            learner.batch(symbols[at - lead : to], since[at - lead : to], lead)
+                        number += 1
+                    before += len(symbols)
             for name in Model.NAMES if learner else ():
                 values, touched = getattr(learner.model, name), learner.touched[name]
                 for k in range(0, len(values), ROWS):
@@ -366,7 +433,7 @@ def train(tagged: DataFrame, words: Words, rounds: int = ROUNDS) -> Model:
     return model
 
 
-def fitted(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held_out: int = 2, pack_bytes: int = W.PACK_BYTES, rounds: int = ROUNDS) -> tuple[DataFrame, Words, Model]:
+def fitted(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held_out: int = 2, pack_bytes: int = W.PACK_BYTES, rounds: int = ROUNDS, most: int = VOCABULARY) -> tuple[DataFrame, Words, Model]:
     """The tagged documents, the symbols and the model."""
     prepare(docs.sparkSession)
     flagged = docs.select(F.col(id_col).alias("id"), text_of(docs, text_col).alias("text"), (remainder(F.col(id_col), folds) == held_out).alias("out"))
@@ -376,7 +443,7 @@ def fitted(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", f
         n = W.bucket_count(size or 0)
         vocabulary = written(W.vocabularies(packed, n, lower=True, count=lambda t: [0 if x else 1 for x in t.column("k1").to_pylist()]), "vocabulary")
         totals = written(W.totals(vocabulary), "totals")
-        words = _words(totals, end)
+        words = _words(totals, end, most)
         tagged = keep(_tagged(packed, vocabulary, totals, n, words, docs.schema[id_col].dataType))
     return tagged, words, train(tagged, words, rounds)
 
@@ -394,10 +461,11 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", **how) -> DataFrame:
         for batch in batches:
             total = []
             for symbols, since, n in _held(batch.column("symbols").to_pylist()):
-                before, p = contexts(symbols, since), np.empty(len(symbols))
-                for k in range(0, len(symbols), HELD):
-                    part = slice(k, k + HELD)
-                    p[part] = model.log_probabilities(words, before[:, part], symbols[part])
+                p = np.empty(len(symbols))
+                for k in range(0, len(symbols), HELD):  # one long text is scored in parts, with the tokens before each
+                    lead = min(k, CONTEXT)
+                    part = slice(k - lead, k + HELD)
+                    p[k : k + HELD] = model.log_probabilities(words, symbols[part], since[part])[lead:]
                 total += np.add.reduceat(p, np.cumsum(n) - n).tolist()  # every text has its end
             out = np.array(total) + batch.column("share").to_numpy()
             yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in ("k0", "k1", "n_tokens", "n_known", "base_score")), pa.array(out, pa.float64())], names=["k0", "k1", "n_tokens", "n_known", "base_score", "score"])

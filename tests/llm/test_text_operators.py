@@ -126,14 +126,15 @@ def test_lm(spark):
     assert {(r["n_known"], r["train_tokens"]) for r in none.collect()} == {(0, 0)}
 
 
-def test_lm_score_by_brute_force(spark):
+@pytest.mark.parametrize("most", [1 << 15, 20])
+def test_lm_score_by_brute_force(spark, most):
     """Every token's probability written out: class, symbol in its class, word in its symbol; and all outcomes add up to 1."""
     rng = np.random.default_rng(5)
     pool = ["".join(rng.choice(list("abcd"), 3)) for _ in range(60)]
     texts = [" ".join(rng.choice(pool, 25, p=np.arange(60, 0, -1) / 1830)) for _ in range(120)] + ["never seen " + pool[0], None]
     d = table(spark, texts).repartition(3)
-    tagged, w, m = lm.fitted(d)
-    rows = {r["doc_id"]: r for r in lm.score(d).collect()}
+    tagged, w, m = lm.fitted(d, most=most)
+    rows = {r["doc_id"]: r for r in lm.score(d, most=most).collect()}
     new = (w.once + 1) / (w.once + 2 * w.twice + 2) if w.once else 1.0
     known = {i: [x.decode() for x in (t or "").lower().encode().split()] for i, t in enumerate(texts)}
     from collections import Counter
@@ -145,13 +146,13 @@ def test_lm_score_by_brute_force(spark):
             return lm.END
         if c[word] <= 1:
             return lm.RARE
-        return w.number.get(word.encode(), lm.TAILS + lm.suffix_class(word.encode(), w.classes))
+        return w.number.get(word.encode(), w.tail[lm.suffix_class(word.encode(), w.classes)])
 
     def share(word):
         s = symbol(word)
         if s == lm.RARE:
             return new if not c[word] else (1 - new) / w.once
-        return c[word] / w.mass[s - lm.TAILS] if lm.TAILS <= s < lm.TAILS + w.classes else 1.0
+        return c[word] / w.mass[w.klass[s] - lm.TAILS] if s in w.tail else 1.0
 
     def distribution(before):
         h = sum(m.context[b].astype(float) * m.weight[k] for k, b in enumerate(before))
@@ -168,7 +169,82 @@ def test_lm_score_by_brute_force(spark):
             want += math.log10(p[symbol(word)] * share(word))
         assert rows[i]["score"] == pytest.approx(want, rel=1e-3)
     assert w.once == 0 or new + (1 - new) == pytest.approx(1)
-    assert all(w.mass[k] == sum(n for x, n in c.items() if symbol(x) == lm.TAILS + k) for k in range(w.classes))
+    assert all(w.mass[k] == sum(n for x, n in c.items() if symbol(x) == w.tail[k]) for k in range(w.classes))
+    often = sorted((x for x in c if c[x] > 1), key=lambda x: (-c[x], x))[:most]
+    assert {x.decode() for x in w.number} == set(often) and (most > 20) == (w.mass.sum() == 0)
+    assert (np.diff(w.klass) >= 0).all() and all(w.klass[w.start[k]] == k for k in range(lm.TAILS + w.classes))
+
+
+def _small_words():
+    frequent = sorted((f"w{k:02d}".encode() for k in range(30)), key=lambda w: w[::-1])
+    return lm.Words(5, frequent, list(range(40, 70)), np.array([3, 0, 5, 9, 2]), 2000, 60, 7, 3, 25)
+
+
+def test_lm_gradient_by_differences():
+    """Each entry of the gradient is how fast the log-likelihood against the same noise grows, written out token by token."""
+    w, rng = _small_words(), np.random.default_rng(3)
+    m = lm.Model(w)
+    for name in lm.Model.NAMES:
+        setattr(m, name, getattr(m, name).astype(float) + rng.normal(0, 0.3, getattr(m, name).shape))
+    learner = lm.Learner(m, w, 0.1, rng)
+    lengths, lead = [9, 1, 14, 3, 30], 4
+    symbols = rng.integers(0, len(w.klass), sum(lengths)).astype(np.int32)
+    since = np.concatenate([np.arange(n) for n in lengths])
+    noise = learner.noise(np.unique(w.klass[symbols[lead:]]))
+    place = {c: i for i, c in enumerate(np.unique(w.klass[symbols[lead:]]))}
+    log = lambda x: -np.logaddexp(0, -x)  # noqa: E731  of the logistic function
+
+    def likelihood():
+        total = 0.0
+        for t in range(lead, len(symbols)):
+            h = sum(m.context[symbols[t - k - 1] if since[t] > k else lm.END] * m.weight[k] for k in range(lm.CONTEXT))
+            h, s = np.append(h, 1.0), symbols[t]
+            c = w.klass[s]
+            total += log(h @ m.klass[c] - learner.log_class[c]) + sum(log(learner.log_class[j] - h @ m.klass[j]) for j in noise[0])
+            if w.start[c + 1] - w.start[c] > 1:
+                total += log(h @ m.symbol[s] - learner.log_symbol[s]) + sum(log(learner.log_symbol[j] - h @ m.symbol[j]) for j in noise[1][place[c]])
+        return total
+
+    found = learner.gradients(symbols, since, lead, noise)
+    for name in lm.Model.NAMES:
+        index, grad = found[name]
+        values = getattr(m, name)
+        assert len(set(index.tolist())) == len(index)
+        at = {int(i): k for k, i in enumerate(index)}
+        for _ in range(12):
+            i, j = int(rng.choice(index)), int(rng.integers(values.shape[1]))
+            kept = values[i, j]
+            values[i, j] = kept + 1e-5
+            up = likelihood()
+            values[i, j] = kept - 1e-5
+            down = likelihood()
+            values[i, j] = kept
+            assert grad[at[i], j] == pytest.approx((up - down) / 2e-5, rel=1e-4, abs=1e-5)
+        others = [i for i in range(len(values)) if i not in at][:2]
+        for i in others:  # a row that is not named has no gradient
+            kept, values[i] = values[i].copy(), values[i] + 0.1
+            moved = likelihood()
+            values[i] = kept
+            assert moved == likelihood()
+
+
+@pytest.mark.parametrize("rounds", [1, 2, 3])
+def test_lm_learns_from_every_position_once(monkeypatch, rounds):
+    """The parts of the pass have each position in one batch, whatever the number of tokens."""
+    monkeypatch.setattr(lm, "FIRST", 8)
+    monkeypatch.setattr(lm, "LAST", 64)
+    for runs in ([5], [700, 1, 90], [3000]):
+        seen = []
+        for r in range(rounds):
+            before = number = 0
+            for n in runs:
+                for at, to, lead in lm.batches_of(n, before):
+                    assert lead == min(at, lm.CONTEXT) and 0 < to - at <= 64
+                    if number % rounds == r:
+                        seen += range(before + at, before + to)
+                    number += 1
+                before += n
+        assert sorted(seen) == list(range(sum(runs)))
 
 
 def test_lm_learns_from_context(spark):
