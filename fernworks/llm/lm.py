@@ -42,7 +42,7 @@ from .common import give_back, passing, prepare, remainder, text_of, written
 D, CONTEXT, NOISE, IN_NOISE = 16, 5, 64, 4
 ROUNDS, RATE, VOCABULARY = 2, 0.08, 1 << 15
 #: Tokens of a task's first batches, and of its largest ones; a batch is a quarter of the tokens before it.
-FIRST, LAST = 512, 1 << 12
+FIRST, LAST = 128, 1 << 12
 #: Tokens held at once in learning and in scoring, tokens whose scores of all classes are, and rows of a matrix that
 #: are averaged together.
 HELD, BLOCK, ROWS = 1 << 17, 1 << 12, 1024
