@@ -13,14 +13,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.files import kept
 from .stats import average_rank, median_by, quantiles
 
 
+def _of_all(sizes: DataFrame) -> DataFrame:
+    """(ad) of the ads that all runs have. sizes: a written table with a row for each (run, ad)."""
+    n = sizes.select("run").distinct().count()
+    return sizes.groupBy("ad").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") == n).select("ad")
+
+
 def common(runs: DataFrame) -> DataFrame:
     """The rows of ads that all runs have."""
-    n = runs.agg(F.count_distinct("run").alias("n"))
-    ads = runs.groupBy("ad").agg(F.count_distinct("run").alias("n")).join(F.broadcast(n), "n", "left_semi").select("ad")
-    return runs.join(ads, "ad", "left_semi")
+    return runs.join(_of_all(kept(runs.groupBy("run", "ad").agg(F.count(F.lit(1)).alias("_rows")))), "ad", "left_semi")
 
 
 def _two(df: DataFrame, on: list[str], columns: list[str]) -> DataFrame:
@@ -34,12 +39,33 @@ def _two(df: DataFrame, on: list[str], columns: list[str]) -> DataFrame:
     return g.select(*on, F.inline(F.flatten(F.transform("_r", lambda x: F.transform(later(x), lambda y: row(x, y))))))
 
 
+def _sums(runs: DataFrame, columns: list[str], own: dict, shared: dict) -> tuple[DataFrame, DataFrame]:
+    """Over the common ads: (run, ad, own sums of a run's candidates) and (run_a, run_b, ad, sums over shared candidates).
+
+    own: name -> expression of a candidate; shared: name -> expression of a candidate in two runs. A candidate's rows
+    meet once, in a list of as many entries as there are runs; what leaves it is summed before it is moved by ad.
+    """
+    g = runs.groupBy("ad", "code").agg(F.collect_list(F.struct("run", *columns)).alias("_r"))
+    zero = F.lit(0.0)
+
+    def entry(x, y):
+        same = x["run"] == y["run"]
+        sums = [F.when(same, e(x)).otherwise(zero).alias(n) for n, e in own.items()] + [F.when(same, zero).otherwise(e(x, y)).alias(n) for n, e in shared.items()]
+        return F.struct(x["run"].alias("run_a"), y["run"].alias("run_b"), *sums)
+
+    pairs = g.select("ad", F.inline(F.flatten(F.transform("_r", lambda x: F.transform(F.filter("_r", lambda y: y["run"] >= x["run"]), lambda y: entry(x, y))))))
+    sums = kept(pairs.groupBy("ad", "run_a", "run_b").agg(*[F.sum(n).alias(n) for n in (*own, *shared)]))
+    alone = sums.filter("run_a = run_b").select(F.col("run_a").alias("run"), "ad", *own)
+    ads = _of_all(alone)
+    return alone.join(ads, "ad", "left_semi"), sums.filter("run_a < run_b").select("run_a", "run_b", "ad", *shared)
+
+
 def overlaps(runs: DataFrame) -> DataFrame:
     """(run_a, run_b, ad, shared, size_a, size_b) for the common ads."""
-    c = common(runs)
-    sizes = _two(c.groupBy("run", "ad").agg(F.count(F.lit(1)).alias("size")), ["ad"], ["size"])
-    shared = _two(c, ["ad", "code"], []).groupBy("run_a", "run_b", "ad").agg(F.count(F.lit(1)).alias("shared"))
-    return sizes.join(shared, ["run_a", "run_b", "ad"], "left").withColumn("shared", F.coalesce("shared", F.lit(0)))
+    alone, both = _sums(runs, [], {"size": lambda x: F.lit(1.0)}, {"shared": lambda x, y: F.lit(1.0)})
+    whole = lambda c: F.coalesce(F.col(c), F.lit(0.0)).cast("long").alias(c)
+    out = _two(alone, ["ad"], ["size"]).join(both, ["run_a", "run_b", "ad"], "left")
+    return out.select("run_a", "run_b", "ad", *[whole(c) for c in ("shared", "size_a", "size_b")])
 
 
 def jaccard(runs: DataFrame) -> DataFrame:
@@ -54,32 +80,30 @@ def at_least(runs: DataFrame, n: int) -> DataFrame:
 
 
 def _ruzicka(c: DataFrame) -> DataFrame:
-    """Mean over ads of sum(min) / sum(max), a candidate that a run lacks being 0."""
-    low = F.least("score", F.lit(0.0))
-    sums = _two(c.groupBy("run", "ad").agg(F.sum("score").alias("total"), F.sum(low).alias("low")), ["ad"], ["total", "low"])
-    pair = _two(c, ["ad", "code"], ["score"])
-    gain = F.least("score_a", "score_b") - F.least("score_a", F.lit(0.0)) - F.least("score_b", F.lit(0.0))
-    shared = pair.groupBy("run_a", "run_b", "ad").agg(F.sum(gain).alias("gain"))
-    s = sums.join(shared, ["run_a", "run_b", "ad"], "left").withColumn("inter", F.coalesce("gain", F.lit(0.0)) + F.col("low_a") + F.col("low_b"))
+    """Mean over the common ads of sum(min) / sum(max), a candidate that a run lacks being 0."""
+    low = lambda x: F.least(x["score"], F.lit(0.0))
+    alone, both = _sums(c, ["score"], {"total": lambda x: x["score"], "low": low}, {"gain": lambda x, y: F.least(x["score"], y["score"]) - low(x) - low(y)})
+    s = _two(alone, ["ad"], ["total", "low"]).join(both, ["run_a", "run_b", "ad"], "left")
+    s = s.withColumn("inter", F.coalesce("gain", F.lit(0.0)) + F.col("low_a") + F.col("low_b"))
     union = F.col("total_a") + F.col("total_b") - F.col("inter")
     return s.groupBy("run_a", "run_b").agg(F.avg(F.when(union > 0, F.col("inter") / union).otherwise(0.0)).alias("ruzicka"))
 
 
 def ruzicka(runs: DataFrame) -> DataFrame:
     """Weighted Jaccard of scores scaled to sum 1 in each ad and run, negative ones being 0."""
-    c = common(runs).withColumn("score", F.greatest("score", F.lit(0.0)))
+    c = runs.withColumn("score", F.greatest("score", F.lit(0.0)))
     total = F.sum("score").over(Window.partitionBy("run", "ad"))
     return _ruzicka(c.withColumn("score", F.when(total > 0, F.col("score") / total).otherwise(F.col("score"))))
 
 
 def raw_ruzicka(runs: DataFrame) -> DataFrame:
-    return _ruzicka(common(runs))
+    return _ruzicka(runs)
 
 
 def softmax_ruzicka(runs: DataFrame, temperature: float = 1.0) -> DataFrame:
     w = Window.partitionBy("run", "ad")
     e = F.exp((F.col("score") - F.max("score").over(w)) / temperature)
-    c = common(runs).withColumn("e", e)
+    c = runs.withColumn("e", e)
     return _ruzicka(c.withColumn("score", F.col("e") / F.sum("e").over(w)).drop("e"))
 
 

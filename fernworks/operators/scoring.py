@@ -119,12 +119,13 @@ def presence(ratings: DataFrame, elements: DataFrame, codes: DataFrame) -> DataF
     r = ratings.join(elements, ["source", "element_id"]).withColumn("value", number(F.col("value")))
     scaled = clip01(F.when(F.col("scale") == "LV", F.col("value") / 7).otherwise((F.col("value") - 1) / 4))
     r = r.withColumn("x", scaled)
-    context = r.filter((F.col("source") == "work_context") & (F.col("scale") == "CX")).groupBy("dimension", "source", "onet_code").agg(F.avg("x").alias("score"))
-    other = r.filter((F.col("source") != "work_context") & F.col("scale").isin("IM", "LV"))
-    element = other.groupBy("dimension", "source", "onet_code", "element_id").agg(F.count_if(F.col("scale") == "IM").alias("n"), F.avg(F.when(F.col("scale") == "IM", F.col("x"))).alias("im"), F.avg(F.when(F.col("scale") == "LV", F.col("x"))).alias("lv"))
-    two = element.filter("n > 0").groupBy("dimension", "source", "onet_code").agg(F.avg((F.col("im") + F.coalesce("lv", F.lit(0.0))) / 2).alias("score"))
-    of_dimension = context.unionByName(two).groupBy("onet_code", "dimension").agg(F.avg("score").alias("score"))
-    wide = of_dimension.groupBy("onet_code").agg(*[F.max(F.when(F.col("dimension") == d, F.col("score"))).alias(f"presence_{d}") for d in names])
+    of = lambda scale: F.when(F.col("scale") == scale, F.col("x"))
+    element = r.filter(F.when(F.col("source") == "work_context", F.col("scale") == "CX").otherwise(F.col("scale").isin("IM", "LV")))
+    element = element.groupBy("dimension", "source", "onet_code", "element_id").agg(F.count_if(F.col("scale") == "IM").alias("n"), F.avg(of("IM")).alias("im"), F.avg(of("LV")).alias("lv"), F.sum(of("CX")).alias("cx"), F.count(of("CX")).alias("n_cx"))
+    two = F.avg(F.when(F.col("n") > 0, (F.col("im") + F.coalesce("lv", F.lit(0.0))) / 2))
+    score = F.when(F.col("source") == "work_context", F.try_divide(F.sum("cx"), F.sum("n_cx"))).otherwise(two)
+    of_source = element.groupBy("dimension", "source", "onet_code").agg(score.alias("score"))
+    wide = of_source.groupBy("onet_code").agg(*[F.avg(F.when(F.col("dimension") == d, F.col("score"))).alias(f"presence_{d}") for d in names])
     return codes.join(wide, "onet_code", "left").withColumn("presence_composite", mean_of_present(*[F.col(f"presence_{d}") for d in names]))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import agreement
+from ..sources.files import kept
 from .registry import query, read
 
 RUNS = """
@@ -147,7 +148,7 @@ SELECT 'N' AS run, n, round(jaccard, 6) AS jaccard, round(top1, 6) AS top1, roun
 )
 def i13_benchmark_row(spark, sf_dir):
     """Top-1 is over the ads that both have."""
-    two = runs(spark, sf_dir).filter("run in ('A', 'N')")
+    two = kept(runs(spark, sf_dir).filter("run in ('A', 'N')"))
     g = grouped(spark, sf_dir).drop("group").filter("run in ('A', 'N')")
     pair = lambda df: df.drop("run_a", "run_b")
     both = agreement.common(two)
