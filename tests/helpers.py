@@ -34,7 +34,7 @@ def rows(df: pd.DataFrame) -> list[str]:
 def same(spark_df, con, sql: str) -> None:
     mine, theirs = spark_df.toPandas(), con.execute(sql).df()
     for name, kind in spark_df.dtypes:  # pandas has no null among plain integers
-        if kind in ("int", "bigint") and mine[name].dtype.kind == "f":
+        if kind in ("int", "bigint") and str(theirs[name].dtype).startswith("Int"):
             mine[name] = mine[name].astype("Int64")
     assert sorted(mine.columns) == sorted(theirs.columns)
     assert rows(mine) == rows(theirs)
