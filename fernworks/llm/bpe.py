@@ -148,10 +148,11 @@ def decode(encoded: DataFrame, tokenizer_path: str, *, key: str = "doc_id", ids_
     """key, decoded: any table of ids decoded by a join with the id-to-piece table (for ids that were not made here).
 
     The piece table is as large as the vocabulary of the tokenizer, which bounds what is broadcast. An id outside it
-    gives no piece. Rows with equal keys must not be repeated; a null list gives the empty string.
+    gives no piece. Each row is decoded by itself, whatever its key; a null list gives the empty string.
     """
     spark = encoded.sparkSession
     table = spark.createDataFrame([(i, p.decode()) for i, p in enumerate(pieces(tokenizer_path)) if p], "id int, piece string")
-    long = encoded.select(F.col(key), F.posexplode_outer(ids_col).alias("pos", "id"))
+    numbered = encoded.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(ids_col).alias("ids"))
+    long = numbered.select("row", "key", F.posexplode_outer("ids").alias("pos", "id"))
     put = F.array_sort(F.collect_list(F.when(F.col("piece").isNotNull(), F.struct("pos", "piece"))))
-    return long.join(F.broadcast(table), "id", "left").groupBy(key).agg(F.array_join(F.transform(put, lambda x: x["piece"]), " ").alias("decoded"))
+    return long.join(F.broadcast(table), "id", "left").groupBy("row").agg(F.first("key").alias(key), F.array_join(F.transform(put, lambda x: x["piece"]), " ").alias("decoded")).drop("row")

@@ -88,7 +88,7 @@ def _placed(base: DataFrame, **how) -> DataFrame:
 def mix(docs: DataFrame, *, id_col: str = "doc_id", weights: tuple[int, ...] = (5, 2, 1), max_repeats: int = 3, slope: float = 0.8) -> DataFrame:
     """One row for each document: id, size, source_size, target, taken, position; range-sorted by position.
 
-    position: of its first use, in [0, 1]; documents that are not taken come after 1, in the order of their queue.
+    position: of its first use, in [0, 1], rounded to six places, which the order is not; documents that are not taken come after 1, in the order of their queue.
     docs needs the columns text, source and id_col.
     """
     source = docs.select(F.col(id_col).alias("doc_id"), "text", "source")
@@ -96,8 +96,8 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", weights: tuple[int, ...] = (
     out = _placed(base, weights=weights, max_repeats=max_repeats, slope=slope)
     first = _at(F.col("before") + F.when(F.col("rounds") > 0, F.col("size")).otherwise(F.col("rest")) / 2.0, F.col("target"), F.col("tilt"))
     waiting = 1.0 + F.coalesce(F.try_divide(F.col("before"), F.col("source_size")), F.lit(0.0))
-    out = out.withColumn("position", F.round(F.when(F.col("taken") > 0, first).otherwise(waiting), 6))
-    return out.orderBy("position", "key").select(F.col("row").alias(id_col), "size", "source_size", "target", "taken", "position")
+    out = out.withColumn("position", F.when(F.col("taken") > 0, first).otherwise(waiting))
+    return out.orderBy("position", "key").select(F.col("row").alias(id_col), "size", "source_size", "target", "taken", F.round("position", 6).alias("position"))
 
 
 def training_order(docs: DataFrame, *, weights: tuple[int, ...] = (5, 2, 1), max_repeats: int = 3, slope: float = 0.8) -> DataFrame:

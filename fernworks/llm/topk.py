@@ -86,14 +86,19 @@ class Index:
 
 
 def codes_of(vectors: DataFrame) -> DataFrame:
-    """(id, code) from (id, vector) of one dimension: the signs of the first 64 components, the first one lowest; a missing one is 0."""
+    """(id, code) from (id, vector) of one dimension: the signs of its components, the first one lowest; a missing one is 0.
+
+    A code holds 64 signs; longer vectors are an error.
+    """
 
     def run(batches):
         for batch in batches:
             n = batch.num_rows
             if not n:
                 continue
-            signs = batch.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(n, -1)[:, :BITS] > 0
+            signs = batch.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(n, -1) > 0
+            if signs.shape[1] > BITS:
+                raise ValueError(f"a code holds {BITS} signs, not {signs.shape[1]}")
             bits = np.zeros((n, BITS), bool)
             bits[:, : signs.shape[1]] = signs
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.packbits(bits, axis=1, bitorder="little").view(np.int64).ravel())], names=["id", "code"])

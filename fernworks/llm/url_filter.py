@@ -5,8 +5,9 @@ URL's expressions are its host suffixes at dots, each with its path prefixes of
 lengths can fit none). Expressions and rules meet on the first 32 bits of their SHA-256; the full digest then confirms.
 Of the rules that fit, the longest (host and path together) wins; of equally long ones the longer host, then block.
 
-Work is done once for each distinct (host, path), then joined back to the rows. Rules are joined as any table: Spark
-broadcasts them only where their size is known to be small.
+Work is done once for each distinct (host, path), then joined back to the rows; those without a host and path, which may
+be very many, get their one verdict without a join by key. Rules are joined as any table: Spark broadcasts them only
+where their size is known to be small.
 
 Defined cases. Null URL or one without "://": host and path are empty, no rule fits. Empty host or path: expressions
 as they are; a rule's path must be a prefix of an empty path, so only an empty one is. Repeated rows and ids: each row
@@ -50,7 +51,10 @@ def filter_urls(pages: DataFrame, rules: DataFrame, *, id_col: str = "page_id",
     hits = said.join(rules, "short").filter(F.col("digest") == F.col("rule_digest"))
     order = F.struct(F.length("rule_host") + F.length("rule_path"), F.length("rule_host"), "action", "rule_host", "rule_path")
     best = hits.groupBy("host", "path").agg(F.max(F.struct(order.alias("o"), F.concat("rule_host", "rule_path").alias("rule"), "action")).alias("best"))
-    out = rows.join(best, ["host", "path"], "left")
+    nothing = (F.col("host") == "") & (F.col("path") == "")
+    out = rows.filter(~nothing).join(best, ["host", "path"], "left")
+    of_nothing = best.filter(nothing).select("best")  # one row at most
+    out = out.unionByName(rows.filter(nothing).join(F.broadcast(of_nothing), F.lit(True), "left"))
     return out.select(F.col("id").alias(id_col), "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.action", F.lit(default)).alias("verdict"))
 
 

@@ -18,8 +18,8 @@ are left out.
 
 from __future__ import annotations
 
-import gzip
 import io
+import zlib
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -80,9 +80,36 @@ def resolve_revisits(captures: DataFrame, time_buckets: int = TIME_BUCKETS) -> D
     return out.withColumn("status", status).select("id", "canonical", F.col("found.id").alias("response_id"), "status", F.when(F.col("status") == "resolved", merged).alias("headers"))
 
 
+class _Unzipped(io.RawIOBase):
+    """What the members of a gzip file hold, up to where it is damaged or cut off."""
+
+    def __init__(self, blob: bytes):
+        self.blob, self.at, self.member, self.left = memoryview(blob), 0, None, memoryview(b"")
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        while not self.left and self.at < len(self.blob):
+            self.member = self.member or zlib.decompressobj(31)
+            piece = self.blob[self.at : self.at + (1 << 14)]
+            try:
+                self.left = memoryview(self.member.decompress(piece))
+            except zlib.error:
+                self.at = len(self.blob)
+                continue
+            self.at += len(piece) - len(self.member.unused_data)
+            if self.member.eof:
+                self.member = None
+        n = min(len(buffer), len(self.left))
+        buffer[:n], self.left = self.left[:n], self.left[n:]
+        return n
+
+
 def _members(blob: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """WARC headers (lower-case names) and block of each record."""
-    stream = io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(blob))) if blob[:2] == b"\x1f\x8b" else io.BytesIO(blob)
+    """WARC headers (lower-case names) and block of each record; what is cut off or damaged ends the file, and a record
+    whose length is no number is passed over up to the next one."""
+    stream = io.BufferedReader(_Unzipped(blob)) if blob[:2] == b"\x1f\x8b" else io.BytesIO(blob)
     while line := stream.readline():
         if not line.startswith(b"WARC/"):
             continue
@@ -90,14 +117,31 @@ def _members(blob: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         while (line := stream.readline()) not in (b"\r\n", b"\n", b""):
             name, _, value = line.decode("utf-8", "replace").partition(":")
             head[name.strip().lower()] = value.strip()
-        yield head, stream.read(int(head.get("content-length") or 0))
+        length = head.get("content-length", "0")
+        if not (length.isascii() and length.isdigit()):
+            continue
+        block = stream.read(int(length))
+        if len(block) < int(length):
+            return
+        yield head, block
+
+
+def _seconds(date: str | None) -> int | None:
+    from datetime import datetime, timezone
+
+    try:
+        at = datetime.fromisoformat((date or "").replace("Z", "+00:00"))
+    except ValueError:
+        return None
+    return int((at if at.tzinfo else at.replace(tzinfo=timezone.utc)).timestamp())
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """The response and revisit records of the WARC files at path, plain or gzipped, in the columns of resolve_revisits.
 
-    id is the record's id; time is its date in seconds; body the bytes after the HTTP headers. A file is read in one
-    task, as gzip members can't be found from the middle.
+    id is the record's id; time is its date in seconds, null for none or a bad one; body the bytes after the HTTP
+    headers. A file is read in one task, as gzip members can't be found from the middle. A damaged or cut off file gives
+    the records before the damage; a record whose length is no number is left out.
     """
     import pyarrow as pa
 
@@ -105,8 +149,6 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     kinds = [("id", pa.string()), ("url", pa.string()), ("time", pa.int64()), ("kind", pa.string()), ("headers", pa.map_(pa.string(), pa.string())), ("body", pa.binary())]
 
     def run(batches):
-        from datetime import datetime
-
         for batch in batches:
             for blob in batch.column("content").to_pylist():
                 for head, block in _members(blob):
@@ -114,8 +156,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                         continue
                     top, _, body = block.partition(b"\r\n\r\n")
                     fields = (x.partition(":") for x in top.decode("latin-1").split("\r\n")[1:])
-                    date = head.get("warc-date")
-                    row = (head.get("warc-record-id"), head.get("warc-target-uri"), int(datetime.fromisoformat(date.replace("Z", "+00:00")).timestamp()) if date else None, head["warc-type"], list({a.strip().lower(): c.strip() for a, b, c in fields if b}.items()), body)
+                    row = (head.get("warc-record-id"), head.get("warc-target-uri"), _seconds(head.get("warc-date")), head["warc-type"], list({a.strip().lower(): c.strip() for a, b, c in fields if b}.items()), body)
                     yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, (_, t) in zip(row, kinds, strict=True)], names=[n for n, _ in kinds])
 
     files = spark.read.format("binaryFile").load(path).select("content")

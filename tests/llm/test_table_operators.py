@@ -226,6 +226,28 @@ def test_reading_warc(spark, tmp_path):
     assert {bytes(r["body"]) for r in rows if r["kind"] == "response"} == {b"<p>body</p>"} and rows[0]["headers"]["etag"] == '"x"' and rows[0]["time"] == 1704067200
 
 
+def test_reading_damaged_warc(spark, tmp_path):
+    """What is whole is read: bad lengths, bad dates, cut off blocks and members."""
+    rec = lambda n, date=b"2024-01-01T00:00:00Z", length=None: b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: " + n + b"\r\nWARC-Date: " + date + b"\r\nContent-Length: " + (length or b"9") + b"\r\n\r\nHTTP\r\n\r\nx\r\n\r\n"
+    (tmp_path / "a.warc").write_bytes(rec(b"1", b"yesterday") + rec(b"2", length=b"x9") + rec(b"3", length=b"-1") + rec(b"4", b"2024-01-01") + rec(b"5", length=b"999"))
+    whole = gzip.compress(rec(b"6")) + gzip.compress(rec(b"7") * 50)
+    (tmp_path / "b.warc.gz").write_bytes(whole[:-30])
+    (tmp_path / "c.warc.gz").write_bytes(gzip.compress(rec(b"8")) + b"no gzip member")
+    (tmp_path / "d.warc").write_bytes(b"")
+    got = {(r["id"], r["time"]) for r in warc.read_warc(spark, str(tmp_path)).collect()}
+    assert {("1", None), ("4", 1704067200), ("6", 1704067200), ("8", 1704067200)} <= got and not {"2", "3", "5"} & {i for i, _ in got}
+
+
+def test_url_filter_where_most_have_no_host(spark):
+    """Rows without host and path need no join by key; a rule for nothing fits them."""
+    pages = spark.createDataFrame([(i, None if i % 2 else "nothing") for i in range(50)] + [(99, "http://a.com/x")], "page_id long, url string")
+    rules = spark.createDataFrame([("a.com", "/", "block"), ("", "", "block")], "host string, path string, action string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filter.filter_urls(pages, rules).collect()}
+    assert len(got) == 51 and got[99] == ("a.com/", "block") and got[3] == got[4] == ("", "block")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filter.filter_urls(pages, rules.filter("host <> ''")).collect()}
+    assert len(got) == 51 and got[3] == (None, "allow")
+
+
 def test_url_filter(spark):
     urls = [None, "", "no scheme", "http://", "HTTP://WWW.Example.COM/en/x", "http://example.com/en/", "http://example.com/en", "http://a.b.example.com/en/?q", "http://example.com", "http://x.net/es/1#f", "http://net/fr/", "http://notnet/fr/", "ftp://e.org/en/", "http://com?x", "http://x.com:80/en/", "x://a.net?://y/es/", "http://" + "a." * 300 + "net/fr/" + "b/" * 300, "http://example.com/en/", "http://example.com/EN/"]
     pages = spark.createDataFrame(list(enumerate(urls)) + [(None, "http://x.net/es/")], "page_id long, url string").withColumn("rule", F.lit("clash"))
@@ -309,6 +331,23 @@ def test_small_searches(spark):
     assert topk.top_k(codes.limit(0), codes.limit(0)).count() == 0
 
 
+def test_codes_are_of_whole_vectors(spark):
+    long = spark.createDataFrame([(0, [1.0] * 65)], "vec_id long, embedding array<float>")
+    with pytest.raises(Exception, match="64 signs"):
+        topk.codes_of(vectors.valid(long, "vec_id", "embedding")[0]).collect()
+
+
+def test_the_mix_is_in_exact_order(spark):
+    """Positions that are equal to six places are still in the order of the curriculum."""
+    d = spark.createDataFrame([(i, "w " * (1 + i % 3), "ab"[i % 2]) for i in range(3000)], "doc_id long, text string, source string")
+    rows = mixing.mix(d, slope=0.8).collect()
+    order = [r["doc_id"] for r in rows if r["taken"] > 0 and d is not None]
+    exact = mixing._placed(mixing._base(d, F.col("doc_id")))
+    first = mixing._at(F.col("before") + F.when(F.col("rounds") > 0, F.col("size")).otherwise(F.col("rest")) / 2.0, F.col("target"), F.col("tilt"))
+    place = {r["row"]: (r["p"], r["key"]) for r in exact.withColumn("p", first).filter("taken > 0").collect()}
+    assert order == sorted(place, key=place.get)
+
+
 @pytest.mark.parametrize("rows", [1 << 16, 50])
 def test_exact_top_k(spark, monkeypatch, rows):
     monkeypatch.setattr(vectors, "SHARD_BYTES", rows * 512)

@@ -71,6 +71,8 @@ def test_decode_by_join(spark):
     ids = t.encode("hello big world", add_special_tokens=False).ids
     d = spark.createDataFrame([(1, ids), (2, []), (3, None), (4, [10**6])], "doc_id int, ids array<int>")
     assert {r[0]: r[1] for r in bpe.decode(d, WORD).collect()} == {1: t.decode(ids), 2: "", 3: "", 4: ""}
+    again = spark.createDataFrame([(1, ids[:1]), (1, ids), (None, ids), (None, ids[:2])], "doc_id int, ids array<int>")
+    assert sorted((r[0] or 0, r[1]) for r in bpe.decode(again, WORD).collect()) == sorted((k or 0, t.decode(x)) for k, x in again.collect())
 
 
 @settings(max_examples=60, deadline=None)
