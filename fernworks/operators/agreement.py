@@ -7,12 +7,14 @@ by (ad, code); unions come from sizes and sums, so no outer join is needed.
 from __future__ import annotations
 
 from functools import reduce
-from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.workers import prepare
 from ..sources.files import kept
 from .stats import average_rank, median_by, quantiles
 
@@ -146,21 +148,103 @@ def full_matrix(pairs: DataFrame, value: str) -> DataFrame:
     return upper.union(pairs.select(F.col("run_b"), F.col("run_a"), value)).union(names.select("r", "r", F.lit(1.0)))
 
 
-def best_subsets(pairs: DataFrame, value: str, most: int = 15) -> list[tuple[int, float, list[str]]]:
-    """(size, mean, runs) of the subset of each size with the largest mean of pairs, sizes falling; of equal ones the first.
-
-    Exhaustive, so for at most `most` runs.
+#: Decisions about the first runs that a task of the search for best subsets starts from, as a power of two of tasks.
+PREFIX = 4
+
+
+def _climbed(w: np.ndarray, k: int) -> float:
+    """The sum of a good subset of k runs: greedy from each run, then exchanges while they gain."""
+    found = -np.inf
+    for first in range(len(w)):
+        s = [first]
+        while len(s) < k:
+            gain = w[:, s].sum(1)
+            gain[s] = -np.inf
+            s.append(int(gain.argmax()))
+        while len(s) < len(w):
+            gain = w[:, s].sum(1)
+            out = np.setdiff1d(np.arange(len(w)), s)
+            better = gain[out] - gain[s][:, None] - w[np.ix_(s, out)]
+            i, j = np.unravel_index(better.argmax(), better.shape)
+            if better[i, j] <= 1e-12:
+                break
+            s[i] = int(out[j])
+        found = max(found, w[np.ix_(s, s)].sum() / 2)
+    return found
+
+
+def _best_subset(w: np.ndarray, k: int, prefix: list[bool]) -> tuple[float, list[int]] | None:
+    """The largest sum of pairs of k runs, and the first such subset, among those that take and leave the first runs as
+    prefix says; None if it is less than a subset that is found by climbing.
+
+    Branch and bound in the runs' order: what can still be added is at most the sum of the largest values that single
+    runs add, each with half of its largest pair values among the runs left.
+    """
+    least, n, best = _climbed(w, k) - 1e-9, len(w), None
+
+    def search(i: int, taken: list[int], total: float, gain: np.ndarray) -> None:
+        nonlocal best
+        r = k - len(taken)
+        if r == 0:
+            if i >= len(prefix) or not any(prefix[i:]):
+                if best is None and total >= least or best is not None and total > best[0] + 1e-12:
+                    best = (total, taken)
+            return
+        if n - i < r:
+            return
+        pairs = np.sort(w[i:, i:], axis=1)[:, ::-1][:, : r - 1].sum(1)
+        bound = total + np.sort(gain[i:] + pairs / 2)[::-1][:r].sum()
+        if bound < least if best is None else bound <= best[0] + 1e-12:
+            return
+        if i >= len(prefix) or prefix[i]:
+            search(i + 1, [*taken, i], total + gain[i], gain + w[i])
+        if i >= len(prefix) or not prefix[i]:
+            search(i + 1, taken, total, gain)
+
+    search(0, [], 0.0, np.zeros(n))
+    return best
+
+
+def subsets(pairs: DataFrame, value: str) -> DataFrame:
+    """(size, mean, runs) of the subset of each size with the largest mean of pairs; of equal ones the first.
+
+    pairs: (run_a, run_b, value) for all pairs of the runs, run_a < run_b; a value that lacks counts as 0. Exact for any
+    number of runs: a task has a size and the decisions about the first runs, and searches what is left by branch and
+    bound. The matrix of the runs goes to the tasks as one row. A second over 40 runs that differ; the time is not
+    bounded where dozens of runs are alike but for noise.
     """
-    rows = {(r["run_a"], r["run_b"]): r[value] for r in pairs.collect()}
-    names = sorted({n for k in rows for n in k})
-    if len(names) > most:
-        raise ValueError(f"{len(names)} runs are too many for all subsets")
-    out = []
-    for k in range(len(names), 1, -1):
-        scored = [(sum(rows[p] for p in combinations(s, 2)) / (k * (k - 1) / 2), s) for s in combinations(names, k)]
-        top = max(scored, key=lambda x: x[0])
-        out.append((k, top[0], list(top[1])))
-    return out
+    prepare(pairs.sparkSession)
+    matrix = pairs.agg(F.array_sort(F.collect_list(F.struct("run_a", "run_b", F.col(value).cast("double").alias("v")))).alias("pairs"))
+    names = F.array_sort(F.array_distinct(F.flatten(F.transform("pairs", lambda p: F.array(p["run_a"], p["run_b"])))))
+    matrix = matrix.withColumn("names", names).filter(F.size("names") > 1)
+    tasks = matrix.withColumn("size", F.explode(F.sequence(F.lit(2), F.size("names")))).withColumn("prefix", F.explode(F.sequence(F.lit(0), F.lit((1 << PREFIX) - 1))))
+    tasks = tasks.repartition(2 * pairs.sparkSession.sparkContext.defaultParallelism, "size", "prefix")
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                names = row["names"]
+                at = {x: i for i, x in enumerate(names)}
+                w = np.zeros((len(names), len(names)))
+                for p in row["pairs"]:
+                    w[at[p["run_a"]], at[p["run_b"]]] = w[at[p["run_b"]], at[p["run_a"]]] = p["v"] or 0.0
+                prefix = [bool(row["prefix"] >> i & 1) for i in range(PREFIX)]
+                if any(prefix[len(names) :]):
+                    continue
+                k = row["size"]
+                found = _best_subset(w, k, prefix[: len(names)])
+                if found:
+                    chosen = [names[i] for i in found[1]]
+                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([found[0] / (k * (k - 1) / 2)]), pa.array([chosen], pa.list_(pa.string()))], names=["size", "mean", "runs"])
+
+    found = tasks.mapInArrow(run, "size int, mean double, runs array<string>")
+    first = Window.partitionBy("size").orderBy(F.desc(F.round("mean", 11)), "runs")
+    return found.withColumn("rn", F.row_number().over(first)).filter("rn <= 1").drop("rn")
+
+
+def best_subsets(pairs: DataFrame, value: str) -> list[tuple[int, float, list[str]]]:
+    """(size, mean, runs) of the subset of each size with the largest mean of pairs, sizes falling: see subsets."""
+    return [(r["size"], r["mean"], r["runs"]) for r in subsets(pairs, value).orderBy(F.desc("size")).collect()]
 
 
 def selectivity(runs: DataFrame) -> DataFrame:
@@ -271,7 +355,7 @@ def variant_agreement(runs: DataFrame, reference: str, k: int, group: Column) ->
 
 def pruned_subset(pairs: DataFrame, value: str) -> tuple[float, list[str]]:
     """How much the best subset of two thirds of the runs (rounded up) gains on all of them, and who is left out of it."""
-    subsets = best_subsets(pairs, value)
-    n = subsets[0][0]
-    kept = next(s for s in subsets if s[0] == max(2, -(-2 * n // 3)))
-    return kept[1] - subsets[0][1], sorted(set(subsets[0][2]) - set(kept[2]))
+    found = best_subsets(pairs, value)
+    n = found[0][0]
+    kept_ = next(s for s in found if s[0] == max(2, -(-2 * n // 3)))
+    return kept_[1] - found[0][1], sorted(set(found[0][2]) - set(kept_[2]))

@@ -212,6 +212,35 @@ def test_subsets(spark):
     assert agreement.pruned_subset(p, "v")[1] == ["c"]
 
 
+@pytest.mark.parametrize("kind", ["noise", "alike", "negative", "structure"])
+def test_best_subsets_are_those_of_all(spark, kind):
+    """Branch and bound against all subsets; of equal ones the first."""
+    from itertools import combinations
+
+    rng = np.random.default_rng(7)
+    n = 11
+    w = {"noise": 0.9 + rng.normal(0, 0.02, (n, n)), "alike": np.round(rng.random((n, n)), 1) * 0 + 0.5, "negative": rng.normal(size=(n, n)), "structure": 0.5 + np.outer(*[rng.random(n)] * 2)}[kind]
+    names = [f"r{i:02d}" for i in range(n)]
+    p = spark.createDataFrame([(names[i], names[j], float(w[i, j])) for i, j in combinations(range(n), 2)], "run_a string, run_b string, v double")
+    found = agreement.best_subsets(p, "v")
+    assert [k for k, _, _ in found] == list(range(n, 1, -1))
+    for k, mean, runs in found:
+        best = max(combinations(range(n), k), key=lambda s: (round(sum(w[i, j] for i, j in combinations(s, 2)), 9), [-x for x in s]))
+        assert runs == [names[i] for i in best] and mean == pytest.approx(sum(w[i, j] for i, j in combinations(best, 2)) / (k * (k - 1) / 2))
+
+
+def test_best_subsets_of_forty_runs(spark):
+    from itertools import combinations
+
+    rng = np.random.default_rng(8)
+    q = rng.uniform(0.6, 1, 40)
+    rows = [(f"r{i:02d}", f"r{j:02d}", float(0.5 + 0.4 * q[i] * q[j] + rng.normal(0, 0.02))) for i, j in combinations(range(40), 2)]
+    found = agreement.best_subsets(spark.createDataFrame(rows, "run_a string, run_b string, v double"), "v")
+    assert len(found) == 39 and all(len(r) == k for k, _, r in found)
+    assert all(a[1] <= b[1] + 1e-12 for a, b in zip(found, found[1:], strict=False))  # a smaller best subset is never worse
+    assert agreement.best_subsets(spark.createDataFrame([], "run_a string, run_b string, v double"), "v") == []
+
+
 def test_template():
     with pytest.raises(KeyError):
         text.template("{a} {b}", {"a": F.lit(1)})
