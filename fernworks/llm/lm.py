@@ -45,7 +45,7 @@ ROUNDS, RATE, VOCABULARY = 2, 0.08, 1 << 15
 FIRST, LAST = 128, 1 << 12
 #: Tokens held at once in learning and in scoring, tokens whose scores of all classes are, and rows of a matrix that
 #: are averaged together.
-HELD, BLOCK, ROWS = 1 << 17, 1 << 12, 1024
+HELD, BLOCK, ROWS = 1 << 17, 1 << 10, 1024
 END, RARE, TAILS = 0, 1, 2
 
 
@@ -84,6 +84,8 @@ class Words:
         self.counts[self.tail], self.counts[symbol] = self.mass, self.frequent_counts
         self.shares = np.maximum(self.counts, 0.5)
         self.shares[self.tail[self.mass == 0]] = 1e-6
+        if len(self.klass) > 1 << 16:
+            raise ValueError("symbols are numbered in two bytes: a smaller vocabulary is needed")
         self.start = np.searchsorted(self.klass, np.arange(TAILS + self.classes + 1))
 
 
@@ -92,9 +94,9 @@ def suffix_class(w: bytes, classes: int) -> int:
     return zlib.crc32(w[-2:]) % classes
 
 
-def _by_symbol(symbols: np.ndarray, n: int) -> np.ndarray:
-    """The order of symbols under n (fast where two bytes hold them)."""
-    return np.argsort(symbols.astype(np.uint16) if n <= 1 << 16 else symbols, kind="stable")
+def _by_symbol(symbols: np.ndarray) -> np.ndarray:
+    """The order of symbols; two bytes hold them (see Words), which makes it fast."""
+    return np.argsort(symbols.astype(np.uint16), kind="stable")
 
 
 class Model:
@@ -115,7 +117,7 @@ class Model:
     def predicted(self, symbols: np.ndarray, since: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
         """(h, with a last column of 1; the symbols' vectors; for each distance the tokens whose text does not reach so
         far, for which END stands). since: tokens of a token's text before it."""
-        n, vectors = len(symbols), self.context[symbols]
+        n, vectors = len(symbols), np.take(self.context, symbols, axis=0)
         out = np.zeros((n, D + 1), vectors.dtype)
         out[:, D] = 1
         h, outside = out[:, :D], [np.flatnonzero(since <= k) for k in range(CONTEXT)]
@@ -142,13 +144,13 @@ class Model:
         out = np.empty(len(symbols))
         for k in range(0, len(out), BLOCK):
             out[k : k + BLOCK] = picked(h[k : k + BLOCK], self.klass, c[k : k + BLOCK])
-        order = _by_symbol(symbols, len(words.klass))
+        order = _by_symbol(symbols)
         cuts = np.append(np.flatnonzero(np.diff(c[order], prepend=-1)), len(order))
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             rows = order[a:b]
             first, stop = words.start[c[rows[0]]], words.start[c[rows[0]] + 1]
             if stop - first > 1:
-                out[rows] += picked(h[rows], self.symbol[first:stop], symbols[rows] - first)
+                out[rows] += picked(np.take(h, rows, axis=0), self.symbol[first:stop], symbols[rows] - first)
         return out / np.log(10)
 
 
@@ -168,9 +170,15 @@ class Learner:
         self.several = np.diff(words.start) > 1
 
     def _step(self, name: str, index: np.ndarray, grad: np.ndarray) -> None:
-        squares = self.squares[name][index] + grad * grad
+        squares = np.take(self.squares[name], index, axis=0)
+        squares += grad * grad
         self.squares[name][index] = squares
-        getattr(self.model, name)[index] += self.rate * grad / np.sqrt(squares)
+        np.sqrt(squares, out=squares)
+        np.divide(grad, squares, out=squares)
+        squares *= self.rate
+        values = getattr(self.model, name)
+        squares += np.take(values, index, axis=0)
+        values[index] = squares
         self.touched[name][index] = True
 
     def noise(self, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -184,10 +192,10 @@ class Learner:
     def gradients(self, symbols: np.ndarray, since: np.ndarray, lead: int, noise=None) -> dict[str, tuple[np.ndarray, np.ndarray]]:
         """For each matrix the rows that a run of tokens touches, and the gradient of its log-likelihood against noise
         there. The first `lead` tokens are context alone. noise: as `noise` gives it, else drawn."""
-        m, w, size = self.model, self.words, len(self.words.klass)
+        m, w = self.model, self.words
         h, vectors, outside = m.predicted(symbols, since)
-        order = lead + _by_symbol(symbols[lead:], size)
-        s, h = symbols[order], h[order]
+        order = lead + _by_symbol(symbols[lead:])
+        s, h = symbols[order], np.take(h, order, axis=0)
         c, kind = w.klass[s], h.dtype
         s_first, c_first = np.flatnonzero(np.diff(s, prepend=-1)), np.flatnonzero(np.diff(c, prepend=-1))
         of_s, of_c = s[s_first], c[c_first]
@@ -201,17 +209,19 @@ class Learner:
             return np.divide(-1, scores, out=scores)
 
         # the class: each token's own against those drawn for all
-        own, other = m.klass[c], m.klass[drawn]
+        own, other = np.take(m.klass, c, axis=0), m.klass[drawn]
         right = (1 / (1 + np.exp(np.einsum("ij,ij->i", h, own) - self.log_class[c]))).astype(kind)
         y = wrong(h @ other.T, self.log_class[drawn])
-        back = y @ other + right[:, None] * own
+        back = y @ other
+        own *= right[:, None]
+        back += own
         klass = np.zeros(m.klass.shape, kind)
-        klass[of_c] = np.add.reduceat(right[:, None] * h, c_first, axis=0)
         np.add.at(klass, drawn, y.T @ h)
         # the symbol: each token's own against those drawn for its class
-        many, own = self.several[c], m.symbol[s]
+        many, own, of_class = self.several[c], np.take(m.symbol, s, axis=0), right
         right = (many / (1 + np.exp(np.einsum("ij,ij->i", h, own) - self.log_symbol[s]))).astype(kind)
-        back += right[:, None] * own
+        own *= right[:, None]
+        back += own
         symbol = np.zeros(m.symbol.shape, kind)
         symbol[of_s] = np.add.reduceat(right[:, None] * h, s_first, axis=0)
         cuts, other = np.append(c_first, len(s)).tolist(), m.symbol[inside]
@@ -219,27 +229,34 @@ class Learner:
         y = np.empty((len(s), IN_NOISE), kind)
         for run, o in zip(runs, other, strict=True):
             np.matmul(h[run], o.T, out=y[run])
-        y = wrong(y, np.repeat(self.log_symbol[inside], np.diff(cuts), axis=0)) * many[:, None]
-        of_noise = np.empty((len(runs), IN_NOISE, D + 1), kind)
+        each = np.empty((len(s), IN_NOISE + 1), kind)  # of the class itself, then of the symbols drawn in it
+        each[:, 0] = of_class
+        np.multiply(wrong(y, np.repeat(self.log_symbol[inside], np.diff(cuts), axis=0)), many[:, None], out=each[:, 1:])
+        sums = np.empty((len(runs), IN_NOISE + 1, D + 1), kind)
         for i, (run, o) in enumerate(zip(runs, other, strict=True)):
-            back[run] += y[run] @ o
-            np.matmul(y[run].T, h[run], out=of_noise[i])
-        np.add.at(symbol, inside.ravel(), of_noise.reshape(-1, D + 1))
+            back[run] += each[run, 1:] @ o
+            np.matmul(each[run].T, h[run], out=sums[i])
+        klass[of_c] += sums[:, 0]
+        for j in range(IN_NOISE):  # of different classes, so no symbol comes up twice
+            symbol[inside[:, j]] += sums[:, j + 1]
         # the context: what comes back to a token from the positions after it
         to = np.zeros((len(symbols), D), kind)
         to[order] = back[:, :D]
         context, weight, of_end = np.zeros((len(symbols), D), kind), np.empty((CONTEXT, D), kind), np.zeros(D, kind)
         for k in range(CONTEXT):
-            alone = to[outside[k]].sum(0)
-            inner = to.copy()
-            inner[outside[k]] = 0
             n = max(0, len(symbols) - k - 1)
-            context[:n] += inner[k + 1 :] * m.weight[k]
-            weight[k] = np.einsum("ij,ij->j", inner[k + 1 :], vectors[:n]) + alone * m.context[END]
+            alone = to[outside[k]]
+            other = outside[k] > k
+            left = outside[k][other] - k - 1  # before these stands another text
+            context[:n] += to[k + 1 :] * m.weight[k]
+            context[left] -= alone[other] * m.weight[k]
+            weight[k] = np.einsum("ij,ij->j", to[k + 1 :], vectors[:n]) - (alone[other] * vectors[left]).sum(0)
+            alone = alone.sum(0)
+            weight[k] += alone * m.context[END]
             of_end += alone * m.weight[k]
-        order = _by_symbol(symbols, size)
+        order = _by_symbol(symbols)
         first = np.flatnonzero(np.diff(symbols[order], prepend=-1))
-        seen, sums = symbols[order][first], np.add.reduceat(context[order], first, axis=0)
+        seen, sums = symbols[order][first], np.add.reduceat(np.take(context, order, axis=0), first, axis=0)
         if seen[0] != END:
             seen, sums = np.append(seen, END), np.vstack([sums, of_end])
         else:
@@ -266,7 +283,7 @@ def _held(texts: list[bytes]):
     """(symbols, tokens before each in its text) of whole texts, of a bounded size but for one longer text."""
     held, size = [], 0
     for k, t in enumerate(texts):
-        held.append(np.frombuffer(t, np.int32))
+        held.append(np.frombuffer(t, np.uint16).astype(np.int32))
         size += len(held[-1])
         if size >= HELD or k + 1 == len(texts):
             n = np.array([len(x) for x in held])
@@ -361,11 +378,12 @@ def _tagged(packed: DataFrame, vocabulary: DataFrame, totals: DataFrame, n: int,
         share[c == 0] = np.log10(new)
         base = np.log10((c + 1) / (words.tokens + words.types + 1))
         base_end = float(np.log10((words.end + 1) / (words.tokens + words.types + 1)))
-        end = np.array([END], np.int32).tobytes()
+        end = np.array([END], np.uint16).tobytes()
+        small = symbol.astype(np.uint16)
         rows = []
         for t in texts:
             here = W.positions(t, True, at)
-            rows.append((len(here) + 1, int((c[here] > 0).sum()) + (words.end > 0), float(base[here].sum()) + base_end, float(share[here].sum()), symbol[here].tobytes() + end))
+            rows.append((len(here) + 1, int((c[here] > 0).sum()) + (words.end > 0), float(base[here].sum()) + base_end, float(share[here].sum()), small[here].tobytes() + end))
         cols = list(zip(*rows, strict=True)) or [()] * 5
         types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary())
         return pa.table([table.column("k0"), table.column("k1"), *(pa.array(x, t) for x, t in zip(cols, types, strict=True))], names=["k0", "k1", "n_tokens", "n_known", "base_score", "share", "symbols"])
