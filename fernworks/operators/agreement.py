@@ -261,10 +261,16 @@ def majority(runs: DataFrame) -> DataFrame:
 
 
 def against_majority(runs: DataFrame) -> DataFrame:
-    """(run, precision, recall, f1) of each run against the majority set, over all candidates together."""
-    m = majority(runs).withColumn("m", F.lit(1))
-    hits = runs.join(m, ["ad", "code"], "left").groupBy("run").agg(F.count("m").alias("tp"), F.count(F.lit(1)).alias("n"))
-    x = hits.crossJoin(m.agg(F.count(F.lit(1)).alias("all")))
+    """(run, precision, recall, f1) of each run against the majority set, over all candidates together.
+
+    Candidates that the same runs have are counted together, so the runs are read once and what is left is small.
+    """
+    sets = runs.groupBy("ad", "code").agg(F.array_sort(F.collect_set("run")).alias("_runs")).groupBy("_runs").agg(F.count(F.lit(1)).alias("n"))
+    sets = kept(sets)
+    names = sets.select(F.explode("_runs")).distinct().count()
+    both = F.when(F.size("_runs") > names / 2, F.col("n")).otherwise(0)
+    hits = sets.withColumn("m", both).select(F.explode("_runs").alias("run"), "n", "m").groupBy("run").agg(F.sum("m").alias("tp"), F.sum("n").alias("n"))
+    x = hits.crossJoin(sets.agg(F.sum(both).alias("all")))
     p, r = F.try_divide(F.col("tp"), F.col("n")), F.try_divide(F.col("tp"), F.col("all"))
     return x.select("run", p.alias("precision"), r.alias("recall"), F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0)).alias("f1"))
 
