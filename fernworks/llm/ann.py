@@ -13,6 +13,10 @@ index. About RERANK rows are reranked where the index is up to SAMPLE / k * RERA
 beyond. Reranking is by the exact distance on the original vectors, in double precision. The same way is taken at
 every size.
 
+Shards hold codes and norms only, some hundred bytes a row; the vectors of the rows that are reranked are joined to them
+by the row's number. Of rows with the very same vector the k + 1 smallest ids can be among a query's k nearest, so a
+shard leaves the others out, and a vector that very many rows share costs a query no more than k + 1 distances in a shard.
+
 Defined cases. Rows that can't take part: see vectors.valid; such a query has no result. Ties in distance: the smaller
 id. Repeated ids: a query counts once; a row with the query's id is never its result; other repeated rows are results
 of their own. Fewer candidates than k: all of them. Empty table: no rows. Other columns are left out. Components of any
@@ -21,6 +25,8 @@ finite size: for codes they are cut at 1e100, so that approximate distances stay
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -117,7 +123,8 @@ def exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 
 def build(vectors: DataFrame, d: int) -> tuple[DataFrame, np.ndarray, np.ndarray, np.ndarray]:
-    """The index (id, vector, code, norm) of every row, the sample's mean, the codebooks and the sample's vectors less the mean.
+    """The index (row, id, vector, code, norm, twin) of every row, the sample's mean, the codebooks and the sample's vectors
+    less the mean. row: its number; twin: the digest of its vector.
 
     vectors: (id, vector).
     """
@@ -128,18 +135,34 @@ def build(vectors: DataFrame, d: int) -> tuple[DataFrame, np.ndarray, np.ndarray
     shared = vectors.sparkSession.sparkContext.broadcast((middle, books))
 
     def run(batches):
+        from pyspark import TaskContext
+
         middle, books = shared.value
+        number = TaskContext.get().partitionId() << 33
         for batch in batches:
             for k in range(0, batch.num_rows, 2048):
                 part = batch.slice(k, 2048)
-                codes = encode(_inside(_matrix(part.column("vector"), d)) - middle, books)
+                x = _matrix(part.column("vector"), d)
+                codes = encode(_inside(x) - middle, books)
                 norm = (reconstruct(codes, books) ** 2).sum(1)
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("vector"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norm)], names=["id", "vector", "code", "norm"])
+                twins = [hashlib.blake2b(r.tobytes(), digest_size=16).digest() for r in x + 0.0]  # 0.0: of both zeros
+                rows = pa.array(number + np.arange(part.num_rows))
+                number += part.num_rows
+                yield pa.RecordBatch.from_arrays([rows, part.column("id"), part.column("vector"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norm), pa.array(twins, pa.binary())], names=["row", "id", "vector", "code", "norm", "twin"])
 
-    kind = f"id long, vector {vectors.schema['vector'].dataType.simpleString()}, code binary, norm double"
+    kind = f"row long, id long, vector {vectors.schema['vector'].dataType.simpleString()}, code binary, norm double, twin binary"
     return written(vectors.mapInArrow(run, kind), "index"), middle, books, x - middle
 
 
+def _first_twins(ids: np.ndarray, twins: list[bytes], most: int) -> np.ndarray:
+    """The places of the rows that are among the first `most` ids of those with their vector."""
+    first, second = np.frombuffer(b"".join(twins), np.uint64).reshape(-1, 2).T
+    order = np.lexsort((ids, second, first))
+    starts = np.append(True, (np.diff(first[order]) != 0) | (np.diff(second[order]) != 0)) if len(ids) else np.zeros(0, bool)
+    rank = np.arange(len(ids)) - np.maximum.accumulate(np.where(starts, np.arange(len(ids)), 0))
+    return np.sort(order[rank < most])
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", rerank: int = RERANK, reranked=None) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each query, by Euclidean distance; queries: rows alike.
 
@@ -165,37 +188,40 @@ def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 10, id_col: str
             for s in range(0, batch.num_rows, 256):
                 part = batch.slice(s, 256)
                 limit = np.partition(approximate(lookup(part.column("vector")), codes, norms), place, axis=1)[:, place]
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("vector"), pa.nulls(part.num_rows, pa.binary()), pa.array(limit)], names=["id", "vector", "code", "norm"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("vector"), pa.array(limit)], names=["id", "vector", "norm"])
 
     def search(batches):
         last = None
         for table, part in by_shard(batches):
             if table is not last:
-                last, own, x = table, table.column("id").to_numpy(), _matrix(table.column("vector"), d)
-                code = np.frombuffer(b"".join(table.column("code").to_pylist()), np.uint8).reshape(len(own), -1)
-                norm = table.column("norm").to_numpy()
+                last, own = table, table.column("id").to_numpy()
+                chosen = _first_twins(own, table.column("twin").to_pylist(), k + 1)
+                own, row, norm = own[chosen], table.column("row").to_numpy()[chosen], table.column("norm").to_numpy()[chosen]
+                code = np.frombuffer(b"".join(table.column("code").to_pylist()), np.uint8).reshape(table.num_rows, -1)[chosen]
             ids, limit = part.column("id").to_numpy(), part.column("norm").to_numpy()
-            q, tables = _matrix(part.column("vector"), d), lookup(part.column("vector"))
-            found: list[tuple[np.ndarray, ...]] = []
+            tables = lookup(part.column("vector"))
             for s in range(0, len(own), 4096):  # as many at once as stay in the processor's cache
                 near = approximate(tables, code[s : s + 4096], norm[s : s + 4096])
                 a, b = np.nonzero((near <= limit[:, None]) & (ids[:, None] != own[None, s : s + 4096]))
-                b = b + s
-                found += [(a[t : t + 32768], b[t : t + 32768], exact(q[a[t : t + 32768]], x[b[t : t + 32768]])) for t in range(0, len(a), 32768)]
-            if not found:
-                continue
-            a, b, score = (np.concatenate(f) for f in zip(*found, strict=True))
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(row[b + s])], names=["query_id", "row"])
+
+    def measured(batches):
+        for batch in batches:
             if reranked is not None:
-                reranked.add(len(a))
-            order = np.lexsort((own[b], score, a))
-            a, b, score = a[order], b[order], score[order]
-            first = np.searchsorted(a, a)  # only the k best of a query in a shard go on
-            best = np.arange(len(a)) - first < k
-            yield pa.RecordBatch.from_arrays([pa.array(ids[a[best]]), pa.array(own[b[best]]), pa.array(score[best])], names=["query_id", "vec_id", "score"])
-
-    asked = once(asked).mapInArrow(limits, index.schema)
-    row_bytes = 16 * d + books.shape[0] + 64
-    return merged(dealt(index, asked, n, row_bytes).mapInArrow(search, "query_id long, vec_id long, score double"), k)
+                reranked.add(batch.num_rows)
+            score = exact(_matrix(batch.column("asked"), d), _matrix(batch.column("vector"), d))
+            yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("vec_id"), pa.array(score)], names=["query_id", "vec_id", "score"])
+
+    kind = index.schema["vector"].dataType.simpleString()
+    asked = written(once(asked).mapInArrow(limits, f"id long, vector {kind}, norm double"), "asked")
+    held = index.select("row", "id", F.lit(None).cast(kind).alias("vector"), "code", "norm", "twin")
+    nothing = lambda c, t: F.lit(None).cast(t).alias(c)
+    looking = asked.select(nothing("row", "long"), "id", "vector", nothing("code", "binary"), "norm", nothing("twin", "binary"))
+    found = dealt(held, looking, n, books.shape[0] + 128).mapInArrow(search, "query_id long, row long")
+    pairs = found.join(index.select("row", F.col("id").alias("vec_id"), "vector"), "row").join(asked.select(F.col("id").alias("query_id"), F.col("vector").alias("asked")), "query_id")
+    scored = pairs.select("query_id", "vec_id", "asked", "vector").mapInArrow(measured, "query_id long, vec_id long, score double")
+    return merged(scored, k)
 
 
 def op9_ann(spark, sf_dir: str) -> DataFrame:

@@ -311,6 +311,30 @@ def test_ann_beyond_the_sample(spark, monkeypatch):
     assert sum(len(out[q] & set(brute_nearest(x, q)[0].tolist())) for q in out) / 600 >= 0.9
 
 
+def test_ann_where_most_rows_share_a_vector(spark, monkeypatch):
+    """Rows with one vector are found by their ids, and cost a query few distances; shards hold no vectors."""
+    monkeypatch.setattr(vectors, "SHARD_BYTES", 1 << 16)
+    rng = np.random.default_rng(9)
+    common = rng.normal(size=8).astype("float32")
+    x = np.where(rng.random(3000)[:, None] < 0.7, common, rng.normal(size=(3000, 8)).astype("float32"))
+    t = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(rng.permutation(3000), x, strict=True)], "vec_id long, embedding array<float>").repartition(4)
+    by_id = {r["vec_id"]: np.array(r["embedding"]) for r in t.collect()}
+    counted = spark.sparkContext.accumulator(0)
+    out = {}
+    for r in ann.nearest(t, t.filter("vec_id % 100 = 0"), reranked=counted).collect():
+        out.setdefault(r["query_id"], []).append((r["score"], r["vec_id"]))
+    shared = sorted(i for i, v in by_id.items() if (v == common.astype(float)).all())
+    hit = 0
+    for q, found in out.items():
+        if q in shared:
+            assert sorted(found) == [(0.0, i) for i in [i for i in shared if i != q][:10]]
+        want = sorted((float(np.linalg.norm(by_id[q] - v)), i) for i, v in by_id.items() if i != q)[:10]
+        hit += len({i for _, i in found} & {i for _, i in want})
+    assert len(out) == 30 and hit >= 270 and counted.value < 30 * 700
+    assert ann._first_twins(np.array([5, 3, 9, 1]), [b"a" * 16, b"b" * 16, b"a" * 16, b"a" * 16], 2).tolist() == [0, 1, 3]
+    assert ann._first_twins(np.zeros(0, np.int64), [], 2).tolist() == []
+
+
 def test_ann_of_odd_sizes(spark):
     """Large, small and far-off components; doubles keep their precision."""
     rows = [(i, [1e300 * (i + 1), 1.0]) for i in range(4)] + [(10 + i, [1e8 + i * 1e-3, 5.0]) for i in range(5)] + [(20, [1e-200, 0.0]), (21, [2e-200, 0.0])]
