@@ -364,3 +364,37 @@ def test_one_long_text_leaves_the_sample(spark, monkeypatch):
     assert len(whole[0]) == len(able)
     monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 4000)
     assert toxicity.training_rows(d, labels)[:2] == ([f"text {i}" for i in able[1:]], [i % 2 == 1 for i in able[1:]])
+
+
+def test_document_scores_by_brute_force(spark):
+    """Scores and spans of whole documents, by summing over all ways to tag their words."""
+    import re
+    from itertools import product
+
+    rng = np.random.default_rng(11)
+    model = toxicity.Model(rng.normal(0, 0.8, toxicity.FEATURES), rng.normal(0, 0.7, (2, 2)), np.array([-0.7, 0.9, 0.4, 0.2]))
+    texts = [None, "", "12 _ !", "One", "two words", "a b c d e f g h i", "Bad, bad; BAD word's end", "é_ß 数学 x1y", "same same same", "ends. Bad"]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(9, "ends. Bad")], "doc_id long, text string").withColumn("score", F.lit("clash"))
+    got = {}
+    for r in toxicity.tag(d, model).collect():
+        got.setdefault(r["doc_id"], []).append((r["score"], [(s["begin"], s["end"], s["score"]) for s in r["spans"]]))
+    assert len(got[9]) == 2 and got[9][0] == got[9][1]
+    weights = model.weights.astype(np.float32).astype(float)
+    for i, t in enumerate(texts):
+        words = list(re.finditer(r"[^\W\d_]+", t or ""))
+        own = [sum(weights[f] for f in toxicity.features(m[0])) for m in words]
+        total, bad = 0.0, np.zeros(len(words))
+        for tags in product((0, 1), repeat=len(words)):
+            w = math.exp(sum(o for o, x in zip(own, tags, strict=True) if x) + sum(model.step[a, b] for a, b in zip(tags, tags[1:], strict=False)))
+            total += w
+            bad += w * np.array(tags)
+        p = bad / total
+        (score, spans), *_ = got[i]
+        assert [(a, b) for a, b, _ in spans] == [m.span() for m, x in zip(words, p, strict=True) if x >= toxicity.SPAN]
+        assert [x for _, _, x in spans] == pytest.approx([x for x in p if x >= toxicity.SPAN], abs=1e-5)
+        if not len(words):
+            assert score == 0
+            continue
+        odds = sorted(np.clip(np.log(p / (1 - p)), -12, 12), reverse=True)[:3]
+        odds += [-12.0] * (3 - len(odds))
+        assert score == pytest.approx(1 / (1 + math.exp(-(model.final[0] + float(np.dot(odds, model.final[1:]))))), abs=1e-4)
