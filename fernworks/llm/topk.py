@@ -1,6 +1,6 @@
 """Exact top-k search over binary codes by incremental multi-index hashing.
 
-A code of 64 bits is cut into segments of eight. If two codes differ in fewer than segments * (r + 1) bits, some
+A code is one or more words of 64 bits, cut into segments of eight bits. If two codes differ in fewer than segments * (r + 1) bits, some
 segment differs in at most r bits. So each task indexes its codes by the value of each segment, and for a query looks
 up all values within radius 0, then 1, and so on; what it finds is verified by the whole distance. It stops once the
 k-th verified distance is at most segments * (r + 1) - 1: nothing that was not found can be nearer or as near. The k-th
@@ -24,35 +24,59 @@ from pyspark.sql import functions as F
 from .common import prepare, written
 from .vectors import by_shard, dealt, merged, once, sample, valid
 
-BITS, SEGMENTS, SAMPLE = 64, 8, 8192
-WIDTH = BITS // SEGMENTS
+BITS, WIDTH, SAMPLE = 64, 8, 8192
+#: Bytes of a row in a shard for each word of its code, with its index.
+ROW_BYTES = 512
 MASKS = [np.flatnonzero(np.bitwise_count(np.arange(1 << WIDTH)) == r) for r in range(WIDTH + 1)]
 
 
+def words_of(column) -> np.ndarray:
+    """(rows, words) of a column of codes, which are longs, or bytes of as many words as they need."""
+    a = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    if pa.types.is_integer(a.type):
+        return a.to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, 1)
+    rows = a.to_pylist()
+    return np.frombuffer(b"".join(rows), np.uint64).reshape(len(rows), -1) if rows else np.zeros((0, 1), np.uint64)
+
+
+def distances(codes: np.ndarray, code: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(codes ^ code).sum(axis=1, dtype=np.int64)
+
+
 class Index:
-    """Codes of one block, by the value of each segment."""
+    """Codes of one block, (rows, words), by the value of each segment."""
 
     def __init__(self, ids: np.ndarray, codes: np.ndarray):
-        order = np.lexsort((ids, codes))
+        order = np.lexsort((ids, *codes.T))
         self.ids, codes = ids[order], codes[order]
-        self.codes, self.first, self.rows = np.unique(codes, return_index=True, return_counts=True)
+        new = np.append(True, (codes[1:] != codes[:-1]).any(axis=1)) if len(ids) else np.zeros(0, bool)
+        self.first = np.flatnonzero(new)
+        self.rows = np.diff(np.append(self.first, len(ids)))
+        self.codes = codes[self.first]
         self.owners, self.owned = np.unique(self.ids, return_counts=True)
+        self.segments = BITS // WIDTH * codes.shape[1]
         self.by, self.start = [], []
-        for s in range(SEGMENTS):
-            v = ((self.codes >> np.uint64(WIDTH * s)) & np.uint64((1 << WIDTH) - 1)).astype(np.int64)
+        for s in range(self.segments):
+            v = self._segment(self.codes, s).astype(np.int64)
             self.by.append(np.argsort(v, kind="stable"))
             self.start.append(np.concatenate([[0], np.cumsum(np.bincount(v, minlength=1 << WIDTH))]))
 
-    def search(self, own: int, code: np.uint64, k: int, bound: int = BITS) -> list[tuple[int, int]]:
+    @staticmethod
+    def _segment(codes: np.ndarray, s: int) -> np.ndarray:
+        word, at = divmod(s, BITS // WIDTH)
+        return (codes[..., word] >> np.uint64(WIDTH * at)) & np.uint64((1 << WIDTH) - 1)
+
+    def search(self, own: int, code: np.ndarray, k: int, bound: int | None = None) -> list[tuple[int, int]]:
         """The k smallest (distance, id) of this block within bound, without rows of the id `own`."""
+        bound = BITS * self.codes.shape[1] if bound is None else bound
         seen = np.zeros(len(self.codes), bool)
         at = int(np.searchsorted(self.owners, own))
         need = k + (int(self.owned[at]) if at < len(self.owners) and self.owners[at] == own else 0)
         found, distance = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for r in range(WIDTH + 1):
             new = []
-            for s in range(SEGMENTS):
-                v = int(code >> np.uint64(WIDTH * s)) & ((1 << WIDTH) - 1)
+            for s in range(self.segments):
+                v = int(self._segment(code, s))
                 values = MASKS[r] ^ v
                 a, b = self.start[s][values], self.start[s][values + 1]
                 n = b - a
@@ -63,10 +87,10 @@ class Index:
                 new = np.concatenate(new)
                 new = np.unique(new[~seen[new]])
                 seen[new] = True
-                d = np.bitwise_count(self.codes[new] ^ code).astype(np.int64)
+                d = distances(self.codes[new], code)
                 found.append(new[d <= bound])
                 distance.append(d[d <= bound])
-            covered = SEGMENTS * (r + 1) - 1
+            covered = self.segments * (r + 1) - 1
             if covered >= bound:
                 break
             near = np.concatenate(distance)
@@ -86,10 +110,8 @@ class Index:
 
 
 def codes_of(vectors: DataFrame) -> DataFrame:
-    """(id, code) from (id, vector) of one dimension: the signs of its components, the first one lowest; a missing one is 0.
-
-    A code holds 64 signs; longer vectors are an error.
-    """
+    """(id, code) from (id, vector) of one dimension: the signs of its components, the first one lowest, in bytes of as many
+    words of 64 bits as they need; a missing one is 0."""
 
     def run(batches):
         for batch in batches:
@@ -97,44 +119,44 @@ def codes_of(vectors: DataFrame) -> DataFrame:
             if not n:
                 continue
             signs = batch.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(n, -1) > 0
-            if signs.shape[1] > BITS:
-                raise ValueError(f"a code holds {BITS} signs, not {signs.shape[1]}")
-            bits = np.zeros((n, BITS), bool)
+            bits = np.zeros((n, -(-max(1, signs.shape[1]) // BITS) * BITS), bool)
             bits[:, : signs.shape[1]] = signs
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.packbits(bits, axis=1, bitorder="little").view(np.int64).ravel())], names=["id", "code"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([r.tobytes() for r in np.packbits(bits, axis=1, bitorder="little")], pa.binary())], names=["id", "code"])
 
     prepare(vectors.sparkSession)
-    return vectors.mapInArrow(run, "id long, code long")
+    return vectors.mapInArrow(run, "id long, code binary")
 
 
 def top_k(codes: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
-    """(query_id, rank, vec_id, score) with score the Hamming distance; codes and queries: (id, code long)."""
+    """(query_id, rank, vec_id, score) with score the Hamming distance; codes and queries: (id, code), code being a long
+    or, alike in length, bytes of some words of 64 bits."""
     prepare(codes.sparkSession)
     codes = written(codes.select("id", "code"), "codes")
-    n = codes.count()
+    n, kind = codes.count(), codes.schema["code"].dataType.simpleString()
     some = sample(codes, SAMPLE)
-    shared = codes.sparkSession.sparkContext.broadcast((some.column("id").to_numpy(), some.column("code").to_numpy().view(np.uint64)))
+    known = words_of(some.column("code"))
+    shared = codes.sparkSession.sparkContext.broadcast((some.column("id").to_numpy(), known))
 
     def bounds(batches):
         ids, known = shared.value
         for batch in batches:
             out = []
-            for i, c in zip(batch.column("id").to_pylist(), batch.column("code").to_numpy().view(np.uint64), strict=True):
-                d = np.bitwise_count(known[ids != i] ^ c)
-                out.append(int(np.partition(d, k - 1)[k - 1]) if len(d) >= k else BITS)
+            for i, c in zip(batch.column("id").to_pylist(), words_of(batch.column("code")), strict=True):
+                d = distances(known[ids != i], c)
+                out.append(int(np.partition(d, k - 1)[k - 1]) if len(d) >= k else BITS * known.shape[1])
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("code"), pa.array(out, pa.int32())], names=["id", "code", "bound"])
 
     def run(batches):
         last = None
         for table, part in by_shard(batches):
             if table is not last:
-                last, index = table, Index(table.column("id").to_numpy(), table.column("code").to_numpy().view(np.uint64))
-            asked = zip(part.column("id").to_pylist(), part.column("code").to_numpy().view(np.uint64), part.column("bound").to_pylist(), strict=True)
+                last, index = table, Index(table.column("id").to_numpy(), words_of(table.column("code")))
+            asked = zip(part.column("id").to_pylist(), words_of(part.column("code")), part.column("bound").to_pylist(), strict=True)
             rows = [(q, i, d) for q, c, b in asked for d, i in index.search(q, c, k, b)]
             yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in ((0, pa.int64()), (1, pa.int64()), (2, pa.float64()))], names=["query_id", "vec_id", "score"])
 
-    asked = once(queries.select("id", "code")).mapInArrow(bounds, "id long, code long, bound int")
-    both = dealt(codes.withColumn("bound", F.lit(None).cast("int")), asked, n, 512)  # 512: with the index of a code
+    asked = once(queries.select("id", "code")).mapInArrow(bounds, f"id long, code {kind}, bound int")
+    both = dealt(codes.withColumn("bound", F.lit(None).cast("int")), asked, n, ROW_BYTES * known.shape[1])
     return merged(both.mapInArrow(run, "query_id long, vec_id long, score double"), k)
 
 

@@ -6,6 +6,7 @@ import random
 import brute
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import SMALL, database, same
 from pyspark.sql import functions as F
@@ -355,10 +356,19 @@ def test_small_searches(spark):
     assert topk.top_k(codes.limit(0), codes.limit(0)).count() == 0
 
 
-def test_codes_are_of_whole_vectors(spark):
-    long = spark.createDataFrame([(0, [1.0] * 65)], "vec_id long, embedding array<float>")
-    with pytest.raises(Exception, match="64 signs"):
-        topk.codes_of(vectors.valid(long, "vec_id", "embedding")[0]).collect()
+@pytest.mark.parametrize("d", [1, 64, 65, 128, 200])
+def test_codes_are_of_whole_vectors(spark, d):
+    """Any dimension, against the query's SQL: signs beyond the first 64 count too."""
+    rng = np.random.default_rng(d)
+    rows = [(i, [float(x) for x in np.where(rng.random(d) < 0.1, 0, rng.normal(size=d))]) for i in range(300)]
+    rows += [(300 + i, rows[i][1]) for i in range(20)]
+    t = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    t = t.filter(F.exists("embedding", lambda x: x != 0))
+    codes = topk.codes_of(vectors.valid(t, "vec_id", "embedding")[0])
+    out = topk.top_k(codes, codes.filter("id % 100 = 0")).select("query_id", "rank", "vec_id", F.col("score").cast("int").alias("distance"))
+    con = duckdb.connect()
+    con.register("embeddings", pa.Table.from_pylist([{"vec_id": r["vec_id"], "embedding": list(r["embedding"])} for r in t.collect()]))
+    same(out, con, topk.SQL)
 
 
 def test_the_mix_is_in_exact_order(spark):
