@@ -48,9 +48,12 @@ def forget(spark: SparkSession) -> None:
 
 
 def _forget_at_exit() -> None:
-    spark = SparkSession.getActiveSession()
-    if spark is not None and spark.sparkContext._jsc is not None:
-        forget(spark)
+    try:
+        spark = SparkSession.getActiveSession()
+        if spark is not None and spark.sparkContext._jsc is not None:
+            forget(spark)
+    except Exception:  # noqa: BLE001  the session may be gone, and the folder with it
+        _kept.clear()
 
 
 def register(spark: SparkSession, tables: dict[str, str]) -> None:
