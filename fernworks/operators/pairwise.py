@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -207,8 +208,6 @@ def solve_spread(edges: DataFrame, n: int, penalty: float = 1e-4, rounds: int =
     edges: (ia, ib, wins_a, wins_b), kept in memory or on disk while it runs. A round sends the strengths out and adds
     up one partial gradient of each task, by item, before they come back.
     """
-    import pyarrow as pa
-
     spark = edges.sparkSession
     prepare(spark)
     edges = edges.persist()
@@ -266,19 +265,25 @@ def solve_spread(edges: DataFrame, n: int, penalty: float = 1e-4, rounds: int =
 def bradley_terry(comparisons: DataFrame, items: DataFrame, penalty: float = 1e-4) -> DataFrame:
     """(item, theta) for all items. comparisons: (a, b, outcome of A, B or tie); other outcomes are left out.
 
-    Comparisons are collapsed to pairs in Spark. Up to DRIVER_PAIRS of them are solved on the driver; more stay in
-    Spark. The items' vector is on the driver either way.
+    Comparisons are collapsed to pairs in Spark, and items get numbers there. Up to DRIVER_PAIRS pairs are solved on the
+    driver, as numbers; more stay in Spark. The vector of strengths is on the driver either way, 8 bytes an item, and goes
+    back by number; the items themselves never leave Spark.
     """
     spark: SparkSession = comparisons.sparkSession
-    names = [r[0] for r in items.select("item").distinct().orderBy("item").collect()]
-    number = spark.createDataFrame(list(enumerate(names)), f"i int, item {items.schema['item'].dataType.simpleString()}")
-    c = collapsed(comparisons).join(number.select(F.col("i").alias("ia"), F.col("item").alias("a")), "a").join(number.select(F.col("i").alias("ib"), F.col("item").alias("b")), "b").select("ia", "ib", "wins_a", "wins_b")
-    if len(names) and c.limit(DRIVER_PAIRS + 1).count() > DRIVER_PAIRS:
-        theta = solve_spread(c, len(names), penalty)
-        return spark.createDataFrame([(n, float(t)) for n, t in zip(names, theta, strict=True)], f"item {items.schema['item'].dataType.simpleString()}, theta double")
-    c = c.toPandas()
-    theta = solve(c.ia.to_numpy(np.int64), c.ib.to_numpy(np.int64), c.wins_a.to_numpy(float), c.wins_b.to_numpy(float), len(names), penalty) if len(names) else []
-    return spark.createDataFrame([(n, float(t)) for n, t in zip(names, theta, strict=True)], f"item {items.schema['item'].dataType.simpleString()}, theta double")
+    one = items.select("item").filter("item is not null").distinct().withColumn("_cell", F.pmod(F.xxhash64("item"), F.lit(256))).withColumn("_one", F.lit(1))
+    number = kept(running(one, "_one", ["item"], "i").select("item", F.col("i").cast("long").alias("i")))
+    n = number.count()
+    if not n:
+        return number.select("item", F.lit(0.0).alias("theta"))
+    end = lambda side: number.select(F.col("i").alias(f"i{side}"), F.col("item").alias(side))
+    c = kept(collapsed(comparisons).join(end("a"), "a").join(end("b"), "b").select("ia", "ib", "wins_a", "wins_b"))
+    if c.count() > DRIVER_PAIRS:
+        theta = solve_spread(c, n, penalty)
+    else:
+        c = c.toPandas()
+        theta = solve(c.ia.to_numpy(np.int64), c.ib.to_numpy(np.int64), c.wins_a.to_numpy(float), c.wins_b.to_numpy(float), n, penalty)
+    strengths = spark.createDataFrame(pa.table({"i": pa.array(np.arange(n)), "theta": pa.array(theta)}))
+    return number.join(strengths, "i").select("item", "theta")
 
 
 def expected_wins(comparisons: DataFrame, strengths: DataFrame, penalty: float = 1e-4) -> DataFrame:
