@@ -159,10 +159,11 @@ def solve(a: np.ndarray, b: np.ndarray, wins_a: np.ndarray, wins_b: np.ndarray,
     Edges stay a list, so that memory grows with the pairs and not with the square of the items.
     """
     theta, total = np.zeros(n), wins_a + wins_b
+    dot = lambda x, y: float(np.einsum("i,i->", x, y))  # noqa: E731  in one thread: waiting for others costs more than it gains
 
     def loss(t):
         d = t[a] - t[b]
-        return float(np.sum(wins_a * np.logaddexp(0, -d) + wins_b * np.logaddexp(0, d)) + 0.5 * penalty * t @ t)
+        return float(np.sum(wins_a * np.logaddexp(0, -d) + wins_b * np.logaddexp(0, d)) + 0.5 * penalty * dot(t, t))
 
     def spread(x):
         return np.bincount(a, x, n) - np.bincount(b, x, n)
@@ -176,18 +177,18 @@ def solve(a: np.ndarray, b: np.ndarray, wins_a: np.ndarray, wins_b: np.ndarray,
         diagonal = np.bincount(a, w, n) + np.bincount(b, w, n) + penalty
         x, r = np.zeros(n), -g
         z = r / diagonal
-        d, rz = z, r @ z
+        d, rz = z, dot(r, z)
         for _ in range(min(n, 500)):
             h = spread(w * (d[a] - d[b])) + penalty * d
-            step = rz / (d @ h)
+            step = rz / dot(d, h)
             x, r = x + step * d, r - step * h
-            if np.linalg.norm(r) < 1e-10 * max(1.0, np.linalg.norm(g)):
+            if dot(r, r) < 1e-20 * max(1.0, dot(g, g)):
                 break
             z = r / diagonal
-            new = r @ z
+            new = dot(r, z)
             d, rz = z + new / rz * d, new
         size, now = 1.0, loss(theta)
-        while size > 1e-8 and loss(theta + size * x) > now + 1e-4 * size * (g @ x):
+        while size > 1e-8 and loss(theta + size * x) > now + 1e-4 * size * dot(g, x):
             size /= 2
         theta = theta + size * x
     p = 1 / (1 + np.exp(-(theta[a] - theta[b])))
