@@ -22,7 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies, that of the smallest id (null: last; of equal ids the smallest text).
+    """One document of each class of near copies, that of the smallest id (null: last; equal ids by a digest of the text).
 
     Texts without words, null among them, are in no class and stay; repeated rows are copies.
     """
