@@ -28,16 +28,23 @@ def scratch(spark: SparkSession) -> str:
 
 #: Tables that `kept` has written.
 _kept: list[str] = []
+#: Rows from which a table that `kept` has written is joined by a shuffle.
+MERGED_ROWS = 50_000
 
 
 def kept(df: DataFrame) -> DataFrame:
-    """df as a table in the shared folder: computed once, and there again when an executor is lost. See forget."""
+    """df as a table in the shared folder: computed once, and there again when an executor is lost. See forget.
+
+    Spark takes a table's files for its size, and numbers take ten times as much in memory, so a table with many rows
+    has the hint that it is not to be sent to all tasks through the driver.
+    """
     path = scratch(df.sparkSession)
     if not _kept:
         atexit.register(_forget_at_exit)
     _kept.append(path)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    return out.hint("merge") if out.count() >= MERGED_ROWS else out
 
 
 def forget(spark: SparkSession) -> None:
