@@ -545,3 +545,14 @@ def test_partners_of_many_items_are_not_broadcast(spark):
     items = spark.range(60_000).select(F.col("id").alias("item"), (F.col("id") % 1000 / 10).alias("value"))
     near = pairwise.band_partners(items, "value", 0.15, 4)
     assert "Broadcast" not in plan(near) and near.count() == 240_000
+
+
+def test_adaptive_pairs_of_many_items_are_not_broadcast(spark, monkeypatch):
+    from fernworks.sources import files
+
+    monkeypatch.setattr(files, "MERGED_ROWS", 300)
+    theta = spark.range(400).select(F.col("id").alias("item"), (F.col("id") % 50 / 10).alias("theta"))
+    plans, first = [], pairwise.matched
+    monkeypatch.setattr(pairwise, "matched", lambda edges, *a: plans.append(plan(edges)) or first(edges, *a))
+    assert pairwise.adaptive_pairs(theta, 3).count() > 500
+    assert len(plans) == 1 and "Broadcast" not in plans[0]
