@@ -16,8 +16,8 @@ from .exposure import minmax
 from .stats import in_cells, running
 
 
-#: Pairs up to which a fit is solved on the driver, which holds 32 bytes of each.
-DRIVER_PAIRS = 5_000_000
+#: Pairs up to which a fit is solved on the driver, which holds some 200 bytes of each at once.
+DRIVER_PAIRS = 500_000
 #: Largest part of the gradient, in wins, that is left at a solution, whichever way it was found.
 GRADIENT = 1e-6
 
@@ -201,64 +201,118 @@ def _settled(gradient: np.ndarray) -> None:
         raise RuntimeError(f"the fit has not settled: {np.abs(gradient).max():.1e} wins are left in the gradient")
 
 
-def solve_spread(edges: DataFrame, n: int, penalty: float = 1e-4, rounds: int = 2000) -> np.ndarray:
-    """The same strengths with the pairs left in Spark: limited-memory BFGS on the driver over vectors of the items.
+#: Pairs of a pack, and about how many (each from both sides) there are in a block of items.
+PACK, BLOCK = 1 << 16, 1_000_000
+
+
+def _packed(edges: DataFrame, n: int) -> DataFrame:
+    """(first, size, i, j, w, t) of packs of pairs as arrays in bytes: items from first to first + size, i (from first on)
+    with opponent j, i's wins and both ones' wins. A pair is there from both sides, so a sum by item is a sum inside a block."""
+    blocks = max(1, min(n, max(edges.sparkSession.sparkContext.defaultParallelism, -(-2 * edges.count() // BLOCK))))
+    size = -(-n // blocks)
+    total = F.col("wins_a") + F.col("wins_b")
+    side = lambda i, j, w: edges.select(F.col(i).alias("i"), F.col(j).alias("j"), F.col(w).alias("w"), total.alias("t"))
+    both = side("ia", "ib", "wins_a").unionByName(side("ib", "ia", "wins_b"))
+
+    def pack(rows):
+        i, j, w, t = (np.concatenate([b.column(c).to_numpy() for b in rows]) for c in ("i", "j", "w", "t"))
+        first = int(i[0]) // size * size
+        parts = [(i - first).astype(np.int32), j.astype(np.int32), w, t]
+        return pa.RecordBatch.from_arrays([pa.array([first]), pa.array([min(size, n - first)]), *(pa.array([x.tobytes()], pa.binary()) for x in parts)], names=["first", "size", "i", "j", "w", "t"])
+
+    def run(batches):
+        held, rows = [], 0
+        for batch in batches:
+            for s in range(0, batch.num_rows, PACK):
+                held.append(batch.slice(s, PACK))
+                rows += held[-1].num_rows
+                if rows >= PACK:
+                    yield pack(held)
+                    held, rows = [], 0
+        if rows:
+            yield pack(held)
+
+    return both.repartitionById(blocks, F.floor(F.col("i") / size).cast("int")).mapInArrow(run, "first long, size long, i binary, j binary, w binary, t binary")
+
+
+def solve_spread(edges: DataFrame, n: int, penalty: float = 1e-4, rounds: int = 200) -> np.ndarray:
+    """The same strengths with the pairs left in Spark: Newton steps, each solved as far as it pays by conjugate gradients
+    with the diagonal taken out. The driver has some ten vectors of the items; a job goes over all pairs once.
 
     The optimum is the only one, and the gradient must vanish at what is returned (GRADIENT); else RuntimeError.
 
-    edges: (ia, ib, wins_a, wins_b), kept in memory or on disk while it runs. A round sends the strengths out and adds
-    up one partial gradient of each task, by item, before they come back.
+    edges: (ia, ib, wins_a, wins_b), kept packed in memory or on disk while it runs (see _packed). Tasks get the vectors and
+    send back sums of their blocks of items.
     """
     spark = edges.sparkSession
     prepare(spark)
-    edges = edges.persist()
+    packs = _packed(edges, n).persist()
 
-    def evaluate(theta):
-        shared = spark.sparkContext.broadcast(theta)
+    def summed(theta, along=None):
+        """(loss, gradient, diagonal) of the pairs, or (0, their second derivative along a vector, nothing)."""
+        shared = spark.sparkContext.broadcast((theta, along))
 
         def run(batches):
-            t, g, loss = shared.value, np.zeros(n), 0.0
+            (t, x), sums, loss = shared.value, {}, 0.0
             for batch in batches:
-                a, b, wa, wb = (batch.column(c).to_numpy() for c in ("ia", "ib", "wins_a", "wins_b"))
-                d = t[a] - t[b]
-                loss += float(np.sum(wa * np.logaddexp(0, -d) + wb * np.logaddexp(0, d)))
-                r = wa - (wa + wb) / (1 + np.exp(-d))
-                g += np.bincount(b, r, n) - np.bincount(a, r, n)
-            at = np.flatnonzero(g)
-            yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(g[at], loss))], names=["i", "x"])
-
-        parts = edges.mapInArrow(run, "i long, x double").groupBy("i").agg(F.sum("x").alias("x")).toArrow()
-        i, x = parts.column("i").to_numpy(), parts.column("x").to_numpy()
-        g = penalty * theta
-        g[i[i >= 0]] += x[i >= 0]
-        shared.unpersist()
-        return float(x[i < 0].sum()) + 0.5 * penalty * float(theta @ theta), g
+                for k in range(batch.num_rows):
+                    first, size = batch.column("first")[k].as_py(), batch.column("size")[k].as_py()
+                    i, j, won, all_ = (np.frombuffer(batch.column(c)[k].as_buffer(), kind) for c, kind in (("i", np.int32), ("j", np.int32), ("w", float), ("t", float)))
+                    out = sums.setdefault(first, np.zeros((2 if x is None else 1, size)))
+                    d = t[first : first + size][i] - t[j]
+                    p = 1 / (1 + np.exp(-np.clip(d, -700, 700)))
+                    w = all_ * p * (1 - p)
+                    if x is None:
+                        loss += float(np.sum(won * np.logaddexp(0, -d)))
+                        out += [np.bincount(i, all_ * p - won, size), np.bincount(i, w, size)]
+                    else:
+                        out += np.bincount(i, w * (x[first : first + size][i] - x[j]), size)
+            for first, out in sums.items():
+                yield pa.RecordBatch.from_arrays([pa.array([first]), pa.array([out.tobytes()], pa.binary()), pa.array([loss])], names=["first", "sums", "loss"])
+                loss = 0.0
+
+        parts = packs.mapInArrow(run, "first long, sums binary, loss double").toArrow()
+        shared.destroy()
+        total = np.zeros((2 if along is None else 1, n))
+        for first, sums in zip(parts.column("first").to_pylist(), parts.column("sums"), strict=True):
+            x = np.frombuffer(sums.as_buffer()).reshape(len(total), -1)
+            total[:, first : first + x.shape[1]] += x
+        return sum(parts.column("loss").to_pylist()), *total
+
+    dot = lambda x, y: float(np.einsum("i,i->", x, y))  # noqa: E731  as in solve
+
+    def evaluate(theta):
+        loss, g, diagonal = summed(theta)
+        return loss + 0.5 * penalty * dot(theta, theta), g + penalty * theta, diagonal + penalty
 
     theta = np.zeros(n)
-    loss, g = evaluate(theta)
-    steps: list[tuple[np.ndarray, np.ndarray]] = []
+    loss, g, diagonal = evaluate(theta)
     for _ in range(rounds):
         if np.abs(g).max(initial=0) < GRADIENT / 10:
             break
-        q, kept = g.copy(), []
-        for s, y in reversed(steps):
-            f = (s @ q) / (y @ s)
-            q -= f * y
-            kept.append(f)
-        q *= (steps[-1][0] @ steps[-1][1]) / (steps[-1][1] @ steps[-1][1]) if steps else 1 / max(1.0, np.abs(g).max())
-        for (s, y), f in zip(steps, reversed(kept), strict=True):
-            q += s * (f - (y @ q) / (y @ s))
-        size = 1.0
+        x, r = np.zeros(n), -g
+        d = r / diagonal
+        rz = least = dot(r, d)
+        enough = min(0.1, 0.1 * rz**0.25)
+        for _ in range(min(n, 500)):
+            h = summed(theta, d)[1] + penalty * d
+            step = rz / dot(d, h)
+            x += step * d
+            r -= step * h
+            z = r / diagonal
+            new = dot(r, z)
+            if new < enough * enough * least:
+                break
+            d = z + new / rz * d
+            rz = new
+        size, slope = 1.0, dot(g, x)
         while True:
-            new = theta - size * q
-            new_loss, new_g = evaluate(new)
-            if new_loss <= loss - 1e-4 * size * (g @ q) + 1e-12 * abs(loss) or size < 1e-6:
+            new_loss, new_g, diagonal = evaluate(theta + size * x)
+            if new_loss <= loss + 1e-4 * size * slope + 1e-12 * abs(loss) or size < 1e-6:
                 break
             size /= 2
-        if (new - theta) @ (new_g - g) > 1e-12:
-            steps = [*steps[-9:], (new - theta, new_g - g)]
-        theta, loss, g = new, new_loss, new_g
-    edges.unpersist()
+        theta, loss, g = theta + size * x, new_loss, new_g
+    packs.unpersist()
     _settled(g)
     return theta - theta.mean()
 
@@ -283,8 +337,14 @@ def bradley_terry(comparisons: DataFrame, items: DataFrame, penalty: float = 1e-
     else:
         c = c.toPandas()
         theta = solve(c.ia.to_numpy(np.int64), c.ib.to_numpy(np.int64), c.wins_a.to_numpy(float), c.wins_b.to_numpy(float), n, penalty)
-    strengths = spark.createDataFrame(pa.table({"i": pa.array(np.arange(n)), "theta": pa.array(theta)}))
-    return number.join(strengths, "i").select("item", "theta")
+    prepare(spark)
+    shared = spark.sparkContext.broadcast(theta)
+
+    def strengths(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("item"), pa.array(shared.value[batch.column("i").to_numpy()])], names=["item", "theta"])
+
+    return number.mapInArrow(strengths, f"item {number.schema['item'].dataType.simpleString()}, theta double")
 
 
 def expected_wins(comparisons: DataFrame, strengths: DataFrame, penalty: float = 1e-4) -> DataFrame:
@@ -332,7 +392,7 @@ def by_occupation(scores: DataFrame, tasks: DataFrame, codes: DataFrame) -> Data
     """
     mean = F.avg("score")
     weighted = F.try_divide(F.sum(F.col("score") * F.col("importance")), F.sum("importance"))
-    out = scores.join(tasks, "item").groupBy("onet_code").agg(mean.alias("task_exposure_bt_mean"), F.coalesce(weighted, mean).alias("task_exposure_bt_importance_weighted"))
+    out = scores.hint("merge").join(tasks, "item").groupBy("onet_code").agg(mean.alias("task_exposure_bt_mean"), F.coalesce(weighted, mean).alias("task_exposure_bt_importance_weighted"))
     return codes.join(out, "onet_code", "left")
 
 

@@ -77,7 +77,7 @@ def f7_comparisons_of_rounds(spark, sf_dir):
 
 
 def _by_price(part, pairs):
-    side = lambda s: part.select(F.col("p_partkey").alias(f"shown_{s}"), F.col("p_retailprice").alias(f"price_{s}"))
+    side = lambda s: part.select(F.col("p_partkey").alias(f"shown_{s}"), F.col("p_retailprice").alias(f"price_{s}")).hint("merge")
     p = pairs.join(side("a"), "shown_a").join(side("b"), "shown_b")
     return p.withColumn("outcome", F.when(F.col("price_a") > F.col("price_b"), "A").when(F.col("price_a") < F.col("price_b"), "B").otherwise("tie"))
 
@@ -100,7 +100,7 @@ def i17_convergence(spark, sf_dir):
     wide = items(spark, sf_dir)
     for q in (1, 2, 3, 4):
         theta = pairwise.bradley_terry(c.filter(F.col("k") <= last * q / 4), items(spark, sf_dir))
-        wide = wide.join(pairwise.floor_normalised(theta, "theta", 0.1).select("item", F.col("score").alias(f"s{q}")), "item")
+        wide = wide.join(pairwise.floor_normalised(theta, "theta", 0.1).select("item", F.col("score").alias(f"s{q}")).hint("merge"), "item")
     wide = wide.persist()
     rows = []
     for against, q, other in [("next", q, q + 1) for q in (1, 2, 3)] + [("last", q, 4) for q in (1, 2, 3)]:
