@@ -6,12 +6,15 @@ with the smallest hashes of their ids). Every vector is encoded by a beam search
 stored with the squared norm of the approximation. A query's products with all codewords make a lookup table, so an
 approximate distance is the norm less twice a sum of table entries.
 
-Which rows are reranked does not depend on how they are dealt out: those whose approximate distance is at most the
-query's limit, the approximate distance of the row at the same place among the sample's codes. The place is that of
-RERANK among all rows, and never under k, so at least k rows are within the limit: the sample's rows are rows of the
-index. About RERANK rows are reranked where the index is up to SAMPLE / k * RERANK rows large, and k / SAMPLE of all
-beyond. Reranking is by the exact distance on the original vectors, in double precision. The same way is taken at
-every size.
+Which rows are reranked does not depend on how they are dealt out. First, those whose approximate distance is at most the
+query's limit, the approximate distance of the row at the same place among the sample's codes; the place is that of
+RERANK among all rows, and never under k. That alone misses neighbours where some rows are approximated much worse than
+others, so, second, all rows that may be among the k nearest. A row's code is stored with the length e of what it leaves.
+For a query at the distance f from the approximation, the true square is ff + ee + 2 c f e, c being the cosine between the two
+differences, at least -1. What c can be near a query is read off its PROBES nearest rows of the sample: a row is reranked
+if, with a c of MARGIN less than the least of theirs, its distance is at most that of the k-th nearest row of the sample
+(exactly measured, so k rows are that near). Reranking is by the exact distance on the original vectors, in double
+precision. The same way is taken at every size.
 
 Shards hold codes and norms only, some hundred bytes a row; the vectors of the rows that are reranked are joined to them
 by the row's number. Of rows with the very same vector the k + 1 smallest ids can be among a query's k nearest, so a
@@ -37,6 +40,7 @@ from .vectors import by_shard, dealt, merged, once, sample, valid
 
 BOOKS, WORDS, BEAM = 32, 64, 4
 SAMPLE, RERANK = 8192, 200
+PROBES, MARGIN = 32, 0.1
 
 
 def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) -> np.ndarray:
@@ -122,16 +126,56 @@ def exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return out
 
 
-def build(vectors: DataFrame, d: int) -> tuple[DataFrame, np.ndarray, np.ndarray, np.ndarray]:
-    """The index (row, id, vector, code, norm, twin) of every row, the sample's mean, the codebooks and the sample's vectors
-    less the mean. row: its number; twin: the digest of its vector.
+def coded(x: np.ndarray, middle: np.ndarray, books: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes, squared norms of the approximations and lengths of what they leave; that of a row that has been cut is unknown (NaN)."""
+    inside = _inside(x) - middle
+    codes = encode(inside, books)
+    y = reconstruct(codes, books)
+    rest = np.sqrt(((inside - y) ** 2).sum(1))
+    return codes, (y * y).sum(1), np.where((np.abs(x) > 1e100).any(1), np.nan, rest)
+
+
+def _slack(own: np.ndarray, norms: np.ndarray) -> np.ndarray:
+    """What rounding can make of squared distances that are sums of such terms."""
+    return 1e-12 * (own[:, None] + norms)
+
+
+def reach(q: np.ndarray, centred_q: np.ndarray, ids: np.ndarray, near: np.ndarray, own: np.ndarray, sample: tuple, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(square of the distance within which the k nearest are, largest -c near a query) of each query; see the module.
+
+    q, centred_q: the queries' vectors, and less the mean; near, own: approximate squares to the sample's rows, but for own, the queries' own norms;
+    sample: its ids, vectors, vectors less the mean, norms of the approximations and rests.
+    """
+    some_ids, some_x, centred, norms, rest = sample
+    within, least, lengths = np.full(len(q), np.inf), np.ones(len(q)), (centred * centred).sum(1)
+    for r in range(len(q)):
+        rough = lengths - 2 * (centred @ centred_q[r])
+        rough[some_ids == ids[r]] = np.inf
+        m = min(max(PROBES, k), int(np.isfinite(rough).sum()))
+        if m < k or not m:
+            continue
+        at = np.argpartition(rough, m - 1)[:m]
+        true = exact(q[r], some_x[at])
+        with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+            within[r] = np.partition(true, k - 1)[k - 1] ** 2
+            square = np.maximum(near[r, at] + own[r], 0)
+            c = (true * true - square - rest[at] ** 2) / (2 * np.sqrt(square) * rest[at])
+        c = np.where(np.isfinite(c), c, 0.0 if (rest[at] == 0).all() else -1.0)
+        least[r] = np.clip(MARGIN - c.min(), 0, 1)
+    return within, least
+
+
+def build(vectors: DataFrame, d: int) -> tuple[DataFrame, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The index (row, id, vector, code, norm, rest, twin) of every row, the sample's mean, the codebooks and the sample's ids
+    and vectors. row: its number; rest: the length of what its code leaves; twin: the digest of its vector.
 
     vectors: (id, vector).
     """
     prepare(vectors.sparkSession)
-    x = _inside(_matrix(sample(vectors.select("id", "vector"), SAMPLE).column("vector"), d))
-    middle = x.mean(0)
-    books = train(x - middle)
+    some = sample(vectors.select("id", "vector"), SAMPLE)
+    some_ids, some_x = some.column("id").to_numpy(), _matrix(some.column("vector"), d)
+    middle = _inside(some_x).mean(0)
+    books = train(_inside(some_x) - middle)
     shared = vectors.sparkSession.sparkContext.broadcast((middle, books))
 
     def run(batches):
@@ -143,15 +187,14 @@ def build(vectors: DataFrame, d: int) -> tuple[DataFrame, np.ndarray, np.ndarray
             for k in range(0, batch.num_rows, 2048):
                 part = batch.slice(k, 2048)
                 x = _matrix(part.column("vector"), d)
-                codes = encode(_inside(x) - middle, books)
-                norm = (reconstruct(codes, books) ** 2).sum(1)
+                codes, norm, rest = coded(x, middle, books)
                 twins = [hashlib.blake2b(r.tobytes(), digest_size=16).digest() for r in x + 0.0]  # 0.0: of both zeros
                 rows = pa.array(number + np.arange(part.num_rows))
                 number += part.num_rows
-                yield pa.RecordBatch.from_arrays([rows, part.column("id"), part.column("vector"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norm), pa.array(twins, pa.binary())], names=["row", "id", "vector", "code", "norm", "twin"])
+                yield pa.RecordBatch.from_arrays([rows, part.column("id"), part.column("vector"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norm), pa.array(rest), pa.array(twins, pa.binary())], names=["row", "id", "vector", "code", "norm", "rest", "twin"])
 
-    kind = f"row long, id long, vector {vectors.schema['vector'].dataType.simpleString()}, code binary, norm double, twin binary"
-    return written(vectors.mapInArrow(run, kind), "index"), middle, books, x - middle
+    kind = f"row long, id long, vector {vectors.schema['vector'].dataType.simpleString()}, code binary, norm double, rest double, twin binary"
+    return written(vectors.mapInArrow(run, kind), "index"), middle, books, some_ids, some_x
 
 
 def _first_twins(ids: np.ndarray, twins: list[bytes], most: int) -> np.ndarray:
@@ -172,23 +215,29 @@ def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 10, id_col: str
     asked, _ = valid(queries, id_col, vector_col)
     if not d:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    index, middle, books, x = build(rows, d)
+    index, middle, books, some_ids, some_x = build(rows, d)
     n = index.count()
-    codes = encode(x, books)
-    norms = (reconstruct(codes, books) ** 2).sum(1)
+    codes, norms, rests = coded(some_x, middle, books)
     place = min(len(codes), max(k + 1, -(-rerank * len(codes) // n))) - 1  # one more than k: the query's own row may be in the sample
-    shared = index.sparkSession.sparkContext.broadcast((middle, books, codes, norms))
+    shared = index.sparkSession.sparkContext.broadcast((middle, books, codes, norms, rests, some_ids, some_x))
+
+    def lookup(q) -> np.ndarray:
+        return np.einsum("qd,mwd->qmw", q, shared.value[1])
 
-    def lookup(column) -> np.ndarray:
-        return np.einsum("qd,mwd->qmw", _inside(_matrix(column, d)) - shared.value[0], shared.value[1])
+    def centred(column) -> np.ndarray:
+        return _inside(_matrix(column, d)) - shared.value[0]
 
     def limits(batches):
-        _, _, codes, norms = shared.value
+        middle, _, codes, norms, rests, some_ids, some_x = shared.value
+        sample = some_ids, some_x, _inside(some_x) - middle, norms, rests
         for batch in batches:
             for s in range(0, batch.num_rows, 256):
                 part = batch.slice(s, 256)
-                limit = np.partition(approximate(lookup(part.column("vector")), codes, norms), place, axis=1)[:, place]
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("vector"), pa.array(limit)], names=["id", "vector", "norm"])
+                q, ids = centred(part.column("vector")), part.column("id").to_numpy()
+                near = approximate(lookup(q), codes, norms)
+                limit = np.partition(near, place, axis=1)[:, place]
+                within, least = reach(_matrix(part.column("vector"), d), q, ids, near, (q * q).sum(1), sample, k)
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("vector"), pa.array(limit), pa.array(least), pa.array(within)], names=["id", "vector", "norm", "rest", "within"])
 
     def search(batches):
         last = None
@@ -196,13 +245,16 @@ def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 10, id_col: str
             if table is not last:
                 last, own = table, table.column("id").to_numpy()
                 chosen = _first_twins(own, table.column("twin").to_pylist(), k + 1)
-                own, row, norm = own[chosen], table.column("row").to_numpy()[chosen], table.column("norm").to_numpy()[chosen]
+                own, row, norm, rest = own[chosen], *(table.column(c).to_numpy()[chosen] for c in ("row", "norm", "rest"))
                 code = np.frombuffer(b"".join(table.column("code").to_pylist()), np.uint8).reshape(table.num_rows, -1)[chosen]
-            ids, limit = part.column("id").to_numpy(), part.column("norm").to_numpy()
-            tables = lookup(part.column("vector"))
+            ids, limit, least, within = (part.column(c).to_numpy() for c in ("id", "norm", "rest", "within"))
+            q = centred(part.column("vector"))
+            tables, length = lookup(q), (q * q).sum(1)
             for s in range(0, len(own), 4096):  # as many at once as stay in the processor's cache
                 near = approximate(tables, code[s : s + 4096], norm[s : s + 4096])
-                a, b = np.nonzero((near <= limit[:, None]) & (ids[:, None] != own[None, s : s + 4096]))
+                e, far = rest[s : s + 4096], np.sqrt(np.maximum(near + length[:, None], 0))
+                lower = far * (far - 2 * least[:, None] * e) + e * e - _slack(length, norm[s : s + 4096])
+                a, b = np.nonzero(((near <= limit[:, None]) | ~(lower > within[:, None])) & (ids[:, None] != own[None, s : s + 4096]))
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(row[b + s])], names=["query_id", "row"])
 
@@ -214,10 +266,10 @@ def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 10, id_col: str
             yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("vec_id"), pa.array(score)], names=["query_id", "vec_id", "score"])
 
     kind = index.schema["vector"].dataType.simpleString()
-    asked = written(once(asked).mapInArrow(limits, f"id long, vector {kind}, norm double"), "asked")
-    held = index.select("row", "id", F.lit(None).cast(kind).alias("vector"), "code", "norm", "twin")
+    asked = written(once(asked).mapInArrow(limits, f"id long, vector {kind}, norm double, rest double, within double"), "asked")
     nothing = lambda c, t: F.lit(None).cast(t).alias(c)
-    looking = asked.select(nothing("row", "long"), "id", "vector", nothing("code", "binary"), "norm", nothing("twin", "binary"))
+    held = index.select("row", "id", nothing("vector", kind), "code", "norm", "rest", nothing("within", "double"), "twin")
+    looking = asked.select(nothing("row", "long"), "id", "vector", nothing("code", "binary"), "norm", "rest", "within", nothing("twin", "binary"))
     found = dealt(held, looking, n, books.shape[0] + 128).mapInArrow(search, "query_id long, row long")
     pairs = found.join(index.select("row", F.col("id").alias("vec_id"), "vector"), "row").join(asked.select(F.col("id").alias("query_id"), F.col("vector").alias("asked")), "query_id")
     scored = pairs.select("query_id", "vec_id", "asked", "vector").mapInArrow(measured, "query_id long, vec_id long, score double")

@@ -312,6 +312,24 @@ def test_ann_beyond_the_sample(spark, monkeypatch):
     assert sum(len(out[q] & set(brute_nearest(x, q)[0].tolist())) for q in out) / 600 >= 0.9
 
 
+@pytest.mark.parametrize("kind", ["lengths that differ much", "half in narrow groups"])
+def test_ann_of_rows_approximated_unequally(spark, kind):
+    """No neighbour is lost where some rows are approximated much worse than others."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(4000, 64))
+    if kind == "lengths that differ much":
+        x *= np.exp(rng.normal(size=(4000, 1)) * 2)
+    else:
+        inside = rng.random(4000) < 0.5
+        x[inside] = rng.normal(size=(4, 64))[rng.integers(0, 4, inside.sum())] + x[inside] * 1e-3
+    x = x.astype("float32")
+    t = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    out = {}
+    for r in ann.nearest(t, t.filter("vec_id % 100 = 0")).collect():
+        out.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert len(out) == 40 and sum(len(out[q] & set(brute_nearest(x, q)[0].tolist())) for q in out) >= 0.99 * 400
+
+
 def test_ann_where_most_rows_share_a_vector(spark, monkeypatch):
     """Rows with one vector are found by their ids, and cost a query few distances; shards hold no vectors."""
     monkeypatch.setattr(vectors, "SHARD_BYTES", 1 << 16)
