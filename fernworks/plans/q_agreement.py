@@ -147,15 +147,18 @@ l AS (SELECT avg((x.top = y.top)::INT::DOUBLE) AS top1 FROM t x JOIN t y ON x.ad
 SELECT 'N' AS run, n, round(jaccard, 6) AS jaccard, round(top1, 6) AS top1, round(ruzicka, 6) AS ruzicka, round(spearman, 6) AS spearman, round(pearson, 6) AS pearson, round(mad, 6) AS mad, round(100.0::DOUBLE * mad / width, 6) AS mad_pct FROM m, g, j, z, h, l"""
 )
 def i13_benchmark_row(spark, sf_dir):
-    """Top-1 is over the ads that both have."""
+    """Top-1 is over the ads that both have. A measure that no ad has is null (NaN where SQL divides by zero); the row stays."""
     two = kept(runs(spark, sf_dir).filter("run in ('A', 'N')"))
     g = grouped(spark, sf_dir).drop("group").filter("run in ('A', 'N')")
-    pair = lambda df: df.drop("run_a", "run_b")
     both = agreement.common(two)
-    row = pair(agreement.vectors(g)).crossJoin(g.agg((F.max("value") - F.min("value")).alias("range")))
-    for other in (agreement.jaccard(two), agreement.top1(agreement.best(both), both.select("ad").distinct()), agreement.ruzicka(two), agreement.spearman(two)):
-        row = row.crossJoin(pair(other))
-    return _rounded(row.select(F.lit("N").alias("run"), "n", "jaccard", "top1", "ruzicka", "spearman", "pearson", "mad", (100.0 * F.col("mad") / F.col("range")).alias("mad_pct")))
+    row = agreement.jaccard(two).crossJoin(g.agg((F.max("value") - F.min("value")).alias("range")))
+    for other in (agreement.vectors(g, least=1), agreement.top1(agreement.best(both), both.select("ad").distinct()), agreement.ruzicka(two), agreement.spearman(two)):
+        row = row.join(other, ["run_a", "run_b"], "left")
+    nan = F.lit(float("nan"))
+    pearson = F.when(F.col("n") > 0, F.coalesce("pearson", nan)).alias("pearson")
+    pct = F.when(F.col("range") > 0, 100.0 * F.col("mad") / F.col("range")).when(F.col("n") > 0, nan).alias("mad_pct")
+    n = F.coalesce("n", F.lit(0)).alias("n")
+    return _rounded(row.select(F.lit("N").alias("run"), n, "jaccard", "top1", "ruzicka", "spearman", pearson, "mad", pct))
 
 
 @query(RUNS + J + ", l AS (SELECT run_a AS run, jaccard FROM j UNION ALL SELECT run_b, jaccard FROM j) SELECT CASE WHEN run = 'A' THEN 'llm' ELSE 'reranker' END AS dimension, count(*) AS n, round(avg(jaccard), 6) AS mean, round(min(jaccard), 6) AS min, round(max(jaccard), 6) AS max FROM l GROUP BY 1")

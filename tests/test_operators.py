@@ -352,6 +352,21 @@ def test_convergence_columns(spark):
     assert rows["last", 3][2:] == rows["next", 3][2:]
 
 
+@pytest.mark.parametrize("shared, suppliers", [(2, 3), (2, 0), (4, 1), (0, 2)])
+def test_benchmark_row_without_measures(spark, tmp_path, shared, suppliers):
+    """With two shared candidates no ad has a rank correlation, without suppliers none has a mean: SQL's row is still there."""
+    from helpers import database, same
+
+    from fernworks.plans import catalogue
+
+    rows = [(f, ad, 100 * ad + k + (0 if k < shared else 50 * (f == "N")), 35000.0 + 1000 * ((ad + 3 * k) % 7) + 500 * (f == "N") * k) for f in "ANR" for ad in (1, 2, 3) for k in range(5)]
+    spark.createDataFrame(rows, "l_returnflag string, l_suppkey long, l_partkey long, l_extendedprice double").coalesce(1).write.parquet(f"{tmp_path}/l")
+    spark.createDataFrame([(i + 1, i) for i in range(suppliers)], "s_suppkey long, s_nationkey int").coalesce(1).write.parquet(f"{tmp_path}/s")
+    for short, name in (("l", "lineitem"), ("s", "supplier")):
+        next((tmp_path / short).glob("*.parquet")).rename(tmp_path / f"{name}.parquet")
+    same(catalogue.QUERIES["i13_benchmark_row"](spark, str(tmp_path)), database(str(tmp_path)), catalogue.SQL["i13_benchmark_row"])
+
+
 def test_benchmark_row(spark, tmp_path):
     from fernworks.plans import catalogue
 
