@@ -16,9 +16,10 @@ if, with a c of MARGIN less than the least of theirs, its distance is at most th
 (exactly measured, so k rows are that near). Reranking is by the exact distance on the original vectors, in double
 precision. The same way is taken at every size.
 
-Shards hold codes and norms only, some hundred bytes a row; the vectors of the rows that are reranked are joined to them
-by the row's number. Of rows with the very same vector the k + 1 smallest ids can be among a query's k nearest, so a
-shard leaves the others out, and a vector that very many rows share costs a query no more than k + 1 distances in a shard.
+A shard holds its rows' codes and vectors, is bounded in bytes, and reranks its rows itself: what leaves it is the k
+nearest of its rows for each query, however many it has measured. Of rows with the very same vector the k + 1 smallest
+ids can be among a query's k nearest, so a shard leaves the others out, and a vector that very many rows share costs a
+query no more than k + 1 distances in a shard.
 
 Defined cases. Rows that can't take part: see vectors.valid; such a query has no result. Ties in distance: the smaller
 id. Repeated ids: a query counts once; a row with the query's id is never its result; other repeated rows are results
@@ -166,8 +167,8 @@ def reach(q: np.ndarray, centred_q: np.ndarray, ids: np.ndarray, near: np.ndarra
 
 
 def build(vectors: DataFrame, d: int) -> tuple[DataFrame, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The index (row, id, vector, code, norm, rest, twin) of every row, the sample's mean, the codebooks and the sample's ids
-    and vectors. row: its number; rest: the length of what its code leaves; twin: the digest of its vector.
+    """The index (id, vector, code, norm, rest, twin) of every row, the sample's mean, the codebooks and the sample's ids
+    and vectors. rest: the length of what a row's code leaves; twin: the digest of its vector.
 
     vectors: (id, vector).
     """
@@ -179,21 +180,16 @@ def build(vectors: DataFrame, d: int) -> tuple[DataFrame, np.ndarray, np.ndarray
     shared = vectors.sparkSession.sparkContext.broadcast((middle, books))
 
     def run(batches):
-        from pyspark import TaskContext
-
         middle, books = shared.value
-        number = TaskContext.get().partitionId() << 33
         for batch in batches:
             for k in range(0, batch.num_rows, 2048):
                 part = batch.slice(k, 2048)
                 x = _matrix(part.column("vector"), d)
                 codes, norm, rest = coded(x, middle, books)
                 twins = [hashlib.blake2b(r.tobytes(), digest_size=16).digest() for r in x + 0.0]  # 0.0: of both zeros
-                rows = pa.array(number + np.arange(part.num_rows))
-                number += part.num_rows
-                yield pa.RecordBatch.from_arrays([rows, part.column("id"), part.column("vector"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norm), pa.array(rest), pa.array(twins, pa.binary())], names=["row", "id", "vector", "code", "norm", "rest", "twin"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("vector"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norm), pa.array(rest), pa.array(twins, pa.binary())], names=["id", "vector", "code", "norm", "rest", "twin"])
 
-    kind = f"row long, id long, vector {vectors.schema['vector'].dataType.simpleString()}, code binary, norm double, rest double, twin binary"
+    kind = f"id long, vector {vectors.schema['vector'].dataType.simpleString()}, code binary, norm double, rest double, twin binary"
     return written(vectors.mapInArrow(run, kind), "index"), middle, books, some_ids, some_x
 
 
@@ -206,6 +202,18 @@ def _first_twins(ids: np.ndarray, twins: list[bytes], most: int) -> np.ndarray:
     return np.sort(order[rank < most])
 
 
+def _least(query: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each query's rows the k with the least scores, ties by the smaller id."""
+    order = np.lexsort((ids, score, query))
+    q = query[order]
+    order = order[np.arange(len(q)) - np.searchsorted(q, q) < k]
+    return query[order], ids[order], score[order]
+
+
+#: Components that are measured at once.
+MEASURED = 1 << 20
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", rerank: int = RERANK, reranked=None) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each query, by Euclidean distance; queries: rows alike.
 
@@ -240,40 +248,40 @@ def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 10, id_col: str
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("vector"), pa.array(limit), pa.array(least), pa.array(within)], names=["id", "vector", "norm", "rest", "within"])
 
     def search(batches):
-        last = None
+        last, step = None, -(-MEASURED // d)
         for table, part in by_shard(batches):
             if table is not last:
                 last, own = table, table.column("id").to_numpy()
                 chosen = _first_twins(own, table.column("twin").to_pylist(), k + 1)
-                own, row, norm, rest = own[chosen], *(table.column(c).to_numpy()[chosen] for c in ("row", "norm", "rest"))
+                own, norm, rest = own[chosen], *(table.column(c).to_numpy()[chosen] for c in ("norm", "rest"))
                 code = np.frombuffer(b"".join(table.column("code").to_pylist()), np.uint8).reshape(table.num_rows, -1)[chosen]
+                x = table.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
             ids, limit, least, within = (part.column(c).to_numpy() for c in ("id", "norm", "rest", "within"))
             q = centred(part.column("vector"))
-            tables, length = lookup(q), (q * q).sum(1)
+            tables, length, vector = lookup(q), (q * q).sum(1), _matrix(part.column("vector"), d)
+            best = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
             for s in range(0, len(own), 4096):  # as many at once as stay in the processor's cache
                 near = approximate(tables, code[s : s + 4096], norm[s : s + 4096])
                 e, far = rest[s : s + 4096], np.sqrt(np.maximum(near + length[:, None], 0))
                 lower = far * (far - 2 * least[:, None] * e) + e * e - _slack(length, norm[s : s + 4096])
                 a, b = np.nonzero(((near <= limit[:, None]) | ~(lower > within[:, None])) & (ids[:, None] != own[None, s : s + 4096]))
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(row[b + s])], names=["query_id", "row"])
-
-    def measured(batches):
-        for batch in batches:
-            if reranked is not None:
-                reranked.add(batch.num_rows)
-            score = exact(_matrix(batch.column("asked"), d), _matrix(batch.column("vector"), d))
-            yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("vec_id"), pa.array(score)], names=["query_id", "vec_id", "score"])
+                for i in range(0, len(a), step):
+                    at, of = a[i : i + step], b[i : i + step] + s
+                    score = exact(vector[at], x[chosen[of]].astype(np.float64))
+                    best = _least(*map(np.append, best, (at, own[of], score)), k)
+                if reranked is not None:
+                    reranked.add(len(a))
+            if len(best[0]):
+                yield pa.RecordBatch.from_arrays([pa.array(ids[best[0]]), pa.array(best[1]), pa.array(best[2])], names=["query_id", "vec_id", "score"])
 
     kind = index.schema["vector"].dataType.simpleString()
     asked = written(once(asked).mapInArrow(limits, f"id long, vector {kind}, norm double, rest double, within double"), "asked")
     nothing = lambda c, t: F.lit(None).cast(t).alias(c)
-    held = index.select("row", "id", nothing("vector", kind), "code", "norm", "rest", nothing("within", "double"), "twin")
-    looking = asked.select(nothing("row", "long"), "id", "vector", nothing("code", "binary"), "norm", "rest", "within", nothing("twin", "binary"))
-    found = dealt(held, looking, n, books.shape[0] + 128).mapInArrow(search, "query_id long, row long")
-    pairs = found.join(index.select("row", F.col("id").alias("vec_id"), "vector"), "row").join(asked.select(F.col("id").alias("query_id"), F.col("vector").alias("asked")), "query_id")
-    scored = pairs.select("query_id", "vec_id", "asked", "vector").mapInArrow(measured, "query_id long, vec_id long, score double")
-    return merged(scored, k)
+    held = index.select("id", "vector", "code", "norm", "rest", nothing("within", "double"), "twin")
+    looking = asked.select("id", "vector", nothing("code", "binary"), "norm", "rest", "within", nothing("twin", "binary"))
+    single = 4 if kind == "array<float>" else 8
+    found = dealt(held, looking, n, single * d + books.shape[0] + 128).mapInArrow(search, "query_id long, vec_id long, score double")
+    return merged(found, k)
 
 
 def op9_ann(spark, sf_dir: str) -> DataFrame:

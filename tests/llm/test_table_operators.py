@@ -354,6 +354,22 @@ def test_ann_where_most_rows_share_a_vector(spark, monkeypatch):
     assert ann._first_twins(np.zeros(0, np.int64), [], 2).tolist() == []
 
 
+def test_ann_hands_on_the_nearest_of_a_shard_only(spark, monkeypatch):
+    """Rows are measured where they lie: what is moved doesn't grow with the number of rows that are reranked."""
+    x = np.random.default_rng(12).normal(size=(3000, 16)).astype(np.float32)
+    t = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    counted, moved = spark.sparkContext.accumulator(0), []
+    merged = ann.merged
+    monkeypatch.setattr(ann, "merged", lambda found, k: moved.append(found.count()) or merged(found, k))
+    out = {}
+    for r in ann.nearest(t, t.filter("vec_id % 100 = 0"), k=3, reranked=counted).collect():
+        out.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    assert moved[0] <= 30 * 3 * spark.sparkContext.defaultParallelism < counted.value
+    want = {q: [(i, d) for d, i in sorted((float(np.sqrt(((x[q].astype(float) - x[i]) ** 2).sum())), i) for i in range(3000) if i != q)[:3]] for q in out}
+    assert len(out) == 30 and sum(len({i for i, _ in out[q]} & {i for i, _ in want[q]}) for q in out) >= 0.9 * 90
+    assert all(abs(d - float(np.sqrt(((x[q].astype(float) - x[i]) ** 2).sum()))) < 1e-12 for q in out for i, d in out[q])
+
+
 def test_ann_of_odd_sizes(spark):
     """Large, small and far-off components; doubles keep their precision."""
     rows = [(i, [1e300 * (i + 1), 1.0]) for i in range(4)] + [(10 + i, [1e8 + i * 1e-3, 5.0]) for i in range(5)] + [(20, [1e-200, 0.0]), (21, [2e-200, 0.0])]
