@@ -241,19 +241,19 @@ def solve_spread(edges: DataFrame, n: int, penalty: float = 1e-4, rounds: int =
 
     The optimum is the only one, and the gradient must vanish at what is returned (GRADIENT); else RuntimeError.
 
-    edges: (ia, ib, wins_a, wins_b), kept packed in memory or on disk while it runs (see _packed). Tasks get the vectors and
-    send back sums of their blocks of items.
+    edges: (ia, ib, wins_a, wins_b), kept packed in memory or on disk while it runs (see _packed). Tasks get the vectors,
+    the strengths once a Newton step and one vector more for each product, and send back sums of their blocks of items.
     """
     spark = edges.sparkSession
     prepare(spark)
     packs = _packed(edges, n).persist()
 
-    def summed(theta, along=None):
-        """(loss, gradient, diagonal) of the pairs, or (0, their second derivative along a vector, nothing)."""
-        shared = spark.sparkContext.broadcast((theta, along))
+    def summed(at, along=None):
+        """(loss, gradient, diagonal) of the pairs at shared strengths, or (0, their second derivative along a vector, nothing)."""
+        shared = None if along is None else spark.sparkContext.broadcast(along)
 
         def run(batches):
-            (t, x), sums, loss = shared.value, {}, 0.0
+            t, x, sums, loss = at.value, None if shared is None else shared.value, {}, 0.0
             for batch in batches:
                 for k in range(batch.num_rows):
                     first, size = batch.column("first")[k].as_py(), batch.column("size")[k].as_py()
@@ -272,7 +272,8 @@ def solve_spread(edges: DataFrame, n: int, penalty: float = 1e-4, rounds: int =
                 loss = 0.0
 
         parts = packs.mapInArrow(run, "first long, sums binary, loss double").toArrow()
-        shared.destroy()
+        if shared is not None:
+            shared.destroy()
         total = np.zeros((2 if along is None else 1, n))
         for first, sums in zip(parts.column("first").to_pylist(), parts.column("sums"), strict=True):
             x = np.frombuffer(sums.as_buffer()).reshape(len(total), -1)
@@ -282,11 +283,12 @@ def solve_spread(edges: DataFrame, n: int, penalty: float = 1e-4, rounds: int =
     dot = lambda x, y: float(np.einsum("i,i->", x, y))  # noqa: E731  as in solve
 
     def evaluate(theta):
-        loss, g, diagonal = summed(theta)
-        return loss + 0.5 * penalty * dot(theta, theta), g + penalty * theta, diagonal + penalty
+        at = spark.sparkContext.broadcast(theta)
+        loss, g, diagonal = summed(at)
+        return at, loss + 0.5 * penalty * dot(theta, theta), g + penalty * theta, diagonal + penalty
 
     theta = np.zeros(n)
-    loss, g, diagonal = evaluate(theta)
+    at, loss, g, diagonal = evaluate(theta)
     for _ in range(rounds):
         if np.abs(g).max(initial=0) < GRADIENT / 10:
             break
@@ -295,7 +297,7 @@ def solve_spread(edges: DataFrame, n: int, penalty: float = 1e-4, rounds: int =
         rz = least = dot(r, d)
         enough = min(0.1, 0.1 * rz**0.25)
         for _ in range(min(n, 500)):
-            h = summed(theta, d)[1] + penalty * d
+            h = summed(at, d)[1] + penalty * d
             step = rz / dot(d, h)
             x += step * d
             r -= step * h
@@ -307,11 +309,13 @@ def solve_spread(edges: DataFrame, n: int, penalty: float = 1e-4, rounds: int =
             rz = new
         size, slope = 1.0, dot(g, x)
         while True:
-            new_loss, new_g, diagonal = evaluate(theta + size * x)
+            at.destroy()
+            at, new_loss, new_g, diagonal = evaluate(theta + size * x)
             if new_loss <= loss + 1e-4 * size * slope + 1e-12 * abs(loss) or size < 1e-6:
                 break
             size /= 2
         theta, loss, g = theta + size * x, new_loss, new_g
+    at.destroy()
     packs.unpersist()
     _settled(g)
     return theta - theta.mean()

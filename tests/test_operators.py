@@ -352,6 +352,29 @@ def test_convergence_columns(spark):
     assert rows["last", 3][2:] == rows["next", 3][2:]
 
 
+def test_spread_fit_sends_one_vector_at_a_time(spark, monkeypatch):
+    """The strengths go to the tasks once a Newton step, not again with each product, and nothing shared is left over."""
+    rng = np.random.default_rng(3)
+    a, b = rng.integers(0, 60, 400), rng.integers(0, 60, 400)
+    rows = [(int(i), int(j), float(w), 1.0 - float(w)) for i, j, w in zip(a, b, rng.integers(0, 3, 400) / 2, strict=True) if i != j]
+    sent, left = [], []
+    broadcast = type(spark.sparkContext).broadcast
+
+    def counted(sc, value):
+        out = broadcast(sc, value)
+        sent.append(np.shape(value))
+        left.append(out)
+        destroy = out.destroy
+        out.destroy = lambda *args: (left.remove(out), destroy(*args))
+        return out
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", counted)
+    theta = pairwise.solve_spread(spark.createDataFrame(rows, "ia long, ib long, wins_a double, wins_b double"), 60)
+    assert set(sent) == {(60,)} and not left
+    i, j, x, y = (np.array(c) for c in zip(*rows, strict=True))
+    assert np.abs(theta - pairwise.solve(i, j, x, y, 60)).max() < 1e-6
+
+
 @pytest.mark.parametrize("shared, suppliers", [(2, 3), (2, 0), (4, 1), (0, 2)])
 def test_benchmark_row_without_measures(spark, tmp_path, shared, suppliers):
     """With two shared candidates no ad has a rank correlation, without suppliers none has a mean: SQL's row is still there."""
