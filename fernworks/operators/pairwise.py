@@ -122,7 +122,7 @@ def adaptive_pairs(theta: DataFrame, each: int, seed: int = 0, width: float | No
     near = near.select("x", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     chosen = matched(near.select("a", "b").distinct(), each, seed)
     counts = chosen.select(F.explode(F.array("a", "b")).alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("n"))
-    lack = of.filter(m >= each).select(F.col("item").alias("x")).join(counts, "x", "left").select("x", (each - F.coalesce("n", F.lit(0))).alias("lack")).filter("lack > 0")
+    lack = of.filter(m >= each).select(F.col("item").alias("x")).join(counts, "x", "left").select("x", (each - F.coalesce("n", F.lit(0))).alias("lack")).filter("lack > 0").hint("merge")  # as many as a part of the items
     first = F.row_number().over(Window.partitionBy("x").orderBy(_priority(seed), "a", "b"))
     chosen = chosen.union(near.join(lack, "x").join(chosen, ["a", "b"], "left_anti").withColumn("place", first).filter("place <= lack").select("a", "b")).distinct()
     few = of.filter(m < each).select("item")

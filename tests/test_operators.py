@@ -596,6 +596,16 @@ def test_adaptive_pairs_of_many_items_are_not_broadcast(spark, monkeypatch):
     assert len(plans) == 1 and "Broadcast" not in plans[0]
 
 
+def test_adaptive_pairs_send_no_table_of_items_to_all_tasks(spark, monkeypatch):
+    """Neither the candidates nor the partners of items that lack some: the result's own plan has no broadcast."""
+    from fernworks.sources import files
+
+    monkeypatch.setattr(files, "MERGED_ROWS", 300)
+    theta = spark.range(400).select(F.col("id").alias("item"), (F.col("id") % 50 / 10).alias("theta"))
+    out = pairwise.adaptive_pairs(theta, 3)
+    assert "Broadcast" not in plan(out) and out.count() > 500
+
+
 def test_residuals_of_groups_of_one_and_of_copies(spark):
     """Nothing is left of the only occupation of a group: NaN, before all numbers, as DuckDB has it. Copies tie by code."""
     import duckdb
