@@ -39,12 +39,32 @@ def shuffled_pairs(items: DataFrame, rounds: int, seed: int = 0, key: str = "ite
     return two.filter("n = 2").select("a", "b").distinct()
 
 
+#: About how many items of one value are in a block. Spark holds the pairs of two blocks at once, before they go on.
+BLOCK_ITEMS = 256
+
+
 def band_pairs(items: DataFrame, value: str, width: float, key: str = "item") -> DataFrame:
-    """(a, b), a < b, of items whose values differ by at most width: an equi-join on cells of that width and the next."""
-    cell = F.floor(F.col(value) / width)
-    left = items.select(F.col(key).alias("a"), F.col(value).alias("x"), F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell"))
-    right = items.select(F.col(key).alias("b"), F.col(value).alias("y"), cell.alias("cell"))
-    return left.join(right, "cell").filter((F.col("a") < F.col("b")) & (F.abs(F.col("x") - F.col("y")) <= width)).select("a", "b")
+    """(a, b), a < b, of items whose values differ by at most width: an equi-join of blocks on cells of that width.
+
+    Items of one value are in the same pairs of values, so they are put into blocks first, a common value into several by
+    a hash of the item; its number of blocks is sent to all tasks, a row for at least BLOCK_ITEMS items. Blocks of values
+    within the width are met with each other once, dealt anew, and written out as pairs of items: the result grows with
+    the square of the items in a width, what is joined and moved only with that of the blocks. A task holds two blocks.
+    """
+    t = items.select(F.col(key).alias("a"), F.col(value).alias("x")).filter(F.abs("x") < float("inf"))
+    often = t.groupBy("x").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ITEMS).alias("parts")).filter("parts > 1")
+    part = F.pmod(F.xxhash64("a"), F.coalesce("parts", F.lit(1)))
+    blocks = t.join(F.broadcast(often), "x", "left").groupBy("x", part.alias("part")).agg(F.collect_list("a").alias("items"))
+    cell = F.floor(F.greatest(F.least(F.col("x") / width, F.lit(4e18)), F.lit(-4e18)))
+    side = lambda s, cell: blocks.select(F.col("x").alias(f"x{s}"), F.col("part").alias(f"part{s}"), F.col("items").alias(f"items{s}"), cell.alias("cell"))
+    # a quotient may be rounded up to the cell after the next
+    met = side(1, F.explode(F.array(cell, cell + 1, cell + 2))).join(side(2, cell), "cell").filter(F.abs(F.col("x1") - F.col("x2")) <= width)
+    met = met.filter((F.col("x1") < F.col("x2")) | ((F.col("x1") == F.col("x2")) & (F.col("part1") <= F.col("part2"))))
+    same = (F.col("x1") == F.col("x2")) & (F.col("part1") == F.col("part2"))
+    tasks = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # by number, so that small files of large results are not put together
+    met = met.withColumn("same", same).select("same", "items1", "items2").repartition(tasks)
+    pairs = met.withColumn("u", F.explode("items1")).withColumn("v", F.explode("items2")).filter((F.col("u") < F.col("v")) | (~F.col("same") & (F.col("u") > F.col("v"))))
+    return pairs.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"))
 
 
 def _priority(seed: int):

@@ -606,6 +606,26 @@ def test_adaptive_pairs_send_no_table_of_items_to_all_tasks(spark, monkeypatch):
     assert "Broadcast" not in plan(out) and out.count() > 500
 
 
+def test_band_pairs_of_common_values(spark, monkeypatch):
+    """Values that many items share are met block by block: each pair once, also of items that come twice; no pair without a number."""
+    import duckdb
+    import pandas as pd
+
+    from fernworks.plans.catalogue import SQL
+
+    monkeypatch.setattr(pairwise, "BLOCK_ITEMS", 4)
+    rng = np.random.default_rng(5)
+    values = [*rng.choice([900.0, 900.1, 900.15, 900.3, -0.0, 0.0, 0.15, 1e300], 150).tolist(), *rng.normal(900, 1, 60).tolist(), math.inf, math.inf, -math.inf, math.nan, math.nan, None]
+    rows = [(i - 3 if i % 40 == 7 else i, v) for i, v in enumerate(values)]
+    out = pairwise.band_pairs(spark.createDataFrame(rows, "p_partkey long, p_retailprice double"), "p_retailprice", 0.15, "p_partkey")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE part (p_partkey BIGINT, p_retailprice DOUBLE)")
+    con.executemany("INSERT INTO part VALUES (?, ?)", rows)
+    want = con.execute(SQL["h17_band_pairs"]).fetchall()
+    assert got(out, "a", "b") == sorted(want) and len(want) > 3000
+    assert pairwise.band_pairs(spark.createDataFrame(pd.DataFrame({"item": [1], "v": [1.0]})), "v", 0.15).count() == 0
+
+
 def test_residuals_of_groups_of_one_and_of_copies(spark):
     """Nothing is left of the only occupation of a group: NaN, before all numbers, as DuckDB has it. Copies tie by code."""
     import duckdb
