@@ -115,22 +115,26 @@ class Model:
         self.symbol[:, D] = np.log(counts / of_class[words.klass])
 
     def predicted(self, symbols: np.ndarray, since: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-        """(h, with a last column of 1; the symbols' vectors; for each distance the tokens whose text does not reach so
-        far, for which END stands). since: tokens of a token's text before it."""
-        n, vectors = len(symbols), np.take(self.context, symbols, axis=0)
-        out = np.zeros((n, D + 1), vectors.dtype)
-        out[:, D] = 1
-        h, outside = out[:, :D], [np.flatnonzero(since <= k) for k in range(CONTEXT)]
-        for k in range(CONTEXT):
-            h[k + 1 :] += vectors[: max(0, n - k - 1)] * self.weight[k]
+        """(h, with a last row of 1, and the symbols' vectors, both with a column for each token; for each distance the
+        tokens whose text does not reach so far, for which END stands). since: tokens of a token's text before it."""
+        n, vectors = len(symbols), np.ascontiguousarray(np.take(self.context, symbols, axis=0).T)
+        out = np.zeros((D + 1, n), vectors.dtype)
+        out[D] = 1
+        h, near = out[:D], np.flatnonzero(since < CONTEXT)
+        outside = [near[since[near] <= k] for k in range(CONTEXT)]
+        for k, weight in enumerate(self.weight[:, :, None]):
+            h[:, k + 1 :] += vectors[:, : max(0, n - k - 1)] * weight
             other = outside[k][outside[k] > k]
-            h[other] -= vectors[other - k - 1] * self.weight[k]  # of another text
-            h[outside[k]] += self.context[END] * self.weight[k]
+            h[:, other] -= vectors[:, other - k - 1] * weight  # of another text
+            h[:, outside[k]] += self.context[END][:, None] * weight
         return out, vectors, outside
 
     def log_probabilities(self, words: Words, symbols: np.ndarray, since: np.ndarray) -> np.ndarray:
         """log10 P(symbol | symbols before) of whole texts' tokens, normalised over all symbols."""
-        h, c = self.predicted(symbols, since)[0], words.klass[symbols]
+        h, c = np.empty((len(symbols), D + 1), self.context.dtype), words.klass[symbols]
+        for k in range(0, len(h), LAST):
+            lead = min(k, CONTEXT)
+            h[k : k + LAST] = self.predicted(symbols[k - lead : k + LAST], since[k - lead : k + LAST])[0][:, lead:].T
 
         def picked(h, vectors, which):
             scores = h @ vectors.T
@@ -168,6 +172,7 @@ class Learner:
         self.log_symbol = (np.log(counts / of_class[words.klass]) + np.log(IN_NOISE)).astype(np.float32)
         self.ends = np.concatenate([[0], np.cumsum(counts)])
         self.several = np.diff(words.start) > 1
+        self.sums: dict[np.dtype, np.ndarray] = {}  # of symbols' rows, zero between batches
 
     def _step(self, name: str, index: np.ndarray, grad: np.ndarray) -> None:
         squares = np.take(self.squares[name], index, axis=0)
@@ -193,9 +198,10 @@ class Learner:
         """For each matrix the rows that a run of tokens touches, and the gradient of its log-likelihood against noise
         there. The first `lead` tokens are context alone. noise: as `noise` gives it, else drawn."""
         m, w = self.model, self.words
-        h, vectors, outside = m.predicted(symbols, since)
+        across, vectors, outside = m.predicted(symbols, since)
         order = lead + _by_symbol(symbols[lead:])
-        s, h = symbols[order], np.take(h, order, axis=0)
+        s, across = symbols[order], np.take(across, order, axis=1)
+        h = np.ascontiguousarray(across.T)
         c, kind = w.klass[s], h.dtype
         s_first, c_first = np.flatnonzero(np.diff(s, prepend=-1)), np.flatnonzero(np.diff(c, prepend=-1))
         of_s, of_c = s[s_first], c[c_first]
@@ -216,53 +222,60 @@ class Learner:
         own *= right[:, None]
         back += own
         klass = np.zeros(m.klass.shape, kind)
-        np.add.at(klass, drawn, y.T @ h)
+        first = np.flatnonzero(np.diff(drawn, prepend=-1))  # they are drawn in order
+        klass[drawn[first]] += np.add.reduceat(y.T @ h, first, axis=0)
         # the symbol: each token's own against those drawn for its class
         many, own, of_class = self.several[c], np.take(m.symbol, s, axis=0), right
         right = (many / (1 + np.exp(np.einsum("ij,ij->i", h, own) - self.log_symbol[s]))).astype(kind)
         own *= right[:, None]
         back += own
-        symbol = np.zeros(m.symbol.shape, kind)
-        symbol[of_s] = np.add.reduceat(right[:, None] * h, s_first, axis=0)
+        symbol = self.sums.setdefault(kind, np.zeros(m.symbol.shape, kind))
+        symbol[of_s] = np.add.reduceat(across * right, s_first, axis=1).T
         cuts, other = np.append(c_first, len(s)).tolist(), m.symbol[inside]
         runs = [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        y = np.empty((len(s), IN_NOISE), kind)
-        for run, o in zip(runs, other, strict=True):
-            np.matmul(h[run], o.T, out=y[run])
+        own, y = [h[run] for run in runs], np.empty((len(s), IN_NOISE), kind)
+        for run, x, o in zip(runs, own, other.transpose(0, 2, 1), strict=True):
+            np.dot(x, o, out=y[run])
         each = np.empty((len(s), IN_NOISE + 1), kind)  # of the class itself, then of the symbols drawn in it
         each[:, 0] = of_class
         np.multiply(wrong(y, np.repeat(self.log_symbol[inside], np.diff(cuts), axis=0)), many[:, None], out=each[:, 1:])
         sums = np.empty((len(runs), IN_NOISE + 1, D + 1), kind)
-        for i, (run, o) in enumerate(zip(runs, other, strict=True)):
-            back[run] += each[run, 1:] @ o
-            np.matmul(each[run].T, h[run], out=sums[i])
+        noisy, part = each[:, 1:], np.empty_like(back)
+        for run, x, o, total in zip(runs, own, other, sums, strict=True):
+            np.dot(noisy[run], o, out=part[run])
+            np.dot(each[run].T, x, out=total)
+        back += part
         klass[of_c] += sums[:, 0]
         for j in range(IN_NOISE):  # of different classes, so no symbol comes up twice
             symbol[inside[:, j]] += sums[:, j + 1]
         # the context: what comes back to a token from the positions after it
-        to = np.zeros((len(symbols), D), kind)
-        to[order] = back[:, :D]
-        context, weight, of_end = np.zeros((len(symbols), D), kind), np.empty((CONTEXT, D), kind), np.zeros(D, kind)
+        to = np.zeros((D, len(symbols)), kind)
+        to[:, order] = back[:, :D].T
+        context, weight, of_end = np.zeros((D, len(symbols)), kind), np.empty((CONTEXT, D), kind), np.zeros(D, kind)
         for k in range(CONTEXT):
             n = max(0, len(symbols) - k - 1)
-            alone = to[outside[k]]
+            alone = to[:, outside[k]]
             other = outside[k] > k
             left = outside[k][other] - k - 1  # before these stands another text
-            context[:n] += to[k + 1 :] * m.weight[k]
-            context[left] -= alone[other] * m.weight[k]
-            weight[k] = np.einsum("ij,ij->j", to[k + 1 :], vectors[:n]) - (alone[other] * vectors[left]).sum(0)
-            alone = alone.sum(0)
+            context[:, :n] += to[:, k + 1 :] * m.weight[k][:, None]
+            context[:, left] -= alone[:, other] * m.weight[k][:, None]
+            weight[k] = np.einsum("ij,ij->i", to[:, k + 1 :], vectors[:, :n]) - (alone[:, other] * vectors[:, left]).sum(1)
+            alone = alone.sum(1)
             weight[k] += alone * m.context[END]
             of_end += alone * m.weight[k]
         order = _by_symbol(symbols)
         first = np.flatnonzero(np.diff(symbols[order], prepend=-1))
-        seen, sums = symbols[order][first], np.add.reduceat(np.take(context, order, axis=0), first, axis=0)
+        seen, sums = symbols[order][first], np.add.reduceat(np.take(context, order, axis=1), first, axis=1).T
         if seen[0] != END:
             seen, sums = np.append(seen, END), np.vstack([sums, of_end])
         else:
             sums[0] += of_end
-        of_c, of_s = np.union1d(of_c, drawn), np.union1d(of_s, inside)
-        return {"klass": (of_c, klass[of_c]), "symbol": (of_s, symbol[of_s]), "context": (seen, sums), "weight": (np.arange(CONTEXT), weight)}
+        both = np.zeros(len(symbol), bool)
+        both[of_s] = both[inside] = True
+        of_c, of_s = np.union1d(of_c, drawn), np.flatnonzero(both)
+        of_symbol = symbol[of_s]
+        symbol[of_s] = 0
+        return {"klass": (of_c, klass[of_c]), "symbol": (of_s, of_symbol), "context": (seen, sums), "weight": (np.arange(CONTEXT), weight)}
 
     def batch(self, symbols: np.ndarray, since: np.ndarray, lead: int) -> None:
         for name, (index, grad) in self.gradients(symbols, since, lead).items():
