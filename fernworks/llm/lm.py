@@ -17,7 +17,7 @@ class of the batch IN_NOISE of its symbols. It is one pass over all positions of
 ROUNDS parts: each task learns from its own texts, in batches that grow as it goes on, and after a part every vector is
 averaged over the tasks that touched it. A batch is a run of tokens, so that a vector is looked up once for all the
 positions that see it. Counts, classes and shares come from all training texts, words meet their counts through the
-distinct-word table, and packs are written once and read twice.
+distinct-word table, and texts are split once and go on as numbers of their pack's words.
 
 Defined cases. Null text: as empty; empty text: the end alone is its token. Null id: remainder of the empty text.
 Repeated rows and ids: each row is scored, and learnt from, by itself. No training text: no word is known. Empty
@@ -32,6 +32,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,7 +47,11 @@ FIRST, LAST = 128, 1 << 12
 #: Tokens held at once in learning and in scoring, tokens whose scores of all classes are, and rows of a matrix that
 #: are averaged together.
 HELD, BLOCK, ROWS = 1 << 17, 1 << 10, 1024
+#: Rows of D numbers that are multiplied by one line of weights.
+LANE = 64
 END, RARE, TAILS = 0, 1, 2
+#: What a pack learns of each of its words.
+MET = np.dtype([("count", np.int64), ("symbol", np.uint16)])
 
 
 @dataclass
@@ -99,6 +104,31 @@ def _by_symbol(symbols: np.ndarray) -> np.ndarray:
     return np.argsort(symbols.astype(np.uint16), kind="stable")
 
 
+def _spaced(symbols: np.ndarray, since: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(symbols with CONTEXT times END before each text, where each of the symbols stands there). since: tokens of a token's
+    text before it. What is before a text's first tokens is thus END, and no text reaches another."""
+    first = since == 0
+    place = np.arange(len(symbols)) + CONTEXT * np.cumsum(first)
+    out = np.full(len(symbols) + CONTEXT * int(first.sum()), END, symbols.dtype)
+    out[place] = symbols
+    return out, place
+
+
+class _Shifted:
+    """Rows of D, laid one after another, and as they stand up to CONTEXT rows earlier (before) or later: as matrices of
+    LANE rows to a line, so that a weight for each component is a line too and products run along it. Outside is zero."""
+
+    def __init__(self, n: int, kind, before: bool):
+        self.lines = -(-n // LANE)
+        self.rows = np.zeros((self.lines * LANE + CONTEXT, D), kind)
+        self.first = CONTEXT if before else 0  # of the rows themselves
+        self.own = self.rows[self.first : self.first + n]
+
+    def by(self, distance: int) -> np.ndarray:
+        first = self.first - distance if self.first else distance
+        return self.rows[first : first + self.lines * LANE].reshape(self.lines, LANE * D)
+
+
 class Model:
     """context and weight make the prediction; klass and symbol have a bias as their last column."""
 
@@ -114,47 +144,56 @@ class Model:
         self.klass[:, D] = np.log(of_class / of_class.sum())
         self.symbol[:, D] = np.log(counts / of_class[words.klass])
 
-    def predicted(self, symbols: np.ndarray, since: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-        """(h, with a last row of 1, and the symbols' vectors, both with a column for each token; for each distance the
-        tokens whose text does not reach so far, for which END stands). since: tokens of a token's text before it."""
-        n, vectors = len(symbols), np.ascontiguousarray(np.take(self.context, symbols, axis=0).T)
-        out = np.zeros((D + 1, n), vectors.dtype)
-        out[D] = 1
-        h, near = out[:D], np.flatnonzero(since < CONTEXT)
-        outside = [near[since[near] <= k] for k in range(CONTEXT)]
-        for k, weight in enumerate(self.weight[:, :, None]):
-            h[:, k + 1 :] += vectors[:, : max(0, n - k - 1)] * weight
-            other = outside[k][outside[k] > k]
-            h[:, other] -= vectors[:, other - k - 1] * weight  # of another text
-            h[:, outside[k]] += self.context[END][:, None] * weight
-        return out, vectors, outside
+    def predicted(self, spaced: np.ndarray) -> tuple[np.ndarray, _Shifted, np.ndarray]:
+        """(h, the vectors of symbols, the weights as lines); spaced: see _spaced."""
+        vectors = _Shifted(len(spaced), self.context.dtype, True)
+        vectors.own[:] = np.take(self.context, spaced, axis=0)
+        weights = np.tile(self.weight, LANE)
+        h = vectors.by(1) * weights[0]
+        one = np.empty_like(h)
+        for k in range(1, CONTEXT):
+            h += np.multiply(vectors.by(k + 1), weights[k], out=one)
+        return h.reshape(-1, D)[: len(spaced)], vectors, weights
 
     def log_probabilities(self, words: Words, symbols: np.ndarray, since: np.ndarray) -> np.ndarray:
-        """log10 P(symbol | symbols before) of whole texts' tokens, normalised over all symbols."""
-        h, c = np.empty((len(symbols), D + 1), self.context.dtype), words.klass[symbols]
-        for k in range(0, len(h), LAST):
+        """log10 P(symbol | symbols before) of whole texts' tokens, normalised over all symbols. since: tokens of a token's
+        text before it."""
+        spaced, place = _spaced(symbols, since)
+        kind, c = self.context.dtype, words.klass[symbols]
+        every = np.empty((len(spaced), D), kind)
+        for k in range(0, len(spaced), LAST):
             lead = min(k, CONTEXT)
-            h[k : k + LAST] = self.predicted(symbols[k - lead : k + LAST], since[k - lead : k + LAST])[0][:, lead:].T
-
-        def picked(h, vectors, which):
-            scores = h @ vectors.T
-            top = scores.max()
-            if top > 60:  # single precision ends at 88
-                scores -= scores.max(1, keepdims=True)
-            got = scores[np.arange(len(scores)), which]
-            np.exp(scores, out=scores)
-            return got - np.log(scores @ np.ones(len(vectors), scores.dtype))
-
-        out = np.empty(len(symbols))
+            every[k : k + LAST] = self.predicted(spaced[k - lead : k + LAST])[0][lead:]
+        scores = np.empty(BLOCK * int(max(len(self.klass), np.diff(words.start).max())), kind)
+
+        def picked(h, vectors, share, which):
+            """Of a block; the biases' exponentials are given as share."""
+            size, n = h.shape[0], len(vectors)
+            s = scores[: size * n].reshape(size, n)
+            np.matmul(h, vectors[:, :D].T, out=s)
+            own = s.ravel().take(np.arange(0, size * n, n) + which) + vectors[which, D]
+            with np.errstate(over="ignore"):
+                total = np.exp(s, out=s) @ share
+            if not 1e-25 < total.min() <= total.max() < 1e35:  # near the ends of single precision
+                np.matmul(h, vectors[:, :D].T, out=s)
+                s += vectors[:, D]
+                top = s.max(1)
+                s -= top[:, None]
+                return own - top - np.log(np.exp(s, out=s).sum(1))
+            return own - np.log(total)
+
+        out, share = np.empty(len(symbols)), np.exp(self.klass[:, D])
         for k in range(0, len(out), BLOCK):
-            out[k : k + BLOCK] = picked(h[k : k + BLOCK], self.klass, c[k : k + BLOCK])
-        order = _by_symbol(symbols)
+            out[k : k + BLOCK] = picked(np.take(every, place[k : k + BLOCK], axis=0), self.klass, share, c[k : k + BLOCK])
+        order, share = _by_symbol(symbols), np.exp(self.symbol[:, D])
         cuts = np.append(np.flatnonzero(np.diff(c[order], prepend=-1)), len(order))
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            rows = order[a:b]
-            first, stop = words.start[c[rows[0]]], words.start[c[rows[0]] + 1]
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            klass = int(c[order[a]])
+            first, stop = words.start[klass], words.start[klass + 1]
             if stop - first > 1:
-                out[rows] += picked(np.take(h, rows, axis=0), self.symbol[first:stop], symbols[rows] - first)
+                for k in range(a, b, BLOCK):
+                    rows = order[k : min(b, k + BLOCK)]
+                    out[rows] += picked(np.take(every, place[rows], axis=0), self.symbol[first:stop], share[first:stop], symbols[rows] - first)
         return out / np.log(10)
 
 
@@ -172,7 +211,7 @@ class Learner:
         self.log_symbol = (np.log(counts / of_class[words.klass]) + np.log(IN_NOISE)).astype(np.float32)
         self.ends = np.concatenate([[0], np.cumsum(counts)])
         self.several = np.diff(words.start) > 1
-        self.sums: dict[np.dtype, np.ndarray] = {}  # of symbols' rows, zero between batches
+        self.slot = np.zeros(len(words.klass), np.int32)  # where a symbol's gradient stands among a batch's
 
     def _step(self, name: str, index: np.ndarray, grad: np.ndarray) -> None:
         squares = np.take(self.squares[name], index, axis=0)
@@ -198,39 +237,47 @@ class Learner:
         """For each matrix the rows that a run of tokens touches, and the gradient of its log-likelihood against noise
         there. The first `lead` tokens are context alone. noise: as `noise` gives it, else drawn."""
         m, w = self.model, self.words
-        across, vectors, outside = m.predicted(symbols, since)
+        kind = m.context.dtype
+        spaced, place = _spaced(symbols, since)
+        every, vectors, weights = m.predicted(spaced)
         order = lead + _by_symbol(symbols[lead:])
-        s, across = symbols[order], np.take(across, order, axis=1)
-        h = np.ascontiguousarray(across.T)
-        c, kind = w.klass[s], h.dtype
+        s, at = symbols[order], place[order]
+        h, c = np.ones((len(s), D + 1), kind), w.klass[s]
+        h[:, :D] = np.take(every, at, axis=0)
         s_first, c_first = np.flatnonzero(np.diff(s, prepend=-1)), np.flatnonzero(np.diff(c, prepend=-1))
         of_s, of_c = s[s_first], c[c_first]
         drawn, inside = self.noise(of_c) if noise is None else noise
 
-        def wrong(scores, log_noise):
-            """-1 / (1 + exp(log_noise - scores)), in place."""
-            np.subtract(log_noise, scores, out=scores)
-            np.exp(scores, out=scores)
-            scores += 1
-            return np.divide(-1, scores, out=scores)
-
         # the class: each token's own against those drawn for all
         own, other = np.take(m.klass, c, axis=0), m.klass[drawn]
         right = (1 / (1 + np.exp(np.einsum("ij,ij->i", h, own) - self.log_class[c]))).astype(kind)
-        y = wrong(h @ other.T, self.log_class[drawn])
-        back = y @ other
+        less = -other
+        less[:, D] += self.log_class[drawn]  # the noise's logarithm less the score
+        back, total = np.empty_like(h), np.zeros_like(other)
+        for k in range(0, len(s), BLOCK):  # what is at work stays in the processor's cache
+            x = h[k : k + BLOCK]
+            y = x @ less.T
+            np.exp(y, out=y)
+            y += 1
+            np.divide(-1, y, out=y)
+            np.matmul(y, other, out=back[k : k + BLOCK])
+            total += y.T @ x
         own *= right[:, None]
         back += own
         klass = np.zeros(m.klass.shape, kind)
         first = np.flatnonzero(np.diff(drawn, prepend=-1))  # they are drawn in order
-        klass[drawn[first]] += np.add.reduceat(y.T @ h, first, axis=0)
+        klass[drawn[first]] += np.add.reduceat(total, first, axis=0)
         # the symbol: each token's own against those drawn for its class
         many, own, of_class = self.several[c], np.take(m.symbol, s, axis=0), right
         right = (many / (1 + np.exp(np.einsum("ij,ij->i", h, own) - self.log_symbol[s]))).astype(kind)
         own *= right[:, None]
         back += own
-        symbol = self.sums.setdefault(kind, np.zeros(m.symbol.shape, kind))
-        symbol[of_s] = np.add.reduceat(across * right, s_first, axis=1).T
+        both = np.zeros(len(m.symbol), bool)
+        both[of_s] = both[inside] = True
+        touched = np.flatnonzero(both)
+        self.slot[touched] = np.arange(len(touched))
+        symbol = np.zeros((len(touched), D + 1), kind)
+        symbol[self.slot[of_s]] = np.add.reduceat(h * right[:, None], s_first, axis=0)
         cuts, other = np.append(c_first, len(s)).tolist(), m.symbol[inside]
         runs = [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         own, y = [h[run] for run in runs], np.empty((len(s), IN_NOISE), kind)
@@ -238,7 +285,10 @@ class Learner:
             np.dot(x, o, out=y[run])
         each = np.empty((len(s), IN_NOISE + 1), kind)  # of the class itself, then of the symbols drawn in it
         each[:, 0] = of_class
-        np.multiply(wrong(y, np.repeat(self.log_symbol[inside], np.diff(cuts), axis=0)), many[:, None], out=each[:, 1:])
+        np.subtract(np.repeat(self.log_symbol[inside], np.diff(cuts), axis=0), y, out=y)
+        np.exp(y, out=y)
+        y += 1
+        np.divide(-many[:, None].astype(kind), y, out=each[:, 1:])
         sums = np.empty((len(runs), IN_NOISE + 1, D + 1), kind)
         noisy, part = each[:, 1:], np.empty_like(back)
         for run, x, o, total in zip(runs, own, other, sums, strict=True):
@@ -247,35 +297,20 @@ class Learner:
         back += part
         klass[of_c] += sums[:, 0]
         for j in range(IN_NOISE):  # of different classes, so no symbol comes up twice
-            symbol[inside[:, j]] += sums[:, j + 1]
+            symbol[self.slot[inside[:, j]]] += sums[:, j + 1]
         # the context: what comes back to a token from the positions after it
-        to = np.zeros((D, len(symbols)), kind)
-        to[:, order] = back[:, :D].T
-        context, weight, of_end = np.zeros((D, len(symbols)), kind), np.empty((CONTEXT, D), kind), np.zeros(D, kind)
+        to, weight = _Shifted(len(spaced), kind, False), np.empty((CONTEXT, D), kind)
+        to.own[at] = back[:, :D]
+        context, lines = np.zeros((to.lines, LANE * D), kind), np.ones(to.lines, kind)
+        one = np.empty_like(context)
         for k in range(CONTEXT):
-            n = max(0, len(symbols) - k - 1)
-            alone = to[:, outside[k]]
-            other = outside[k] > k
-            left = outside[k][other] - k - 1  # before these stands another text
-            context[:, :n] += to[:, k + 1 :] * m.weight[k][:, None]
-            context[:, left] -= alone[:, other] * m.weight[k][:, None]
-            weight[k] = np.einsum("ij,ij->i", to[:, k + 1 :], vectors[:, :n]) - (alone[:, other] * vectors[:, left]).sum(1)
-            alone = alone.sum(1)
-            weight[k] += alone * m.context[END]
-            of_end += alone * m.weight[k]
-        order = _by_symbol(symbols)
-        first = np.flatnonzero(np.diff(symbols[order], prepend=-1))
-        seen, sums = symbols[order][first], np.add.reduceat(np.take(context, order, axis=1), first, axis=1).T
-        if seen[0] != END:
-            seen, sums = np.append(seen, END), np.vstack([sums, of_end])
-        else:
-            sums[0] += of_end
-        both = np.zeros(len(symbol), bool)
-        both[of_s] = both[inside] = True
-        of_c, of_s = np.union1d(of_c, drawn), np.flatnonzero(both)
-        of_symbol = symbol[of_s]
-        symbol[of_s] = 0
-        return {"klass": (of_c, klass[of_c]), "symbol": (of_s, of_symbol), "context": (seen, sums), "weight": (np.arange(CONTEXT), weight)}
+            context += np.multiply(to.by(k + 1), weights[k], out=one)
+            weight[k] = (lines @ np.multiply(to.by(0), vectors.by(k + 1), out=one)).reshape(LANE, D).sum(0)
+        order = _by_symbol(spaced)
+        first = np.flatnonzero(np.diff(spaced[order], prepend=-1))
+        seen, sums = spaced[order[first]], np.add.reduceat(np.take(context.reshape(-1, D), order, axis=0), first, axis=0)
+        of_c = np.union1d(of_c, drawn)
+        return {"klass": (of_c, klass[of_c]), "symbol": (touched, symbol), "context": (seen, sums), "weight": (np.arange(CONTEXT), weight)}
 
     def batch(self, symbols: np.ndarray, since: np.ndarray, lead: int) -> None:
         for name, (index, grad) in self.gradients(symbols, since, lead).items():
@@ -354,56 +389,61 @@ def _words(totals: DataFrame, end: int, vocabulary: int = VOCABULARY) -> Words:
     return Words(classes, [w for w, _ in found], [n for _, n in found], mass, tokens + end, types + (end > 0), once, twice, end)
 
 
-def _tagged(packed: DataFrame, vocabulary: DataFrame, totals: DataFrame, n: int, words: Words, id_type) -> DataFrame:
+def _tagged(packed: DataFrame, vocabulary: DataFrame, totals: DataFrame, words: Words, id_type) -> DataFrame:
     """Each document with its counts, base score, the last factor of its score, and its symbols."""
     shared = packed.sparkSession.sparkContext.broadcast(words)
 
     def begin():
-        number: dict[bytes, int] = {}
+        """A bucket's words, each looked at once, get their symbols; a pack's get counts and symbols."""
+        words, at = shared.value, {}
+        known = [np.array([(0, RARE)], MET)]  # first: of words that training has not seen
 
-        def answer(ws, counts, total):
+        def answer(ws, c, total):
             if total:
-                number.update(zip(ws, counts.tolist(), strict=True))
+                symbol = np.fromiter((words.number.get(w, -1) for w in ws), np.int32, len(ws))
+                tail = np.flatnonzero((symbol < 0) & (c > 1))
+                symbol[tail] = words.tail[np.fromiter((suffix_class(ws[i], words.classes) for i in tail.tolist()), np.int64, len(tail))]
+                symbol[c <= 1] = RARE
+                at.update(zip(ws, range(len(at) + 1, len(at) + 1 + len(ws)), strict=True))
+                known.append(np.empty(len(ws), MET))
+                known[-1]["count"], known[-1]["symbol"] = c, symbol
                 return b""
-            return np.fromiter((number.get(w, 0) for w in ws), np.int64, len(ws)).tobytes()
+            if len(known) > 1:
+                known[:] = [np.concatenate(known)]
+            return known[0][np.fromiter((at.get(w, 0) for w in ws), np.int64, len(ws))].tobytes()
 
         return answer
 
-    def finish(table, texts, known):
+    def finish(table, met):
         words = shared.value
-        at: dict[bytes, int] = {}
-        c = [np.zeros(0, np.int64)]
-        for ws, payload in known:
-            at.update(zip(ws, range(len(at), len(at) + len(ws)), strict=True))
-            c.append(np.frombuffer(payload, np.int64))
-        c = np.concatenate(c)
+        c, symbol = np.append(met["count"], words.end), np.append(met["symbol"], np.uint16(END))  # and the end of a text
         new = (words.once + 1) / (words.once + 2 * words.twice + 2) if words.once else 1.0
-        symbol = np.fromiter((words.number.get(w, -1) for w in at), np.int32, len(at))
-        ordered = list(at)
-        tail = np.flatnonzero((symbol < 0) & (c > 1))
-        of = np.fromiter((suffix_class(ordered[i], words.classes) for i in tail), np.int64, len(tail))
-        symbol[tail] = words.tail[of]
-        symbol[c <= 1] = RARE
-        share = np.zeros(len(c))
-        share[tail] = np.log10(c[tail] / words.mass[of])
+        mass = np.zeros(len(words.klass))
+        mass[words.tail] = words.mass
+        share, tail = np.zeros(len(c)), np.flatnonzero(mass[symbol] > 0)
+        share[tail] = np.log10(c[tail] / mass[symbol[tail]])
+        rare = symbol == RARE
         if words.once:
-            share[c == 1] = np.log10((1 - new) / words.once)
-        share[c == 0] = np.log10(new)
+            share[rare & (c == 1)] = np.log10((1 - new) / words.once)
+        share[rare & (c == 0)] = np.log10(new)
         base = np.log10((c + 1) / (words.tokens + words.types + 1))
-        base_end = float(np.log10((words.end + 1) / (words.tokens + words.types + 1)))
-        end = np.array([END], np.uint16).tobytes()
-        small = symbol.astype(np.uint16)
-        rows = []
-        for t in texts:
-            here = W.positions(t, True, at)
-            rows.append((len(here) + 1, int((c[here] > 0).sum()) + (words.end > 0), float(base[here].sum()) + base_end, float(share[here].sum()), small[here].tobytes() + end))
-        cols = list(zip(*rows, strict=True)) or [()] * 5
-        types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary())
-        return pa.table([table.column("k0"), table.column("k1"), *(pa.array(x, t) for x, t in zip(cols, types, strict=True))], names=["k0", "k1", "n_tokens", "n_known", "base_score", "share", "symbols"])
+        # every text's words, and its end, which has the number after theirs
+        numbers = table.column("numbers").combine_chunks()
+        n = pc.list_value_length(numbers).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        stop = np.cumsum(n)
+        here = np.full(n.sum(), len(c) - 1, np.int32)
+        word = np.ones(len(here), bool)
+        word[stop - 1] = False
+        here[word] = numbers.flatten().to_numpy(zero_copy_only=False)
+        start = stop - n
+        total = lambda each: np.add.reduceat(each[here], start)
+        small = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(np.append(0, 2 * stop).astype(np.int32)), pa.py_buffer(symbol[here])])
+        cols = (pa.array(n), pa.array(total((c > 0).astype(np.int64))), pa.array(total(base)), pa.array(total(share)), small)
+        return pa.table([table.column("k0"), table.column("k1"), *cols], names=["k0", "k1", "n_tokens", "n_known", "base_score", "share", "symbols"])
 
     schema = T.StructType([T.StructField("k0", id_type), *T._parse_datatype_string("k1 boolean, n_tokens long, n_known long, base_score double, share double, symbols binary").fields])
     replies = W.answers(vocabulary.unionByName(totals), begin)
-    return written(W.joined(packed, replies, n, finish, schema, lower=True), "tagged")
+    return written(W.met(packed, replies, MET, finish, schema), "tagged")
 
 
 def train(tagged: DataFrame, words: Words, rounds: int = ROUNDS) -> Model:
@@ -469,13 +509,14 @@ def fitted(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", f
     prepare(docs.sparkSession)
     flagged = docs.select(F.col(id_col).alias("id"), text_of(docs, text_col).alias("text"), (remainder(F.col(id_col), folds) == held_out).alias("out"))
     with passing(docs.sparkSession) as keep:
-        packed = written(W.texts(W.pack_source(flagged, ["id", "out"], "text"), pack_bytes), "packs")
         size, end = flagged.agg(F.sum(F.octet_length("text").cast("long")), F.count_if(~F.col("out"))).first()
         n = W.bucket_count(size or 0)
-        vocabulary = written(W.vocabularies(packed, n, lower=True, count=lambda t: [0 if x else 1 for x in t.column("k1").to_pylist()]), "vocabulary")
+        source = W.pack_source(flagged, ["id", "out"], "text")
+        both = written(W.numbered(source, n, lower=True, pack_bytes=pack_bytes, counted=lambda t: [not x for x in t.column("k1").to_pylist()]), "packs")
+        packed, vocabulary = both.filter("bucket < 0").select("pack", "body"), both.filter("bucket >= 0").drop("body")
         totals = written(W.totals(vocabulary), "totals")
         words = _words(totals, end, most)
-        tagged = keep(_tagged(packed, vocabulary, totals, n, words, docs.schema[id_col].dataType))
+        tagged = keep(_tagged(packed, vocabulary, totals, words, docs.schema[id_col].dataType))
     return tagged, words, train(tagged, words, rounds)
 
 

@@ -7,6 +7,8 @@ there by position. So what is shuffled is each pack's vocabulary and a compresse
 each token, and a very common word has one entry for each pack, not for each use. A task holds the distinct words of
 one bucket at most, and the number of buckets grows with the texts.
 
+Or texts are split once for all (`numbered`): a pack then holds the numbers of its words instead of its texts.
+
 Packs are made once: in a table, or in an exchange that both readers share. So both see the same packs, however the
 input is cut.
 """
@@ -14,11 +16,11 @@ input is cut.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,9 @@ from .common import freeze, give_back, packs, prepare, table_bytes, text_of, tha
 #: Bytes of text in a pack. A pack's texts, vocabulary and answers are in one Python worker's memory together.
 PACK_BYTES = 16 << 20
 
+#: Words of so many bytes have their buckets reckoned together, longer ones one by one.
+SHORT = 32
+
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -85,41 +90,87 @@ def texts(source: DataFrame, pack_bytes: int) -> DataFrame:
     return source.mapInArrow(run, "pack long, body binary")
 
 
-def vocabularies(packed: DataFrame, n: int, *, lower: bool, count: Callable | None = None) -> DataFrame:
-    """(pack, bucket, words, counts): each pack's distinct words by bucket, one to a line.
+def vocabularies(packed: DataFrame, n: int, *, lower: bool) -> DataFrame:
+    """(pack, bucket, words, counts): each pack's distinct words by bucket, one to a line; nothing is counted.
 
-    packed: see texts. count: None, or from a pack's table to the rows (booleans) whose words are counted; counts then
-    has an int64 for each word.
+    packed: see texts.
     """
     prepare(packed.sparkSession)
 
     def run(batches):
         for batch in batches:
             for pack, body in zip(batch.column("pack").to_pylist(), batch.column("body"), strict=True):
-                table = thaw(body.as_buffer())
-                text = table_bytes(table.column("text"))
-                if count is None:
-                    number = distinct(text, lower)
-                else:
-                    number, left_out = Counter(), Counter()
-                    for t, counted in zip(text, count(table), strict=True):
-                        ws = split(t, lower)
-                        number.update(ws)
-                        if not counted:
-                            left_out.update(ws)
-                    for w, k in left_out.items():
-                        number[w] -= k
-                del text, table
-                rows = [(b, b"\n".join(ws), b"" if count is None else np.fromiter(map(number.__getitem__, ws), np.int64, len(ws)).tobytes()) for b, ws in in_buckets(number, n)]
-                del number
+                rows = [(b, b"\n".join(ws)) for b, ws in in_buckets(distinct(table_bytes(thaw(body.as_buffer()).column("text")), lower), n)]
                 if rows:
-                    bs, ws, cs = zip(*rows, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([pack] * len(bs), pa.int64()), pa.array(bs, pa.int32()), pa.array(ws, pa.binary()), pa.array(cs, pa.binary())], names=["pack", "bucket", "words", "counts"])
+                    bs, ws = zip(*rows, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array([pack] * len(bs), pa.int64()), pa.array(bs, pa.int32()), pa.array(ws, pa.binary()), pa.array([b""] * len(bs), pa.binary())], names=["pack", "bucket", "words", "counts"])
         give_back()
 
     return packed.mapInArrow(run, "pack long, bucket int, words binary, counts binary")
 
 
+def _hashes(words: pa.LargeBinaryArray) -> np.ndarray:
+    """A hash of each word, for its bucket."""
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    start = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    data, length = np.frombuffer(words.buffers()[2] or b"", np.uint8), np.diff(start)
+    out = np.full(len(words), 0xCBF29CE484222325, np.uint64)
+    for k in range(min(SHORT, int(length.max()))):
+        at = np.flatnonzero(length > k)
+        out[at] = (out[at] ^ data[start[at] + k]) * np.uint64(0x100000001B3)
+    for i in np.flatnonzero(length > SHORT).tolist():
+        out[i] = zlib.crc32(words[i].as_buffer())
+    return out ^ (out >> np.uint64(32))
+
+
+def number_pack(text: pa.Array, n: int, lower: bool) -> tuple[np.ndarray, np.ndarray, pa.LargeBinaryArray, np.ndarray]:
+    """(number of each text's words; each word's number, text after text; the distinct words by bucket; their buckets).
+    Words are numbered as the distinct ones stand."""
+    text = text.cast(pa.large_string())
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(text) if lower else text)
+    size = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
+    coded = parts.flatten().dictionary_encode()
+    del parts
+    number, known = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.cast(pa.large_binary())
+    length = pc.binary_length(known).to_numpy(zero_copy_only=False)
+    bucket = (_hashes(known) % np.uint64(n)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    if not length.all():  # white space at an end of a text leaves an empty word there
+        order, real = order[length[order] > 0], length[number] > 0
+        size = np.bincount(np.repeat(np.arange(len(size)), size)[real], minlength=len(size))
+        number = number[real]
+    place = np.zeros(len(known), np.int32)
+    place[order] = np.arange(len(order))
+    return size, place[number], known.take(pa.array(order)), bucket[order]
+
+
+def numbered(source: DataFrame, n: int, *, lower: bool, pack_bytes: int, counted: Callable) -> DataFrame:
+    """(pack, bucket, words, counts, body): each pack's distinct words by bucket, one to a line, with an int64 for each
+    word's uses in the rows that counted(pack's table), booleans, is true for; and one row of bucket -1 whose body is the
+    pack's other columns with each text as `numbers`, the numbers of its words, compressed. Words are numbered from 0
+    through the pack's buckets in their order. Each text is split once, here.
+    """
+    prepare(source.sparkSession)
+
+    def run(batches):
+        for pack, table in packs(batches, "text", pack_bytes):
+            text = table.column("text")
+            size, number, words, bucket = number_pack(text.cast(pa.large_string()).combine_chunks(), n, lower)
+            table = table.drop_columns("text")
+            counts = np.bincount(number[np.repeat(np.asarray(counted(table), bool), size)], minlength=len(words)).astype(np.int64)
+            cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(words))
+            lines = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(cuts, pa.int64()), words), pa.scalar(b"\n", pa.large_binary()))
+            parts = [counts[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            del text, words
+            table = table.replace_schema_metadata({"words": str(len(counts))}).append_column("numbers", pa.LargeListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)), pa.int64()), pa.array(number)))
+            k = len(parts)
+            yield pa.RecordBatch.from_arrays([pa.array([pack] * (k + 1), pa.int64()), pa.array([*bucket[cuts[:-1]].tolist(), -1], pa.int32()), pa.array([*lines.to_pylist(), None], pa.binary()), pa.array([*parts, None], pa.binary()), pa.array([None] * k + [freeze(table)], pa.binary())], names=["pack", "bucket", "words", "counts", "body"])
+        give_back()
+
+    return source.mapInArrow(run, "pack long, bucket int, words binary, counts binary, body binary")
+
+
 def in_turn(df: DataFrame, *keys: str) -> DataFrame:
     """Rows dealt by the first key, each task's in the order of all of them."""
     return df.repartition(keys[0]).sortWithinPartitions(*keys)
@@ -197,6 +248,30 @@ def joined(packed: DataFrame, replies: DataFrame, n: int, finish: Callable, sche
             out.append(finish(table, text, known))
         return pa.concat_tables(out) if out else None
 
+    return _together(packed, replies, run, schema)
+
+
+def met(packed: DataFrame, replies: DataFrame, item: np.dtype, finish: Callable, schema) -> DataFrame:
+    """Each pack of `numbered` with its replies: finish(table, payload) -> pa.Table. payload: from `answers`, whose payloads
+    are arrays of item, one for each word; here of all buckets, so in the order of the words' numbers."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        payload = right.column("payload").to_pylist()
+        payload = np.frombuffer(b"".join(payload[i] for i in np.argsort(right.column("bucket").to_numpy())), item)
+        out = []
+        for body in left.column("body").to_pylist():
+            table = thaw(body)
+            if int(table.schema.metadata[b"words"]) != len(payload):
+                raise RuntimeError("a pack's words and their replies differ")
+            out.append(finish(table, payload))
+        return pa.concat_tables(out) if out else None
+
+    return _together(packed, replies, run, schema)
+
+
+def _together(packed: DataFrame, replies: DataFrame, run: Callable, schema) -> DataFrame:
+    """run(a pack's rows, its replies) for each pack."""
+
     def safe(left: pa.Table, right: pa.Table) -> pa.Table:
         got = run(left, right)
         give_back()

@@ -262,6 +262,33 @@ def test_lm_learns_from_context(spark):
     assert held[0] - flat[0] > 0.15 * held[1]  # at most log10(2) a token
 
 
+def test_lm_packs_are_split_once(spark):
+    """A pack names its words by number: these and their counts are those of splitting at ASCII white space in Python."""
+    long = ["x" * 40, "y" * 1000 + "\u00e9", "x" * 41]
+    texts = ["", " ", "a", " a  B\tb\n", "\x0ba\x0c\ra\x1c\x85b\u00a0c\u2003d", "\u00c9 \u00e9 A\u0130", " ".join(long), "\n".join(long[::-1]) + " ", "b a " * 50]
+    d = spark.createDataFrame([(i, i % 3 == 0, t) for i, t in enumerate(texts)], "k0 long, k1 boolean, text string").repartition(2)
+    for n, pack_bytes in ((1, 1 << 20), (7, 30)):
+        rows = words.numbered(d, n, lower=True, pack_bytes=pack_bytes, counted=lambda t: t.column("k1").to_pylist()).collect()
+        seen = []
+        for body in (r for r in rows if r["bucket"] < 0):
+            table, lines = words.thaw(body["body"]), sorted((r for r in rows if r["pack"] == body["pack"] and r["bucket"] >= 0), key=lambda r: r["bucket"])
+            known = [w for r in lines for w in bytes(r["words"]).split(b"\n")]
+            counts = [c for r in lines for c in np.frombuffer(r["counts"], np.int64).tolist()]
+            assert len(set(known)) == len(known) and len({r["bucket"] for r in lines}) == len(lines) and "text" not in table.column_names
+            want = dict.fromkeys(known, 0)
+            for i, k1, numbers in zip(*(table.column(c).to_pylist() for c in ("k0", "k1", "numbers")), strict=True):
+                assert [known[k] for k in numbers] == words.split(texts[i].encode(), True)
+                seen.append(i)
+                for w in words.split(texts[i].encode(), True):
+                    want[w] += k1
+            assert counts == [want[w] for w in known]
+        assert sorted(seen) == list(range(len(texts)))
+        place = {}
+        for r in rows:  # a word is in one bucket, whatever the pack
+            for w in bytes(r["words"]).split(b"\n") if r["bucket"] >= 0 else ():
+                assert place.setdefault(w, r["bucket"]) == r["bucket"] < n
+
+
 def test_lm_edges(spark, monkeypatch):
     """Null and repeated ids, one long text, clashing columns; another cut of the input gives the same counts."""
     rows = [(None, "a b"), (None, "a b"), (3, "a b c"), (3, "b a"), (4, "w x y z " * 60000), (5, None)]
