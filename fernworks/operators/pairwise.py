@@ -226,8 +226,9 @@ PACK, BLOCK = 1 << 16, 1_000_000
 
 
 def _packed(edges: DataFrame, n: int) -> DataFrame:
-    """(first, size, i, j, w, t) of packs of pairs as arrays in bytes: items from first to first + size, i (from first on)
-    with opponent j, i's wins and both ones' wins. A pair is there from both sides, so a sum by item is a sum inside a block."""
+    """(first, size, i, j, w, t, unit) of packs of pairs as arrays in bytes: items from first to first + size, i (from first
+    on) with opponent j, i's wins and both ones' wins, counted in bytes as multiples of unit where they are whole or half
+    (unit 0.5), else as doubles (1). A pair is there from both sides, so a sum by item is a sum inside a block."""
     blocks = max(1, min(n, max(edges.sparkSession.sparkContext.defaultParallelism, -(-2 * edges.count() // BLOCK))))
     size = -(-n // blocks)
     total = F.col("wins_a") + F.col("wins_b")
@@ -237,8 +238,10 @@ def _packed(edges: DataFrame, n: int) -> DataFrame:
     def pack(rows):
         i, j, w, t = (np.concatenate([b.column(c).to_numpy() for b in rows]) for c in ("i", "j", "w", "t"))
         first = int(i[0]) // size * size
-        parts = [(i - first).astype(np.int32), j.astype(np.int32), w, t]
-        return pa.RecordBatch.from_arrays([pa.array([first]), pa.array([min(size, n - first)]), *(pa.array([x.tobytes()], pa.binary()) for x in parts)], names=["first", "size", "i", "j", "w", "t"])
+        short = [(2 * x).astype(np.uint8) if ((x >= 0) & (x < 128)).all() else x for x in (w, t)]
+        halves = all(x.dtype == np.uint8 and (x == 2 * y).all() for x, y in zip(short, (w, t), strict=True))
+        parts = [(i - first).astype(np.int32), j.astype(np.int32), *(short if halves else (w, t))]
+        return pa.RecordBatch.from_arrays([pa.array([first]), pa.array([min(size, n - first)]), *(pa.array([x.tobytes()], pa.binary()) for x in parts), pa.array([0.5 if halves else 1.0])], names=["first", "size", "i", "j", "w", "t", "unit"])
 
     def run(batches):
         held, rows = [], 0
@@ -252,12 +255,101 @@ def _packed(edges: DataFrame, n: int) -> DataFrame:
         if rows:
             yield pack(held)
 
-    return both.repartitionById(blocks, F.floor(F.col("i") / size).cast("int")).mapInArrow(run, "first long, size long, i binary, j binary, w binary, t binary")
+    return both.repartitionById(blocks, F.floor(F.col("i") / size).cast("int")).mapInArrow(run, "first long, size long, i binary, j binary, w binary, t binary, unit double")
+
+
+def _unpacked(batch, k: int):
+    """(first, size, i, j, w or None, t) of a pack."""
+    first, size, unit = (batch.column(c)[k].as_py() for c in ("first", "size", "unit"))
+    raw = lambda c, kind: np.frombuffer(batch.column(c)[k].as_buffer(), kind)
+    count = lambda c: raw(c, np.uint8) * 0.5 if unit == 0.5 else raw(c, float)
+    return first, size, raw("i", np.int32), raw("j", np.int32), count("w") if "w" in batch.schema.names else None, count("t")
+
+
+def _weight(t, d):
+    """The second derivative of a pair's part of the loss; the same from both sides."""
+    e = np.exp(-np.abs(d))
+    return t * e / ((1 + e) * (1 + e))
+
+
+#: Products of a Newton step from which on it pays to make the forest anew, and how often its trees are joined with others.
+FOREST_PAYS, FOREST_JOINS = 5, 2
+
+
+def _joined(trees: np.ndarray, u: np.ndarray, v: np.ndarray, w: np.ndarray):
+    """Each tree joined with another by its heaviest of the edges (u, v, w), which all lead from one tree to another: the
+    trees of the items then, and the places of the edges taken. An edge may be there twice. Edges that weigh the same go by
+    their place, so no circle is made."""
+    top, pick = np.zeros(len(trees)), np.full(len(trees), len(u), np.int32)
+    for end in (u, v):
+        np.maximum.at(top, trees[end], w)
+    for end in (u, v):
+        s = np.flatnonzero(w == top[trees[end]]).astype(np.int32)
+        np.minimum.at(pick, trees[end[s]], s)
+    tree = np.flatnonzero(pick < len(u))
+    edge = pick[tree]
+    to = np.arange(len(trees), dtype=np.int32)
+    to[tree] = trees[u[edge]] + trees[v[edge]] - tree
+    back = tree[(to[to[tree]] == tree) & (tree < to[tree])]
+    to[back] = back
+    while True:
+        further = to[to]
+        if (further == to).all():
+            return to[trees], np.unique(edge)
+        to = further
+
+
+def _levels(u: np.ndarray, v: np.ndarray, t: np.ndarray, n: int) -> list:
+    """The edges of a forest as [(item, next, t)], leaves first: an item of a level has no other edge but to later ones and to next."""
+    at = np.arange(len(u), dtype=np.int32)
+    degree, others, edges = np.zeros((3, n), np.int32)  # sums may wrap round, what is left of them at a leaf doesn't
+    for x, y in ((u, v), (v, u)):
+        np.add.at(degree, x, 1)
+        np.add.at(others, x, y)
+        np.add.at(edges, x, at)
+    out, leaf = [], np.flatnonzero(degree == 1)
+    while len(leaf):
+        then = others[leaf]
+        leaf = leaf[(degree[then] > 1) | (leaf < then)]  # of two that are left the smaller
+        then = others[leaf]
+        out.append((leaf.astype(np.int32), then.astype(np.int32), t[edges[leaf]]))
+        degree[leaf] = 0
+        for x, less in ((degree, 1), (others, leaf), (edges, edges[leaf])):
+            np.subtract.at(x, then, less)
+        then = np.unique(then)
+        leaf = then[degree[then] == 1]
+    return out
+
+
+def _eased(diagonal: np.ndarray, theta: np.ndarray, levels: list) -> Callable[[np.ndarray], np.ndarray]:
+    """The function that solves the second derivatives with all pairs outside the forest left out but on the diagonal."""
+    left, steps = diagonal.copy(), []
+    for item, then, t in levels:
+        w = _weight(t, theta[item] - theta[then]) * (1 - 1e-9)
+        part = w / left[item]
+        np.subtract.at(left, then, w * part)
+        steps.append((item, then, part))
+
+    def solved(r):
+        z = r.copy()
+        for item, then, part in steps:
+            np.add.at(z, then, part * z[item])
+        z /= left
+        for item, then, part in reversed(steps):
+            z[item] += part * z[then]
+        return z
+
+    return solved
 
 
 def solve_spread(edges: DataFrame, n: int, penalty: float = 1e-4, rounds: int = 200) -> np.ndarray:
-    """The same strengths with the pairs left in Spark: Newton steps, each solved as far as it pays by conjugate gradients
-    with the diagonal taken out. The driver has some ten vectors of the items; a job goes over all pairs once.
+    """The same strengths with the pairs left in Spark: Newton steps, each solved as far as it pays by conjugate gradients.
+    The driver has some ten vectors of the items; a job goes over all pairs once.
+
+    Where a few comparisons tie items to each other much more than to the rest (long chains, groups that win against all
+    others), the diagonal alone eases too little. A forest of the pairs that weigh most is solved exactly as well, item by
+    item from its leaves: each item's heaviest pair, then each tree's to another one. It has less than a pair an item, and
+    is found by FOREST_JOINS jobs when a Newton step has taken more than FOREST_PAYS products.
 
     The optimum is the only one, and the gradient must vanish at what is returned (GRADIENT); else RuntimeError.
 
@@ -267,31 +359,30 @@ def solve_spread(edges: DataFrame, n: int, penalty: float = 1e-4, rounds: int =
     spark = edges.sparkSession
     prepare(spark)
     packs = _packed(edges, n).persist()
+    unwon = packs.drop("w")
 
     def summed(at, along=None):
-        """(loss, gradient, diagonal) of the pairs at shared strengths, or (0, their second derivative along a vector, nothing)."""
+        """(loss, gradient, diagonal) of the pairs at shared strengths, or (0, their second derivative along a vector)."""
         shared = None if along is None else spark.sparkContext.broadcast(along)
 
         def run(batches):
             t, x, sums, loss = at.value, None if shared is None else shared.value, {}, 0.0
             for batch in batches:
                 for k in range(batch.num_rows):
-                    first, size = batch.column("first")[k].as_py(), batch.column("size")[k].as_py()
-                    i, j, won, all_ = (np.frombuffer(batch.column(c)[k].as_buffer(), kind) for c, kind in (("i", np.int32), ("j", np.int32), ("w", float), ("t", float)))
+                    first, size, i, j, won, all_ = _unpacked(batch, k)
                     out = sums.setdefault(first, np.zeros((2 if x is None else 1, size)))
                     d = t[first : first + size][i] - t[j]
-                    p = 1 / (1 + np.exp(-np.clip(d, -700, 700)))
-                    w = all_ * p * (1 - p)
                     if x is None:
                         loss += float(np.sum(won * np.logaddexp(0, -d)))
-                        out += [np.bincount(i, all_ * p - won, size), np.bincount(i, w, size)]
+                        p = 1 / (1 + np.exp(-np.clip(d, -700, 700)))
+                        out += [np.bincount(i, all_ * p - won, size), np.bincount(i, _weight(all_, d), size)]
                     else:
-                        out += np.bincount(i, w * (x[first : first + size][i] - x[j]), size)
+                        out += np.bincount(i, _weight(all_, d) * (x[first : first + size].astype(float)[i] - x[j]), size)
             for first, out in sums.items():
                 yield pa.RecordBatch.from_arrays([pa.array([first]), pa.array([out.tobytes()], pa.binary()), pa.array([loss])], names=["first", "sums", "loss"])
                 loss = 0.0
 
-        parts = packs.mapInArrow(run, "first long, sums binary, loss double").toArrow()
+        parts = (packs if along is None else unwon).mapInArrow(run, "first long, sums binary, loss double").toArrow()
         if shared is not None:
             shared.destroy()
         total = np.zeros((2 if along is None else 1, n))
@@ -300,6 +391,45 @@ def solve_spread(edges: DataFrame, n: int, penalty: float = 1e-4, rounds: int =
             total[:, first : first + x.shape[1]] += x
         return sum(parts.column("loss").to_pylist()), *total
 
+    def heaviest(at, trees):
+        """(u, v, t) of the pairs that weigh most for an item of those that lead out of its tree and weigh more than the penalty."""
+        shared = spark.sparkContext.broadcast(trees)
+
+        def run(batches):
+            theta, tree, most = at.value, shared.value, {}
+            for batch in batches:
+                for k in range(batch.num_rows):
+                    first, size, i, j, _, t = _unpacked(batch, k)
+                    top, to, of = most.setdefault(first, (np.full(size, penalty), np.full(size, -1, np.int32), np.zeros(size, np.float32)))
+                    out = np.flatnonzero(tree[first : first + size][i] != tree[j])
+                    i, j, t = i[out], j[out], t[out]
+                    w = _weight(t, theta[first : first + size][i] - theta[j])
+                    before = top.copy()
+                    np.maximum.at(top, i, w)
+                    new = np.flatnonzero((w == top[i]) & (w > before[i]))
+                    to[i[new]], of[i[new]] = j[new], t[new]
+            for first, (_, to, of) in most.items():
+                yield pa.RecordBatch.from_arrays([pa.array([first]), pa.array([to.tobytes()], pa.binary()), pa.array([of.tobytes()], pa.binary())], names=["first", "to", "t"])
+
+        parts = unwon.mapInArrow(run, "first long, to binary, t binary").toArrow()
+        shared.destroy()
+        u, v, t = [], [], []
+        for first, to, of in zip(parts.column("first").to_pylist(), parts.column("to"), parts.column("t"), strict=True):
+            to = np.frombuffer(to.as_buffer(), np.int32)
+            some = np.flatnonzero(to >= 0).astype(np.int32)
+            u.append(some + np.int32(first))
+            v.append(to[some])
+            t.append(np.frombuffer(of.as_buffer(), np.float32)[some])
+        return np.concatenate(u), np.concatenate(v), np.concatenate(t)
+
+    def forest(at, theta):
+        trees, taken = np.arange(n, dtype=np.int32), []
+        for _ in range(FOREST_JOINS):
+            u, v, t = heaviest(at, trees)
+            trees, e = _joined(trees, u, v, _weight(t, theta[u] - theta[v]))
+            taken.append((u[e], v[e], t[e]))
+        return _levels(*(np.concatenate(x) for x in zip(*taken, strict=True)), n)
+
     dot = lambda x, y: float(np.einsum("i,i->", x, y))  # noqa: E731  as in solve
 
     def evaluate(theta):
@@ -307,26 +437,33 @@ def solve_spread(edges: DataFrame, n: int, penalty: float = 1e-4, rounds: int =
         loss, g, diagonal = summed(at)
         return at, loss + 0.5 * penalty * dot(theta, theta), g + penalty * theta, diagonal + penalty
 
-    theta = np.zeros(n)
+    theta, levels, products = np.zeros(n), [], 0
     at, loss, g, diagonal = evaluate(theta)
     for _ in range(rounds):
         if np.abs(g).max(initial=0) < GRADIENT / 10:
             break
-        x, r = np.zeros(n), -g
-        d = r / diagonal
+        if products > FOREST_PAYS:
+            levels = forest(at, theta)
+        eased = _eased(diagonal, theta, levels)
+        x, r, products = np.zeros(n), -g, 0
+        d = eased(r)
         rz = least = dot(r, d)
         enough = min(0.1, 0.1 * rz**0.25)
         for _ in range(min(n, 500)):
-            h = summed(at, d)[1] + penalty * d
-            step = rz / dot(d, h)
+            short = d.astype(np.float32)  # what is sent, so that it is the direction itself that is rounded
+            d = short.astype(float)
+            h = summed(at, short)[1] + penalty * d
+            products += 1
+            step = dot(r, d) / dot(d, h)
             x += step * d
             r -= step * h
-            z = r / diagonal
+            z = eased(r)
             new = dot(r, z)
-            if new < enough * enough * least:
+            if new < enough * enough * least or np.abs(r).max() < GRADIENT / 20:
                 break
             d = z + new / rz * d
             rz = new
+        del eased, z, d, h
         size, slope = 1.0, dot(g, x)
         while True:
             at.destroy()

@@ -375,6 +375,44 @@ def test_spread_fit_sends_one_vector_at_a_time(spark, monkeypatch):
     assert np.abs(theta - pairwise.solve(i, j, x, y, 60)).max() < 1e-6
 
 
+@pytest.mark.parametrize("shift", [0.0, 0.25])
+def test_spread_fit_of_few_comparisons_takes_few_passes(spark, monkeypatch, shift):
+    """With 3.5 comparisons an item many hang on few: the diagonal alone takes 247 passes, with the forest they are few."""
+    rng = np.random.default_rng(1)
+    pairs = sorted({(min(p), max(p)) for p in rng.integers(0, 400, (700, 2)).tolist() if p[0] != p[1]})
+    rows = [(i, j, float(w) + shift, 1.0 - float(w)) for (i, j), w in zip(pairs, rng.integers(0, 3, len(pairs)) / 2, strict=True)]
+    edges = spark.createDataFrame(rows, "ia long, ib long, wins_a double, wins_b double")
+    passes, to_arrow = [], type(edges).toArrow
+    monkeypatch.setattr(type(edges), "toArrow", lambda df: passes.append(1) or to_arrow(df))
+    theta = pairwise.solve_spread(edges, 400)
+    i, j, x, y = (np.array(c) for c in zip(*rows, strict=True))
+    assert len(passes) < 100
+    assert np.abs(theta - pairwise.solve(i, j, x, y, 400)).max() < 1e-4
+
+
+def test_forest_is_solved_exactly():
+    rng = np.random.default_rng(4)
+    i = np.arange(1, 200, dtype=np.int32)
+    j = (i - rng.integers(1, 4, 199)).clip(0).astype(np.int32)  # a tree, with pairs of the same weight
+    t, theta = rng.integers(1, 3, 199).astype(np.float32), rng.integers(0, 2, 200) * 1.0
+    a = 0.01 * np.eye(200)
+    w = pairwise._weight(t, theta[i] - theta[j])
+    for u, v, x in zip(i, j, w, strict=True):
+        a[[u, v, u, v], [u, v, v, u]] += [x, x, -x, -x]
+    trees, taken = np.arange(200, dtype=np.int32), []
+    while len(set(trees)) > 1:
+        out = np.flatnonzero(trees[i] != trees[j])
+        trees, e = pairwise._joined(trees, i[out], j[out], w[out])
+        taken += out[e].tolist()
+    assert sorted(taken) == list(range(199))
+    r = rng.normal(size=200)
+    z = pairwise._eased(np.diag(a).copy(), theta, pairwise._levels(i, j, t, 200))(r)
+    assert np.abs(a @ z - r).max() < 1e-5
+    ring = np.arange(9, dtype=np.int32)
+    trees, e = pairwise._joined(ring, np.r_[ring, (ring + 1) % 9].astype(np.int32), np.r_[(ring + 1) % 9, ring].astype(np.int32), np.ones(18))
+    assert len(e) == 9 - len(set(trees))  # no circle of equal weights
+
+
 @pytest.mark.parametrize("shared, suppliers", [(2, 3), (2, 0), (4, 1), (0, 2)])
 def test_benchmark_row_without_measures(spark, tmp_path, shared, suppliers):
     """With two shared candidates no ad has a rank correlation, without suppliers none has a mean: SQL's row is still there."""
