@@ -221,15 +221,16 @@ def _settled(gradient: np.ndarray) -> None:
         raise RuntimeError(f"the fit has not settled: {np.abs(gradient).max():.1e} wins are left in the gradient")
 
 
-#: Pairs of a pack, and about how many (each from both sides) there are in a block of items.
-PACK, BLOCK = 1 << 16, 1_000_000
+#: Pairs of a pack, about how many (each from both sides) there are in a block of items, and its most items: what a task
+#: sends back of a block are some hundred KB.
+PACK, BLOCK, BLOCK_SIZE = 1 << 16, 1_000_000, 1 << 16
 
 
 def _packed(edges: DataFrame, n: int) -> DataFrame:
     """(first, size, i, j, w, t, unit) of packs of pairs as arrays in bytes: items from first to first + size, i (from first
     on) with opponent j, i's wins and both ones' wins, counted in bytes as multiples of unit where they are whole or half
     (unit 0.5), else as doubles (1). A pair is there from both sides, so a sum by item is a sum inside a block."""
-    blocks = max(1, min(n, max(edges.sparkSession.sparkContext.defaultParallelism, -(-2 * edges.count() // BLOCK))))
+    blocks = max(1, min(n, max(edges.sparkSession.sparkContext.defaultParallelism, -(-2 * edges.count() // BLOCK), -(-n // BLOCK_SIZE))))
     size = -(-n // blocks)
     total = F.col("wins_a") + F.col("wins_b")
     side = lambda i, j, w: edges.select(F.col(i).alias("i"), F.col(j).alias("j"), F.col(w).alias("w"), total.alias("t"))
@@ -355,6 +356,7 @@ def solve_spread(edges: DataFrame, n: int, penalty: float = 1e-4, rounds: int =
 
     edges: (ia, ib, wins_a, wins_b), kept packed in memory or on disk while it runs (see _packed). Tasks get the vectors,
     the strengths once a Newton step and one vector more for each product, and send back sums of their blocks of items.
+    What goes to and fro for a product has single precision, as it only decides where to look; sums are made in double.
     """
     spark = edges.sparkSession
     prepare(spark)
@@ -363,6 +365,7 @@ def solve_spread(edges: DataFrame, n: int, penalty: float = 1e-4, rounds: int =
 
     def summed(at, along=None):
         """(loss, gradient, diagonal) of the pairs at shared strengths, or (0, their second derivative along a vector)."""
+        kind = float if along is None else np.float32
         shared = None if along is None else spark.sparkContext.broadcast(along)
 
         def run(batches):
@@ -379,7 +382,7 @@ def solve_spread(edges: DataFrame, n: int, penalty: float = 1e-4, rounds: int =
                     else:
                         out += np.bincount(i, _weight(all_, d) * (x[first : first + size].astype(float)[i] - x[j]), size)
             for first, out in sums.items():
-                yield pa.RecordBatch.from_arrays([pa.array([first]), pa.array([out.tobytes()], pa.binary()), pa.array([loss])], names=["first", "sums", "loss"])
+                yield pa.RecordBatch.from_arrays([pa.array([first]), pa.array([out.astype(kind).tobytes()], pa.binary()), pa.array([loss])], names=["first", "sums", "loss"])
                 loss = 0.0
 
         parts = (packs if along is None else unwon).mapInArrow(run, "first long, sums binary, loss double").toArrow()
@@ -387,7 +390,7 @@ def solve_spread(edges: DataFrame, n: int, penalty: float = 1e-4, rounds: int =
             shared.destroy()
         total = np.zeros((2 if along is None else 1, n))
         for first, sums in zip(parts.column("first").to_pylist(), parts.column("sums"), strict=True):
-            x = np.frombuffer(sums.as_buffer()).reshape(len(total), -1)
+            x = np.frombuffer(sums.as_buffer(), kind).reshape(len(total), -1)
             total[:, first : first + x.shape[1]] += x
         return sum(parts.column("loss").to_pylist()), *total
 
@@ -443,6 +446,7 @@ def solve_spread(edges: DataFrame, n: int, penalty: float = 1e-4, rounds: int =
         if np.abs(g).max(initial=0) < GRADIENT / 10:
             break
         if products > FOREST_PAYS:
+            levels = []  # not two forests at once
             levels = forest(at, theta)
         eased = _eased(diagonal, theta, levels)
         x, r, products = np.zeros(n), -g, 0
@@ -472,6 +476,7 @@ def solve_spread(edges: DataFrame, n: int, penalty: float = 1e-4, rounds: int =
                 break
             size /= 2
         theta, loss, g = theta + size * x, new_loss, new_g
+        del x, r, short, new_g
     at.destroy()
     packs.unpersist()
     _settled(g)
